@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 def cents(col) -> Column:
     """Money as whole cents."""
-    return F.round(F.col(col) * 100 if isinstance(col, str) else col * 100).cast("bigint")
+    value = F.col(col) if isinstance(col, str) else col
+    return F.round(value.cast("double") * 100).cast("bigint")
 
 
 def half_up(numerator: Column, denominator: Column) -> Column:

@@ -38,6 +38,8 @@ def distributed_key(df: DataFrame, order: list[str], name: str, by: list[str] |
     )
     ranged = stage(ranged, f"key-{name}")
     edges = ranged.groupBy("_range", *by).agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
+    if not by:
+        return ranged.select((F.col("_pos") + _shifts(edges)).cast("bigint").alias(name), *df.columns)
     before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = edges.select(
         F.col("_range").alias("_o_range"),
@@ -47,13 +49,24 @@ def distributed_key(df: DataFrame, order: list[str], name: str, by: list[str] |
     match = F.col("_range") == F.col("_o_range")
     for c in by:
         match = match & F.col(c).eqNullSafe(F.col(f"_o_{c}"))
-    # Without groups the offsets have one row per range; with groups their size is known once staged.
-    offsets = stage(offsets, "offsets") if by else F.broadcast(offsets)
-    return ranged.join(offsets, match, "inner").select(
+    # As many rows as ranges and groups; staged, so that its true size decides how it is joined.
+    return ranged.join(stage(offsets, "offsets"), match, "inner").select(
         (F.col("_pos") + F.col("_shift")).cast("bigint").alias(name), *df.columns
     )
 
 
+def _shifts(edges: DataFrame) -> Column:
+    """What to add to a local position: the rows in earlier ranges, looked up by range number.
+
+    One number per range comes to the driver, as when an index is zipped to partitions.
+    """
+    shifts, before = {}, 0
+    for r in sorted(edges.collect(), key=lambda r: r["_range"]):
+        shifts[r["_range"]] = before - r["_first"] + 1
+        before += r["_n"]
+    return F.get(F.lit([shifts.get(i, 0) for i in range(max(shifts, default=0) + 1)]), F.col("_range"))
+
+
 def surrogate_key(df: DataFrame, order: list[str], name: str, by: list[str] | None = None) -> DataFrame:
     """Dense key of a dimension; the key is the first column."""
     return distributed_key(df, order, name, by)

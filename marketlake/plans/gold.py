@@ -142,12 +142,13 @@ def fact_rows(calendar: DataFrame, lookup: DataFrame, dim_date: DataFrame, by: s
 
 
 def build_dims(listings: DataFrame, by: str | None = None) -> dict[str, DataFrame]:
-    """Listing, host and neighbourhood dimension, each written once to the work folder."""
-    return {
-        "listings": stage(dim_listings(listings, by), "dim-listings"),
-        "hosts": stage(dim_hosts(listings, by), "dim-hosts"),
-        "neighbourhoods": stage(dim_neighbourhoods(listings, by), "dim-neighbourhoods"),
+    """Listing, host and neighbourhood dimension. Their rows are in the work folder, so their size is known."""
+    dims = {
+        "listings": dim_listings(listings, by),
+        "hosts": dim_hosts(listings, by),
+        "neighbourhoods": dim_neighbourhoods(listings, by),
     }
+    return {name: stage(dim, f"dim-{name}") for name, dim in dims.items()} if by else dims
 
 
 def fact_daily(calendar: DataFrame, listings: DataFrame, reviews: DataFrame, dims: dict[str, DataFrame],
@@ -162,13 +163,10 @@ def fact_daily(calendar: DataFrame, listings: DataFrame, reviews: DataFrame, dim
 def conform_dims(city_dims: dict[str, DataFrame], cities: list[str] | None = None) -> dict[str, DataFrame]:
     """Conformed dimensions over all cities, from per-city dimensions with a city column."""
     return {
-        "listings": stage(conform_dim(city_dims["listings"], ["listing_id"], "listing_key", ["listing_id"], cities), "dim-listings"),
-        "hosts": stage(conform_dim(city_dims["hosts"], ["host_id"], "host_key", ["host_id"], cities), "dim-hosts"),
-        "neighbourhoods": stage(
-            conform_dim(city_dims["neighbourhoods"], ["neighbourhood", "neighbourhood_group"], "neighbourhood_key",
-                        ["neighbourhood", "neighbourhood_group"], cities),
-            "dim-neighbourhoods",
-        ),
+        "listings": conform_dim(city_dims["listings"], ["listing_id"], "listing_key", ["listing_id"], cities),
+        "hosts": conform_dim(city_dims["hosts"], ["host_id"], "host_key", ["host_id"], cities),
+        "neighbourhoods": conform_dim(city_dims["neighbourhoods"], ["neighbourhood", "neighbourhood_group"], "neighbourhood_key",
+                                      ["neighbourhood", "neighbourhood_group"], cities),
     }
 
 

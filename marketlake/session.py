@@ -33,13 +33,13 @@ def work_dir(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
-    current = context._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get().rstrip("/")
+    current = context.getCheckpointDir()
+    if current:
+        return current.rstrip("/")
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="marketlake-"))
-    return context._jsc.sc().getCheckpointDir().get().rstrip("/")
+    return context.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, tag: str) -> str:

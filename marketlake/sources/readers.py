@@ -16,11 +16,13 @@ GEOJSON_SCHEMA = T.StructType([
         ])),
         T.StructField("geometry", T.StructType([
             T.StructField("type", T.StringType()),
-            T.StructField("coordinates", T.ArrayType(T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType()))))),
+            T.StructField("coordinates", T.StringType()),  # kept as JSON text: the depth depends on the type
         ])),
     ]))),
 ])
 
+POLYGON = "array<array<array<double>>>"
+
 MANIFEST_ENTRY = T.StructType([
     T.StructField("source_url", T.StringType()),
     T.StructField("captured_at", T.StringType()),
@@ -130,15 +132,20 @@ def strip_log_lines(df: DataFrame, col: str = "line") -> DataFrame:
 
 
 def geojson_features(df: DataFrame) -> DataFrame:
-    """One row per feature of a FeatureCollection: names, geometry type and coordinates."""
+    """One row per feature of a FeatureCollection: names, geometry type and coordinates.
+
+    Coordinates are a list of polygons; a single polygon is a list of one.
+    """
+    shape, kind = F.col("f.geometry.coordinates"), F.col("f.geometry.type")
+    polygons = F.when(kind == "Polygon", F.array(F.from_json(shape, POLYGON))).otherwise(F.from_json(shape, f"array<{POLYGON}>"))
     have = [c for c in ("city", "year", "month") if c in df.columns]
     rows = df.select(*have, F.explode("features").alias("f"))
     return rows.select(
         *have,
         F.col("f.properties.neighbourhood").alias("neighbourhood"),
         F.col("f.properties.neighbourhood_group").alias("neighbourhood_group"),
-        F.col("f.geometry.type").alias("geometry_type"),
-        F.col("f.geometry.coordinates").alias("coordinates"),
+        kind.alias("geometry_type"),
+        polygons.alias("coordinates"),
     )
 
 

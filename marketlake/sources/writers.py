@@ -10,14 +10,18 @@ def write_silver(df: DataFrame, path: str, partition: str | None = "city", order
     """Snappy Parquet, partitioned by city; a run over some cities replaces only those partitions.
 
     With ``order`` rows are range-partitioned on (city, order) and sorted, so every file covers a narrow key
-    range and its min/max statistics prune reads. A big city is cut into as many files as it needs.
+    range and its min/max statistics prune reads. A big city is cut into as many files as it needs, and so is a
+    single key: a row hash, and for identical rows a running number, follow in the sort.
     Returns the table as read back.
     """
     keys = ([partition] if partition else []) + list(order or [])
+    out = df
     if keys:
+        spread = {"_hash": F.xxhash64(*df.columns), "_copy": F.monotonically_increasing_id()}
         sort = [F.col(c).asc_nulls_last() for c in keys]
-        df = df.repartitionByRange(*sort).sortWithinPartitions(*sort)
-    writer = df.write.mode("overwrite").option("compression", "snappy")
+        ranged = df.withColumns(spread).repartitionByRange(*sort, *spread)
+        out = ranged.sortWithinPartitions(*sort).drop(*spread)
+    writer = out.write.mode("overwrite").option("compression", "snappy")
     if partition:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition)
     writer.parquet(path)

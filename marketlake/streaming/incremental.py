@@ -13,11 +13,7 @@ from marketlake.sources.readers import read_csv
 
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
+MANIFEST = "sha256 string, path string, bytes bigint, batch bigint"
 
 
 def _replace_batch(df: DataFrame, batch_id: int, path: str) -> None:
@@ -42,17 +38,15 @@ def stream_silver(spark: SparkSession, src: str, dst: str, checkpoint: str, sche
     def add(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         hashed = hash_files(batch.select("path", "content"))
-        if _exists(session, manifest):
-            known = session.read.parquet(manifest).where(F.col("batch") != batch_id).select("sha256")
-        else:
-            known = session.createDataFrame([], "sha256 string")
+        known = session.read.schema(MANIFEST).parquet(manifest).where(F.col("batch") != batch_id).select("sha256")
         fresh = new_files(hashed, known).collect()
         if not fresh:
             return
         paths = sorted(r["path"] for r in fresh)
         _replace_batch(clean(read_csv(session, paths, schema)), batch_id, rows)
-        _replace_batch(session.createDataFrame(fresh, "sha256 string, path string, bytes long"), batch_id, manifest)
+        _replace_batch(session.createDataFrame(fresh, "sha256 string, path string, bytes bigint"), batch_id, manifest)
 
+    spark.createDataFrame([], MANIFEST).write.mode("ignore").partitionBy("batch").parquet(manifest)
     files = (
         spark.readStream.format("binaryFile").schema(FILE_SCHEMA)
         .option("pathGlobFilter", glob).option("maxFilesPerTrigger", max_files)

@@ -84,7 +84,7 @@ def j05(t):
 )
 def j06(t):
     city_hosts = stage(gold.dim_hosts(t.brand_listing, "city"), "city-hosts")
-    hosts = stage(U.conform_dim(city_hosts, ["host_id"], "host_key", ["host_id"]), "hosts")
+    hosts = U.conform_dim(city_hosts, ["host_id"], "host_key", ["host_id"])
     keyed = t.brand_listing.join(city_hosts.select("city", "host_id", "host_key"), ["city", "host_id"])
     return J.remap_keys(keyed.select("city", "listing_id", "host_key"), city_hosts, hosts, ["host_id"], "host_key", by="city")
 

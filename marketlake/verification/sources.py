@@ -335,11 +335,11 @@ def _write_geojson(t, tag):
         return F.struct(
             F.lit("Feature").alias("type"),
             F.struct(name.alias("neighbourhood"), F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_mktsegment")).alias("neighbourhood_group")).alias("properties"),
-            F.struct(F.lit(kind).alias("type"), coordinates.alias("coordinates")).alias("geometry"),
+            F.struct(F.lit(kind).alias("type"), F.parse_json(F.to_json(coordinates)).alias("coordinates")).alias("geometry"),
         )
 
     features = F.array(
-        feature("MultiPolygon", F.col("c_name"), F.array(F.array(ring(1.0)))),
+        feature("Polygon", F.col("c_name"), F.array(ring(1.0))),
         feature("MultiPolygon", F.concat("c_name", F.lit(" north")), F.array(F.array(ring(2.0)), F.array(ring(3.0)))),
     )
     path = scratch_path(t.spark, tag)
@@ -349,7 +349,7 @@ def _write_geojson(t, tag):
 
 _GEO_SQL = """
 select c_name neighbourhood, case when c_mktsegment <> 'BUILDING' then c_mktsegment end neighbourhood_group,
-       'MultiPolygon' geometry_type, 1 polygons, (c_custkey % 360)::double first_lon from customer
+       'Polygon' geometry_type, 1 polygons, (c_custkey % 360)::double first_lon from customer
 union all
 select c_name || ' north', case when c_mktsegment <> 'BUILDING' then c_mktsegment end, 'MultiPolygon', 2, (c_custkey % 360)::double
 from customer
