@@ -38,12 +38,12 @@ def sum_money(col) -> Column:
     return (F.sum(cents(col)) / F.lit(100.0)).cast("double")
 
 
-def sum_exact(col, scale: int = 6) -> Column:
+def sum_exact(col, scale: int = 12) -> Column:
     """Sum added up as decimals of ``scale`` digits, returned as a double."""
-    return F.sum((F.col(col) if isinstance(col, str) else col).cast(f"decimal(28,{scale})")).cast("double")
+    return F.sum((F.col(col) if isinstance(col, str) else col).cast(f"decimal(38,{scale})")).cast("double")
 
 
-def mean_exact(col, scale: int = 6) -> Column:
+def mean_exact(col, scale: int = 12) -> Column:
     """Mean of the non-null values, added up as decimals."""
     return F.try_divide(sum_exact(col, scale), F.count(col))
 

@@ -71,10 +71,14 @@ def synonym_flags(col, groups: dict[str, list[str]] = NAME_SYNONYMS) -> list[Col
 
 
 def word_flags(col, words=NAME_KEYWORDS, prefix: str = "kw_") -> list[Column]:
-    """As :func:`keyword_flags`, but single words must stand alone; phrases still match anywhere."""
+    """As :func:`keyword_flags`, but single words must stand alone; phrases still match anywhere.
+
+    Letters of any language and digits count as part of a word.
+    """
     text = _lowered(col)
+    inside = r"[\p{L}\p{N}_]"
     return [
-        _flag(text.contains(w) if " " in w else text.rlike(rf"\b{re.escape(w)}\b")).alias(flag_name(w, prefix))
+        _flag(text.contains(w) if " " in w else text.rlike(f"(?<!{inside}){re.escape(w)}(?!{inside})")).alias(flag_name(w, prefix))
         for w in words
     ]
 

@@ -74,31 +74,36 @@ def median_of(col) -> Column:
     return F.median(F.col(col).cast("double") if isinstance(col, str) else col.cast("double"))
 
 
-def price_summary(df: DataFrame, keys: list[str], price: str, sums: dict[str, Column], item: str | None = None) -> DataFrame:
-    """Per group: rows, priced rows, sum in cents, min, max and exact median of a price, sums of whole numbers,
-    and with ``item`` the number of its distinct values (as ``items``).
+def price_summary(df: DataFrame, keys: list[str], price: str, sums: dict[str, Column], item: str | None = None,
+                  maxima: dict[str, Column] | None = None, weight: str | None = None) -> DataFrame:
+    """Per group: rows, priced rows, sum in cents, min, max and exact median of a price, sums and maxima of whole
+    numbers, and with ``item`` the number of its distinct values (as ``items``). With ``weight`` a row stands
+    for that many rows.
 
     Median and distinct count next to each other would pass per-group maps through every step of Spark's
     distinct plan. Here equal prices and equal items are counted first, by hash aggregation on
     (keys, price or item), so a hot group is spread over its prices and items; a window over the distinct prices
     of a group then finds the middle, and the last group-by reuses the window's partitioning.
     """
+    maxima = maxima or {}
     v_type = df.schema[price].dataType
     no_price, no_item = F.lit(None).cast(v_type).alias("_v"), F.lit(None).cast("bigint").alias("_item")
-    priced = F.struct(F.col(price).alias("_v"), no_item, F.lit(1).cast("bigint").alias("_n"),
-                      *[c.cast("bigint").alias(name) for name, c in sums.items()])
+    priced = F.struct(F.col(price).alias("_v"), no_item, (F.col(weight) if weight else F.lit(1)).cast("bigint").alias("_n"),
+                      *[c.cast("bigint").alias(name) for name, c in {**sums, **maxima}.items()])
     kinds = [priced]
     if item is not None:
         zeros = [F.lit(0).cast("bigint").alias(name) for name in ["_n", *sums]]
-        kinds.append(F.struct(no_price, F.col(item).cast("bigint").alias("_item"), *zeros))
+        nothing = [F.lit(None).cast("bigint").alias(name) for name in maxima]
+        kinds.append(F.struct(no_price, F.col(item).cast("bigint").alias("_item"), *zeros, *nothing))
     rows = df.select(*keys, F.inline(F.array(*kinds)))
-    counted = rows.groupBy(*keys, "_v", "_item").agg(F.sum("_n").alias("_n"), *[F.sum(s).alias(s) for s in sums])
-    weight = F.when(F.col("_v").isNotNull(), F.col("_n")).otherwise(F.lit(0).cast("bigint"))
+    totals = [*[F.sum(s).alias(s) for s in sums], *[F.max(m).alias(m) for m in maxima]]
+    counted = rows.groupBy(*keys, "_v", "_item").agg(F.sum("_n").alias("_n"), *totals)
+    n_priced = F.when(F.col("_v").isNotNull(), F.col("_n")).otherwise(F.lit(0).cast("bigint"))
     group = Window.partitionBy(*keys).orderBy("_v", "_item")
     placed = counted.withColumns({
-        "_w": weight,
-        "_before": F.coalesce(F.sum(weight).over(group.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-        "_total": F.sum(weight).over(group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
+        "_w": n_priced,
+        "_before": F.coalesce(F.sum(n_priced).over(group.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        "_total": F.sum(n_priced).over(group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
     })
 
     def at(rank):
@@ -113,15 +118,15 @@ def price_summary(df: DataFrame, keys: list[str], price: str, sums: dict[str, Co
         F.min("_v").alias("min_price"),
         F.max("_v").alias("max_price"),
         (low + (high - low) * 0.5).alias("median_price"),
-        *[F.sum(s).alias(s) for s in sums],
+        *totals,
         *([F.count("_item").alias("items")] if item is not None else []),
     )
 
 
 def round_cents(col) -> Column:
-    """A median of whole cents rounded half up to whole cents; the median lies on a cent or between two."""
+    """A price rounded half up to two digits. Rounding to four first hides the binary error of values like 1.005."""
     value = F.col(col) if isinstance(col, str) else col
-    return F.floor((F.round(value * 200) + 1) / 2).cast("double") / F.lit(100.0)
+    return F.floor((F.round(value * 10000) + 50) / 100).cast("double") / F.lit(100.0)
 
 
 def median_by(df: DataFrame, keys: list[str], col: str, name: str | None = None) -> DataFrame:

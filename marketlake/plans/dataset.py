@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketlake.functions.exact import mean_exact, sum_money
-from marketlake.functions.scalars import rate, tenure_days
-from marketlake.operators.aggregates import group_listing_level, median_of
+from marketlake.functions.exact import cents
+from marketlake.functions.scalars import label_by_threshold, tenure_days
+from marketlake.operators.aggregates import price_summary
 from marketlake.operators.joins import star_join
 
 LISTING_COLUMNS = ["listing_id", "name", "room_type", "property_type", "accommodates", "bedrooms", "beds", "latitude", "longitude"]
@@ -32,30 +32,39 @@ DATASET_SCHEMA = T.StructType([
 
 
 def listing_dataset(fact: DataFrame, dims: dict[str, DataFrame], ref_date: str = REFERENCE_DATE) -> DataFrame:
-    """One row per listing (and host and area version) with price, availability, revenue, reviews and tenure."""
+    """One row per listing (and host and area version) with price, availability, revenue, reviews and tenure.
+
+    Facts are first added up per key and price, so days never meet the wide attributes; the attributes are
+    joined to what is left and the groups are formed on them.
+    """
+    keys = ["listing_key", "host_key", "neighbourhood_key"]
+    priced = fact.groupBy(*keys, "price").agg(
+        F.count(F.lit(1)).alias("days"),
+        F.sum(F.coalesce(F.col("is_available"), F.lit(False)).cast("int")).alias("available"),
+        F.sum(cents("est_revenue")).alias("revenue_cents"),
+        F.max("reviews_to_date").alias("total_reviews"),
+    )
     joined = star_join(
-        fact,
+        priced,
         [
             (dims["listings"].select("listing_key", *LISTING_COLUMNS), "listing_key"),
             (dims["hosts"].select("host_key", *HOST_COLUMNS), "host_key"),
             (dims["neighbourhoods"].select("neighbourhood_key", *AREA_COLUMNS), "neighbourhood_key"),
         ],
     )
-    rows = group_listing_level(
-        joined,
-        DATASET_KEYS,
-        [
-            median_of("price").alias("target_price"),
-            mean_exact("price", 2).alias("avg_price"),
-            rate(F.col("is_available")).alias("availability_rate"),
-            sum_money("est_revenue").alias("est_revenue"),
-            F.max("reviews_to_date").alias("total_reviews"),
-        ],
+    sums = {"available": F.col("available"), "revenue_cents": F.col("revenue_cents")}
+    rows = price_summary(joined, DATASET_KEYS, "price", sums, maxima={"total_reviews": F.col("total_reviews")}, weight="days")
+    return rows.select(
+        *DATASET_KEYS,
+        F.col("median_price").alias("target_price"),
+        F.try_divide(F.col("price_cents") / 100.0, F.col("priced")).alias("avg_price"),
+        (F.col("available") / F.col("rows")).alias("availability_rate"),
+        (F.col("revenue_cents") / 100.0).alias("est_revenue"),
+        "total_reviews",
+        tenure_days("host_since", ref_date).alias("host_tenure_days"),
     )
-    return rows.withColumn("host_tenure_days", tenure_days("host_since", ref_date))
 
 
 def label_market(df: DataFrame, threshold: float, above: str, other: str, col: str = "latitude") -> DataFrame:
-    from marketlake.functions.scalars import label_by_threshold
-
+    """Add the market, told apart by one coordinate."""
     return df.withColumn("market", label_by_threshold(col, threshold, above, other))

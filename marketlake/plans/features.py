@@ -13,6 +13,7 @@ from marketlake.functions.scalars import bool_to_num, capacity_ratios, log1p_cli
 from marketlake.operators.aggregates import global_mean
 from marketlake.operators.encode import freq_encode, label_encode
 from marketlake.operators.project import drop_columns, ensure_columns, fill_nulls, numeric_only
+from marketlake.session import stage
 
 TARGET = "target_price"
 NUMBERS = ["accommodates", "bedrooms", "beds", "latitude", "longitude", "is_superhost", "host_listings_count",
@@ -86,8 +87,12 @@ def listing_features(df: DataFrame, names: str = "keywords", polar: bool = False
     divides frequencies by the number of rows; ``missing`` is a category for null; ``codes`` adds the sorted
     position of each category; ``one_hot_room`` adds a column per room type. Nulls become ``fill``, but the
     target is never filled. ``keep`` holds columns to carry along, such as the listing id.
+
+    The input is staged first: its mean position, its frequencies and its rows are separate passes, which must
+    not repeat the aggregation of the fact behind it.
     """
     keep = list(keep or [])
+    df = stage(df, "features")
     df = ensure_columns(df, {c: None for c in NUMBERS} | {"name": ("string", None)})
     df = activity_features(position_features(name_features(df, names), polar)).select("*", *capacity_ratios())
     df = category_features(df, relative_freq, missing)

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from marketlake.functions.exact import mean_exact, stddev_cents, sum_money
 from marketlake.operators import aggregates as A
 from marketlake.operators import quality as Q
 from marketlake.operators import stats as S
-from marketlake.verification.fixtures import rounded, widen, with_ctes
+from marketlake.verification.fixtures import rounded, with_ctes
 from marketlake.verification.registry import query
 
 AVG2 = "((2 * sum(cast(round({0} * 100) as bigint)) + count({0})) // (2 * count({0})))::bigint / 100.0::double"
@@ -97,21 +96,21 @@ def a12(t):
 
 @query(
     "a13_centroids",
-    with_ctes("fx_listing", """select neighbourhood, neighbourhood_group, round(avg(latitude), 6) centroid_lat, round(avg(longitude), 6) centroid_lon
+    with_ctes("fx_listing", """select neighbourhood, neighbourhood_group, avg(latitude) centroid_lat, avg(longitude) centroid_lon
               from (select distinct neighbourhood, neighbourhood_group, latitude, longitude from fx_listing) group by 1, 2"""),
 )
 def a13(t):
-    return rounded(A.centroids(t.listing, ["neighbourhood", "neighbourhood_group"]), 6, "centroid_lat", "centroid_lon")
+    return A.centroids(t.listing, ["neighbourhood", "neighbourhood_group"])
 
 
 @query(
     "a14_global_mean",
-    with_ctes("fx_listing", """select round(avg(latitude), 6) latitude, round(avg(longitude), 6) longitude, round(avg(nullif(beds, 0)), 6) beds_nonzero from fx_listing"""),
+    with_ctes("fx_listing", """select avg(latitude) latitude, avg(longitude) longitude, avg(nullif(beds, 0)) beds_nonzero from fx_listing"""),
 )
 def a14(t):
     plain = A.global_mean(t.listing, ["latitude", "longitude"])
     beds = A.global_mean(t.listing.withColumnRenamed("beds", "beds_nonzero"), ["beds_nonzero"], zero_is_null=True).scalar()
-    return rounded(plain.withColumn("beds_nonzero", beds), 6, "latitude", "longitude", "beds_nonzero")
+    return plain.withColumn("beds_nonzero", beds)
 
 
 @query(
@@ -147,9 +146,6 @@ def a18(t):
     return A.null_counts(t.listing_raw, ["price", "latitude"])
 
 
-_LEVEL = "o_custkey, o_orderstatus, o_orderpriority, year(o_orderdate)"
-
-
 @query(
     "a19_group_listing_level",
     """select o_custkey, o_orderstatus, o_orderpriority, year(o_orderdate) "year", median(o_totalprice) median_price, count(*) orders

@@ -285,16 +285,12 @@ def u01(t):
 
 @query(
     "u02_conform_dim",
-    with_ctes("conf_dim_area", """select neighbourhood_key, neighbourhood, neighbourhood_group, round(centroid_lat, 6) centroid_lat,
-                                         round(centroid_lon, 6) centroid_lon from conf_dim_area"""),
+    with_ctes("conf_dim_area", """select neighbourhood_key, neighbourhood, neighbourhood_group, centroid_lat, centroid_lon from conf_dim_area"""),
 )
 def u02(t):
     areas = stage(gold.dim_neighbourhoods(t.brand_listing, "city"), "areas")
     natural = ["neighbourhood", "neighbourhood_group"]
-    dim = U.conform_dim(areas, natural, "neighbourhood_key", natural)
-    return dim.select(
-        "neighbourhood_key", *natural, F.round("centroid_lat", 6).alias("centroid_lat"), F.round("centroid_lon", 6).alias("centroid_lon")
-    )
+    return U.conform_dim(areas, natural, "neighbourhood_key", natural).drop("city")
 
 
 @query("u03_keep_with_target", "select p_size, p_partkey, p_retailprice from part")

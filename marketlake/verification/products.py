@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from marketlake.functions import text as X
 from marketlake.plans import features as FT
 from marketlake.plans import gold, marts, silver
-from marketlake.session import scratch_path, stage
+from marketlake.session import scratch_path
 from marketlake.verification.aggregates import AVG2
 from marketlake.verification.fixtures import rounded, widen, with_ctes
 from marketlake.verification.registry import query
@@ -142,11 +142,10 @@ def d10(t):
 
 @query(
     "d11_dim_neighbourhoods",
-    with_ctes("dim_area", """select neighbourhood_key, neighbourhood, neighbourhood_group, round(centroid_lat, 6) centroid_lat, round(centroid_lon, 6) centroid_lon
-                             from dim_area"""),
+    with_ctes("dim_area", """select neighbourhood_key, neighbourhood, neighbourhood_group, centroid_lat, centroid_lon from dim_area"""),
 )
 def d11(t):
-    return rounded(gold.dim_neighbourhoods(t.staged_listing), 6, "centroid_lat", "centroid_lon")
+    return gold.dim_neighbourhoods(t.staged_listing)
 
 
 _FACT_ORDER = "listing_key, date_key nulls last, host_key nulls last, neighbourhood_key nulls last, price, is_available, minimum_nights, est_revenue, reviews_to_date"
@@ -271,8 +270,7 @@ def _select(values):
 
 @query("d19_listing_features", with_ctes("dataset", _select(_features_sql())))
 def d19(t):
-    data = stage(t.dataset, "dataset")
-    return _comparable(FT.listing_features(data, keep=["listing_id"]))
+    return _comparable(FT.listing_features(t.dataset, keep=["listing_id"]))
 
 
 def _variant_sql():
@@ -287,8 +285,7 @@ def _variant_sql():
 
 @query("d20_feature_variants", with_ctes("dataset", _select(_variant_sql())))
 def d20(t):
-    data = stage(t.dataset, "dataset")
-    df = FT.listing_features(data, names="synonyms", polar=True, relative_freq=True, missing="NA", codes=True, one_hot_room=True, keep=["listing_id"])
+    df = FT.listing_features(t.dataset, names="synonyms", polar=True, relative_freq=True, missing="NA", codes=True, one_hot_room=True, keep=["listing_id"])
     return _comparable(df)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from marketlake.functions import geo as G
 from marketlake.functions import scalars as S
 from marketlake.functions import text as X
-from marketlake.functions.exact import mean_cents, mean_exact
+from marketlake.functions.exact import mean_cents
 from marketlake.operators.aggregates import global_mean
 from marketlake.verification.fixtures import days_as_text, rounded, with_ctes
 from marketlake.verification.registry import query
@@ -44,20 +44,22 @@ def f04(t):
     return t.documents.select("doc_id", *X.synonym_flags("text", GROUPS))
 
 
-ASCII_WORDS = ["the", "ring", "of the"]
+STANDALONE = ["the", "der", "elle", "of the"]
+_EDGE = r"[^\p{L}\p{N}_]"
 
 
 @query(
     "f05_word_flags",
     "select doc_id, "
     + ", ".join(
-        f"contains(lower(text), '{w}')::int kw_{w.replace(' ', '_')}" if " " in w else f"regexp_matches(lower(text), '\\b{w}\\b')::int kw_{w}"
-        for w in ASCII_WORDS
+        f"contains(lower(text), '{w}')::int kw_{w.replace(' ', '_')}" if " " in w
+        else f"regexp_matches(lower(text), '(^|{_EDGE}){w}($|{_EDGE})')::int kw_{w}"
+        for w in STANDALONE
     )
-    + " from documents where lang = 'en'",
+    + " from documents",
 )
 def f05(t):
-    return t.documents.where("lang = 'en'").select("doc_id", *X.word_flags("text", ASCII_WORDS))
+    return t.documents.select("doc_id", *X.word_flags("text", STANDALONE))
 
 
 @query(
@@ -150,21 +152,21 @@ def f18(t):
 
 @query(
     "f19_euclid_deg",
-    with_ctes("fx_listing", f"select listing_id, round(sqrt((latitude - clat) ** 2 + (longitude - clon) ** 2), 6) deg from fx_listing, {_CENTRE}"),
+    with_ctes("fx_listing", f"select listing_id, sqrt((latitude - clat) * (latitude - clat) + (longitude - clon) * (longitude - clon)) deg from fx_listing, {_CENTRE}"),
 )
 def f19(t):
-    return _centred(t).select("listing_id", F.round(G.euclid_deg("latitude", "longitude", "clat", "clon"), 6).alias("deg"))
+    return _centred(t).select("listing_id", G.euclid_deg("latitude", "longitude", "clat", "clon").alias("deg"))
 
 
 @query(
     "f20_polar_offsets",
-    with_ctes("fx_listing", f"""select listing_id, round(latitude - clat, 6) rel_lat, round(longitude - clon, 6) rel_lon,
-              round(sqrt((latitude - clat) ** 2 + (longitude - clon) ** 2), 6) dist_radial, round(atan2(latitude - clat, longitude - clon), 6) angle_radial
+    with_ctes("fx_listing", f"""select listing_id, latitude - clat rel_lat, longitude - clon rel_lon,
+              sqrt((latitude - clat) * (latitude - clat) + (longitude - clon) * (longitude - clon)) dist_radial, round(atan2(latitude - clat, longitude - clon), 6) angle_radial
               from fx_listing, {_CENTRE}"""),
 )
 def f20(t):
     polar = _centred(t).select("listing_id", *G.polar_offsets("latitude", "longitude", "clat", "clon"))
-    return rounded(polar, 6, "rel_lat", "rel_lon", "dist_radial", "angle_radial")
+    return rounded(polar, 6, "angle_radial")
 
 
 @query(
@@ -222,9 +224,9 @@ def f27(t):
     return joined.select("id", S.bool_to_num("host_is_superhost").alias("from_text"), S.bool_to_num("is_superhost").alias("from_boolean"))
 
 
-@query("f28_smoothed_ratio", "select l_orderkey, l_linenumber, round(l_extendedprice / (l_discount * 365 + 1), 6) ratio from lineitem")
+@query("f28_smoothed_ratio", "select l_orderkey, l_linenumber, l_extendedprice / (l_discount * 365 + 1) ratio from lineitem")
 def f28(t):
-    return t.lineitem.select("l_orderkey", "l_linenumber", F.round(S.smoothed_ratio("l_extendedprice", "l_discount", 365, 1), 6).alias("ratio"))
+    return t.lineitem.select("l_orderkey", "l_linenumber", S.smoothed_ratio("l_extendedprice", "l_discount", 365, 1).alias("ratio"))
 
 
 @query(
