@@ -39,9 +39,17 @@ def freq_encode_pair(df: DataFrame, a: str, b: str, name: str, normalize: bool =
     return freq_encode(df, [(a, b)], normalize, [name])
 
 
-def label_encode(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
-    """Position of the category in sorted order from 0, -1 for null."""
-    name = name or f"{col}_code"
-    levels = distributed_key(df.where(F.col(col).isNotNull()).select(col).distinct(), [col], "_code")
-    codes = stage(levels.select(col, (F.col("_code") - 1).alias(name)), "codes")
-    return df.join(codes, col, "left").withColumn(name, F.coalesce(F.col(name), F.lit(-1).cast("bigint")))
+def label_encode(df: DataFrame, cols, names: list[str] | None = None) -> DataFrame:
+    """Position of the category in sorted order from 0, -1 for null; columns of one type are coded together.
+
+    The distinct values of all columns are collected in one pass and numbered per column without a global sort.
+    """
+    cols = [cols] if isinstance(cols, str) else list(cols)
+    names = names or [f"{c}_code" for c in cols]
+    pairs = F.inline(F.array(*[F.struct(F.lit(c).alias("_column"), F.col(c).alias("_level")) for c in cols]))
+    levels = df.select(pairs).where(F.col("_level").isNotNull()).distinct()
+    codes = stage(distributed_key(levels, ["_level"], "_code", by=["_column"]), "codes")
+    for c, name in zip(cols, names):
+        table = codes.where(F.col("_column") == c).select(F.col("_level").alias(c), (F.col("_code") - 1).alias(name))
+        df = df.join(table, c, "left").withColumn(name, F.coalesce(F.col(name), F.lit(-1).cast("bigint")))
+    return df

@@ -97,8 +97,7 @@ def listing_features(df: DataFrame, names: str = "keywords", polar: bool = False
     df = activity_features(position_features(name_features(df, names), polar)).select("*", *capacity_ratios())
     df = category_features(df, relative_freq, missing)
     if codes:
-        for c in CATEGORIES:
-            df = label_encode(df, c)
+        df = label_encode(df, [c for c in CATEGORIES if c in df.columns])
     if one_hot_room:
         df = one_hot(df.withColumn("room", F.col("room_type")), "room")
     df = df.withColumn("is_superhost", bool_to_num("is_superhost", None).cast("double"))

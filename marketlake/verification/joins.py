@@ -193,7 +193,7 @@ def w06(t):
                                       else dense_rank() over (order by neighbourhood_group nulls last) - 1 end code from fx_listing"""),
 )
 def w07(t):
-    return E.label_encode(t.listing.select("listing_id", "neighbourhood_group"), "neighbourhood_group", "code").drop("neighbourhood_group")
+    return E.label_encode(t.listing.select("listing_id", "neighbourhood_group"), "neighbourhood_group", ["code"]).drop("neighbourhood_group")
 
 
 # --- order ----------------------------------------------------------------------------------------------------
