@@ -117,7 +117,7 @@ def price_summary(df: DataFrame, keys: list[str], price: str, sums: dict[str, Co
         F.sum(F.when(F.col("_v").isNotNull(), cents("_v") * F.col("_w"))).alias("price_cents"),
         F.min("_v").alias("min_price"),
         F.max("_v").alias("max_price"),
-        (low + (high - low) * 0.5).alias("median_price"),
+        _between(low, high, 0.5).alias("median_price"),
         *totals,
         *([F.count("_item").alias("items")] if item is not None else []),
     )
@@ -253,7 +253,13 @@ def percentiles(df: DataFrame, cols: list[str], probs: list[float], keys: list[s
     ).where("is_lo or is_hi")
     low = F.max(F.when(F.col("is_lo"), F.col("value")))
     high = F.max(F.when(F.col("is_hi"), F.col("value")))
-    return wanted.groupBy(*group, "prob").agg((low + (high - low) * F.max("frac")).alias("value"))
+    return wanted.groupBy(*group, "prob").agg(_between(low, high, F.max("frac")).alias("value"))
+
+
+def _between(low: Column, high: Column, fraction) -> Column:
+    """Linear interpolation as Spark's own percentiles do it, to the last digit."""
+    part = fraction if isinstance(fraction, Column) else F.lit(fraction)
+    return F.when(low == high, low).otherwise((1 - part) * low + part * high)
 
 
 def describe(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -260,8 +260,9 @@ def f32(t):
 _HTML = r"""regexp_replace(html, '(?is)<!--.*?-->|<(script|style)\b[^>]*>.*?</(script|style)\s*>', '', 'g')"""
 _BLOCK = r"""'(?is)<(title|h[1-3])\b[^>]*>(.*?)</(?:title|h[1-3])\s*>'"""
 _DECODED = "text"
-for _entity, _char in (("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&lt;", "<"), ("&gt;", ">"), ("&#39;", "''"), ("&amp;", "&")):
-    _DECODED = f"replace({_DECODED}, '{_entity}', '{_char}')"
+# Old named references are valid without the semicolon.
+for _entity, _char in (("&quot;?", '"'), ("&copy;?", "©"), ("&middot;?", "·"), ("&lt;?", "<"), ("&gt;?", ">"), ("&#39;", "''"), ("&amp;?", "&")):
+    _DECODED = f"regexp_replace({_DECODED}, '{_entity}', '{_char}', 'g')"
 
 
 @query(
