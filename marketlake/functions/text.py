@@ -117,9 +117,14 @@ def json_field(col, path: str) -> Column:
     return F.get_json_object(_c(col), path)
 
 
-@F.pandas_udf(StringType())
-def _unescape(texts: pd.Series) -> pd.Series:
-    return texts.map(html.unescape, na_action="ignore")
+def _unescape(col: Column) -> Column:
+    """Character references decoded, in Arrow batches. A local function travels to the executors by value, so
+    they do not need this package."""
+
+    def decode(texts: pd.Series) -> pd.Series:
+        return texts.map(html.unescape, na_action="ignore")
+
+    return F.pandas_udf(decode, StringType())(col)
 
 
 def html_headings(df, id_col: str, html_col: str):

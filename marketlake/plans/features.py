@@ -44,13 +44,14 @@ def name_features(df: DataFrame, style: str = "keywords") -> DataFrame:
 def position_features(df: DataFrame, polar: bool = False) -> DataFrame:
     """Distances to the centroid of all listings; a missing coordinate counts as the centroid."""
     centre = global_mean(df, ["latitude", "longitude"]).select(F.struct("latitude", "longitude")).scalar()
-    clat, clon = centre["latitude"], centre["longitude"]
-    lat, lon = F.coalesce("latitude", clat), F.coalesce("longitude", clon)
+    df = df.withColumns({"_clat": centre["latitude"], "_clon": centre["longitude"]})
+    df = df.withColumns({"_lat": F.coalesce("latitude", "_clat"), "_lon": F.coalesce("longitude", "_clon")})
+    position = ("_lat", "_lon", "_clat", "_clon")
     out = df.withColumns({
-        "dist_centroid_haversine": haversine(lat, lon, clat, clon),
-        "dist_centroid_euclidean": euclid_deg(lat, lon, clat, clon),
+        "dist_centroid_haversine": haversine(*position),
+        "dist_centroid_euclidean": euclid_deg(*position),
     })
-    return out.select("*", *polar_offsets(lat, lon, clat, clon)) if polar else out
+    return (out.select("*", *polar_offsets(*position)) if polar else out).drop(*position)
 
 
 def activity_features(df: DataFrame) -> DataFrame:

@@ -17,7 +17,8 @@ def write_silver(df: DataFrame, path: str, partition: str | None = "city", order
     keys = ([partition] if partition else []) + list(order or [])
     out = df
     if keys:
-        spread = {"_hash": F.xxhash64(*df.columns), "_copy": F.monotonically_increasing_id()}
+        hashable = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+        spread = {"_hash": F.xxhash64(*hashable), "_copy": F.monotonically_increasing_id()}
         sort = [F.col(c).asc_nulls_last() for c in keys]
         ranged = df.withColumns(spread).repartitionByRange(*sort, *spread)
         out = ranged.sortWithinPartitions(*sort).drop(*spread)
