@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import operator
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -172,10 +169,6 @@ def one_hot(df: DataFrame, col: str, drop_first: bool = True, max_levels: int =
     return df.select(*[c for c in df.columns if c != col], *flags)
 
 
-def row_sum(cols: list[Column]) -> Column:
-    return functools.reduce(operator.add, cols, F.lit(0))
-
-
 def to_currency(df: DataFrame, rates: DataFrame, price: str = "price", on: str = "currency", rate_col: str = "rate",
                 name: str = "price_converted") -> DataFrame:
     """Price times the rate of its currency (or market and date); without a rate the result is null.

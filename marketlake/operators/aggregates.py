@@ -7,11 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlake.functions.exact import cents, mean_cents, mean_exact, percent, sum_money
-from marketlake.functions.scalars import rate, sum_if
+from marketlake.functions.scalars import rate, sum_if  # noqa: F401  (part of this module for its users)
 from marketlake.session import stage
 
-__all__ = ["rate", "sum_if"]
-
 
 def _n() -> Column:
     return F.count(F.lit(1))
@@ -143,12 +141,8 @@ def centroids(df: DataFrame, keys: list[str], lat: str = "latitude", lon: str =
     return points.groupBy(*keys).agg(mean_exact(lat).alias("centroid_lat"), mean_exact(lon).alias("centroid_lon"))
 
 
-def global_mean(df: DataFrame, cols: list[str], zero_is_null: bool = False, fill_first: bool = False) -> DataFrame:
-    """One row with the mean of every column.
-
-    ``zero_is_null`` leaves zeros out. ``fill_first`` divides by all rows after filling the gaps with the mean,
-    which gives the same number; it is accepted for completeness.
-    """
+def global_mean(df: DataFrame, cols: list[str], zero_is_null: bool = False) -> DataFrame:
+    """One row with the mean of every column; ``zero_is_null`` leaves zeros out."""
     value = (lambda c: F.when(F.col(c) != 0, F.col(c))) if zero_is_null else F.col
     return df.agg(*[mean_exact(value(c)).alias(c) for c in cols])
 

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import functools
 import math
+from collections.abc import Callable
 
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.operators.keys import distributed_key
@@ -19,10 +20,14 @@ from marketlake.session import stage
 PREDICTION = "prediction"
 
 
+def _digest(key: str, seed: int) -> Column:
+    """A hash of key and seed that every engine can repeat."""
+    return F.md5(F.concat_ws("-", F.col(key).cast("string"), F.lit(str(seed))))
+
+
 def assign_folds(df: DataFrame, key: str, k: int = 5, seed: int = 42) -> DataFrame:
     """Add ``fold`` 0..k-1 from a hash of the key and the seed: no shuffle, the same on every run."""
-    digest = F.md5(F.concat_ws("-", F.col(key).cast("string"), F.lit(str(seed))))
-    number = F.conv(F.substring(digest, 1, 12), 16, 10).cast("bigint")
+    number = F.conv(F.substring(_digest(key, seed), 1, 12), 16, 10).cast("bigint")
     return df.withColumn("fold", F.pmod(number, F.lit(k)).cast("int"))
 
 
@@ -95,15 +100,19 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     return model.transform(df).drop("features")
 
 
-def cross_validate(df: DataFrame, features: list[str], estimator: Estimator, folds: str = "fold", k: int = 5) -> DataFrame:
+def cross_validate(df: DataFrame, features: list[str], estimator: Estimator | Callable[[DataFrame], Estimator],
+                   folds: str = "fold", k: int = 5) -> DataFrame:
     """Out-of-fold predictions: every row is scored by the model that did not see its fold.
 
-    The table is staged once; each of the k fits is a distributed job over it.
+    ``estimator`` may be a function of the training rows, as :func:`ridge` needs it. The table is staged once;
+    each of the k fits is a distributed job over it.
     """
     df = stage(df, "cv")
-    parts = [
-        predict(fit(df.where(F.col(folds) != i), features, estimator), df.where(F.col(folds) == i)) for i in range(k)
-    ]
+    parts = []
+    for i in range(k):
+        train = df.where(F.col(folds) != i)
+        unfitted = estimator if isinstance(estimator, Estimator) else estimator(train)
+        parts.append(predict(fit(train, features, unfitted), df.where(F.col(folds) == i)))
     return functools.reduce(lambda a, b: a.unionByName(b), parts)
 
 
@@ -155,7 +164,7 @@ def permutation_impact(model: PipelineModel, df: DataFrame, features: list[str],
     """
     inspect = inspect or features
     rows = distributed_key(df.select(key, target, *features), [key], "_i")
-    donors = df.select(F.xxhash64(F.col(key), F.lit(seed)).alias("_h"), key, *[F.col(f).alias(f"_d_{f}") for f in inspect])
+    donors = df.select(_digest(key, seed).alias("_h"), key, *[F.col(f).alias(f"_d_{f}") for f in inspect])
     donors = distributed_key(donors, ["_h", key], "_i").drop("_h", key)
     pairs = stage(rows.join(donors, "_i"), "permutation")
     which = F.explode(F.array(F.lit(-1), *[F.lit(i) for i in range(len(inspect))])).alias("_f")

@@ -69,16 +69,6 @@ def dim_neighbourhoods(listings: DataFrame, by: str | None = None) -> DataFrame:
     return surrogate_key(areas, ["neighbourhood", "neighbourhood_group"], "neighbourhood_key", scope)
 
 
-def _on(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]], scope: list[str]):
-    """Equi-join condition; the city is compared null-safe."""
-    condition = F.lit(True)
-    for a, b in pairs:
-        condition = condition & (left[a] == right[b])
-    for c in scope:
-        condition = condition & left[c].eqNullSafe(right[c])
-    return condition
-
-
 def listing_lookup(listings: DataFrame, reviews: DataFrame, dims: dict[str, DataFrame], by: str | None = None,
                    strict: bool = False) -> DataFrame:
     """What a calendar row needs to know about its listing: keys, fallback price and review count.

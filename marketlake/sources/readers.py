@@ -67,7 +67,7 @@ def read_parquet(spark: SparkSession, path, columns: list[str] | None = None) ->
 def latest_partitions(spark: SparkSession, root: str, filename: str, cities: list[str] | None = None) -> DataFrame:
     """Newest (city, year, month) per city that holds ``filename``. Lists the files, reads none."""
     files = spark.read.format("binaryFile").option("basePath", root).option("pathGlobFilter", filename)
-    found = files.option("recursiveFileLookup", False).load(root).select("city", "year", "month").distinct()
+    found = files.load(root).select("city", "year", "month").distinct()
     if cities is not None:
         found = found.where(F.lower("city").isin(*[c.lower() for c in cities]))
     return found.groupBy("city").agg(F.max(F.struct("year", "month")).alias("p")).select("city", "p.year", "p.month")
@@ -99,9 +99,8 @@ def read_bronze(spark: SparkSession, root: str, filename: str, cities: list[str]
 def read_manifest(spark: SparkSession, root, multi_line: bool = True) -> DataFrame:
     """Manifest documents flattened to one row per entry, with the partition columns of their path."""
     docs = spark.read.schema(MANIFEST_SCHEMA).option("multiLine", multi_line).option("basePath", root)
-    partitions = [c for c in ("city", "year", "month")]
     df = docs.option("pathGlobFilter", "*.json").json(root)
-    have = [c for c in partitions if c in df.columns]
+    have = [c for c in ("city", "year", "month") if c in df.columns]
     return df.select(*have, "generated_at", F.explode("entries").alias("e")).select(*have, "generated_at", "e.*")
 
 

@@ -195,7 +195,7 @@ def _metrics_sql(by: str) -> str:
     return f"""select {by} fold, avg(abs({_ERR})) mae, sqrt(avg({_ERR} ** 2)) rmse,
                       case when min(abs(l_extendedprice)) > 0 then avg(abs({_ERR} / l_extendedprice)) * 100 end mape,
                       1 - sum({_ERR} ** 2) / (var_pop(l_extendedprice) * count(*)) r2
-               from lineitem group by 1"""
+               from lineitem where l_extendedprice is not null and l_quantity is not null group by 1"""
 
 
 def _predicted(t):
@@ -225,7 +225,7 @@ def a23(t):
 @query(
     "a24_pearson",
     """select n, round(r, 6) r, round(r * sqrt(n - 2) / sqrt(1 - r * r), 4) t from
-         (select count(*) n, corr(l_quantity, l_extendedprice) r from lineitem)""",
+         (select count(*) n, corr(l_quantity, l_extendedprice) r from lineitem where l_quantity is not null and l_extendedprice is not null)""",
 )
 def a24(t):
     return rounded(rounded(S.pearson(t.lineitem, "l_quantity", "l_extendedprice"), 6, "r"), 4, "t")
@@ -233,7 +233,7 @@ def a24(t):
 
 @query(
     "a25_two_sample",
-    """with g as (select count(*) filter (l_returnflag = 'A') n_a, count(*) filter (l_returnflag = 'R') n_b,
+    """with g as (select count(l_extendedprice) filter (l_returnflag = 'A') n_a, count(l_extendedprice) filter (l_returnflag = 'R') n_b,
                          avg(l_extendedprice) filter (l_returnflag = 'A') mean_a, avg(l_extendedprice) filter (l_returnflag = 'R') mean_b,
                          var_samp(l_extendedprice) filter (l_returnflag = 'A') var_a, var_samp(l_extendedprice) filter (l_returnflag = 'R') var_b from lineitem)
        select n_a, n_b, round(mean_a, 4) mean_a, round(mean_b, 4) mean_b, round(mean_a - mean_b, 4) difference,

@@ -16,7 +16,7 @@ from marketlake.plans import gold
 from marketlake.plans.marts import host_performance
 from marketlake.session import scratch_path, stage
 from marketlake.sources.writers import write_sorted
-from marketlake.verification.fixtures import days_as_text, widen, with_ctes
+from marketlake.verification.fixtures import days_as_text, with_ctes
 from marketlake.verification.registry import query
 
 
@@ -104,7 +104,7 @@ def j07(t):
 
 @query(
     "j08_skip_known",
-    """select doc_id, sha256(text) sha256, sha256(text) in (select sha256(text) from documents where lang = 'fr') known from documents""",
+    """select doc_id, sha256(text) sha256, coalesce(sha256(text) in (select sha256(text) from documents where lang = 'fr' and text is not null), false) known from documents""",
 )
 def j08(t):
     files = t.documents.select("doc_id", F.sha2("text", 256).alias("sha256"))
@@ -242,7 +242,7 @@ def o03(t):
     with_ctes("fx_listing_raw", "fx_calendar", "select * from (select 1)").replace("select * from (select 1)", "")
     + ", " + _NULL_RATES
     + """select "table", count(*) over (partition by "table") n_issues, "column" from rates where null_rate > 0.01
-         qualify row_number() over (partition by "table" order by case "column" when 'price' then 3 when 'host_is_superhost' then 4
+         qualify row_number() over (partition by "table" order by case "column" when 'id' then 1 when 'name' then 2 when 'price' then 3 when 'host_is_superhost' then 4
                    when 'latitude' then 5 else 7 end) <= 3""",
 )
 def o04(t):

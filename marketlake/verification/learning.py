@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import functions as F
 
 from marketlake.operators import ml as M
+from marketlake.operators.project import drop_null_rows
 from marketlake.plans.features import feature_set
 from marketlake.session import scratch_path, stage
 from marketlake.verification.fixtures import rounded, with_ctes
@@ -48,29 +47,59 @@ def m03(t):
     return M.predict(model, df).select("listing_id", TARGET, "prediction")
 
 
+def _lines(t):
+    """Quantity as the feature, price as the target; a row without them cannot train a model."""
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
+    return drop_null_rows(lines, ["l_quantity", "l_extendedprice"])
+
+
+_LINES_SQL = "(select * from lineitem where l_quantity is not null and l_extendedprice is not null)"
+
+
 @query(
     "m04_fit_ridge",
-    """with c as (select avg(l_quantity) mx, avg(l_extendedprice) my from lineitem),
-            s as (select sum((l_quantity - mx) * (l_extendedprice - my)) sxy, sum((l_quantity - mx) ** 2) sxx from lineitem, c)
+    f"""with c as (select avg(l_quantity) mx, avg(l_extendedprice) my from {_LINES_SQL}),
+            s as (select sum((l_quantity - mx) * (l_extendedprice - my)) sxy, sum((l_quantity - mx) ** 2) sxx from {_LINES_SQL}, c)
        select 'l_quantity' feature, round(sxy / (sxx + 1000.0), 2) importance from s""",
 )
 def m04(t):
-    df = t.lineitem.select("l_quantity", "l_extendedprice")
+    df = _lines(t)
     model = M.fit_ridge(df, ["l_quantity"], "l_extendedprice", alpha=1000.0)
     return M.importances(model, df, ["l_quantity"]).select("feature", F.round("importance", 2).alias("importance"))
 
 
-@query("m05_cross_validate")
+_MOMENTS = "count(*) n, sum(l_quantity) sq, sum(l_extendedprice) sy, sum(l_quantity * l_quantity) sqq, sum(l_quantity * l_extendedprice) sqy"
+_SLOPE = "(sqy - sq * sy / n) / (sqq - sq * sq / n + {})"
+
+
+@query(
+    "m05_cross_validate",
+    f"""with lines as (select *, {_fold_sql('l_orderkey')} fold from {_LINES_SQL}),
+            parts as (select fold, {_MOMENTS} from lines group by 1),
+            train as (select a.fold, sum(b.n) n, sum(b.sq) sq, sum(b.sy) sy, sum(b.sqq) sqq, sum(b.sqy) sqy
+                      from parts a join parts b on a.fold <> b.fold group by 1),
+            models as (select fold, {_SLOPE.format(100.0)} slope, sy / n my, sq / n mq from train)
+       select l_orderkey, l_linenumber, fold, round(my + slope * (l_quantity - mq), 1) prediction from lines join models using (fold)""",
+)
 def m05(t):
-    df = _training(t)
-    pred = M.cross_validate(df, FEATURES, M.ridge(df, TARGET, 1.0))
-    return pred.select("listing_id", "fold", TARGET, "prediction")
+    folded = M.assign_folds(_lines(t), "l_orderkey")
+    pred = M.cross_validate(folded, ["l_quantity"], lambda train: M.ridge(train, "l_extendedprice", 100.0))
+    return rounded(pred, 1, "prediction").select("l_orderkey", "l_linenumber", F.col("fold").cast("bigint").alias("fold"), "prediction")
+
 
+_MODEL = f"model as (select {_SLOPE.format(100.0)} slope, sy / n my, sq / n mq from (select {_MOMENTS} from {_LINES_SQL}))"
 
-@query("m06_fit_full")
+
+@query(
+    "m06_fit_full",
+    f"""with {_MODEL}, scored as (select l_extendedprice y, my + slope * (l_quantity - mq) p from {_LINES_SQL}, model)
+       select round(avg(abs(y - p)), 3) mae, round(sqrt(avg((y - p) * (y - p))), 3) rmse,
+              round(avg(abs((y - p) / y)) * 100, 3) mape, round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 6) r2 from scored""",
+)
 def m06(t):
-    df = _training(t)
-    return M.fit_full(df, FEATURES, M.forest(TARGET, {"n_estimators": 5, "max_depth": 4}), TARGET)[1]
+    df = _lines(t)
+    metrics = M.fit_full(df, ["l_quantity"], M.ridge(df, "l_extendedprice", 100.0), "l_extendedprice")[1]
+    return rounded(rounded(metrics, 3, "mae", "rmse", "mape"), 6, "r2")
 
 
 @query("m07_importances")
@@ -120,16 +149,25 @@ def m10(t):
     return rounded(table, 2, "residual")
 
 
-@query("m11_permutation_impact")
+@query(
+    "m11_permutation_impact",
+    """with own as (select row_number() over (order by p_partkey) i, p_size x, p_retailprice y from part),
+            donor as (select row_number() over (order by md5(p_partkey::varchar || '-42'), p_partkey) i, p_size d from part),
+            m as (select (sum(x * y) - sum(x) * sum(y) / count(*)) / (sum(x * x) - sum(x) * sum(x) / count(*) + 100.0) slope, avg(x) mx, avg(y) my from own),
+            e as (select avg(abs(y - my - slope * (x - mx))) base, avg(abs(y - my - slope * (d - mx))) moved from own join donor using (i), m)
+       select 'p_size' feature, round(moved, 5) mae, round(moved - base, 5) increase from e""",
+)
 def m11(t):
-    df = _training(t)
-    model = M.fit_ridge(df, FEATURES, TARGET, 1.0)
-    return M.permutation_impact(model, df, FEATURES, TARGET, "listing_id")
+    model = M.fit_ridge(t.part, ["p_size"], "p_retailprice", 100.0)
+    return rounded(M.permutation_impact(model, t.part, ["p_size"], "p_retailprice", "p_partkey"), 5, "mae", "increase")
 
 
-@query("m12_save_load_model")
+@query(
+    "m12_save_load_model",
+    f"with {_MODEL} select l_orderkey, l_linenumber, round(my + slope * (l_quantity - mq), 1) prediction from {_LINES_SQL}, model",
+)
 def m12(t):
-    df = _training(t)
+    df = _lines(t)
     path = scratch_path(t.spark, "m12")
-    M.save_model(M.fit_ridge(df, FEATURES, TARGET, 1.0), path)
-    return M.predict(M.load_model(path), df).select("listing_id", TARGET, "prediction")
+    M.save_model(M.fit_ridge(df, ["l_quantity"], "l_extendedprice", 100.0), path)
+    return rounded(M.predict(M.load_model(path), df), 1, "prediction").select("l_orderkey", "l_linenumber", "prediction")

@@ -164,7 +164,7 @@ def p21(t):
 
 @query(
     "p22_flag_outliers",
-    """select event_id, abs(value - m) > 5 * s value_outlier, abs(value - gm) > 3 * gs by_type
+    """select event_id, coalesce(abs(value - m) > 5 * s, false) value_outlier, coalesce(abs(value - gm) > 3 * gs, false) by_type
        from events join (select event_type et, avg(value) gm, stddev_samp(value) gs from events group by 1) on et = event_type,
             (select avg(value) m, stddev_samp(value) s from events)""",
 )
@@ -181,7 +181,8 @@ def p23(t):
 
 @query(
     "p24_clip",
-    """select c_custkey, greatest(c_acctbal, 0) low, least(greatest(c_acctbal / 10000, 0), 1) unit from customer""",
+    """select c_custkey, case when c_acctbal is not null then greatest(c_acctbal, 0) end low,
+              case when c_acctbal is not null then least(greatest(c_acctbal / 10000, 0), 1) end unit from customer""",
 )
 def p24(t):
     return t.customer.select(

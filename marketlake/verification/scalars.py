@@ -37,7 +37,7 @@ def f03(t):
 @query(
     "f04_synonym_flags",
     "select doc_id, "
-    + ", ".join("(" + " or ".join(f"contains(lower(text), '{s}')" for s in g) + f")::int {n}" for n, g in GROUPS.items())
+    + ", ".join("(" + " or ".join(f"contains(lower(coalesce(text, '')), '{s}')" for s in g) + f")::int {n}" for n, g in GROUPS.items())
     + " from documents",
 )
 def f04(t):
@@ -52,8 +52,8 @@ _EDGE = r"[^\p{L}\p{N}_]"
     "f05_word_flags",
     "select doc_id, "
     + ", ".join(
-        f"contains(lower(text), '{w}')::int kw_{w.replace(' ', '_')}" if " " in w
-        else f"regexp_matches(lower(text), '(^|{_EDGE}){w}($|{_EDGE})')::int kw_{w}"
+        f"contains(lower(coalesce(text, '')), '{w}')::int kw_{w.replace(' ', '_')}" if " " in w
+        else f"regexp_matches(lower(coalesce(text, '')), '(^|{_EDGE}){w}($|{_EDGE})')::int kw_{w}"
         for w in STANDALONE
     )
     + " from documents",
@@ -64,19 +64,19 @@ def f05(t):
 
 @query(
     "f06_flag_count",
-    "select doc_id, " + " + ".join(f"contains(lower(text), '{w}')::int" for w in WORDS) + " kw_count from documents",
+    "select doc_id, " + " + ".join(f"contains(lower(coalesce(text, '')), '{w}')::int" for w in WORDS) + " kw_count from documents",
 )
 def f06(t):
     flagged = t.documents.select("doc_id", *X.keyword_flags("text", WORDS))
     return flagged.select("doc_id", X.flag_count([X.flag_name(w) for w in WORDS]).alias("kw_count"))
 
 
-@query("f07_char_len", "select doc_id, length(text) len from documents")
+@query("f07_char_len", "select doc_id, length(coalesce(text, '')) len from documents")
 def f07(t):
     return t.documents.select("doc_id", X.char_len("text").alias("len"))
 
 
-@query("f08_word_count", "select doc_id, len(list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '')) words from documents")
+@query("f08_word_count", "select doc_id, len(list_filter(regexp_split_to_array(coalesce(text, ''), '\\s+'), lambda w: w <> '')) words from documents")
 def f08(t):
     return t.documents.select("doc_id", X.word_count("text").alias("words"))
 
@@ -127,7 +127,7 @@ def f16(t):
 
 @query(
     "f17_round2",
-    """select l_suppkey, ((2 * sum(cast(round(l_extendedprice * 100) as bigint)) + count(*)) // (2 * count(*)))::bigint / 100.0::double avg2
+    """select l_suppkey, ((2 * sum(cast(round(l_extendedprice * 100) as bigint)) + count(l_extendedprice)) // (2 * count(l_extendedprice)))::bigint / 100.0::double avg2
        from lineitem group by 1""",
 )
 def f17(t):
@@ -203,7 +203,7 @@ def f24(t):
     return t.customer.select("c_custkey", S.inf_to_null(value).alias("x"))
 
 
-@query("f25_log1p_clipped", "select c_custkey, round(ln(1 + greatest(c_acctbal, 0)), 9) l from customer")
+@query("f25_log1p_clipped", "select c_custkey, case when c_acctbal is not null then round(ln(1 + greatest(c_acctbal, 0)), 9) end l from customer")
 def f25(t):
     return t.customer.select("c_custkey", F.round(S.log1p_clipped("c_acctbal"), 9).alias("l"))
 

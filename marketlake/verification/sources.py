@@ -105,7 +105,7 @@ def _known(t):
 @query(
     "s07_new_files",
     """select sha256(text) sha256, min(doc_id) path, min_by(lang, doc_id) city, min_by(octet_length(encode(text)), doc_id) bytes
-       from documents where sha256(text) not in (select sha256(text) from documents where lang = 'fr') group by 1""",
+       from documents where coalesce(sha256(text) not in (select sha256(text) from documents where lang = 'fr' and text is not null), true) group by 1""",
 )
 def s07(t):
     hashed = landing.hash_files(_document_files(t))
@@ -114,8 +114,8 @@ def s07(t):
 
 _CLASSIFIED = """
 files as (select doc_id, lang city, sha256(text) sha256, octet_length(encode(text)) bytes from documents),
-known as (select distinct sha256(text) sha256 from documents where lang = 'fr'),
-fresh as (select min(doc_id) doc_id from files where sha256 not in (select sha256 from known) group by sha256),
+known as (select distinct sha256(text) sha256 from documents where lang = 'fr' and text is not null),
+fresh as (select min(doc_id) doc_id from files where coalesce(sha256 not in (select sha256 from known), true) group by sha256),
 classified as (select f.*, case when n.doc_id is null then 'DUPLICATE' else 'NEW' end status
                from files f left join fresh n on n.doc_id = f.doc_id)
 """
