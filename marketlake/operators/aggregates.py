@@ -80,8 +80,9 @@ def price_summary(df: DataFrame, keys: list[str], price: str, sums: dict[str, Co
 
     Median and distinct count next to each other would pass per-group maps through every step of Spark's
     distinct plan. Here equal prices and equal items are counted first, by hash aggregation on
-    (keys, price or item), so a hot group is spread over its prices and items; a window over the distinct prices
-    of a group then finds the middle, and the last group-by reuses the window's partitioning.
+    (keys, price or item), so a hot group is spread over its prices and items. The items of a group then fold
+    into one row, before they are shuffled again; a window over the distinct prices of a group finds the middle,
+    and the last group-by reuses the window's partitioning.
     """
     maxima = maxima or {}
     v_type = df.schema[price].dataType
@@ -96,8 +97,10 @@ def price_summary(df: DataFrame, keys: list[str], price: str, sums: dict[str, Co
     rows = df.select(*keys, F.inline(F.array(*kinds)))
     totals = [*[F.sum(s).alias(s) for s in sums], *[F.max(m).alias(m) for m in maxima]]
     counted = rows.groupBy(*keys, "_v", "_item").agg(F.sum("_n").alias("_n"), *totals)
+    if item is not None:
+        counted = counted.groupBy(*keys, "_v").agg(F.sum("_n").alias("_n"), *totals, F.count("_item").alias("_items"))
     n_priced = F.when(F.col("_v").isNotNull(), F.col("_n")).otherwise(F.lit(0).cast("bigint"))
-    group = Window.partitionBy(*keys).orderBy("_v", "_item")
+    group = Window.partitionBy(*keys).orderBy("_v")
     placed = counted.withColumns({
         "_w": n_priced,
         "_before": F.coalesce(F.sum(n_priced).over(group.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
@@ -117,7 +120,7 @@ def price_summary(df: DataFrame, keys: list[str], price: str, sums: dict[str, Co
         F.max("_v").alias("max_price"),
         _between(low, high, 0.5).alias("median_price"),
         *totals,
-        *([F.count("_item").alias("items")] if item is not None else []),
+        *([F.sum("_items").alias("items")] if item is not None else []),
     )
 
 
