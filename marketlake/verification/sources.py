@@ -144,7 +144,7 @@ def _write_manifest(t, tag):
     "s08_manifest_append",
     f"""with {_CLASSIFIED}
         select city, case when status = 'NEW' then '2025-10-01T00:00:00' else '2025-09-30T00:00:00' end generated_at,
-               count(*) entries, sum(bytes) bytes from classified group by 1, 2""",
+               count(*) entries, sum(bytes)::bigint bytes from classified group by 1, 2""",
 )
 def s08(t):
     path = _write_manifest(t, "s08")
