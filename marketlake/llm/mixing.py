@@ -24,8 +24,8 @@ from marketlake.llm.common import GAP, text_of
 from marketlake.session import stage
 
 FLATTEN = 0.9
-TOLERANCE = 1e-4
-ROUNDS = 50
+TOLERANCE = 1e-3
+ROUNDS = 40
 _DIMS = ("__source", "__lang", "__topic")
 
 

@@ -2,7 +2,8 @@
 
 Every document gets measures of its whole text, every rule votes good (1), bad (-1) or nothing (0). The votes of all
 documents are counted by pattern (at most 3 to the number of rules), and expectation-maximisation over these counts
-estimates the share of good documents and how often each rule is right. A document is kept if its posterior
+estimates the share of good documents and, for each rule, how often
+its votes are right on good and on bad documents. A document is kept if its posterior
 probability of being good reaches the threshold and it does not fail the two base rules.
 
 Defined results: a null text counts as empty, an empty text has no words and fails the base rules; every row of the
@@ -17,12 +18,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.llm.common import NO_WORD, text_of, words_of
+from marketlake.session import stage
 
 WINDOW = 5
 ROUNDS = 30
 THRESHOLD = 0.5
-#: A rule is taken to be right more often than not, and never always.
-LEAST_RIGHT, MOST_RIGHT = 0.55, 0.98
+#: Starting values: how often a rule's vote is bad on good and on bad documents, and the share of documents that stand for them.
+BAD_ON_GOOD, BAD_ON_BAD, SMOOTH = 0.03, 0.6, 0.01
 
 #: Frequent function words of the languages of the corpus (fixed values).
 FUNCTION_WORDS = (
@@ -94,12 +96,11 @@ def votes(m: Column) -> Column:
         _vote((m["n_lines"] >= 4) & (10 * m["n_dup_lines"] > 4 * m["n_lines"]), (m["n_lines"] >= 2) & (m["n_dup_lines"] == 0)),
         _vote(some & (100 * m["n_upper"] > 30 * m["word_chars"]), 100 * m["n_upper"] <= 12 * m["word_chars"]),
         _vote(some & (100 * m["n_function"] < n), 100 * m["n_function"] >= 8 * n),
-        _vote(n < 10, n >= 50),
     ]
     return F.array(*[r.cast("int") for r in rules])
 
 
-N_RULES = 7
+N_RULES = 6
 
 
 def _code(v: Column) -> Column:
@@ -107,34 +108,55 @@ def _code(v: Column) -> Column:
     return F.aggregate(v, F.lit(0), lambda a, x: a * 3 + x + 1)
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def _posterior(params: Column, v: Column) -> Column:
-    """Probability of good for the votes; ``params`` holds the prior and then the accuracy of each rule."""
-    logit = lambda p: F.log(p / (1 - p))
-    score = F.aggregate(F.transform(v, lambda x, r: x * logit(F.get(params, r + 1))), F.lit(0.0), lambda a, x: a + x)
-    return 1 / (1 + F.exp(-(score + logit(F.get(params, F.lit(0))))))
+    """Probability of good for the votes; an abstention is no evidence.
+
+    ``params``: the share of good documents, then by rule how often its vote is bad on good, and on bad documents.
+    """
+    g = lambda r: F.get(params, r + 1)
+    b = lambda r: F.get(params, r + 1 + N_RULES)
+    evidence = lambda x, r: F.when(x == -1, F.log(g(r) / b(r))).when(x == 1, F.log((1 - g(r)) / (1 - b(r)))).otherwise(0.0)
+    score = F.aggregate(F.transform(v, evidence), F.lit(0.0), lambda a, x: a + x)
+    prior = F.get(params, F.lit(0))
+    return 1 / (1 + F.exp(-(score + F.log(prior / (1 - prior)))))
 
 
 def estimate(patterns: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """Posterior by pattern from ``patterns`` (code, votes, n): one row per code, at most 3 ** N_RULES in all.
 
-    The counts of all patterns fit one row, in which an aggregate over the rounds runs the estimation.
+    The counts of all patterns fit one row, in which an aggregate over the rounds runs the estimation. A share SMOOTH
+    of the documents stands for the starting values, so rules that never vote keep them.
     """
     arr = F.col("__p")
     total = lambda xs: F.aggregate(xs, F.lit(0.0), lambda a, x: a + x)
+    pseudo = SMOOTH * F.col("__n")
+
+    def rates(weights: Column, r: int, start: float) -> Column:
+        bad = total(F.zip_with(arr, weights, lambda x, q: F.when(x["votes"][r] == -1, q).otherwise(0.0)))
+        cast = total(F.zip_with(arr, weights, lambda x, q: F.when(x["votes"][r] != 0, q).otherwise(0.0)))
+        return (bad + pseudo * start) / (cast + pseudo)
 
     def step(params: Column) -> Column:
-        posts = F.transform(arr, lambda x: _posterior(params, x["votes"]))
-        prior = (total(F.zip_with(arr, posts, lambda x, q: x["n"] * q)) + 8) / (total(F.transform(arr, lambda x: x["n"])) + 10)
+        goods = F.transform(arr, lambda x: x["n"] * _posterior(params, x["votes"]))
+
+        def after(good: Column) -> Column:
+            def by_rule(bad: Column) -> Column:
+                prior = F.greatest(F.lit(0.05), F.least(F.lit(0.95), total(good) / F.col("__n")))
+                on_good = [rates(good, r, BAD_ON_GOOD) for r in range(N_RULES)]
+                return F.array(prior, *on_good, *[F.greatest(rates(bad, r, BAD_ON_BAD), on_good[r]) for r in range(N_RULES)])
 
-        def accuracy(r: int) -> Column:
-            right = lambda x, q: x["n"] * F.when(x["votes"][r] == 1, q).when(x["votes"][r] == -1, 1 - q).otherwise(0.0)
-            cast = F.transform(arr, lambda x: x["n"] * F.abs(x["votes"][r]))
-            return F.greatest(F.lit(LEAST_RIGHT), F.least(F.lit(MOST_RIGHT), (total(F.zip_with(arr, posts, right)) + 8) / (total(cast) + 10)))
+            return _let(F.zip_with(arr, good, lambda x, q: x["n"] - q), by_rule)
 
-        return F.array(F.greatest(F.lit(0.05), F.least(F.lit(0.95), prior)), *[accuracy(r) for r in range(N_RULES)])
+        return _let(goods, after)
 
-    start = F.array(F.lit(0.8), *[F.lit(0.8)] * N_RULES)
+    start = F.array(F.lit(0.85), *[F.lit(BAD_ON_GOOD)] * N_RULES, *[F.lit(BAD_ON_BAD)] * N_RULES)
     one = patterns.agg(F.array_sort(F.collect_list(F.struct("code", "votes", F.col("n").cast("double").alias("n")))).alias("__p"))
+    one = one.withColumn("__n", F.aggregate("__p", F.lit(0.0), lambda a, x: a + x["n"]))
     one = one.withColumn("params", F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, lambda p, _: step(p)))
     rows = one.select("params", F.explode("__p").alias("x"))
     return rows.select(F.col("x.code").alias("__code"), _posterior(F.col("params"), F.col("x.votes")).alias("__post"), "params")
@@ -154,8 +176,8 @@ def judge(measured: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def filter_quality(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that pass, with their own columns."""
-    return judge(measure(docs, text), threshold).where("__kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents that pass, with their own columns. Documents and measures are written once, before the votes are counted."""
+    return judge(stage(measure(docs, text), "measured"), threshold).where("__kept").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def summary(measured: DataFrame) -> DataFrame:

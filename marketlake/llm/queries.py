@@ -124,16 +124,16 @@ c2 as (select page_id, html, regexp_replace(regexp_replace(regexp_replace(u, '[?
 c3 as (select page_id, html, lower(regexp_extract(u, '^([^/]*//[^/?]*)', 1)) top, regexp_replace(u, '^[^/]*//[^/?]*', '') rest from c2),
 c4 as (select page_id, html, regexp_replace(regexp_replace(top, '^(http://.*):80$', '\1'), '^(https://.*):443$', '\1') top, rest from c3),
 page as (select page_id, regexp_replace(regexp_replace(top, '^https?://(www\.)?', '') || rest, '/+$', '') url,
-    1700000000 + (page_id * 7919) % 31536000 at, sha256(html) body, octet_length(encode(html))::varchar size from c4),
-day as (select *, strftime(make_timestamp(at * 1000000), '%Y-%m-%d') d, left(body, 16) tag from page),
-response as (select page_id * 3 record_id, url, at, body, size, tag, d from day),
+    1700000000 + (page_id * 7919) % 31536000 as sec, sha256(html) body, octet_length(encode(html))::varchar size from c4),
+day as (select *, strftime(make_timestamp(sec * 1000000), '%Y-%m-%d') d, left(body, 16) tag from page),
+response as (select page_id * 3 record_id, url, sec, body, size, tag, d from day),
 revisit as (
-  select page_id * 3 + 1 record_id, url, at + 3600 at, case when page_id % 7 = 0 then 'gone' else tag end tag, null d, 'max-age=600' cc, '0' len, null age from day
-  union all select page_id * 3 + 2, url, at + 32400, null, case when page_id % 5 = 0 then null else d end, null, null, case when page_id % 5 = 0 then '7' end from day),
+  select page_id * 3 + 1 record_id, url, sec + 3600 as sec, case when page_id % 7 = 0 then 'gone' else tag end tag, null d, 'max-age=600' cc, '0' len, null age from day
+  union all select page_id * 3 + 2, url, sec + 32400, null, case when page_id % 5 = 0 then null else d end, null, null, case when page_id % 5 = 0 then '7' end from day),
 ranked as (
   select v.*, r.record_id response_id, r.tag r_tag, r.d r_d, r.body, r.size,
-    row_number() over (partition by v.record_id order by r.at desc nulls last, r.record_id desc) k
-  from revisit v left join response r on r.url = v.url and r.at < v.at),
+    row_number() over (partition by v.record_id order by r.sec desc nulls last, r.record_id desc) k
+  from revisit v left join response r on r.url = v.url and r.sec < v.sec),
 judged as (
   select *, case when response_id is null then null when tag is not null then case when tag = r_tag then 'etag' else 'mismatch' end
     when d is not null then case when d = r_d then 'last_modified' else 'mismatch' end else 'none' end checked
