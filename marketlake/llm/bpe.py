@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
 #: Pieces and runs kept by a Python worker between batches; beyond it they are forgotten and made again.
-CACHED = 1_000_000
+CACHED = 1_500_000
 
 
 def read_ranks(path: str) -> bytes:
@@ -52,15 +52,17 @@ class Encoder:
     def __init__(self, ranks: bytes, pattern: str):
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, ranks.splitlines())}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
+        self.packed = {rank: rank.to_bytes(4, "little") for rank in self.tokens}
         self.queue = RankQueue(max(self.ranks.values(), default=0) + 1)
         self.find = regex.compile(pattern).findall
-        self.pieces, self.runs = Pieces(self), Runs(self)
+        self.seen = Seen(self)
 
-    def merge(self, piece: bytes) -> list[int]:
+    def merge(self, piece: bytes) -> bytes:
+        """The ids of one piece, as ``encode`` gives them."""
         get = self.ranks.get
         whole = get(piece)
         if whole is not None:
-            return [whole]
+            return self.packed[whole]
         shift, mask, leaf, bit = self.queue.shift, self.queue.mask, self.queue.leaf, self.queue.bit
         n = len(piece)
         after, before = list(range(1, n + 1)), list(range(-1, n))
@@ -120,21 +122,19 @@ class Encoder:
                         summary |= bit[new >> shift]
         out, i = [], 0
         while i < n:
-            out.append(self.ranks[piece[i : after[i]]])
+            out.append(self.packed[self.ranks[piece[i : after[i]]]])
             i = after[i]
-        return out
+        return b"".join(out)
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        if len(self.pieces) > CACHED:
-            self.pieces.clear()
-        if len(self.runs) > CACHED:
-            self.runs.clear()
+        if len(self.seen) > CACHED:
+            self.seen.clear()
         if DOUBLE_GAP.search(text):
-            return b"".join(map(self.pieces.__getitem__, self.find(text)))
+            return b"".join([self.seen.piece(p) for p in self.find(text)])
         # A blank between two other characters always starts a piece: runs between blanks can be encoded on their own.
         first, *rest = text.split(" ")
-        return self.runs[first] + b"".join(map(self.runs.__getitem__, [" " + x for x in rest]))
+        return self.seen[first] + b"".join(map(self.seen.__getitem__, [" " + x for x in rest]))
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -144,22 +144,23 @@ class Encoder:
 DOUBLE_GAP = re.compile(r"^ |\s | \s| $")
 
 
-class Pieces(dict):
+class Seen(dict):
+    """Ids of runs and of pieces that the worker has met; a run of one piece is one entry."""
+
     def __init__(self, encoder: Encoder):
         self.encoder = encoder
 
-    def __missing__(self, piece: str) -> bytes:
-        self[piece] = ids = np.array(self.encoder.merge(piece.encode()), "<u4").tobytes()
+    def piece(self, piece: str) -> bytes:
+        ids = self.get(piece)
+        if ids is None:
+            self[piece] = ids = self.encoder.merge(piece.encode())
         return ids
 
-
-class Runs(dict):
-    def __init__(self, encoder: Encoder):
-        self.encoder = encoder
-
     def __missing__(self, run: str) -> bytes:
-        e = self.encoder
-        self[run] = ids = b"".join(map(e.pieces.__getitem__, e.find(run)))
+        pieces = self.encoder.find(run)
+        if len(pieces) == 1:
+            return self.piece(run)
+        self[run] = ids = b"".join(map(self.piece, pieces))
         return ids
 
 
@@ -196,7 +197,7 @@ def _encode(spark: SparkSession, ranks: bytes, pattern: str):
         own = encoder(shared.value, pattern)
         return pd.Series([own.encode(t or "") for t in texts], dtype=object)
 
-    return run
+    return run.asNondeterministic()  # it is deterministic, but the optimizer must not repeat it for each use of the ids
 
 
 def _decode(spark: SparkSession, ranks: bytes, pattern: str):
