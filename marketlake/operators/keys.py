@@ -23,9 +23,12 @@ def distributed_key(df: DataFrame, order: list[str], name: str, by: list[str] |
     into one task: rows are range-partitioned on the whole sort key, so a hot key is cut by the columns after it.
     Each range keeps its local positions and gets the number of rows before it; that offset table has at most
     one row per range and group edge. Columns not named in ``order`` break ties, so the numbering repeats.
-    The ranges are staged first, because the counts and the rows must see the same cut.
+    The input is staged first: it is evaluated once, and the running number that spreads identical rows is counted
+    over fixed files, so a task that runs again gives the same cut. The ranges are staged because the counts and the
+    rows must see the same cut.
     """
     by = list(by or [])
+    df = stage(df, f"key-input-{name}")
     ties = [c for c in _orderable(df) if c not in by and c not in order]
     sort = _sort([*by, *order, *ties])
     ranged = (

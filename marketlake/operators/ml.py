@@ -18,6 +18,8 @@ from marketlake.operators.stats import argmin, regression_metrics
 from marketlake.session import stage
 
 PREDICTION = "prediction"
+#: The deepest tree that Spark grows; it stands for "no limit".
+DEEPEST = 30
 
 
 def _digest(key: str, seed: int) -> Column:
@@ -41,7 +43,10 @@ def _depth(spec: dict) -> int:
 
 def gbt(target: str, spec: dict, seed: int = 42) -> GBTRegressor:
     """Boosted trees from a spec with n_estimators, learning_rate, max_depth or num_leaves, subsample,
-    colsample_bytree and min_child_samples."""
+    colsample_bytree (here a choice of features for each node) and min_child_samples. Spark's trees know no penalty on
+    leaves, so a spec with ``reg_lambda`` is refused."""
+    if spec.get("reg_lambda"):
+        raise ValueError("reg_lambda has no counterpart here; leave it out or set it to 0")
     return GBTRegressor(
         labelCol=target, seed=seed, maxDepth=_depth(spec),
         maxIter=int(spec.get("n_estimators", 100)), stepSize=float(spec.get("learning_rate", 0.1)),
@@ -54,7 +59,8 @@ def gbt(target: str, spec: dict, seed: int = 42) -> GBTRegressor:
 def forest(target: str, spec: dict, seed: int = 42) -> RandomForestRegressor:
     return RandomForestRegressor(
         labelCol=target, seed=seed, numTrees=int(spec.get("n_estimators", 100)),
-        maxDepth=int(spec["max_depth"]) if spec.get("max_depth") else 10, featureSubsetStrategy="all",
+        maxDepth=int(spec["max_depth"]) if spec.get("max_depth") else DEEPEST, featureSubsetStrategy="all",
+        bootstrap=bool(spec.get("bootstrap", True)),
     )
 
 
@@ -71,12 +77,14 @@ def ridge(df: DataFrame, target: str, alpha: float = 1.0) -> LinearRegression:
 
 
 def build_estimator(df: DataFrame, target: str, model_type: str, spec: dict, seed: int = 42) -> Estimator:
-    """Estimator of a run record's model type; unknown types fall back to a forest."""
+    """Estimator of a run record's model type."""
     if model_type in ("LightGBM", "XGBoost", "GBT"):
         return gbt(target, spec, seed)
     if model_type == "Linear":
         return ridge(df, target, spec.get("alpha", 1.0))
-    return forest(target, spec, seed)
+    if model_type in ("RandomForest", "Forest"):
+        return forest(target, spec, seed)
+    raise ValueError(f"unknown model type {model_type}")
 
 
 def fit(df: DataFrame, features: list[str], estimator: Estimator) -> PipelineModel:
@@ -141,8 +149,8 @@ def append_runs(runs: DataFrame, path: str) -> DataFrame:
     return runs.sparkSession.read.schema(runs.schema).json(path)
 
 
-def residual_table(pred: DataFrame, y: str, yhat: str = PREDICTION, cap: float | None = 1000, keep: list[str] | None = None) -> DataFrame:
-    """Truth, prediction and residual of rows below the cap, the data of the residual charts."""
+def residual_table(pred: DataFrame, y: str, yhat: str = PREDICTION, cap: float | None = None, keep: list[str] | None = None) -> DataFrame:
+    """Truth, prediction and residual, the data of the residual charts; of all rows, or of those below a cap."""
     rows = pred if cap is None else pred.where(F.col(y) < cap)
     return rows.select(*(keep or []), F.col(y).alias("actual"), F.col(yhat).alias("predicted"), (F.col(y) - F.col(yhat)).alias("residual"))
 

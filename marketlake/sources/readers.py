@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,32 +76,79 @@ def latest_partitions(spark: SparkSession, root: str, filename: str, cities: lis
 
 
 def read_bronze(spark: SparkSession, root: str, filename: str, cities: list[str] | None = None, latest: bool = True,
-                schema: T.StructType | None = None) -> DataFrame:
+                schema: T.StructType | None = None, multi_line: bool = True) -> DataFrame:
     """A raw file of many cities under ``root/city=/year=/month=/filename`` with its partition columns.
 
-    ``filename`` may be a glob. With ``latest`` only the newest month of each city is read. The choice becomes
-    a predicate on partition columns, one term per city directory, so other months are never opened.
+    ``filename`` may be a glob. With ``latest`` only the newest month of each city is read; other months are never
+    opened. Every directory is read by its own header and the columns of all are united by name, so cities may order
+    or extend theirs as they like; a column that a city lacks is null. With ``schema`` its columns are taken by name.
+    Turn ``multi_line`` off for plain files without line breaks in quotes, to split large ones.
+
+    File names come to the driver, one for each landed file; the header is read from the first file of a directory.
     """
+    files = spark.read.format("binaryFile").option("basePath", root).option("pathGlobFilter", filename).load(root)
+    found = files.select("path", "city", "year", "month")
+    if cities is not None:
+        found = found.where(F.lower("city").isin(*[c.lower() for c in cities]))
+    if latest:
+        newest = found.groupBy(F.col("city").alias("_c")).agg(F.max(F.struct("year", "month")).alias("_p"))
+        found = found.join(newest, (F.col("city") == F.col("_c")) & (F.struct("year", "month") == F.col("_p")))
     reader = (
         spark.read.option("basePath", root).option("pathGlobFilter", filename).option("header", True)
-        .option("escape", '"').option("multiLine", True).option("inferSchema", False)
+        .option("escape", '"').option("multiLine", multi_line).option("inferSchema", False)
     )
-    df = (reader.schema(schema) if schema is not None else reader).csv(root)
-    if cities is not None:
-        df = df.where(F.lower("city").isin(*[c.lower() for c in cities]))
-    if latest:
-        newest = latest_partitions(spark, root, filename, cities).collect()
-        keep = F.lit(False)
-        for r in newest:
-            keep = keep | ((F.col("city") == r["city"]) & (F.col("year") == r["year"]) & (F.col("month") == r["month"]))
-        df = df.where(keep)
-    return df
-
-
-def read_manifest(spark: SparkSession, root, multi_line: bool = True) -> DataFrame:
-    """Manifest documents flattened to one row per entry, with the partition columns of their path."""
-    docs = spark.read.schema(MANIFEST_SCHEMA).option("multiLine", multi_line).option("basePath", root)
-    df = docs.option("pathGlobFilter", "*.json").json(root)
+    folders: dict[str, list[str]] = {}
+    for r in found.select("path").orderBy("path").collect():
+        folders.setdefault(r["path"].rsplit("/", 1)[0], []).append(r["path"])
+    parts = [f.name for f in files.schema.fields if f.name in ("city", "year", "month")]
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for paths in folders.values():
+        header = tuple(c for c in reader.csv(paths[0]).columns if c not in parts)
+        by_header.setdefault(header, []).extend(paths)
+    if not by_header:
+        empty = schema or T.StructType()
+        return spark.createDataFrame([], T.StructType([*empty.fields, *[files.schema[c] for c in parts]]))
+    tables = [reader.schema(text_schema(*header)).csv(paths) for header, paths in by_header.items()]
+    df = functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+    if schema is None:
+        return df
+    named = [(F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return df.select(*named, *parts)
+
+
+def _json_documents(spark: SparkSession, root, schema: T.StructType, multi_line: bool, must_have: str, **options) -> DataFrame:
+    """JSON files in one of two layouts; a file in the other one is an error, never a shorter result.
+
+    By default a document per line, as this library writes them. ``multi_line`` is for files that hold a single
+    document or list over many lines.
+    """
+    reader = spark.read.schema(schema).options(mode="FAILFAST", **options)
+    if multi_line:
+        lines = spark.read.options(**options).text(root).select("value", F.col("_metadata.file_path").alias("file"))
+        whole = F.try_parse_json("value").isNotNull() & F.coalesce(F.from_json("value", schema)[must_have].isNotNull(), F.lit(False))
+        many = lines.where(whole).groupBy("file").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("file").limit(1).collect()
+        if many:
+            raise ValueError(f"{many[0]['file']} has a document per line; read it with multi_line=False")
+    return reader.option("multiLine", multi_line).json(root)
+
+
+def _refuse_hidden(spark: SparkSession, root: str, glob: str) -> None:
+    """Spark skips files whose name starts with an underscore; say so instead of returning nothing."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{glob}")
+    hidden = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    if hidden:
+        raise ValueError(f"{hidden[0].getPath()}: Spark skips names that start with '_'; rename it to manifest.json")
+
+
+def read_manifest(spark: SparkSession, root: str, multi_line: bool = False) -> DataFrame:
+    """Manifest documents flattened to one row per entry, with the partition columns of their path.
+
+    By default one document per line, as ``append_manifest`` writes them; ``multi_line`` is for files that are a single
+    indented document. A file in the other layout, and a ``_manifest.json``, raise an error.
+    """
+    for glob in ("_manifest.json", "*/*/*/_manifest.json"):
+        _refuse_hidden(spark, root, glob)
+    df = _json_documents(spark, root, MANIFEST_SCHEMA, multi_line, "entries", basePath=root, pathGlobFilter="*.json")
     have = [c for c in ("city", "year", "month") if c in df.columns]
     return df.select(*have, "generated_at", F.explode("entries").alias("e")).select(*have, "generated_at", "e.*")
 
@@ -109,11 +158,14 @@ def read_dataset(spark: SparkSession, path, schema: T.StructType) -> DataFrame:
     return spark.read.option("header", True).option("escape", '"').schema(schema).csv(path)
 
 
-def read_runs(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Metrics of many experiment runs, one JSON file each; ``NaN`` is read as such. ``file`` names the source."""
+def read_runs(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Metrics of many experiment runs; ``NaN`` is read as such. ``file`` names the source.
+
+    By default one run per line, as ``append_runs`` writes them; ``multi_line`` is for a file per run or a list of runs.
+    """
     schema = T.StructType([T.StructField(c, T.DoubleType()) for c in ("mae", "rmse", "mape", "r2")])
-    reader = spark.read.schema(schema).option("multiLine", multi_line).option("allowNonNumericNumbers", True)
-    return reader.json(path).select("*", F.col("_metadata.file_path").alias("file"))
+    runs = _json_documents(spark, path, schema, multi_line, "mae", allowNonNumericNumbers="true")
+    return runs.select("*", F.col("_metadata.file_path").alias("file"))
 
 
 def read_log_lines(spark: SparkSession, path, charset: str = "UTF-16") -> DataFrame:

@@ -47,6 +47,33 @@ def m03(t):
     return M.predict(model, df).select("listing_id", TARGET, "prediction")
 
 
+_GROUPS = ("case when p_size > 25 then 1 else 0 end", "select p_partkey, round(avg(p_retailprice) over (partition by {0}), 4) prediction from part")
+
+
+def _halves(t):
+    """One 0/1 feature: a tree without sampling predicts the mean of each half."""
+    return t.part.select("p_partkey", "p_retailprice", F.when(F.col("p_size") > 25, 1).otherwise(0).alias("large"))
+
+
+@query("m02_fit_gbt_groups", _GROUPS[1].format(_GROUPS[0]))
+def m02_groups(t):
+    df = _halves(t)
+    model = M.fit_gbt(df, ["large"], "p_retailprice", {"n_estimators": 20, "learning_rate": 0.1, "max_depth": 1})
+    return rounded(M.predict(model, df), 4, "prediction").select("p_partkey", "prediction")
+
+
+@query("m03_fit_forest_groups", _GROUPS[1].format(_GROUPS[0]))
+def m03_groups(t):
+    df = _halves(t)
+    return rounded(M.predict(M.fit_forest(df, ["large"], "p_retailprice", {"n_estimators": 1, "bootstrap": False}), df), 4, "prediction").select("p_partkey", "prediction")
+
+
+@query("m07_importances_groups", "select 'large' feature, 1.0::double importance")
+def m07_groups(t):
+    df = _halves(t)
+    return M.importances(M.fit_forest(df, ["large"], "p_retailprice", {"n_estimators": 1}), df, ["large"])
+
+
 def _lines(t):
     """Quantity as the feature, price as the target; a row without them cannot train a model."""
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")

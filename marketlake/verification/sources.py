@@ -160,7 +160,7 @@ def s08(t):
                0::bigint rows_est, status from classified""",
 )
 def s09(t):
-    rows = readers.read_manifest(t.spark, _write_manifest(t, "s09"), multi_line=False).drop("generated_at")
+    rows = readers.read_manifest(t.spark, _write_manifest(t, "s09")).drop("generated_at")
     return rows.withColumns({"year": F.col("year").cast("bigint"), "month": F.col("month").cast("bigint")})
 
 
@@ -317,7 +317,7 @@ def s21(t):
     )
     runs = runs.withColumns({"mape": F.lit(float("nan")), "r2": F.lit(1.0)})
     runs.write.option("ignoreNullFields", False).partitionBy("run").json(path)
-    read = readers.read_runs(t.spark, f"{path}/run=*/*.json", multi_line=False)
+    read = readers.read_runs(t.spark, f"{path}/run=*/*.json")
     return read.select(
         F.regexp_extract("file", r"run=(\d+)", 1).cast("bigint").alias("run_id"), F.round("mae", 4).alias("mae"),
         F.round("rmse", 4).alias("rmse"), F.isnan("mape").alias("mape_is_nan"),

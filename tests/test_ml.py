@@ -80,7 +80,8 @@ def test_permutation_swaps_values_between_rows(table):
 
 def test_residuals(spark):
     pred = spark.createDataFrame([(10.0, 12.0), (20.0, 14.0), (2000.0, 1.0)], "y double, prediction double")
-    table = M.residual_table(pred, "y")
+    assert sorted(r.residual for r in M.residual_table(pred, "y").collect()) == [-2.0, 6.0, 1999.0]
+    table = M.residual_table(pred, "y", cap=1000)
     assert sorted(r.residual for r in table.collect()) == [-2.0, 6.0]
     assert [tuple(r) for r in M.residual_bins(table, 10).collect()] == [(10.0, 2, 2.0, 4.0)]
 

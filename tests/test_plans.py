@@ -70,6 +70,46 @@ def test_raw_files_round_trip(spark, tmp_path):
     assert readers.read_bronze(spark, str(tmp_path), "reviews.csv.gz", ["paris"]).count() == 0
 
 
+def test_cities_with_different_headers(spark, tmp_path):
+    for city, text in (("a", "id,name,price,extra\n1,x,$10,e\n"), ("b", "id,price,extra,name\n2,$30,f,y\n"), ("c", "name,id\nz,3\n")):
+        folder = tmp_path / f"city={city}" / "year=2025" / "month=1"
+        folder.mkdir(parents=True)
+        (folder / "listings.csv").write_text(text)
+    want = [("1", "x", "$10", "a"), ("2", "y", "$30", "b"), ("3", "z", None, "c")]
+    for schema in (None, readers.text_schema("id", "name", "price")):
+        got = readers.read_bronze(spark, str(tmp_path), "listings.csv", schema=schema, multi_line=False)
+        assert rows(got.select("id", "name", "price", "city")) == want
+
+
+def test_json_layouts_are_not_mixed_up(spark, tmp_path):
+    entry = '{"source_url": "u", "captured_at": "d", "bytes": 1, "sha256": "%s", "rows_est": 0, "status": "NEW"}'
+    lines = tmp_path / "lines"
+    lines.mkdir()
+    (lines / "m.json").write_text("\n".join('{"entries": [%s], "generated_at": "t"}' % (entry % i) for i in range(3)))
+    assert readers.read_manifest(spark, str(lines)).count() == 3
+    with pytest.raises(ValueError):
+        readers.read_manifest(spark, str(lines), multi_line=True)
+    whole = tmp_path / "whole"
+    whole.mkdir()
+    (whole / "m.json").write_text('{\n "entries": [\n %s,\n %s\n ],\n "generated_at": "t"\n}' % (entry % 1, entry % 2))
+    assert readers.read_manifest(spark, str(whole), multi_line=True).count() == 2
+    with pytest.raises(Exception):
+        readers.read_manifest(spark, str(whole)).collect()
+    (whole / "_manifest.json").write_text('{"entries": [], "generated_at": "t"}')
+    with pytest.raises(ValueError):
+        readers.read_manifest(spark, str(whole), multi_line=True)
+
+
+def test_appended_runs_are_all_read(spark):
+    from marketlake.operators import ml
+
+    path = scratch_path(spark, "runs")
+    runs = spark.createDataFrame([(float(i), 1.0, float("nan"), 0.5) for i in range(3)], "mae double, rmse double, mape double, r2 double")
+    for _ in range(2):
+        ml.append_runs(runs, path)
+    assert readers.read_runs(spark, path).count() == 6
+
+
 def test_silver_partition_overwrite(spark):
     path = scratch_path(spark, "silver")
     df = spark.createDataFrame([("A", 1, "x"), ("B", 2, "y")], "city string, listing_id int, v string")
@@ -211,8 +251,8 @@ def test_landing_is_idempotent(spark):
     entries = landing.manifest_entries(classified.withColumns({"year": F.lit(2025), "month": F.lit(1), "source_url": F.col("path")}), "2025-01-01")
     landing.append_manifest(entries, path, "t1")
     landing.append_manifest(entries, path, "t2")
-    assert readers.read_manifest(spark, path, multi_line=False).count() == 8
-    assert landing.new_files(hashed, readers.read_manifest(spark, path, multi_line=False)).isEmpty()
+    assert readers.read_manifest(spark, path).count() == 8
+    assert landing.new_files(hashed, readers.read_manifest(spark, path)).isEmpty()
 
 
 def test_stream_adds_each_content_once(spark, tmp_path):
