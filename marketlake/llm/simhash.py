@@ -7,6 +7,10 @@ their differing bits counted. A posting hands on one edge per fingerprint to the
 pairs. Equal fingerprints are one entry from the start. A posting longer than LONGEST is cut by a fourth shared byte,
 and one that is still longer by one of five blocks of the other 32 bits, of which four differing bits leave one equal.
 
+``drop_similar`` uses the same index to find documents that are alike in their shingles: its fingerprints are made of single
+words, which an edit moves far less than shingles, and the verification compares sketches of the shingle sets (the
+least hash of each of BINS bins, one byte each), which travel with the postings.
+
 Defined results: a null or empty text has fingerprint zero and links like any other; a text of fewer words than a
 shingle is one shingle; repeated rows and null ids are rows like others, an id is the smallest of those that are not
 null; an empty table gives no rows.
@@ -23,7 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
+from pyspark.sql.types import LongType, StructType
 
 from marketlake.llm.common import tasks
 from marketlake.llm.components import components
@@ -32,6 +36,8 @@ from marketlake.session import stage
 BITS = 4
 SHARED = 8 - BITS
 LONGEST = 4096
+BINS = 128
+SIMILAR = 0.8
 
 
 def _triples() -> list[tuple[int, ...]]:
@@ -50,19 +56,25 @@ TRIPLES = _triples()
 BLOCKS = [(0, 7), (7, 7), (14, 6), (20, 6), (26, 6)]
 
 
-def simhash(text: str | None, width: int) -> int:
-    """The fingerprint of a text as a signed 64-bit number."""
+def shingles(text: str | None, width: int) -> list[int]:
+    """The hashes of a text's shingles, repeats included."""
     words = (text or "").encode().lower().split()  # bytes: only A-Z change, only ASCII white space parts
     if not words:
-        return 0
+        return []
     if len(words) < width:
-        hashes = [xxhash.xxh64_intdigest(b" ".join(words), 42)]
-    else:
-        joined = b" ".join(words)
-        ends = np.cumsum([len(w) + 1 for w in words])
-        starts = np.concatenate([[0], ends[:-width]])
-        digest = xxhash.xxh64_intdigest
-        hashes = [digest(joined[a:b], 42) for a, b in zip(starts.tolist(), (ends[width - 1 :] - 1).tolist(), strict=True)]
+        return [xxhash.xxh64_intdigest(b" ".join(words), 42)]
+    joined = b" ".join(words)
+    ends = np.cumsum([len(w) + 1 for w in words])
+    starts = np.concatenate([[0], ends[:-width]])
+    digest = xxhash.xxh64_intdigest
+    return [digest(joined[a:b], 42) for a, b in zip(starts.tolist(), (ends[width - 1 :] - 1).tolist(), strict=True)]
+
+
+def simhash(text: str | None, width: int) -> int:
+    """The fingerprint of a text as a signed 64-bit number."""
+    hashes = shingles(text, width)
+    if not hashes:
+        return 0
     ones = np.zeros(64, np.int64)
     for low in range(0, len(hashes), 1 << 14):
         block = np.array(hashes[low : low + (1 << 14)], "<u8")
@@ -70,6 +82,22 @@ def simhash(text: str | None, width: int) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8")[0])
 
 
+def sketch(text: str | None, width: int) -> bytes:
+    """One byte for the least shingle hash of each bin, zero for an empty bin."""
+    hashes = np.array(shingles(text, width), np.uint64)
+    none = np.iinfo(np.uint64).max
+    least = np.full(BINS, none, np.uint64)
+    np.minimum.at(least, (hashes % np.uint64(BINS)).astype(np.int64), hashes // np.uint64(BINS))
+    return np.where(least == none, 0, 1 + least % np.uint64(255)).astype(np.uint8).tobytes()
+
+
+def alike(one: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """Estimated Jaccard similarity of a sketch with each row of ``many``; sketches of no shingles are alike."""
+    some = ((one | many) != 0).sum(axis=1)
+    same = ((one == many) & (one != 0)).sum(axis=1)
+    return np.where(some == 0, 1.0, same / np.maximum(some, 1))
+
+
 def fingerprint(text: str, width: int) -> Column:
     @F.pandas_udf(LongType())
     def run(texts: pd.Series) -> pd.Series:
@@ -78,6 +106,16 @@ def fingerprint(text: str, width: int) -> Column:
     return run(F.col(text))
 
 
+def _word_print(text: str, width: int) -> Column:
+    """(fp of the single words, sketch of the shingles)."""
+
+    @F.pandas_udf(StructType().add("fp", "long").add("sketch", "binary"))
+    def run(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame({"fp": pd.Series([simhash(t, 1) for t in texts], dtype="int64"), "sketch": pd.Series([sketch(t, width) for t in texts], dtype=object)})
+
+    return run(F.col(text))
+
+
 def as_hex(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
@@ -94,10 +132,10 @@ def _packed(fp: Column, positions) -> Column:
 
 
 def _postings(fps: DataFrame) -> DataFrame:
-    """(k, fp) for each triple; ``k`` holds the triple's number and its bytes."""
+    """``fps`` with a key ``k`` for each triple, which holds the triple's number and its bytes."""
     fp = F.col("fp")
     keys = [F.lit(t << 24).cast("long") + _packed(fp, triple) for t, triple in enumerate(TRIPLES)]
-    return fps.select(F.explode(F.array(*keys)).alias("k"), "fp")
+    return fps.select(F.explode(F.array(*keys)).alias("k"), *fps.columns)
 
 
 def _by_fourth(postings: DataFrame) -> DataFrame:
@@ -108,7 +146,7 @@ def _by_fourth(postings: DataFrame) -> DataFrame:
         keys = F.array(*[F.struct(F.lit(i).alias("p"), _byte(F.col("fp"), i).alias("y")) for i in rest])
         parts.append(F.when(F.shiftright("k", 24) == t, keys))
     rows = postings.withColumn("z", F.explode(F.coalesce(*parts)))
-    return rows.select((F.col("k") * 2048 + F.col("z.p") * 256 + F.col("z.y")).alias("k"), "fp")
+    return rows.select((F.col("k") * 2048 + F.col("z.p") * 256 + F.col("z.y")).alias("k"), *postings.columns[1:])
 
 
 def _by_block(postings: DataFrame) -> DataFrame:
@@ -121,23 +159,26 @@ def _by_block(postings: DataFrame) -> DataFrame:
             same = (F.shiftright("k", 35) == t) & (F.shiftright("k", 8).bitwiseAND(F.lit(7)) == p)
             rows.append(F.when(same, F.array(*cut)))
     out = postings.withColumn("z", F.explode(F.coalesce(*rows)))
-    return out.select((F.col("k") * 1024 + F.col("z.p") * 128 + F.col("z.y")).alias("k"), "fp")
+    return out.select((F.col("k") * 1024 + F.col("z.p") * 128 + F.col("z.y")).alias("k"), *postings.columns[1:])
 
 
-def local_edges(fps: np.ndarray) -> list[tuple[int, int]]:
-    """Edges (member, smallest member) of the groups that the links among these distinct fingerprints make."""
-    edges, rest = [], np.sort(fps)
+def local_edges(fps: np.ndarray, nodes: np.ndarray, sketches: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Edges (member, first member) of the groups that the links among these entries make."""
+    edges, rest, left = [], np.arange(len(fps)), fps
     while len(rest) > 1:
-        root, rest, queue = rest[0], rest[1:], [rest[0]]
+        root, queue, rest, left = rest[0], [rest[0]], rest[1:], left[1:]
         while queue and len(rest):
-            x = rest ^ queue.pop()
+            at = queue.pop()
+            x = left ^ fps[at]
             tally = (x.view(np.uint8).reshape(-1, 8) == 0).sum(axis=1)  # shared bytes by position
             near = tally >= SHARED
             near[near] = np.bitwise_count(x[near].view(np.uint64)) <= BITS
+            if sketches is not None and near.any():
+                near[near] = alike(sketches[at], sketches[rest[near]]) >= SIMILAR
             if near.any():
-                found, rest = rest[near], rest[~near]
-                queue += list(found)
-                edges += [(int(f), int(root)) for f in found]
+                found, rest, left = rest[near], rest[~near], left[~near]
+                queue += found.tolist()
+                edges += [(int(f), int(nodes[root])) for f in nodes[found]]
     return edges
 
 
@@ -146,19 +187,21 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held_k, held = None, []
 
     def flush() -> list[tuple[int, int]]:
-        return local_edges(np.concatenate(held)) if held else []
+        return local_edges(*[np.concatenate(c) for c in zip(*held, strict=True)]) if held else []
 
     for batch in batches:
-        k, fp = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        k, *cols = (batch.column(i).to_numpy() for i in range(3))
         if not len(k):
             continue
+        if batch.num_columns > 3:
+            cols.append(np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(-1, BINS))
         cuts = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
         edges = []
         for a, b in zip(cuts, np.append(cuts[1:], len(k)), strict=True):
             if k[a] != held_k:
                 edges += flush()
                 held_k, held = k[a], []
-            held.append(fp[a:b])
+            held.append([c[a:b] for c in cols])
         yield _edge_batch(edges)
     yield _edge_batch(flush())
 
@@ -174,18 +217,30 @@ def _compare(postings: DataFrame) -> DataFrame:
 
 def link(fps: DataFrame, longest: int = LONGEST) -> DataFrame:
     """Distinct fingerprints ``fp`` to (fp, root), for those that are linked with another."""
+    return link_entries(fps.select("fp", F.col("fp").alias("node")), longest).withColumnRenamed("node", "fp")
+
+
+def link_entries(fps: DataFrame, longest: int = LONGEST) -> DataFrame:
+    """Entries (fp, node[, sketch]) to (node, root), for those that are linked with another."""
     edges = None
     postings = _postings(fps)
     for finer in (_by_fourth, _by_block, None):
-        counts = stage(postings.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "postings")
-        rows = postings.join(counts, "k")
-        few = rows.where(F.col("n") <= longest) if finer else rows
-        found = stage(_compare(few.select("k", "fp")), "links")
+        sizes = postings.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+        if "sketch" in fps.columns and finer:
+            # Sketches are wide: their postings move once, so only the few long ones are looked up.
+            counts = stage(sizes.where(F.col("n") > longest), "postings")
+            few = postings.join(counts, "k", "left_anti")
+        else:
+            counts = stage(sizes.where("n > 1"), "postings")
+            rows = postings.join(counts, "k")
+            few = rows.where(F.col("n") <= longest) if finer else rows
+        found = stage(_compare(few.select(*postings.columns)), "links")
         edges = found if edges is None else edges.unionByName(found)
         if finer is None or counts.where(F.col("n") > longest).isEmpty():
             break
-        postings = stage(finer(rows.where(F.col("n") > longest).select("k", "fp")), "postings")
-    return components(edges).select(F.col("node").alias("fp"), "root")
+        long = postings.join(counts.where(F.col("n") > longest), "k").select(*postings.columns)
+        postings = stage(finer(long), "postings")
+    return components(edges)
 
 
 def cluster(prints: DataFrame) -> DataFrame:
@@ -211,3 +266,23 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
     groups = groups.select(F.col("fp").alias("__fp"), F.col("group").alias("__group"), F.col("component").alias("__low"))
     kept = marked.join(groups, "__fp").where(F.col(doc_id).eqNullSafe(F.col("__low")))
     return kept.dropDuplicates(["__group"]).select(*own)
+
+
+def drop_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5) -> DataFrame:
+    """The document with the smallest id of each group of documents whose shingle sets are SIMILAR, with its own columns.
+
+    Links are fingerprints of single words at BITS differing bits whose sketches are SIMILAR; texts with equal fingerprint
+    and sketch are one entry, told apart from others by a 64-bit hash.
+    """
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    marked = docs.withColumn("__p", _word_print(text, width)).withColumn("__node", F.xxhash64("__p.fp", "__p.sketch"))
+    marked = stage(marked, "marked")
+    entry = [F.min(doc_id).alias("low"), F.first("__p.fp").alias("fp"), F.first("__p.sketch").alias("sketch")]
+    entries = stage(marked.groupBy(F.col("__node").alias("node")).agg(*entry), "entries")
+    links = link_entries(entries.select("fp", "node", "sketch"))
+    roots = entries.select("node", "low").join(links, "node", "left").withColumn("__group", F.coalesce("root", "node"))
+    roots = stage(roots.select(F.col("node").alias("__node"), "__group", F.col("low").alias("__low")), "groups")
+    lows = roots.groupBy("__group").agg(F.min("__low").alias("__low"))
+    first = roots.join(lows.withColumnRenamed("__low", "__first"), "__group").where(F.col("__low").eqNullSafe(F.col("__first")))
+    kept = marked.join(first.select("__node", "__group", "__first"), "__node").where(F.col(doc_id).eqNullSafe(F.col("__first")))
+    return kept.dropDuplicates(["__group"]).select(*own)

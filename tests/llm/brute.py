@@ -109,3 +109,30 @@ def near_duplicates(rows, width=4, bits=4):
         if doc is not None:
             low[group[f]].append(doc)
     return [(doc, f"{f:016x}", min(low[group[f]], default=None)) for (doc, _), f in zip(rows, prints)]
+
+
+def shingle_set(text, width=5):
+    w = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    w = words(w)
+    return {" ".join(w[i : i + width]) for i in range(max(1, len(w) - width + 1))} if w else set()
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def similar_groups(rows, sketch, alike, bits=4, least=0.8):
+    """Smallest id of each group of ``rows`` linked by word fingerprints and the estimate of their sketches, all pairs."""
+    prints = [simhash(t, 1) for _, t in rows]
+    sketches = [np.frombuffer(sketch(t, 5), np.uint8) for _, t in rows]
+    near = {}
+    for i, f in enumerate(prints):
+        close = [j for j, g in enumerate(prints) if (f ^ g).bit_count() <= bits]
+        near[i] = [j for j in close if alike(sketches[i], sketches[j][None])[0] >= least]
+    low = defaultdict(list)
+    for i, g in components(near).items():
+        if rows[i][0] is not None:
+            low[g].append(rows[i][0])
+        else:
+            low[g]
+    return [min(ids, default=None) for ids in low.values()]

@@ -276,6 +276,45 @@ def test_links_of_dense_fingerprints(spark, longest):
     assert sorted(map(sorted, found.values())) == sorted(sorted(g) for g in want.values() if len(g) > 1)
 
 
+def test_similar(small):
+    rows, docs = small
+    kept = simhash.drop_similar(docs)
+    want = brute.similar_groups(rows, simhash.sketch, simhash.alike)
+    assert kept.columns == docs.columns and order(r.doc_id for r in kept.collect()) == order(want)
+
+
+@pytest.mark.parametrize("longest", [4096, 20, 3])
+def test_similar_cuts_long_postings(spark, monkeypatch, longest):
+    monkeypatch.setattr(simhash.link_entries, "__defaults__", (longest,))
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(400)}" for _ in range(300)]
+    texts = [" ".join(base)]
+    for k in range(60):  # a hot group: each differs from the base in one word
+        texts.append(" ".join([*base[: 4 * k], f"new{k}", *base[4 * k + 1 :]]))
+    texts += [" ".join(rng.sample(base, len(base))) for _ in range(20)]  # the same words in another order stay
+    rows = list(enumerate(texts))
+    kept = simhash.drop_similar(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == [0, *range(61, 81)]
+
+
+def test_similar_finds_what_shares_its_shingles(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    sets = {r.doc_id: brute.shingle_set(r.text) for r in docs.collect()}
+    kept = {r.doc_id for r in simhash.drop_similar(docs).collect()}
+    by_shingle = {}
+    for i, s in sets.items():
+        for x in s:
+            by_shingle.setdefault(x, []).append(i)
+    near = Counter()
+    for ids in by_shingle.values():
+        near.update(p for p in combinations(sorted(ids), 2))
+    near = {(a, b): n / (len(sets[a]) + len(sets[b]) - n) for (a, b), n in near.items()}
+    copies = {(a, b) for (a, b), j in near.items() if j >= 0.85}
+    assert sum(not (a in kept and b in kept) for a, b in copies) >= 0.95 * len(copies) > 0
+    close = {i for p, j in near.items() if j >= 0.7 for i in p}
+    assert {i for i in sets if sets[i] and i not in kept} <= close
+
+
 # --- lines ------------------------------------------------------------------------------------------------------
 
 

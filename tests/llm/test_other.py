@@ -14,7 +14,7 @@ from compare import connect, rows_of
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
-from marketlake.llm import bpe, mixing, queries, revisits
+from marketlake.llm import bpe, mixing, queries, revisits, simhash
 
 SF = "/root/testdata/sf0.001"
 
@@ -113,7 +113,7 @@ def test_stages(spark):
         else:
             assert all(before[i] == t for i, t in after.items())
         if name == "simhash_near_dedup":
-            assert {*after} == {low for *_, low in brute.near_duplicates(list(before.items()), width=5)}
+            assert {*after} == {*brute.similar_groups(list(before.items()), simhash.sketch, simhash.alike)}
         docs = out
     out = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
     own = bpe.Encoder(bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), public_tokenizers.PATTERN)
