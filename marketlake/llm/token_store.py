@@ -21,6 +21,7 @@ by their text; an empty table gives no segment.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -112,6 +113,7 @@ class Tokens:
     """
 
     def __init__(self, model: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a worker has one core; threads for a few runs cost more than they save
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(model)
