@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketlake.functions.exact import cents, mean_cents, mean_exact, percent, sum_money
+from marketlake.functions.exact import mean_exact, mean_money, micros, percent, sum_money
 from marketlake.functions.scalars import rate, sum_if  # noqa: F401  (part of this module for its users)
 from marketlake.session import stage
 
@@ -52,7 +52,7 @@ def _unpivot(one: DataFrame, layout: dict[str, dict[str, str]]) -> DataFrame:
 
 
 def sum_min_max(df: DataFrame, keys: list[str], col: str) -> DataFrame:
-    """Sum (added up in cents), minimum and maximum of a money column."""
+    """Sum (added up in millionths), minimum and maximum of a money column."""
     return df.groupBy(*keys).agg(
         sum_money(col).alias(f"sum_{col}"), F.min(col).alias(f"min_{col}"), F.max(col).alias(f"max_{col}")
     )
@@ -60,7 +60,7 @@ def sum_min_max(df: DataFrame, keys: list[str], col: str) -> DataFrame:
 
 def avg_round(df: DataFrame, keys: list[str], col: str, name: str | None = None) -> DataFrame:
     """Mean of a money column, rounded half up to two digits."""
-    return df.groupBy(*keys).agg(mean_cents(col).alias(name or f"avg_{col}"))
+    return df.groupBy(*keys).agg(mean_money(col).alias(name or f"avg_{col}"))
 
 
 def median_of(col) -> Column:
@@ -74,7 +74,7 @@ def median_of(col) -> Column:
 
 def price_summary(df: DataFrame, keys: list[str], price: str, sums: dict[str, Column], item: str | None = None,
                   maxima: dict[str, Column] | None = None, weight: str | None = None) -> DataFrame:
-    """Per group: rows, priced rows, sum in cents, min, max and exact median of a price, sums and maxima of whole
+    """Per group: rows, priced rows, sum in millionths, min, max and exact median of a price, sums and maxima of whole
     numbers, and with ``item`` the number of its distinct values (as ``items``). With ``weight`` a row stands
     for that many rows.
 
@@ -115,7 +115,7 @@ def price_summary(df: DataFrame, keys: list[str], price: str, sums: dict[str, Co
     return placed.groupBy(*keys).agg(
         F.sum("_n").alias("rows"),
         F.sum("_w").alias("priced"),
-        F.sum(F.when(F.col("_v").isNotNull(), cents("_v") * F.col("_w"))).alias("price_cents"),
+        F.sum(F.when(F.col("_v").isNotNull(), micros("_v") * F.col("_w"))).alias("price_micros"),
         F.min("_v").alias("min_price"),
         F.max("_v").alias("max_price"),
         _between(low, high, 0.5).alias("median_price"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.functions.exact import mean_cents
+from marketlake.functions.exact import mean_money
 from marketlake.operators.aggregates import median_of
 
 
@@ -85,9 +85,9 @@ def market_comparison(df: DataFrame, by: str = "city", price: str = "target_pric
     priced = df.where(F.col(price).isNotNull())
     return priced.groupBy(by).agg(
         F.count(F.lit(1)).alias("listings"),
-        mean_cents(price).alias("mean_price"),
+        mean_money(price).alias("mean_price"),
         median_of(price).alias("median_price"),
-        mean_cents(F.when(F.col(price) < cap, F.col(price))).alias("mean_price_capped"),
+        mean_money(F.when(F.col(price) < cap, F.col(price))).alias("mean_price_capped"),
         F.avg("accommodates").alias("mean_accommodates"),
         F.avg("bedrooms").alias("mean_bedrooms"),
         F.avg("beds").alias("mean_beds"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketlake.functions.exact import cents
+from marketlake.functions.exact import micros, money
 from marketlake.functions.scalars import label_by_threshold, tenure_days
 from marketlake.operators.aggregates import price_summary
 from marketlake.operators.joins import star_join
@@ -41,7 +41,7 @@ def listing_dataset(fact: DataFrame, dims: dict[str, DataFrame], ref_date: str =
     priced = fact.groupBy(*keys, "price").agg(
         F.count(F.lit(1)).alias("days"),
         F.sum(F.coalesce(F.col("is_available"), F.lit(False)).cast("int")).alias("available"),
-        F.sum(cents("est_revenue")).alias("revenue_cents"),
+        F.sum(micros("est_revenue")).alias("revenue_micros"),
         F.max("reviews_to_date").alias("total_reviews"),
     )
     joined = star_join(
@@ -52,14 +52,14 @@ def listing_dataset(fact: DataFrame, dims: dict[str, DataFrame], ref_date: str =
             (dims["neighbourhoods"].select("neighbourhood_key", *AREA_COLUMNS), "neighbourhood_key"),
         ],
     )
-    sums = {"available": F.col("available"), "revenue_cents": F.col("revenue_cents")}
+    sums = {"available": F.col("available"), "revenue_micros": F.col("revenue_micros")}
     rows = price_summary(joined, DATASET_KEYS, "price", sums, maxima={"total_reviews": F.col("total_reviews")}, weight="days")
     return rows.select(
         *DATASET_KEYS,
         F.col("median_price").alias("target_price"),
-        F.try_divide(F.col("price_cents") / 100.0, F.col("priced")).alias("avg_price"),
+        F.try_divide(money(F.col("price_micros")), F.col("priced")).alias("avg_price"),
         (F.col("available") / F.col("rows")).alias("availability_rate"),
-        (F.col("revenue_cents") / 100.0).alias("est_revenue"),
+        money(F.col("revenue_micros")).alias("est_revenue"),
         "total_reviews",
         tenure_days("host_since", ref_date).alias("host_tenure_days"),
     )

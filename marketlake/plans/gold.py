@@ -70,12 +70,13 @@ def dim_neighbourhoods(listings: DataFrame, by: str | None = None) -> DataFrame:
 
 
 def listing_lookup(listings: DataFrame, reviews: DataFrame, dims: dict[str, DataFrame], by: str | None = None,
-                   strict: bool = False) -> DataFrame:
+                   strict: bool = False, as_of: bool = False) -> DataFrame:
     """What a calendar row needs to know about its listing: keys, fallback price and review count.
 
     Everything that depends on the listing alone is joined here, at listing size, so that the calendar is
     joined once. Duplicate natural keys multiply rows as separate joins would. ``strict`` matches a
-    neighbourhood on its group too.
+    neighbourhood on its group too. ``as_of`` adds ``review_days``, the reviews of each day; a listing has at most one
+    entry per day, however many reviews. Reviews without a date are not in it.
     """
     scope = _scope(listings, by)
     base = listings.select(*scope, "listing_id", "host_id", "neighbourhood", "neighbourhood_group",
@@ -94,7 +95,14 @@ def listing_lookup(listings: DataFrame, reviews: DataFrame, dims: dict[str, Data
     area = F.col("neighbourhood") == F.col("dn_name")
     if strict:
         area = area & F.col("neighbourhood_group").eqNullSafe(F.col("dn_group"))
-    counts = reviews.groupBy(*_scope(reviews, by), F.col("listing_id").alias("r_id")).agg(F.count(F.lit(1)).alias("review_count"))
+    of_listing = [*_scope(reviews, by), "r_id"]
+    seen = reviews.withColumn("r_id", F.col("listing_id"))
+    if as_of:
+        per_day = seen.groupBy(*of_listing, "review_date").agg(F.count(F.lit(1)).alias("n"))
+        dated = F.when(F.col("review_date").isNotNull(), F.struct(F.col("review_date").alias("day"), "n"))
+        counts = per_day.groupBy(*of_listing).agg(F.sum("n").alias("review_count"), F.collect_list(dated).alias("review_days"))
+    else:
+        counts = seen.groupBy(*of_listing).agg(F.count(F.lit(1)).alias("review_count"))
     counted = F.col("listing_id") == F.col("r_id")
     for c in _scope(reviews, by):
         counts = counts.withColumnRenamed(c, f"r_{c}")
@@ -105,7 +113,7 @@ def listing_lookup(listings: DataFrame, reviews: DataFrame, dims: dict[str, Data
         .join(dn, area & in_city("dn"), "left")
         .join(counts, counted, "left")
         .select(*scope, "listing_id", "listing_key", "host_key", "neighbourhood_key", "listing_price",
-                F.coalesce("review_count", F.lit(0).cast("bigint")).alias("reviews_to_date"))
+                F.coalesce("review_count", F.lit(0).cast("bigint")).alias("reviews_to_date"), *(["review_days"] if as_of else []))
     )
 
 
@@ -113,7 +121,8 @@ def fact_rows(calendar: DataFrame, lookup: DataFrame, dim_date: DataFrame, by: s
     """The fact without its id: one join of the calendar with the listing lookup, one with the dates.
 
     Calendar rows of unknown listings go. The lookup is staged: its true size decides between a broadcast and
-    a shuffle by listing, where adaptive execution splits a listing with too many rows.
+    a shuffle by listing, where adaptive execution splits a listing with too many rows. With ``review_days`` in the
+    lookup a fact counts the reviews up to its own date, else all of the listing.
     """
     scope = [c for c in _scope(calendar, by) if c in lookup.columns]
     known = stage(lookup, "lookup").select(
@@ -125,9 +134,14 @@ def fact_rows(calendar: DataFrame, lookup: DataFrame, dim_date: DataFrame, by: s
         match = match & F.col(c).eqNullSafe(F.col(f"l_{c}"))
     joined = lookup_date_key(calendar.join(known, match, "inner"), dim_date, "calendar_date")
     price = first_non_null("price", "listing_price")
+    reviews = F.col("reviews_to_date")
+    if "review_days" in lookup.columns:
+        none = F.lit(0).cast("bigint")
+        past = F.filter("review_days", lambda d: d["day"] <= F.col("calendar_date"))
+        reviews = F.coalesce(F.aggregate(past, none, lambda total, d: total + d["n"]), none).alias("reviews_to_date")
     return joined.select(
         *scope, "listing_key", "host_key", "neighbourhood_key", "date_key", price.alias("price"), "is_available",
-        "minimum_nights", est_revenue(price, "is_available").alias("est_revenue"), "reviews_to_date",
+        "minimum_nights", est_revenue(price, "is_available").alias("est_revenue"), reviews,
     )
 
 
@@ -142,9 +156,13 @@ def build_dims(listings: DataFrame, by: str | None = None) -> dict[str, DataFram
 
 
 def fact_daily(calendar: DataFrame, listings: DataFrame, reviews: DataFrame, dims: dict[str, DataFrame],
-               dim_date: DataFrame, by: str | None = None, with_id: bool = True, strict: bool = False) -> DataFrame:
-    """Fact of listing x day. ``fact_id`` numbers the rows by listing and date without a single-task sort."""
-    rows = fact_rows(calendar, listing_lookup(listings, reviews, dims, by, strict), dim_date, by)
+               dim_date: DataFrame, by: str | None = None, with_id: bool = True, strict: bool = False,
+               as_of: bool = False) -> DataFrame:
+    """Fact of listing x day. ``fact_id`` numbers the rows by listing and date without a single-task sort.
+
+    ``reviews_to_date`` is the listing's total, with ``as_of`` the running count up to the day of the fact.
+    """
+    rows = fact_rows(calendar, listing_lookup(listings, reviews, dims, by, strict, as_of), dim_date, by)
     if not with_id:
         return rows
     return distributed_key(rows, ["listing_key", "date_key"], "fact_id", _scope(rows, by))
@@ -161,13 +179,14 @@ def conform_dims(city_dims: dict[str, DataFrame], cities: list[str] | None = Non
 
 
 def conform_fact(calendar: DataFrame, listings: DataFrame, reviews: DataFrame, city_dims: dict[str, DataFrame],
-                 dims: dict[str, DataFrame], dim_date: DataFrame, by: str = "city", with_id: bool = True) -> DataFrame:
+                 dims: dict[str, DataFrame], dim_date: DataFrame, by: str = "city", with_id: bool = True,
+                 as_of: bool = False) -> DataFrame:
     """Conformed fact of all cities; facts without host or neighbourhood go, as the inner remap joins say.
 
     Keys depend on the listing alone, so they are remapped in the listing lookup, before the calendar is
     touched: the big table is joined once instead of once per dimension.
     """
-    lookup = listing_lookup(listings, reviews, city_dims, by)
+    lookup = listing_lookup(listings, reviews, city_dims, by, as_of=as_of)
     for key, name, natural, blank in (
         ("listing_key", "listings", ["listing_id"], []),
         ("host_key", "hosts", ["host_id"], []),
@@ -183,9 +202,9 @@ def conform_fact(calendar: DataFrame, listings: DataFrame, reviews: DataFrame, c
 
 
 def conform(listings: DataFrame, calendar: DataFrame, reviews: DataFrame, dim_date: DataFrame,
-            cities: list[str] | None = None, by: str = "city", with_id: bool = True) -> dict[str, DataFrame]:
+            cities: list[str] | None = None, by: str = "city", with_id: bool = True, as_of: bool = False) -> dict[str, DataFrame]:
     """The whole conformed star over all cities."""
     city_dims = build_dims(listings, by)
     dims = conform_dims(city_dims, cities)
-    fact = conform_fact(calendar, listings, reviews, city_dims, dims, dim_date, by, with_id)
+    fact = conform_fact(calendar, listings, reviews, city_dims, dims, dim_date, by, with_id, as_of)
     return {"dates": dim_date, **dims, "fact": fact}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.functions.exact import cents, percent, ratio_cents
+from marketlake.functions.exact import micros, money, percent, ratio_money
 from marketlake.operators.aggregates import price_summary, round_cents
 from marketlake.operators.joins import broadcast_if_small, star_join
 
@@ -14,9 +14,9 @@ HOST_KEYS = ["host_id", "host_name", "is_superhost", "host_since", "host_listing
 
 
 def _sums() -> dict:
-    """Whole-number measures of the fact: available rows, revenue in cents, reviews."""
+    """Whole-number measures of the fact: available rows, revenue in millionths, reviews."""
     available = F.coalesce(F.col("is_available"), F.lit(False)).cast("int")
-    return {"available_count": available, "revenue_cents": cents("est_revenue"), "total_reviews": F.col("reviews_to_date")}
+    return {"available_count": available, "revenue_micros": micros("est_revenue"), "total_reviews": F.col("reviews_to_date")}
 
 
 def daily_market_snapshot(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
@@ -34,11 +34,11 @@ def daily_market_snapshot(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFr
         *SNAPSHOT_KEYS,
         F.col("items").alias("active_listings"),
         "available_count",
-        ratio_cents(F.col("price_cents"), F.col("priced")).alias("avg_price"),
+        ratio_money(F.col("price_micros"), F.col("priced")).alias("avg_price"),
         round_cents("median_price").alias("median_price"),
         "min_price",
         "max_price",
-        (F.col("revenue_cents") / 100.0).cast("double").alias("total_estimated_revenue"),
+        money(F.col("revenue_micros")).alias("total_estimated_revenue"),
         "total_reviews",
     )
 
@@ -50,16 +50,16 @@ def host_performance(fact: DataFrame, hosts: DataFrame) -> DataFrame:
     host with very many rows; only these partial rows meet the host attributes and the final group.
     """
     partial = fact.groupBy("host_key", "listing_key").agg(
-        F.sum(cents("price")).alias("price_cents"),
+        F.sum(micros("price")).alias("price_micros"),
         F.count("price").alias("priced"),
         *[F.sum(c).alias(name) for name, c in _sums().items()],
     )
     joined = star_join(partial, [(hosts.select("host_key", *HOST_KEYS), "host_key")])
     return joined.groupBy(*HOST_KEYS).agg(
         F.countDistinct("listing_key").alias("active_listings"),
-        ratio_cents(F.sum("price_cents"), F.sum("priced")).alias("avg_price"),
+        ratio_money(F.sum("price_micros"), F.sum("priced")).alias("avg_price"),
         F.sum("available_count").alias("total_available_days"),
-        (F.sum("revenue_cents") / 100.0).cast("double").alias("total_estimated_revenue"),
+        money(F.sum("revenue_micros")).alias("total_estimated_revenue"),
         F.sum("total_reviews").alias("total_reviews"),
     )
 
@@ -70,18 +70,18 @@ def neighbourhood_trends(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFra
     Added up per area, day and listing first, then per area and day; attributes are joined to the groups.
     """
     partial = fact.groupBy("neighbourhood_key", "date_key", "listing_key").agg(
-        F.sum(cents("price")).alias("price_cents"), F.count("price").alias("priced"),
+        F.sum(micros("price")).alias("price_micros"), F.count("price").alias("priced"),
         F.sum(_sums()["available_count"]).alias("available_count"),
     )
     groups = partial.groupBy("neighbourhood_key", "date_key").agg(
-        F.count("listing_key").alias("listing_count"), F.sum("price_cents").alias("price_cents"),
+        F.count("listing_key").alias("listing_count"), F.sum("price_micros").alias("price_micros"),
         F.sum("priced").alias("priced"), F.sum("available_count").alias("available_count"),
     )
     areas = dims["neighbourhoods"].select("neighbourhood_key", "neighbourhood", "neighbourhood_group")
     dates = broadcast_if_small(dims["dates"].select("date_key", "full_date"))
     return star_join(groups, [(areas, "neighbourhood_key"), (dates, "date_key")]).select(
         "neighbourhood", "neighbourhood_group", "full_date", "listing_count",
-        ratio_cents(F.col("price_cents"), F.col("priced")).alias("avg_price"),
+        ratio_money(F.col("price_micros"), F.col("priced")).alias("avg_price"),
         "available_count",
         percent(F.col("available_count"), F.col("listing_count")).alias("availability_rate"),
     )
@@ -92,49 +92,19 @@ def daily_market_summary(fact: DataFrame) -> DataFrame:
     groups = price_summary(fact, ["date_key", "neighbourhood_key"], "price", _sums(), "listing_key")
     return groups.select(
         "date_key", "neighbourhood_key", F.col("items").alias("total_listings"), "available_count",
-        ratio_cents(F.col("price_cents"), F.col("priced")).alias("avg_price"),
+        ratio_money(F.col("price_micros"), F.col("priced")).alias("avg_price"),
         round_cents("median_price").alias("median_price"),
         "total_reviews",
     )
 
 
-# The three marts as views for SQL users; the tables of the star are expected under these names.
-VIEWS_SQL = """
-create or replace temp view v_daily_market_snapshot as
-select d.full_date, d.year, d.month, d.season, n.neighbourhood, n.neighbourhood_group, l.room_type, l.property_type,
-       count(distinct f.listing_key) as active_listings,
-       count_if(f.is_available) as available_count,
-       (2 * sum(cast(round(f.price * 100) as bigint)) + count(f.price)) div nullif(2 * count(f.price), 0) / 100D as avg_price,
-       floor(median(cast(round(f.price * 100) as bigint)) + 0.5D) / 100D as median_price,
-       min(f.price) as min_price, max(f.price) as max_price,
-       sum(cast(round(f.est_revenue * 100) as bigint)) / 100D as total_estimated_revenue,
-       sum(f.reviews_to_date) as total_reviews
-from fact_listings_daily_snapshot f
-join dim_listings l using (listing_key)
-join dim_hosts h using (host_key)
-join dim_neighbourhoods n using (neighbourhood_key)
-join dim_calendar_dates d using (date_key)
-group by all;
-
-create or replace temp view v_host_performance as
-select h.host_id, h.host_name, h.is_superhost, h.host_since, h.host_listings_count,
-       count(distinct f.listing_key) as active_listings,
-       (2 * sum(cast(round(f.price * 100) as bigint)) + count(f.price)) div nullif(2 * count(f.price), 0) / 100D as avg_price,
-       count_if(f.is_available) as total_available_days,
-       sum(cast(round(f.est_revenue * 100) as bigint)) / 100D as total_estimated_revenue,
-       sum(f.reviews_to_date) as total_reviews
-from fact_listings_daily_snapshot f
-join dim_hosts h using (host_key)
-group by all;
-
-create or replace temp view v_neighbourhood_trends as
-select n.neighbourhood, n.neighbourhood_group, d.full_date,
-       count(distinct f.listing_key) as listing_count,
-       (2 * sum(cast(round(f.price * 100) as bigint)) + count(f.price)) div nullif(2 * count(f.price), 0) / 100D as avg_price,
-       count_if(f.is_available) as available_count,
-       (20000 * count_if(f.is_available) + count(distinct f.listing_key)) div (2 * count(distinct f.listing_key)) / 100D as availability_rate
-from fact_listings_daily_snapshot f
-join dim_neighbourhoods n using (neighbourhood_key)
-join dim_calendar_dates d using (date_key)
-group by all;
-"""
+def register_marts(fact: DataFrame, dims: dict[str, DataFrame]) -> list[str]:
+    """The three marts as session views for SQL users, with the plans of the functions above; returns their names."""
+    views = {
+        "v_daily_market_snapshot": daily_market_snapshot(fact, dims),
+        "v_host_performance": host_performance(fact, dims["hosts"]),
+        "v_neighbourhood_trends": neighbourhood_trends(fact, dims),
+    }
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return list(views)

@@ -168,7 +168,7 @@ def a20(t):
     joined = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
     return A.group_market(
         joined, ["p_brand", "p_type", "l_returnflag"],
-        [F.countDistinct("l_partkey").alias("parts"), A.mean_cents("l_extendedprice").alias("avg_price"), F.max("l_extendedprice").alias("max_price")],
+        [F.countDistinct("l_partkey").alias("parts"), A.mean_money("l_extendedprice").alias("avg_price"), F.max("l_extendedprice").alias("max_price")],
     )
 
 

@@ -156,56 +156,89 @@ def d12(t):
     return widen(gold.fact_daily(t.calendar, t.staged_listing, t.review, t.dims, t.dates))
 
 
+@query(
+    "d12_fact_as_of",
+    with_ctes("fx_calendar", "known_listing", "dim_date", """
+        select listing_key, host_key, neighbourhood_key, date_key, coalesce(c.price, asking) price, is_available, minimum_nights,
+               if(is_available, coalesce(c.price, asking, 0), 0) est_revenue, coalesce(so_far, 0)::bigint reviews_to_date
+        from fx_calendar c join known_listing using (listing_id) join dim_date on full_date = calendar_date
+        asof left join (select listing_id rated, review_date, sum(count(*)) over (partition by listing_id order by review_date) so_far
+                        from fx_review group by listing_id, review_date) on rated = c.listing_id and review_date <= calendar_date"""),
+)
+def d12_as_of(t):
+    return widen(gold.fact_daily(t.calendar, t.staged_listing, t.review, t.dims, t.dates, with_id=False, as_of=True))
+
+
 @query("d13_conform", with_ctes("conf_fact", f"select row_number() over (order by {_FACT_ORDER}) fact_id, * from conf_fact"))
 def d13(t):
     star = gold.conform(t.brand_listing, t.brand_calendar, t.brand_review, t.dates)
     return widen(star["fact"])
 
 
-_MART_JOIN = """from fact f join dim_listing dl on f.listing_key = dl.listing_key join dim_host dh on f.host_key = dh.host_key
-join dim_area dn on f.neighbourhood_key = dn.neighbourhood_key join dim_date dc on f.date_key = dc.date_key"""
-_MEDIAN2 = "floor(median(cast(round(f.price * 100) as bigint)) + 0.5)::double / 100.0::double"
-_REVENUE = "sum(cast(round(f.est_revenue * 100) as bigint))::double / 100.0::double"
-_AVAILABLE = "sum(case when f.is_available then 1 else 0 end)::bigint"
-
-
-@query(
-    "d14_daily_market_snapshot",
-    with_ctes("fact", f"""select strftime(dc.full_date, '%Y-%m-%d') full_date, dc.year, dc.month, dc.season, dn.neighbourhood, dn.neighbourhood_group,
-              dl.room_type, dl.property_type, count(distinct f.listing_key) active_listings, {_AVAILABLE} available_count, {AVG2.format('f.price')} avg_price,
-              {_MEDIAN2} median_price, min(f.price) min_price, max(f.price) max_price, {_REVENUE} total_estimated_revenue,
-              sum(f.reviews_to_date)::bigint total_reviews {_MART_JOIN} group by dc.full_date, 2, 3, 4, 5, 6, 7, 8"""),
-)
+_MEDIAN2 = "floor(median(cast(round(price * 100) as bigint)) + 0.5)::double / 100.0::double"
+_REVENUE = "sum(cast(round(est_revenue * 100) as bigint))::double / 100.0::double"
+_AVAILABLE = "count_if(is_available)::bigint"
+_REVIEWS = "sum(reviews_to_date)::bigint total_reviews"
+
+# Each mart sums by the keys of its groups first and looks the attributes up afterwards.
+_SNAPSHOT = with_ctes("typed_fact", f"""
+    select strftime(full_date, '%Y-%m-%d') full_date, year, month, season, neighbourhood, neighbourhood_group, g.* exclude (date_key, neighbourhood_key)
+    from (select date_key, neighbourhood_key, room_type, property_type, count(distinct listing_key) active_listings, {_AVAILABLE} available_count,
+                 {AVG2.format('price')} avg_price, {_MEDIAN2} median_price, min(price) min_price, max(price) max_price,
+                 {_REVENUE} total_estimated_revenue, {_REVIEWS} from typed_fact group by all) g
+    join dim_area using (neighbourhood_key) join dim_date using (date_key)""")
+_HOSTS = with_ctes("fact", f"""
+    select * replace (strftime(host_since, '%Y-%m-%d') as host_since)
+    from (select host_id, host_name, is_superhost, host_since, host_listings_count, count(distinct listing_key) active_listings,
+                 {AVG2.format('price')} avg_price, {_AVAILABLE} total_available_days, {_REVENUE} total_estimated_revenue, {_REVIEWS}
+          from dim_host join fact using (host_key) group by all)""")
+_TRENDS = with_ctes("fact", f"""
+    select neighbourhood, neighbourhood_group, strftime(full_date, '%Y-%m-%d') full_date, listing_count, avg_price, available_count,
+           ((20000 * available_count + listing_count) // (2 * listing_count))::bigint / 100.0::double availability_rate
+    from (select neighbourhood_key, date_key, count(distinct listing_key) listing_count, {AVG2.format('price')} avg_price,
+                 {_AVAILABLE} available_count from fact group by all)
+    join dim_date using (date_key) join dim_area using (neighbourhood_key)""")
+
+
+@query("d14_daily_market_snapshot", _SNAPSHOT)
 def d14(t):
     return widen(marts.daily_market_snapshot(t.fact, t.dims))
 
 
-@query(
-    "d15_host_performance",
-    with_ctes("fact", f"""select dh.host_id, dh.host_name, dh.is_superhost, strftime(dh.host_since, '%Y-%m-%d') host_since, dh.host_listings_count,
-              count(distinct f.listing_key) active_listings, {AVG2.format('f.price')} avg_price, {_AVAILABLE} total_available_days,
-              {_REVENUE} total_estimated_revenue, sum(f.reviews_to_date)::bigint total_reviews
-              from fact f join dim_host dh on f.host_key = dh.host_key group by 1, 2, 3, 4, 5"""),
-)
+@query("d15_host_performance", _HOSTS)
 def d15(t):
     return widen(marts.host_performance(t.fact, t.dims["hosts"]))
 
 
-@query(
-    "d16_neighbourhood_trends",
-    with_ctes("fact", f"""select dn.neighbourhood, dn.neighbourhood_group, strftime(dc.full_date, '%Y-%m-%d') full_date, count(distinct f.listing_key) listing_count,
-              {AVG2.format('f.price')} avg_price, {_AVAILABLE} available_count,
-              ((20000 * {_AVAILABLE} + count(distinct f.listing_key)) // (2 * count(distinct f.listing_key)))::bigint / 100.0::double availability_rate
-              from fact f join dim_area dn on f.neighbourhood_key = dn.neighbourhood_key join dim_date dc on f.date_key = dc.date_key group by 1, 2, 3"""),
-)
+@query("d16_neighbourhood_trends", _TRENDS)
 def d16(t):
     return widen(marts.neighbourhood_trends(t.fact, t.dims))
 
 
+def _view(t, name):
+    marts.register_marts(t.fact, t.dims)
+    return widen(t.spark.table(name))
+
+
+@query("s13_register_views", _HOSTS)
+def s13(t):
+    return _view(t, "v_host_performance")
+
+
+@query("s13_view_snapshot", _SNAPSHOT)
+def s13_snapshot(t):
+    return _view(t, "v_daily_market_snapshot")
+
+
+@query("s13_view_trends", _TRENDS)
+def s13_trends(t):
+    return _view(t, "v_neighbourhood_trends")
+
+
 @query(
     "d17_daily_market_summary",
     with_ctes("fact", f"""select date_key, neighbourhood_key, count(distinct listing_key) total_listings, {_AVAILABLE} available_count,
-              {AVG2.format('f.price')} avg_price, {_MEDIAN2} median_price, sum(reviews_to_date)::bigint total_reviews from fact f group by 1, 2"""),
+              {AVG2.format('price')} avg_price, {_MEDIAN2} median_price, {_REVIEWS} from fact group by all"""),
 )
 def d17(t):
     return marts.daily_market_summary(t.fact)

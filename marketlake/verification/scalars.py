@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from marketlake.functions import geo as G
 from marketlake.functions import scalars as S
 from marketlake.functions import text as X
-from marketlake.functions.exact import mean_cents
+from marketlake.functions.exact import mean_money, sum_money
 from marketlake.operators.aggregates import global_mean
 from marketlake.verification.fixtures import days_as_text, rounded, with_ctes
 from marketlake.verification.registry import query
@@ -131,7 +131,7 @@ def f16(t):
        from lineitem group by 1""",
 )
 def f17(t):
-    return t.lineitem.groupBy("l_suppkey").agg(mean_cents("l_extendedprice").alias("avg2"))
+    return t.lineitem.groupBy("l_suppkey").agg(mean_money("l_extendedprice").alias("avg2"))
 
 
 _CENTRE = "(select avg(latitude) clat, avg(longitude) clon from fx_listing)"
@@ -293,3 +293,18 @@ def f34(t):
     currency = F.when(F.col("o_orderpriority") == "1-URGENT", "BUILDING").when(F.col("o_orderpriority") == "2-HIGH", "MACHINERY").otherwise("FURNITURE")
     orders = t.orders.select("o_orderkey", currency.alias("currency"), F.col("o_totalprice").alias("price"))
     return S.to_currency(orders, rates).select("o_orderkey", "price_converted")
+
+
+_MICROS = "sum(round(converted * 1000000)::bigint)"
+
+
+@query(
+    "f34_converted_totals",
+    f"""select l_suppkey, ({_MICROS} / 1000000.0::decimal(8, 1))::double total, floor({_MICROS}::double / count(converted) / 10000 + 0.5) / 100 mean
+        from (select l_suppkey, l_extendedprice * (p_size / 100000.0::double) converted from lineitem join part on p_partkey = l_partkey) group by 1""",
+)
+def f34_totals(t):
+    """Sums and means of converted prices, which have more digits than two."""
+    rates = t.part.select(F.col("p_partkey").alias("l_partkey"), (F.col("p_size") / F.lit(100000.0)).alias("rate"))
+    converted = S.to_currency(t.lineitem.select("l_suppkey", "l_partkey", "l_extendedprice"), rates, "l_extendedprice", "l_partkey")
+    return converted.groupBy("l_suppkey").agg(sum_money("price_converted").alias("total"), mean_money("price_converted").alias("mean"))

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlake.plans import silver
-from marketlake.plans.marts import VIEWS_SQL
 from marketlake.session import scratch_path, stage
 from marketlake.sources import catalog, landing, readers, writers
 from marketlake.streaming.incremental import read_silver, stream_silver
@@ -192,30 +191,6 @@ def s12(t):
     return writers.materialise(orders, "orders_by_customer_" + path.rsplit("-", 1)[-1], path)
 
 
-@query(
-    "s13_register_views",
-    with_ctes(
-        "fact", "dim_host",
-        """select h.host_id, h.host_name, h.is_superhost, strftime(h.host_since, '%Y-%m-%d') host_since, h.host_listings_count,
-                  count(distinct f.listing_key) active_listings,
-                  ((2 * sum(cast(round(f.price * 100) as bigint)) + count(f.price)) // (2 * count(f.price)))::bigint / 100.0::double avg_price,
-                  sum(case when f.is_available then 1 else 0 end)::bigint total_available_days,
-                  sum(cast(round(f.est_revenue * 100) as bigint))::double / 100.0::double total_estimated_revenue,
-                  sum(f.reviews_to_date)::bigint total_reviews
-           from fact f join dim_host h on f.host_key = h.host_key group by 1, 2, 3, 4, 5""",
-    ),
-)
-def s13(t):
-    star = {
-        "fact_listings_daily_snapshot": t.fact, "dim_listings": t.dims["listings"], "dim_hosts": t.dims["hosts"],
-        "dim_neighbourhoods": t.dims["neighbourhoods"], "dim_calendar_dates": t.dims["dates"],
-    }
-    for name, df in star.items():
-        df.createOrReplaceTempView(name)
-    views = writers.register_views(t.spark, VIEWS_SQL)
-    return widen(t.spark.table(views[1]))
-
-
 DATASET_TEXT = T.StructType([
     T.StructField("listing_id", T.LongType()), T.StructField("name", T.StringType()), T.StructField("room_type", T.StringType()),
     T.StructField("accommodates", T.IntegerType()), T.StructField("bedrooms", T.DoubleType()), T.StructField("price", T.DoubleType()),

@@ -99,14 +99,16 @@ def test_local_distance_keeps_null_group(spark):
 
 def test_half_up_and_exact_mean(spark):
     df = spark.createDataFrame([(1, 0.01), (1, 0.02), (2, 1.0), (2, None), (3, None)], "g int, x double")
-    got = dict(df.groupBy("g").agg(exact.mean_cents("x").alias("m")).collect())
+    got = dict(df.groupBy("g").agg(exact.mean_money("x").alias("m")).collect())
     assert got == {1: 0.02, 2: 1.0, 3: None}  # 0.015 rounds up
+    small = spark.range(1000).select(F.lit(0.004).alias("x"))
+    assert small.agg(exact.sum_money("x"), exact.mean_money("x")).first() == (4.0, 0.0)  # digits below the cent add up
     signed = spark.createDataFrame([(-3, 2), (3, 2), (1, 0)], "a bigint, b bigint")
     assert [r[0] for r in signed.select(exact.half_up(F.col("a"), F.col("b"))).collect()] == [-2, 2, None]
     large = spark.range(3).select((F.lit(10**12) + F.col("id")).alias("a"), F.lit(3).cast("bigint").alias("b"))
     assert [r[0] for r in large.select(exact.half_up(F.col("a"), F.col("b"))).collect()] == [333333333333, 333333333334, 333333333334]
     prices = spark.createDataFrame([(0.1,), (0.2,), (0.4,)], "x double")
-    assert prices.select(exact.stddev_cents("x")).first()[0] == pytest.approx(0.152752, abs=1e-6)
+    assert prices.select(exact.stddev_money("x")).first()[0] == pytest.approx(0.152752, abs=1e-6)
 
 
 def test_one_hot(spark):

@@ -86,13 +86,13 @@ def test_price_summary_matches_brute_force(skewed):
         )
         assert r.median_price == pytest.approx(statistics.median(prices))
         assert (r.min_price, r.max_price) == (min(prices), max(prices))
-        assert r.price_cents == sum(round(p * 100) for p in prices)
+        assert r.price_micros == sum(round(p * 10**6) for p in prices)
 
 
 def test_price_summary_weights(spark):
     df = spark.createDataFrame([(1, 10.0, 3), (1, 20.0, 1), (1, None, 5)], "g int, p double, n int")
     r = A.price_summary(df, ["g"], "p", {}, weight="n").first()
-    assert (r["rows"], r.priced, r.median_price, r.price_cents) == (9, 4, 10.0, 5000)
+    assert (r["rows"], r.priced, r.median_price, r.price_micros) == (9, 4, 10.0, 50_000_000)
 
 
 def test_round_cents(spark):

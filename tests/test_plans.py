@@ -226,15 +226,32 @@ def test_views_match_functions(spark, star):
     listings, calendar, reviews, dates = star
     dims = {**gold.build_dims(listings), "dates": dates}
     fact = gold.fact_daily(calendar, listings, reviews, dims, dates, with_id=False)
-    for name, df in (("fact_listings_daily_snapshot", fact), ("dim_listings", dims["listings"]), ("dim_hosts", dims["hosts"]),
-                     ("dim_neighbourhoods", dims["neighbourhoods"]), ("dim_calendar_dates", dates)):
-        df.createOrReplaceTempView(name)
-    views = writers.register_views(spark, marts.VIEWS_SQL)
+    views = marts.register_marts(fact, dims)
     assert views == ["v_daily_market_snapshot", "v_host_performance", "v_neighbourhood_trends"]
     for view, df in zip(views, (marts.daily_market_snapshot(fact, dims), marts.host_performance(fact, dims["hosts"]), marts.neighbourhood_trends(fact, dims))):
         assert rows(spark.table(view).select(*df.columns)) == rows(df)
 
 
+def test_views_of_a_script(spark):
+    script = "create or replace temp view v_one as select 1 x; create or replace temp view v_two as select x + 1 y from v_one;"
+    assert writers.register_views(spark, script) == ["v_one", "v_two"]
+    assert spark.table("v_two").first().y == 2
+
+
+def test_reviews_as_of_the_day(spark, star):
+    listings, calendar, _, dates = star
+    day = datetime.date(2025, 1, 4)
+    given = [(1, day), (1, day), (1, day + datetime.timedelta(1)), (5, day - datetime.timedelta(9)), (5, None), (4, None)]
+    reviews = spark.createDataFrame(given, "listing_id bigint, review_date date")
+    dims = {**gold.build_dims(listings), "dates": dates}
+    facts = [gold.fact_daily(calendar, listings, reviews, dims, dates, with_id=False, as_of=a).join(dates, "date_key").join(dims["listings"], "listing_key")
+             for a in (False, True)]
+    total, running = ([(r.listing_id, r.full_date, r.reviews_to_date) for r in f.collect()] for f in facts)
+    seen = [(r.listing_id, r.review_date) for r in reviews.collect()]
+    assert sorted(total) == sorted((i, d, sum(s[0] == i for s in seen)) for i, d, _ in total)
+    assert sorted(running) == sorted((i, d, sum(s[0] == i and s[1] is not None and s[1] <= d for s in seen)) for i, d, _ in total)
+
+
 # --- landing --------------------------------------------------------------------------------------------------
 
 
