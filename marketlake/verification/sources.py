@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from marketlake.plans import silver
+from marketlake.plans.dataset import DATASET_SCHEMA
 from marketlake.session import scratch_path, stage
 from marketlake.sources import catalog, landing, readers, writers
 from marketlake.streaming.incremental import read_silver, stream_silver
@@ -191,28 +191,22 @@ def s12(t):
     return writers.materialise(orders, "orders_by_customer_" + path.rsplit("-", 1)[-1], path)
 
 
-DATASET_TEXT = T.StructType([
-    T.StructField("listing_id", T.LongType()), T.StructField("name", T.StringType()), T.StructField("room_type", T.StringType()),
-    T.StructField("accommodates", T.IntegerType()), T.StructField("bedrooms", T.DoubleType()), T.StructField("price", T.DoubleType()),
-])
-_DATASET_SQL = with_ctes("fx_listing", "select listing_id, name, room_type, accommodates, bedrooms, price from fx_listing")
+_DATASET_SQL = with_ctes("dataset", "select * replace (strftime(host_since, '%Y-%m-%d') as host_since) from dataset")
 
 
-@query("s14_csv_sink", _DATASET_SQL.replace("accommodates, bedrooms, price from", "accommodates::varchar accommodates, bedrooms, price from"))
+@query("s14_csv_sink", _DATASET_SQL)
 def s14(t):
     path = scratch_path(t.spark, "s14")
-    writers.write_csv(t.listing.select(*DATASET_TEXT.names), path)
+    writers.write_csv(t.dataset, path)
     raw = readers.read_csv(t.spark, path, multi_line=False)
-    return raw.withColumns({
-        "listing_id": F.col("listing_id").cast("bigint"), "bedrooms": F.col("bedrooms").cast("double"), "price": F.col("price").cast("double"),
-    })
+    return widen(raw.select(*[F.col(f.name).cast(f.dataType) for f in DATASET_SCHEMA.fields]))
 
 
 @query("s15_dataset_scan", _DATASET_SQL)
 def s15(t):
     path = scratch_path(t.spark, "s15")
-    writers.write_csv(t.listing.select(*DATASET_TEXT.names), path)
-    return readers.read_dataset(t.spark, path, DATASET_TEXT)
+    writers.write_csv(t.dataset, path)
+    return widen(readers.read_dataset(t.spark, path, DATASET_SCHEMA))
 
 
 @query(
