@@ -14,13 +14,6 @@ from pyspark.sql import functions as F
 
 from marketlake.session import stage
 
-BROADCAST_ROWS = 200_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint for a written table that a count proves small; otherwise the frame as it is."""
-    return F.broadcast(df) if df.count() <= max_rows else df
-
 
 def _keys(on) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
@@ -50,8 +43,8 @@ def lookup_key(df: DataFrame, dim: DataFrame, on, key: str) -> DataFrame:
 
 
 def lookup_date_key(df: DataFrame, dim_date: DataFrame, date_col: str) -> DataFrame:
-    """Left join to the date dimension, which holds one row per day of a fixed span and is size-checked."""
-    days = broadcast_if_small(dim_date.select("date_key", F.col("full_date").alias("_day")))
+    """Left join to the date dimension, which holds one row per day; the session threshold decides on a broadcast."""
+    days = dim_date.select("date_key", F.col("full_date").alias("_day"))
     return df.join(days, F.col(date_col).cast("date") == F.col("_day"), "left").drop("_day")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from marketlake.functions.exact import micros, money, percent, ratio_money
 from marketlake.operators.aggregates import price_summary, round_cents
-from marketlake.operators.joins import broadcast_if_small, star_join
+from marketlake.operators.joins import star_join
 
 SNAPSHOT_KEYS = ["full_date", "year", "month", "season", "neighbourhood", "neighbourhood_group", "room_type", "property_type"]
 HOST_KEYS = ["host_id", "host_name", "is_superhost", "host_since", "host_listings_count"]
@@ -29,7 +29,7 @@ def daily_market_snapshot(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFr
     typed = star_join(kept, [(dims["listings"].select("listing_key", "room_type", "property_type"), "listing_key")])
     groups = price_summary(typed, ["date_key", "neighbourhood_key", "room_type", "property_type"], "price", _sums(), "listing_key")
     areas = dims["neighbourhoods"].select("neighbourhood_key", "neighbourhood", "neighbourhood_group")
-    dates = broadcast_if_small(dims["dates"].select("date_key", "full_date", "year", "month", "season"))
+    dates = dims["dates"].select("date_key", "full_date", "year", "month", "season")
     return star_join(groups, [(areas, "neighbourhood_key"), (dates, "date_key")]).select(
         *SNAPSHOT_KEYS,
         F.col("items").alias("active_listings"),
@@ -78,7 +78,7 @@ def neighbourhood_trends(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFra
         F.sum("priced").alias("priced"), F.sum("available_count").alias("available_count"),
     )
     areas = dims["neighbourhoods"].select("neighbourhood_key", "neighbourhood", "neighbourhood_group")
-    dates = broadcast_if_small(dims["dates"].select("date_key", "full_date"))
+    dates = dims["dates"].select("date_key", "full_date")
     return star_join(groups, [(areas, "neighbourhood_key"), (dates, "date_key")]).select(
         "neighbourhood", "neighbourhood_group", "full_date", "listing_count",
         ratio_money(F.col("price_micros"), F.col("priced")).alias("avg_price"),
