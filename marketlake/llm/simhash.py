@@ -7,9 +7,10 @@ their differing bits counted. A posting hands on one edge per fingerprint to the
 pairs. Equal fingerprints are one entry from the start. A posting longer than LONGEST is cut by a fourth shared byte,
 and one that is still longer by one of five blocks of the other 32 bits, of which four differing bits leave one equal.
 
-``drop_similar`` uses the same index to find documents that are alike in their shingles: its fingerprints are made of single
-words, which an edit moves far less than shingles, and the verification compares sketches of the shingle sets (the
-least hash of each of BINS bins, one byte each), which travel with the postings.
+``drop_similar`` finds documents that are alike in their five-word shingles. A text's sketch is the least shingle hash of
+each of BINS bins, one byte each; a bin without a shingle borrows the byte of another one, so short texts have a byte
+everywhere. The index is keyed by BANDS groups of ROWS bytes: a pair of similarity j shares a key with a probability of
+1 - (1 - j^ROWS)^BANDS, 0.9999 at 0.8. Sketches find candidates only; a link is a pair whose shingle sets are SIMILAR.
 
 Defined results: a null or empty text has fingerprint zero and links like any other; a text of fewer words than a
 shingle is one shingle; repeated rows and null ids are rows like others, an id is the smallest of those that are not
@@ -27,7 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import ArrayType, BooleanType, LongType, StructType
 
 from marketlake.llm.common import tasks
 from marketlake.llm.components import components
@@ -38,6 +39,8 @@ SHARED = 8 - BITS
 LONGEST = 4096
 BINS = 128
 SIMILAR = 0.8
+ROWS = 5
+BANDS = BINS // ROWS
 
 
 def _triples() -> list[tuple[int, ...]]:
@@ -84,7 +87,10 @@ def simhash(text: str | None, width: int) -> int:
 
 def sketch(text: str | None, width: int) -> bytes:
     """One byte for the least shingle hash of each bin, zero for an empty bin."""
-    hashes = np.array(shingles(text, width), np.uint64)
+    return _sketch_of(np.array(shingles(text, width), np.uint64))
+
+
+def _sketch_of(hashes: np.ndarray) -> bytes:
     none = np.iinfo(np.uint64).max
     least = np.full(BINS, none, np.uint64)
     np.minimum.at(least, (hashes % np.uint64(BINS)).astype(np.int64), hashes // np.uint64(BINS))
@@ -106,16 +112,71 @@ def fingerprint(text: str, width: int) -> Column:
     return run(F.col(text))
 
 
-def _word_print(text: str, width: int) -> Column:
-    """(fp of the single words, sketch of the shingles)."""
+def shingle_set(text: str | None, width: int) -> np.ndarray:
+    """The distinct shingle hashes of a text in order."""
+    return np.unique(np.array(shingles(text, width), np.uint64))
+
+
+def _shingle_print(text: str, width: int) -> Column:
+    """(hash of the shingle set, sketch of it)."""
 
-    @F.pandas_udf(StructType().add("fp", "long").add("sketch", "binary"))
+    @F.pandas_udf(StructType().add("node", "long").add("sketch", "binary"))
     def run(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame({"fp": pd.Series([simhash(t, 1) for t in texts], dtype="int64"), "sketch": pd.Series([sketch(t, width) for t in texts], dtype=object)})
+        sets = [shingle_set(t, width) for t in texts]
+        nodes = np.array([xxhash.xxh64_intdigest(s.tobytes(), 7) for s in sets], np.uint64).view(np.int64)
+        return pd.DataFrame({"node": nodes, "sketch": pd.Series([_sketch_of(s) for s in sets], dtype=object)})
 
     return run(F.col(text))
 
 
+#: For each bin the order in which it looks for a bin with a shingle, itself first.
+LENDERS = np.array([[i, *np.random.default_rng(i).permutation(np.delete(np.arange(BINS), i))] for i in range(BINS)])
+
+
+def band_keys(sketches: np.ndarray) -> np.ndarray:
+    """Rows of sketches to rows of BANDS keys, each of them the band's number and its bytes."""
+    full = sketches.copy()
+    for i in np.flatnonzero((sketches == 0).any(axis=1) & (sketches != 0).any(axis=1)):
+        lent = sketches[i][LENDERS]
+        full[i] = lent[np.arange(BINS), (lent != 0).argmax(axis=1)]
+    parts = full[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS).astype(np.int64)
+    keys = np.broadcast_to(np.arange(BANDS, dtype=np.int64), parts.shape[:2])
+    for r in range(ROWS):
+        keys = (keys << 8) + parts[:, :, r]
+    return keys
+
+
+def _rows_of(sketches: pd.Series) -> np.ndarray:
+    return np.frombuffer(b"".join(sketches), np.uint8).reshape(-1, BINS)
+
+
+@F.pandas_udf(ArrayType(LongType()))
+def _bands(sketches: pd.Series) -> pd.Series:
+    return pd.Series(list(band_keys(_rows_of(sketches))), dtype=object)
+
+
+@F.pandas_udf(BooleanType())
+def _maybe_alike(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Whether so many bytes are equal that SIMILAR is within four standard errors."""
+    a, b = _rows_of(a), _rows_of(b)
+    some = ((a | b) != 0).sum(axis=1)
+    same = ((a == b) & (a != 0)).sum(axis=1)
+    return pd.Series(same >= SIMILAR * some - 4 * np.sqrt(SIMILAR * (1 - SIMILAR) * some))
+
+
+@F.pandas_udf(BooleanType())
+def _alike_sets(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Whether the Jaccard similarity of two shingle sets is SIMILAR or more."""
+
+    def alike_pair(x: bytes, y: bytes) -> bool:
+        x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        either = len(x) + len(y) - both
+        return both / either >= SIMILAR if either else True
+
+    return pd.Series([alike_pair(x, y) for x, y in zip(a, b, strict=True)], dtype=bool)
+
+
 def as_hex(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
@@ -162,7 +223,7 @@ def _by_block(postings: DataFrame) -> DataFrame:
     return out.select((F.col("k") * 1024 + F.col("z.p") * 128 + F.col("z.y")).alias("k"), *postings.columns[1:])
 
 
-def local_edges(fps: np.ndarray, nodes: np.ndarray, sketches: np.ndarray | None = None) -> list[tuple[int, int]]:
+def local_edges(fps: np.ndarray, nodes: np.ndarray) -> list[tuple[int, int]]:
     """Edges (member, first member) of the groups that the links among these entries make."""
     edges, rest, left = [], np.arange(len(fps)), fps
     while len(rest) > 1:
@@ -173,8 +234,6 @@ def local_edges(fps: np.ndarray, nodes: np.ndarray, sketches: np.ndarray | None
             tally = (x.view(np.uint8).reshape(-1, 8) == 0).sum(axis=1)  # shared bytes by position
             near = tally >= SHARED
             near[near] = np.bitwise_count(x[near].view(np.uint64)) <= BITS
-            if sketches is not None and near.any():
-                near[near] = alike(sketches[at], sketches[rest[near]]) >= SIMILAR
             if near.any():
                 found, rest, left = rest[near], rest[~near], left[~near]
                 queue += found.tolist()
@@ -193,8 +252,6 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k, *cols = (batch.column(i).to_numpy() for i in range(3))
         if not len(k):
             continue
-        if batch.num_columns > 3:
-            cols.append(np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(-1, BINS))
         cuts = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
         edges = []
         for a, b in zip(cuts, np.append(cuts[1:], len(k)), strict=True):
@@ -221,19 +278,14 @@ def link(fps: DataFrame, longest: int = LONGEST) -> DataFrame:
 
 
 def link_entries(fps: DataFrame, longest: int = LONGEST) -> DataFrame:
-    """Entries (fp, node[, sketch]) to (node, root), for those that are linked with another."""
+    """Entries (fp, node) to (node, root), for those that are linked with another."""
     edges = None
     postings = _postings(fps)
     for finer in (_by_fourth, _by_block, None):
         sizes = postings.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-        if "sketch" in fps.columns and finer:
-            # Sketches are wide: their postings move once, so only the few long ones are looked up.
-            counts = stage(sizes.where(F.col("n") > longest), "postings")
-            few = postings.join(counts, "k", "left_anti")
-        else:
-            counts = stage(sizes.where("n > 1"), "postings")
-            rows = postings.join(counts, "k")
-            few = rows.where(F.col("n") <= longest) if finer else rows
+        counts = stage(sizes.where("n > 1"), "postings")
+        rows = postings.join(counts, "k")
+        few = rows.where(F.col("n") <= longest) if finer else rows
         found = stage(_compare(few.select(*postings.columns)), "links")
         edges = found if edges is None else edges.unionByName(found)
         if finer is None or counts.where(F.col("n") > longest).isEmpty():
@@ -268,18 +320,66 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
     return kept.dropDuplicates(["__group"]).select(*own)
 
 
+def _pair(a: Column, b: Column) -> list[Column]:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+
+def _with_both(pairs: DataFrame, of: DataFrame, column: str) -> DataFrame:
+    """``pairs`` (a, b) with ``column`` of both nodes as x and y."""
+    one, two = (of.select(F.col("node").alias(n), F.col(column).alias(c)) for n, c in (("a", "x"), ("b", "y")))
+    return pairs.join(one, "a").join(two, "b")
+
+
+def _verified(pairs: DataFrame, entries: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """The ``pairs`` whose shingle sets are SIMILAR; sketches refuse clear cases before texts are looked up."""
+    pairs = stage(_with_both(pairs, entries, "sketch").where(_maybe_alike("x", "y")).select("a", "b"), "candidates")
+
+    @F.pandas_udf("binary")
+    def as_set(column: pd.Series) -> pd.Series:
+        return pd.Series([shingle_set(t, width).tobytes() for t in column], dtype=object)
+
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    found = texts.join(nodes, "node", "left_semi").dropDuplicates(["node"])
+    sets = stage(found.select("node", as_set("text").alias("set")), "sets")
+    return stage(_with_both(pairs, sets, "set").where(_alike_sets("x", "y")).select("a", "b"), "links")
+
+
+def link_similar(entries: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """Entries (node, sketch) with ``texts`` (node, text) to (node, root), for those that are linked with another.
+
+    First each posting is compared with its hub, the entry that meets the most others, which links a group of copies
+    at once. Then entries of different groups that meet are compared, but never two of one group.
+    """
+    postings = stage(entries.select("node", F.explode(_bands("sketch")).alias("k")), "postings")
+    sizes = postings.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    postings = stage(postings.join(sizes, "k"), "postings")
+    weights = postings.groupBy("node").agg(F.sum("n").alias("weight"))
+    hubs = postings.join(weights, "node").groupBy("k").agg(F.max(F.struct("weight", "node")).alias("hub"))
+    first = postings.join(hubs, "k").where("node != hub.node").select(*_pair(F.col("node"), F.col("hub.node"))).distinct()
+    links = _verified(first, entries, texts, width)
+    group = F.coalesce("root", "node").alias("group")
+    rows = stage(postings.join(components(links), "node", "left").select("k", "node", group), "groups")
+    counts = rows.groupBy("k", "group").agg(F.count(F.lit(1)).alias("n"))
+    main = counts.groupBy("k").agg(F.max(F.struct("n", "group"))["group"].alias("main"), F.count(F.lit(1)).alias("groups"))
+    rows = stage(rows.join(main.where("groups > 1").drop("groups"), "k"), "meetings")
+    left = rows.where(F.col("group") != F.col("main")).select("k", F.col("node").alias("l"), F.col("group").alias("of"))
+    met = left.join(rows, "k").where((F.col("of") != F.col("group")) & ((F.col("group") == F.col("main")) | (F.col("l") < F.col("node"))))
+    rest = stage(met.select(*_pair(F.col("l"), F.col("node"))).distinct(), "pairs")
+    return components(links.unionByName(_verified(rest, entries, texts, width)))
+
+
 def drop_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5) -> DataFrame:
     """The document with the smallest id of each group of documents whose shingle sets are SIMILAR, with its own columns.
 
-    Links are fingerprints of single words at BITS differing bits whose sketches are SIMILAR; texts with equal fingerprint
-    and sketch are one entry, told apart from others by a 64-bit hash.
+    Texts with equal shingle sets are one entry; shingles are told apart by 64-bit hashes, and so are sets.
     """
     own = [F.col(f"`{c}`") for c in docs.columns]
-    marked = docs.withColumn("__p", _word_print(text, width)).withColumn("__node", F.xxhash64("__p.fp", "__p.sketch"))
-    marked = stage(marked, "marked")
-    entry = [F.min(doc_id).alias("low"), F.first("__p.fp").alias("fp"), F.first("__p.sketch").alias("sketch")]
+    marked = stage(docs.withColumn("__p", _shingle_print(text, width)), "marked")
+    marked = marked.withColumn("__node", F.col("__p.node"))
+    entry = [F.min(doc_id).alias("low"), F.first("__p.sketch").alias("sketch")]
     entries = stage(marked.groupBy(F.col("__node").alias("node")).agg(*entry), "entries")
-    links = link_entries(entries.select("fp", "node", "sketch"))
+    texts = marked.select(F.col("__node").alias("node"), F.col(text).alias("text"))
+    links = link_similar(entries.select("node", "sketch"), texts, width)
     roots = entries.select("node", "low").join(links, "node", "left").withColumn("__group", F.coalesce("root", "node"))
     roots = stage(roots.select(F.col("node").alias("__node"), "__group", F.col("low").alias("__low")), "groups")
     lows = roots.groupBy("__group").agg(F.min("__low").alias("__low"))
