@@ -44,3 +44,11 @@ def test_edited_copies_are_found(spark):
     texts = [" ".join(t) for t in texts]
     assert exact(texts) == list(range(0, len(texts), 2))
     assert kept_of(spark, texts) == exact(texts)
+
+
+def test_threshold_is_exact(spark):
+    rng, texts = random.Random(5), []
+    for tail in range(30, 70):  # 196 shingles and a tail: from 0.87 to 0.74
+        base = words(rng, 200)
+        texts += [" ".join(base), " ".join(base + words(rng, tail))]
+    assert kept_of(spark, texts) == exact(texts)
