@@ -5,7 +5,8 @@ For each host the pages that contain a line are divided by the host's pages; a l
 lines without a word are never dropped.
 
 Defined results: documents with a null host form one host; a null text stays null, an empty one empty; a page whose
-lines all go keeps its row with the lines that are left, possibly none; repeated rows count as pages of their own.
+lines all go keeps its row with the lines that are left, possibly none; repeated rows count as pages of their own,
+or, with ``copies=False``, pages of a host with the same text count as one page.
 """
 
 from __future__ import annotations
@@ -25,12 +26,24 @@ def _digest(line: Column) -> list[Column]:
     return [F.xxhash64(line), F.xxhash64(F.lit(1), line)]
 
 
-def boilerplate(docs: DataFrame, host: str = "source", text: str = "text", percent: int = RATIO_PERCENT, least_pages: int = LEAST_PAGES) -> DataFrame:
+def distinct_pages(docs: DataFrame, host: str = "source", text: str = "text") -> DataFrame:
+    """``host`` and ``text`` with one row for equal texts of a host; only texts that have copies are shuffled."""
+    a, b = _digest(F.col(text))
+    pages = docs.select(host, text, a.alias("__pa"), b.alias("__pb"))
+    copied = pages.groupBy(F.col(host).alias("__ch"), F.col("__pa").alias("__ca"), F.col("__pb").alias("__cb")).agg(F.count(F.lit(1)).alias("__c")).where("__c > 1")
+    copied = stage(copied, "copied-pages")
+    same = F.col(host).eqNullSafe(F.col("__ch")) & (F.col("__pa") == F.col("__ca")) & (F.col("__pb") == F.col("__cb"))
+    single = pages.join(copied, same, "left_anti")
+    return single.unionByName(pages.join(copied, same, "left_semi").dropDuplicates([host, "__pa", "__pb"])).select(host, text)
+
+
+def boilerplate(docs: DataFrame, host: str = "source", text: str = "text", percent: int = RATIO_PERCENT, least_pages: int = LEAST_PAGES, copies: bool = True) -> DataFrame:
     """One row per host that has boilerplate: ``__host`` and the hashes ``__a``, ``__b`` of its lines.
 
     Lines become two hashes before the shuffle and are counted within each task first, so a hot host or line moves one
     row per task. A host's list is bounded by its lines per page times 100 / percent.
     """
+    docs = docs if copies else distinct_pages(docs, host, text)
     lines = docs.select(F.col(host).alias("__host"), F.explode(F.array_distinct(F.split(F.col(text), "\n"))).alias("__line"))
     a, b = _digest(F.col("__line"))
     counts = lines.where(~F.col("__line").rlike(NO_WORD)).groupBy("__host", a.alias("__a"), b.alias("__b")).agg(F.count(F.lit(1)).alias("__n"))
@@ -41,13 +54,15 @@ def boilerplate(docs: DataFrame, host: str = "source", text: str = "text", perce
     return found.groupBy("__host").agg(F.collect_list("__a").alias("__a"), F.collect_list("__b").alias("__b"))
 
 
-def drop_boilerplate(docs: DataFrame, host: str = "source", text: str = "text", percent: int = RATIO_PERCENT, least_pages: int = LEAST_PAGES) -> DataFrame:
+def drop_boilerplate(
+    docs: DataFrame, host: str = "source", text: str = "text", percent: int = RATIO_PERCENT, least_pages: int = LEAST_PAGES, copies: bool = True,
+) -> DataFrame:
     """``docs`` with the boilerplate lines taken out of ``text``, and ``__n_lines``, ``__n_dropped``.
 
     The lists are written first, so the optimizer knows their size and broadcasts them only below the session's
     threshold; above it both sides are shuffled by host and adaptive execution splits a hot one.
     """
-    lists = stage(boilerplate(docs, host, text, percent, least_pages), "boilerplate")
+    lists = stage(boilerplate(docs, host, text, percent, least_pages, copies), "boilerplate")
     df = docs.join(lists, F.col(host).eqNullSafe(F.col("__host")), "left").withColumn("__split", F.split(F.col(text), "\n"))
 
     def stays(line: Column) -> Column:
