@@ -52,3 +52,20 @@ def test_threshold_is_exact(spark):
         base = words(rng, 200)
         texts += [" ".join(base), " ".join(base + words(rng, tail))]
     assert kept_of(spark, texts) == exact(texts)
+
+
+def test_hot_group_is_not_compared_pairwise(spark, monkeypatch):
+    """Copies of one text meet in all postings; only comparisons with a hub are made, and unlike ones stay."""
+    rng = random.Random(7)
+    base = words(rng, 400)
+    texts = [" ".join(base)] + [" ".join([*base[: 2 * k], f"new{k}", *base[2 * k + 1 :]]) for k in range(150)]
+    texts += [" ".join(rng.sample(base, len(base))) for _ in range(5)]
+    looked, verified = [], simhash._verified
+
+    def count(pairs, *rest):
+        looked.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(simhash, "_verified", count)
+    assert kept_of(spark, texts) == [0, *range(151, 156)]
+    assert sum(looked) < 25 * len(texts)
