@@ -80,11 +80,11 @@ def read_bronze(spark: SparkSession, root: str, filename: str, cities: list[str]
     """A raw file of many cities under ``root/city=/year=/month=/filename`` with its partition columns.
 
     ``filename`` may be a glob. With ``latest`` only the newest month of each city is read; other months are never
-    opened. Every directory is read by its own header and the columns of all are united by name, so cities may order
+    opened. Every file is read by its own header and the columns of all are united by name, so cities may order
     or extend theirs as they like; a column that a city lacks is null. With ``schema`` its columns are taken by name.
     Turn ``multi_line`` off for plain files without line breaks in quotes, to split large ones.
 
-    File names come to the driver, one for each landed file; the header is read from the first file of a directory.
+    File names come to the driver, one for each landed file, and the header of each file by a small job.
     """
     files = spark.read.format("binaryFile").option("basePath", root).option("pathGlobFilter", filename).load(root)
     found = files.select("path", "city", "year", "month")
@@ -97,18 +97,16 @@ def read_bronze(spark: SparkSession, root: str, filename: str, cities: list[str]
         spark.read.option("basePath", root).option("pathGlobFilter", filename).option("header", True)
         .option("escape", '"').option("multiLine", multi_line).option("inferSchema", False)
     )
-    folders: dict[str, list[str]] = {}
-    for r in found.select("path").orderBy("path").collect():
-        folders.setdefault(r["path"].rsplit("/", 1)[0], []).append(r["path"])
+    paths = [r["path"] for r in found.select("path").orderBy("path").collect()]
     parts = [f.name for f in files.schema.fields if f.name in ("city", "year", "month")]
     by_header: dict[tuple[str, ...], list[str]] = {}
-    for paths in folders.values():
-        header = tuple(c for c in reader.csv(paths[0]).columns if c not in parts)
-        by_header.setdefault(header, []).extend(paths)
+    for path in paths:
+        header = tuple(c for c in reader.csv(path).columns if c not in parts)
+        by_header.setdefault(header, []).append(path)
     if not by_header:
         empty = schema or T.StructType()
         return spark.createDataFrame([], T.StructType([*empty.fields, *[files.schema[c] for c in parts]]))
-    tables = [reader.schema(text_schema(*header)).csv(paths) for header, paths in by_header.items()]
+    tables = [reader.schema(text_schema(*header)).csv(same) for header, same in by_header.items()]
     df = functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
     if schema is None:
         return df
