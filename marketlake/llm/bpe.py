@@ -6,6 +6,10 @@ in the linked list of tokens; a bitmap in two levels tells by find-first-set whi
 whose pair has changed meanwhile is skipped when it comes up. So a piece of n bytes takes about n log n steps however
 long it is.
 
+Many short pieces share one linked list and one queue (``merge_all``): a bucket is then worked off with array
+operations. Pieces do not touch, so each is merged as if it were alone, as long as no merge makes a pair of a lower rank
+than its own; a piece in which one does is merged again by itself.
+
 Defined results: a null text is empty and gives no ids; every row is encoded on its own, so repeated rows, ties and
 further columns do not matter; decoding gives the UTF-8 bytes of the text back.
 """
@@ -14,17 +18,19 @@ from __future__ import annotations
 
 import base64
 import re
+from collections.abc import Iterable, Iterator
 from heapq import heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType
+from pyspark.sql.types import BinaryType, StructType
 
-#: Pieces and runs kept by a Python worker between batches; beyond it they are forgotten and made again.
-CACHED = 1_500_000
+from marketlake.llm.common import Bounded, slices
 
 
 def read_ranks(path: str) -> bytes:
@@ -51,11 +57,122 @@ class Encoder:
 
     def __init__(self, ranks: bytes, pattern: str):
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, ranks.splitlines())}
-        self.tokens = {rank: token for token, rank in self.ranks.items()}
-        self.packed = {rank: rank.to_bytes(4, "little") for rank in self.tokens}
+        self.packed = {rank: rank.to_bytes(4, "little") for rank in self.ranks.values()}
         self.queue = RankQueue(max(self.ranks.values(), default=0) + 1)
         self.find = regex.compile(pattern).findall
-        self.seen = Seen(self)
+        self.runs = Bounded(limit=48 << 20)  # the ids of runs that follow a blank
+        self.keys, self.made = self._pairs()
+        self.single = np.array([self.ranks.get(bytes([b]), -1) for b in range(256)], np.int32)
+
+    def _pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of tokens that make a token: sorted keys, and the rank of each."""
+        get, pairs = self.ranks.get, {}
+        for token, rank in self.ranks.items():
+            for cut in range(1, len(token)):
+                a, b = get(token[:cut]), get(token[cut:])
+                if a is not None and b is not None:
+                    pairs[a << 32 | b] = rank
+        keys = np.fromiter(pairs.keys(), np.int64, len(pairs))
+        order = np.argsort(keys)
+        return keys[order], np.fromiter(pairs.values(), np.int32, len(pairs))[order]
+
+    def _ranks_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The rank of each pair of tokens, -1 for none; tokens below 0 are none."""
+        keys = a.astype(np.int64) << 32 | b.astype(np.int64) & 0xFFFFFFFF
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.made[at], -1) if len(self.keys) else np.full(len(keys), -1, np.int32)
+
+    def merge_all(self, pieces: Iterable[str]) -> dict[str, bytes]:
+        """The ids of each piece."""
+        out: dict[str, bytes] = {}
+        part, size = [], 0
+        for piece in pieces:
+            raw = piece.encode()
+            whole = self.ranks.get(raw)
+            if whole is not None:
+                out[piece] = self.packed[whole]
+                continue
+            if part and size + len(raw) > 1 << 21:
+                self._merge_part(part, size, out)
+                part, size = [], 0
+            part.append((piece, raw))
+            size += len(raw)
+        self._merge_part(part, size, out)
+        return out
+
+    def _merge_part(self, part: list[tuple[str, bytes]], size: int, out: dict[str, bytes]) -> None:
+        if size < 1 << 17 or self.single.min() < 0:  # few pieces are sooner done one by one
+            out.update((piece, self.merge(raw)) for piece, raw in part)
+            return
+        for (piece, raw), ids in zip(part, self._merge_together([raw for _, raw in part]), strict=True):
+            out[piece] = self.merge(raw) if ids is None else ids
+
+    def _merge_together(self, pieces: list[bytes]) -> list[bytes | None]:
+        """The ids of each piece, None for one that must be merged by itself."""
+        shift, mask, leaf, bit = self.queue.shift, self.queue.mask, self.queue.leaf, self.queue.bit
+        ends = np.cumsum([len(p) for p in pieces])
+        n = int(ends[-1])
+        starts = np.concatenate([[0], ends[:-1]])
+        # One more place, n, stands for "none".
+        token = np.append(self.single[np.frombuffer(b"".join(pieces), np.uint8)], np.int32(-1))
+        after = np.arange(1, n + 2, dtype=np.int32)
+        after[ends - 1] = n
+        after[n] = n
+        before = np.arange(-1, n, dtype=np.int32)
+        before[starts] = n
+        live = np.ones(n, bool)
+        now = np.append(self._ranks_of(token[:-1], token[after[:-1]]), np.int32(-1)).astype(np.int32)
+        first = np.flatnonzero(now >= 0)
+        first = first[np.argsort(now[first], kind="stable")]
+        cuts = np.flatnonzero(np.diff(now[first], prepend=-1))
+        buckets: dict[int, list] = {int(now[p[0]]): [p] for p in np.split(first, cuts[1:])} if len(first) else {}
+        late: dict[int, list[int]] = {}
+        summary = 0
+        for rank in buckets:
+            leaf[rank >> shift] |= bit[rank & mask]
+            summary |= bit[rank >> shift]
+        odd: set[int] = set()
+        while summary:
+            top = (summary & -summary).bit_length() - 1
+            word = leaf[top]
+            low = word & -word
+            rank = (top << shift) + low.bit_length() - 1
+            leaf[top] = word = word ^ low
+            if not word:
+                summary ^= bit[top]
+            at = np.unique(np.concatenate([*buckets.pop(rank, []), np.array(late.pop(rank, []), np.int64)]))
+            at = at[now[at] == rank]  # the others are stale
+            if len(at) > 1:
+                # Where pairs overlap (x x x), every other one of the run is merged, from the left.
+                place = np.arange(len(at))
+                begins = np.concatenate([[True], after[at[:-1]] != at[1:]])
+                at = at[(place - np.maximum.accumulate(np.where(begins, place, 0))) % 2 == 0]
+            if not len(at):
+                continue
+            gone = after[at]
+            end = after[gone]
+            token[at] = rank
+            after[at] = end
+            before[end] = at
+            live[gone] = False
+            now[gone] = -1
+            left = before[at]
+            where = np.concatenate([at, left[left < n]])
+            new = self._ranks_of(token[where], token[after[where]])
+            now[where] = new
+            made = new >= 0
+            for place, rank_of in zip(where[made].tolist(), new[made].tolist(), strict=True):
+                if rank_of < rank:
+                    odd.add(int(np.searchsorted(ends, place, "right")))
+                if rank_of in late:
+                    late[rank_of].append(place)
+                else:
+                    late[rank_of] = [place]
+                    leaf[rank_of >> shift] |= bit[rank_of & mask]
+                    summary |= bit[rank_of >> shift]
+        ids = token[:-1][live].astype("<u4").tobytes()
+        to = (4 * np.cumsum(np.add.reduceat(live, starts, dtype=np.int64))).tolist()
+        return [None if k in odd else ids[a:b] for k, (a, b) in enumerate(zip([0, *to[:-1]], to, strict=True))]
 
     def merge(self, piece: bytes) -> bytes:
         """The ids of one piece, as ``encode`` gives them."""
@@ -66,10 +183,11 @@ class Encoder:
         shift, mask, leaf, bit = self.queue.shift, self.queue.mask, self.queue.leaf, self.queue.bit
         n = len(piece)
         after, before = list(range(1, n + 1)), list(range(-1, n))
+        now = [get(piece[i : i + 2]) for i in range(n - 1)]  # the rank of the pair that starts here, None for no pair
+        now.append(None)
         buckets: dict[int, list[int]] = {}
         summary = 0
-        for i in range(n - 1):
-            rank = get(piece[i : i + 2])
+        for i, rank in enumerate(now):
             if rank is not None:
                 if rank in buckets:
                     buckets[rank].append(i)
@@ -92,18 +210,16 @@ class Encoder:
                 leaf[top] = word = word ^ low
                 if not word:
                     summary ^= bit[top]
+            if now[i] != rank:
+                continue  # stale: the pair has grown or is gone
             j = after[i]
-            if j >= n or j < 0:
-                continue  # stale: nothing is to the token's right any more, or it is gone
             end = after[j]
-            if get(piece[i:end]) != rank:
-                continue  # stale: the pair has grown
             after[i] = end
-            after[j] = -1
+            now[j] = None
             before[end] = i
             if i:
                 left = before[i]
-                new = get(piece[left:end])
+                now[left] = new = get(piece[left:end])
                 if new is not None:
                     if new in buckets:
                         heappush(buckets[new], left)
@@ -111,30 +227,51 @@ class Encoder:
                         buckets[new] = [left]
                         leaf[new >> shift] |= bit[new & mask]
                         summary |= bit[new >> shift]
-            if end < n:
-                new = get(piece[i : after[end]])
-                if new is not None:
-                    if new in buckets:
-                        heappush(buckets[new], i)
-                    else:
-                        buckets[new] = [i]
-                        leaf[new >> shift] |= bit[new & mask]
-                        summary |= bit[new >> shift]
+            now[i] = new = get(piece[i : after[end]]) if end < n else None
+            if new is not None:
+                if new in buckets:
+                    heappush(buckets[new], i)
+                else:
+                    buckets[new] = [i]
+                    leaf[new >> shift] |= bit[new & mask]
+                    summary |= bit[new >> shift]
         out, i = [], 0
         while i < n:
             out.append(self.packed[self.ranks[piece[i : after[i]]]])
             i = after[i]
         return b"".join(out)
 
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers.
+
+        A blank between two other characters always starts a piece, so what follows it up to the next one is a run that
+        can be encoded on its own; only runs that the worker does not remember are cut and merged, together.
+        """
+        cuts = [[t] if DOUBLE_GAP.search(t) else t.split(" ") for t in texts]
+        runs, new = {}, []
+        for run in {run for cut in cuts for run in cut[1:]}:
+            ids = self.runs.recall(run)
+            if ids is None:
+                new.append(run)
+            else:
+                runs[run] = ids
+        heads, rest = [self.find(cut[0]) for cut in cuts], [self.find(" " + run) for run in new]
+        ids_of = self.merge_all({piece for found in chain(heads, rest) for piece in found}).__getitem__
+        for run, found in zip(new, rest, strict=True):
+            runs[run] = ids = b"".join(map(ids_of, found))
+            self.runs.keep(run, ids)
+        get = runs.__getitem__
+        return [b"".join([*map(ids_of, head), *map(get, cut[1:])]) for head, cut in zip(heads, cuts, strict=True)]
+
     def encode(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers."""
-        if len(self.seen) > CACHED:
-            self.seen.clear()
-        if DOUBLE_GAP.search(text):
-            return b"".join([self.seen.piece(p) for p in self.find(text)])
-        # A blank between two other characters always starts a piece: runs between blanks can be encoded on their own.
-        first, *rest = text.split(" ")
-        return self.seen[first] + b"".join(map(self.seen.__getitem__, [" " + x for x in rest]))
+        return self.encode_all([text])[0]
+
+
+class Decoder:
+    """The token of each id; nothing of the encoder is held."""
+
+    def __init__(self, ranks: bytes):
+        self.tokens = {int(rank): base64.b64decode(token) for token, rank in map(bytes.split, ranks.splitlines())}
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -144,27 +281,8 @@ class Encoder:
 DOUBLE_GAP = re.compile(r"^ |\s | \s| $")
 
 
-class Seen(dict):
-    """Ids of runs and of pieces that the worker has met; a run of one piece is one entry."""
-
-    def __init__(self, encoder: Encoder):
-        self.encoder = encoder
-
-    def piece(self, piece: str) -> bytes:
-        ids = self.get(piece)
-        if ids is None:
-            self[piece] = ids = self.encoder.merge(piece.encode())
-        return ids
-
-    def __missing__(self, run: str) -> bytes:
-        pieces = self.encoder.find(run)
-        if len(pieces) == 1:
-            return self.piece(run)
-        self[run] = ids = b"".join(map(self.piece, pieces))
-        return ids
-
-
 _ENCODERS: dict[tuple[bytes, str], Encoder] = {}
+_DECODERS: dict[bytes, Decoder] = {}
 
 
 def encoder(ranks: bytes, pattern: str) -> Encoder:
@@ -175,37 +293,58 @@ def encoder(ranks: bytes, pattern: str) -> Encoder:
     return _ENCODERS[key]
 
 
-def encode(docs: DataFrame, ranks: bytes, pattern: str, text: str = "text", to: str = "ids") -> DataFrame:
-    """``docs`` with the ids as a binary column (little-endian unsigned 32-bit); replaces a column of that name."""
-    return docs.withColumn(to, _encode(docs.sparkSession, ranks, pattern)(F.col(text)))
+def encode(docs: DataFrame, ranks: bytes, pattern: str, text: str = "text", to: str = "ids", decoded: str | None = None) -> DataFrame:
+    """``docs`` with the ids as a binary column (little-endian unsigned 32-bit); replaces a column of that name.
+
+    ``decoded`` names a further column for the bytes that these ids stand for, made in the same pass.
+    """
+    new = [to] if decoded is None else [to, decoded]
+    schema = StructType([f for f in docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in new]).schema.fields])
+    for name in new:
+        schema = schema.add(name, BinaryType())
+    return docs.mapInArrow(_encoder(docs.sparkSession, ranks, pattern, text, schema.names, decoded is not None), schema)
 
 
-def decode(docs: DataFrame, ranks: bytes, pattern: str, ids: str = "ids", to: str = "decoded") -> DataFrame:
+def decode(docs: DataFrame, ranks: bytes, ids: str = "ids", to: str = "decoded") -> DataFrame:
     """``docs`` with the bytes that the ids stand for."""
-    return docs.withColumn(to, _decode(docs.sparkSession, ranks, pattern)(F.col(ids)))
+    return docs.withColumn(to, _decode(docs.sparkSession, ranks)(F.col(ids)))
 
 
 def n_tokens(ids: str = "ids") -> Column:
     return (F.octet_length(ids) / 4).cast("long")
 
 
-def _encode(spark: SparkSession, ranks: bytes, pattern: str):
-    shared = spark.sparkContext.broadcast(ranks)
+def _decoder(ranks: bytes) -> Decoder:
+    if ranks not in _DECODERS:
+        _DECODERS[ranks] = Decoder(ranks)
+    return _DECODERS[ranks]
 
-    @F.pandas_udf(BinaryType())
-    def run(texts: pd.Series) -> pd.Series:
-        own = encoder(shared.value, pattern)
-        return pd.Series([own.encode(t or "") for t in texts], dtype=object)
 
-    return run.asNondeterministic()  # it is deterministic, but the optimizer must not repeat it for each use of the ids
+def _encoder(spark: SparkSession, ranks: bytes, pattern: str, text: str, names: list[str], back: bool):
+    shared = spark.sparkContext.broadcast(ranks)
+    kept = names[: len(names) - 1 - back]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, tokens = encoder(shared.value, pattern), _decoder(shared.value) if back else None
+        for batch in batches:
+            texts, at = [t or "" for t in batch.column(batch.schema.names.index(text)).to_pylist()], 0
+            for part in slices(texts):
+                ids = own.encode_all(part)
+                new = [ids, [tokens.decode(x) for x in ids]] if back else [ids]
+                rows = batch.slice(at, len(part))
+                columns = [rows.column(batch.schema.names.index(c)) for c in kept] + [pa.array(c, pa.binary()) for c in new]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+                at += len(part)
+
+    return run
 
 
-def _decode(spark: SparkSession, ranks: bytes, pattern: str):
+def _decode(spark: SparkSession, ranks: bytes):
     shared = spark.sparkContext.broadcast(ranks)
 
     @F.pandas_udf(BinaryType())
     def run(ids: pd.Series) -> pd.Series:
-        own = encoder(shared.value, pattern)
+        own = _decoder(shared.value)
         return pd.Series([own.decode(x or b"") for x in ids], dtype=object)
 
     return run

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Callable, Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: The white space that parts words: blank, tab, line feed, vertical tab, form feed, carriage return.
 GAP = r"[\x20\x09-\x0D]+"
-NO_WORD = r"^[\x20\x09-\x0D]*$"
+NO_WORD = r"\A[\x20\x09-\x0D]*\z"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,3 +30,51 @@ def words_of(text: Column) -> Column:
 def tasks(spark: SparkSession, least: int = 1) -> int:
     """How many partitions an explicit shuffle gets: the session's setting."""
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+class Bounded(dict):
+    """What a Python worker keeps for keys, in at most ``limit`` bytes.
+
+    There are two generations of half the size: when the young one is full it becomes the old one, whose values come
+    back when they are asked for again. Values of keys longer than ``longest`` are not kept, so a text without blanks
+    does not stay. With ``make``, a missing value is made.
+    """
+
+    def __init__(self, make: Callable | None = None, limit: int = 32 << 20, longest: int = 32):
+        self.make, self.half, self.longest, self.held, self.old = make, limit // 2, longest, 0, {}
+
+    def recall(self, key):
+        """The value, None if it is not kept."""
+        value = self.get(key)
+        if value is None and (value := self.old.get(key)) is not None:
+            self.keep(key, value)
+        return value
+
+    def keep(self, key, value) -> None:
+        if len(key) <= self.longest:
+            self.held += sys.getsizeof(key) + sys.getsizeof(value) + 100  # the entry itself takes about 100 bytes
+            if self.held > self.half:
+                self.old = dict(self)
+                self.clear()
+                self.held = 0
+            self[key] = value
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        self.keep(key, value)
+        return value
+
+
+def slices(texts: list[str], chars: int = 8 << 20) -> Iterator[list[str]]:
+    """``texts`` in turn, so many at a time as hold ``chars`` characters; a longer text comes alone."""
+    part, size = [], 0
+    for text in texts:
+        if part and size + len(text) > chars:
+            yield part
+            part, size = [], 0
+        part.append(text)
+        size += len(text)
+    if part:
+        yield part

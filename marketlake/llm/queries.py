@@ -57,8 +57,8 @@ from cut
 @_query
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    ids = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN).drop("text")
-    back = bpe.decode(ids, ranks, public_tokenizers.PATTERN)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    back = bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded="decoded")
     return back.select("doc_id", bpe.n_tokens().alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
