@@ -25,21 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.llm import windows
+from marketlake.llm.common import Bounded
 from marketlake.session import stage
 
 LENGTH = 50
-CACHED = 500_000
 
 
-class _Numbers(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > CACHED:
-            self.clear()
-        self[word] = number = xxhash.xxh64_intdigest(word, 7)
-        return number
-
-
-_NUMBERS = _Numbers()
+_NUMBERS = Bounded(lambda word: xxhash.xxh64_intdigest(word, 7))
 
 
 def words_of(text: str | None) -> list[bytes]:

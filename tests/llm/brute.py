@@ -121,18 +121,11 @@ def jaccard(a, b):
     return len(a & b) / len(a | b) if a | b else 1.0
 
 
-def similar_groups(rows, sketch, alike, bits=4, least=0.8):
-    """Smallest id of each group of ``rows`` linked by word fingerprints and the estimate of their sketches, all pairs."""
-    prints = [simhash(t, 1) for _, t in rows]
-    sketches = [np.frombuffer(sketch(t, 5), np.uint8) for _, t in rows]
-    near = {}
-    for i, f in enumerate(prints):
-        close = [j for j, g in enumerate(prints) if (f ^ g).bit_count() <= bits]
-        near[i] = [j for j in close if alike(sketches[i], sketches[j][None])[0] >= least]
+def similar_groups(rows, least=0.8):
+    """Smallest id of each group of ``rows`` linked by the Jaccard similarity of their shingle sets, all pairs."""
+    sets = [shingle_set(t) for _, t in rows]
+    near = {i: [j for j in range(i) if jaccard(sets[i], sets[j]) >= least] for i in range(len(rows))}
     low = defaultdict(list)
     for i, g in components(near).items():
-        if rows[i][0] is not None:
-            low[g].append(rows[i][0])
-        else:
-            low[g]
+        low[g] += [rows[i][0]] * (rows[i][0] is not None)
     return [min(ids, default=None) for ids in low.values()]
