@@ -5,9 +5,13 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketlake.session import stage
+
 #: The white space that parts words: blank, tab, line feed, vertical tab, form feed, carriage return.
 GAP = r"[\x20\x09-\x0D]+"
 NO_WORD = r"\A[\x20\x09-\x0D]*\z"
@@ -78,3 +82,19 @@ def slices(texts: list[str], chars: int = 8 << 20) -> Iterator[list[str]]:
         size += len(text)
     if part:
         yield part
+
+
+def sum_arrays(parts: DataFrame, kind: str = "f8", fan: int = 16) -> np.ndarray:
+    """The sum of the arrays that the rows of ``parts`` (data: bytes of numbers) hold; all are of one length.
+
+    They are added up in rounds of ``fan`` in tasks, so the driver gets ``fan`` arrays at most, however many rows there are.
+    """
+
+    def add(frame: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"data": [sum(np.frombuffer(x, kind) for x in frame["data"]).tobytes()]})
+
+    parts = stage(parts.select("data"), "parts")
+    while (n := parts.count()) > fan:
+        keyed = parts.withColumn("k", F.pmod(F.xxhash64("data", F.monotonically_increasing_id()), F.lit(-(-n // fan))))
+        parts = stage(keyed.groupBy("k").applyInPandas(lambda f: add(f), "data binary"), "parts")
+    return sum((np.frombuffer(r["data"], kind) for r in parts.collect()), np.zeros((), kind))

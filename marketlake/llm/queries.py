@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import bpe, iblt, line_dedup, mixing, quality, revisits, simhash, suffix_array, token_store, window_dedup
+from marketlake.llm import bpe, cosine, iblt, line_dedup, merkle, mixing, quality, revisits, simhash, suffix_array, token_store, whitening, window_dedup
 from marketlake.llm.common import table
 from marketlake.session import stage
 
@@ -166,6 +166,87 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@_query
+def op11_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cosine.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op11_embedding_near_dedup"] = f"""
+with recursive given as (
+  select row_number() over () k, vec_id, label, embedding::double[] e, coalesce(label is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0, false) ok
+  from embeddings),
+near as (
+  select a.k a, b.k b from given a join given b on a.label = b.label and len(a.e) = len(b.e) and a.k <> b.k
+  where a.ok and b.ok and list_cosine_similarity(a.e, b.e) >= {cosine.THRESHOLD}),
+reach as (select k a, k b from given union select r.a, n.b from reach r join near n on n.a = r.b),
+least as (select r.a k, min(g.vec_id) component_id from reach r join given g on g.k = r.b group by r.a),
+links as (select a k, count(*) n from near group by a)
+select g.vec_id, coalesce(l.n, 0)::bigint n_links, c.component_id, coalesce(g.vec_id = c.component_id, false) kept
+from given g join least c using (k) left join links l using (k)
+"""
+
+
+@_query
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = merkle.manifest(merkle.leaves(table(spark, sf_dir, "documents")))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def _merkle_sql(levels: int = 5, run: int = merkle.FANOUT) -> str:
+    """Trees of up to run ** levels nodes; a tree that is done stays as it is on the levels above."""
+    lower = merkle._UPPER.lower()
+    field = lambda c: f"coalesce(strlen({c}::varchar)::varchar || ':' || {c}::varchar, '-')"
+    leaf = lambda text: "sha256(" + " || ".join(field(c) if c != "text" else field(text) for c in merkle.COLUMNS) + ")"
+
+    def tree(name: str, base: str) -> str:
+        parts, at = [], base
+        for k in range(levels):
+            inside = f"partition by g, place // {run} order by place rows between"
+            parts.append(f"""{name}{k} as (select g, place, size, hash,
+    coalesce(string_agg(hash, '') over ({inside} unbounded preceding and 1 preceding), '') l,
+    coalesce(string_agg(hash, '') over ({inside} 1 following and unbounded following), '') r from {at})""")
+            at = f"""(select g, place // {run} place, (max(size) + {run - 1}) // {run} size,
+      case when max(size) > 1 then sha256(string_agg(hash, '' order by place)) else max(hash) end hash from {name}{k} group by g, place // {run})"""
+        return ", ".join([*parts, f"{name}{levels} as {at}"])
+
+    joins = "\n".join(
+        f"join {name}{k} {name}_{k} on {name}_{k}.g {key} and {name}_{k}.place = {place} // {run**k}"
+        for name, key, place in (("n", "= x.g", "x.place"), ("s", "= 'all'", "o.place")) for k in range(levels)
+    )
+    steps = [f"{name}_{k}" for name in ("n", "s") for k in range(levels)]
+    proof = " || ".join(f"{t}.l || {t}.r" for t in steps)
+    inner = f"""select x.doc_id, x.leaf, x.h, n{levels}.hash subroot, sha256({proof}) proof_sha256,
+    {", ".join(f"{t}.l {t}l, {t}.r {t}r, {t}.size {t}z" for t in steps)}
+  from x join o on o.g = x.g {joins} join n{levels} on n{levels}.g = x.g"""
+    chain = f"w0 as ({inner})"  # each step is a column of its own, so that no expression holds another twice
+    for i, t in enumerate(steps):
+        chain += f", w{i + 1} as (select * replace (case when {t}z > 1 then sha256({t}l || h || {t}r) else h end as h) from w{i})"
+    crc = (
+        "xor(list_reduce(list_transform(range(1, length(doc_id::varchar) + 1), lambda i: ascii(substr(doc_id::varchar, i, 1))::bigint), lambda c, b: "
+        "list_reduce(range(8), lambda x, i: xor(x >> 1, case when x & 1 = 1 then 3988292384 else 0 end), xor(c, b)), 4294967295), 4294967295)"
+    )
+    return f"""
+with d as (select *, coalesce('1' || source, '0') g, {leaf("text")} leaf from documents),
+x as (select doc_id, g, leaf, case when doc_id is not null and {crc} % 5 = 0 then {leaf(f"translate(text, '{merkle._UPPER}', '{lower}')")} else leaf end h,
+    row_number() over (partition by g order by doc_id nulls first, leaf) - 1 place, count(*) over (partition by g) size from d),
+{tree("n", "(select g, place, size, leaf hash from x)")},
+o as (select g, row_number() over (order by g) - 1 place, count(*) over () size, hash from n{levels}),
+{tree("s", "(select 'all' g, place, size, hash from o)")},
+{chain}
+select doc_id, leaf, subroot, (select hash from s{levels}) root, proof_sha256, h folded_root, h = (select hash from s{levels}) verified from w{len(steps)}
+"""
+
+
+ORACLES["op13_merkle_manifest"] = _merkle_sql()
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
