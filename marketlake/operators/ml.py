@@ -10,15 +10,17 @@ from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketlake.operators.boosting import BoostedModel, Boosting
 from marketlake.operators.keys import distributed_key
 from marketlake.operators.stats import argmin, regression_metrics
 from marketlake.session import stage
 
 PREDICTION = "prediction"
-#: The deepest tree that Spark grows; it stands for "no limit".
+#: The deepest tree that Spark grows; it stands for "no limit", which Spark does not have.
 DEEPEST = 30
 
 
@@ -41,9 +43,24 @@ def _depth(spec: dict) -> int:
     return max(1, math.ceil(math.log2(spec.get("num_leaves", 32))))
 
 
-def gbt(target: str, spec: dict, seed: int = 42) -> GBTRegressor:
-    """Boosted trees from a spec with n_estimators, learning_rate, max_depth or num_leaves, subsample,
-    colsample_bytree (here a choice of features for each node) and min_child_samples. Spark's trees know no penalty on
+def gbt(target: str, spec: dict, seed: int = 42) -> Boosting:
+    """Boosted trees from a run's spec, grown leaf by leaf with a penalty on leaves (see :class:`Boosting`)."""
+    return Boosting(target, spec, seed)
+
+
+def xgboost(target: str, spec: dict, seed: int = 42) -> Boosting:
+    """The same for a spec in that library's names and defaults: whole levels down to max_depth, rows drawn for each tree."""
+    own = {k: v for k, v in spec.items() if k not in ("min_child_weight", "max_depth", "objective", "eval_metric")}
+    if spec.get("objective", "reg:squarederror") != "reg:squarederror":
+        raise ValueError("only the squared error is fitted")
+    depth = int(spec.get("max_depth") or 6)
+    fixed = {"max_depth": depth, "num_leaves": 2**depth, "min_child_samples": math.ceil(spec.get("min_child_weight", 1)), "subsample_freq": 1}
+    return Boosting(target, {"learning_rate": 0.3, "reg_lambda": 1.0} | own | fixed, seed)
+
+
+def spark_gbt(target: str, spec: dict, seed: int = 42) -> GBTRegressor:
+    """Spark's own boosted trees from a spec with n_estimators, learning_rate, max_depth or num_leaves, subsample,
+    colsample_bytree (here a choice of features for each node) and min_child_samples. They know no penalty on
     leaves, so a spec with ``reg_lambda`` is refused."""
     if spec.get("reg_lambda"):
         raise ValueError("reg_lambda has no counterpart here; leave it out or set it to 0")
@@ -76,10 +93,14 @@ def ridge(df: DataFrame, target: str, alpha: float = 1.0) -> LinearRegression:
     )
 
 
-def build_estimator(df: DataFrame, target: str, model_type: str, spec: dict, seed: int = 42) -> Estimator:
+def build_estimator(df: DataFrame, target: str, model_type: str, spec: dict, seed: int = 42) -> Estimator | Boosting:
     """Estimator of a run record's model type."""
-    if model_type in ("LightGBM", "XGBoost", "GBT"):
+    if model_type == "LightGBM":
         return gbt(target, spec, seed)
+    if model_type == "XGBoost":
+        return xgboost(target, spec, seed)
+    if model_type == "GBT":
+        return spark_gbt(target, spec, seed)
     if model_type == "Linear":
         return ridge(df, target, spec.get("alpha", 1.0))
     if model_type in ("RandomForest", "Forest"):
@@ -87,12 +108,14 @@ def build_estimator(df: DataFrame, target: str, model_type: str, spec: dict, see
     raise ValueError(f"unknown model type {model_type}")
 
 
-def fit(df: DataFrame, features: list[str], estimator: Estimator) -> PipelineModel:
-    """Assemble the features and fit; rows with a null feature are an error of the caller."""
+def fit(df: DataFrame, features: list[str], estimator: Estimator | Boosting) -> PipelineModel | BoostedModel:
+    """Assemble the features and fit; rows with a null feature are an error of the caller, but not for boosted trees."""
+    if isinstance(estimator, Boosting):
+        return estimator.fit(df, features)
     return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features"), estimator]).fit(df)
 
 
-def fit_gbt(df: DataFrame, features: list[str], target: str, spec: dict) -> PipelineModel:
+def fit_gbt(df: DataFrame, features: list[str], target: str, spec: dict) -> BoostedModel:
     return fit(df, features, gbt(target, spec))
 
 
@@ -104,11 +127,11 @@ def fit_ridge(df: DataFrame, features: list[str], target: str, alpha: float = 1.
     return fit(df, features, ridge(df, target, alpha))
 
 
-def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
+def predict(model: PipelineModel | BoostedModel, df: DataFrame) -> DataFrame:
     return model.transform(df).drop("features")
 
 
-def cross_validate(df: DataFrame, features: list[str], estimator: Estimator | Callable[[DataFrame], Estimator],
+def cross_validate(df: DataFrame, features: list[str], estimator: Estimator | Boosting | Callable[[DataFrame], Estimator],
                    folds: str = "fold", k: int = 5) -> DataFrame:
     """Out-of-fold predictions: every row is scored by the model that did not see its fold.
 
@@ -119,22 +142,25 @@ def cross_validate(df: DataFrame, features: list[str], estimator: Estimator | Ca
     parts = []
     for i in range(k):
         train = df.where(F.col(folds) != i)
-        unfitted = estimator if isinstance(estimator, Estimator) else estimator(train)
+        unfitted = estimator if isinstance(estimator, Estimator | Boosting) else estimator(train)
         parts.append(predict(fit(train, features, unfitted), df.where(F.col(folds) == i)))
     return functools.reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def fit_full(df: DataFrame, features: list[str], estimator: Estimator, target: str) -> tuple[PipelineModel, DataFrame]:
+def fit_full(df: DataFrame, features: list[str], estimator: Estimator | Boosting, target: str) -> tuple[PipelineModel | BoostedModel, DataFrame]:
     """Model on all rows and its metrics on the same rows."""
     model = fit(df, features, estimator)
     return model, regression_metrics(predict(model, df), target, PREDICTION)
 
 
-def importances(model: PipelineModel, df: DataFrame, features: list[str]) -> DataFrame:
-    """(feature, importance) of a tree model, or the coefficients of a linear one."""
-    last = model.stages[-1]
-    values = last.featureImportances if hasattr(last, "featureImportances") else last.coefficients
-    rows = [(f, float(v)) for f, v in zip(features, values.toArray())]
+def importances(model: PipelineModel | BoostedModel, df: DataFrame, features: list[str]) -> DataFrame:
+    """(feature, importance) of a tree model, or the coefficients of a linear one; for boosted trees the share of cuts."""
+    if isinstance(model, BoostedModel):
+        values = [n / max(1, sum(model.splits)) for n in model.splits]
+    else:
+        last = model.stages[-1]
+        values = (last.featureImportances if hasattr(last, "featureImportances") else last.coefficients).toArray()
+    rows = [(f, float(v)) for f, v in zip(features, values)]
     return df.sparkSession.createDataFrame(rows, "feature string, importance double")
 
 
@@ -163,7 +189,7 @@ def residual_bins(residuals: DataFrame, width: float) -> DataFrame:
     )
 
 
-def permutation_impact(model: PipelineModel, df: DataFrame, features: list[str], target: str, key: str,
+def permutation_impact(model: PipelineModel | BoostedModel, df: DataFrame, features: list[str], target: str, key: str,
                        inspect: list[str] | None = None, seed: int = 42) -> DataFrame:
     """(feature, mae, increase): error after giving each row another row's value of one feature.
 
@@ -187,9 +213,15 @@ def permutation_impact(model: PipelineModel, df: DataFrame, features: list[str],
     return scored.where("_f >= 0").select(name.alias("feature"), "mae", (F.col("mae") - base).alias("increase"))
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_model(model: PipelineModel | BoostedModel, path: str) -> None:
+    if isinstance(model, BoostedModel):
+        model.save(SparkSession.active(), f"{path}/boosted")
+    else:
+        model.write().overwrite().save(path)
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str) -> PipelineModel | BoostedModel:
+    try:
+        return BoostedModel.load(SparkSession.active(), f"{path}/boosted")
+    except AnalysisException:  # there is no such folder: a pipeline
+        return PipelineModel.load(path)
