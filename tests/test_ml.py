@@ -54,7 +54,9 @@ def test_every_row_is_scored_once_by_another_fold(table):
 def test_trees_and_importances(table):
     df, *_ = table
     spec = {"n_estimators": 4, "learning_rate": 0.3, "num_leaves": 8, "max_depth": -1, "subsample": 0.9, "colsample_bytree": 0.8}
-    for model in (M.fit_gbt(df, ["a", "b"], "y", spec), M.fit_forest(df, ["a", "b"], "y", {"n_estimators": 4, "max_depth": 3})):
+    cuts = {r.feature: r.importance for r in M.importances(M.fit_gbt(df, ["a", "b"], "y", spec), df, ["a", "b"]).collect()}
+    assert set(cuts) == {"a", "b"} and sum(cuts.values()) == pytest.approx(1.0)
+    for model in (M.fit(df, ["a", "b"], M.spark_gbt("y", spec)), M.fit_forest(df, ["a", "b"], "y", {"n_estimators": 4, "max_depth": 3})):
         weights = {r.feature: r.importance for r in M.importances(model, df, ["a", "b"]).collect()}
         assert weights["a"] > weights["b"] and sum(weights.values()) == pytest.approx(1.0)
     model, metrics = M.fit_full(df, ["a", "b"], M.build_estimator(df, "y", "Linear", {"alpha": 0.1}), "y")
