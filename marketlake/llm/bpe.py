@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import base64
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from heapq import heappop, heappush
 from itertools import chain
@@ -25,12 +26,16 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructType
 
-from marketlake.llm.common import Bounded, slices
+from marketlake.llm.common import Bounded
+
+#: Bytes of text whose new runs are merged together.
+SLICE = 6 << 20
 
 
 def read_ranks(path: str) -> bytes:
@@ -60,21 +65,22 @@ class Encoder:
         self.packed = {rank: rank.to_bytes(4, "little") for rank in self.ranks.values()}
         self.queue = RankQueue(max(self.ranks.values(), default=0) + 1)
         self.find = regex.compile(pattern).findall
-        self.runs = Bounded(limit=48 << 20)  # the ids of runs that follow a blank
+        self.runs = Bounded(limit=32 << 20)  # the ids of runs that follow a blank
         self.keys, self.made = self._pairs()
         self.single = np.array([self.ranks.get(bytes([b]), -1) for b in range(256)], np.int32)
 
     def _pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """Pairs of tokens that make a token: sorted keys, and the rank of each."""
-        get, pairs = self.ranks.get, {}
+        get, keys, made = self.ranks.get, array("q"), array("i")
         for token, rank in self.ranks.items():
             for cut in range(1, len(token)):
                 a, b = get(token[:cut]), get(token[cut:])
                 if a is not None and b is not None:
-                    pairs[a << 32 | b] = rank
-        keys = np.fromiter(pairs.keys(), np.int64, len(pairs))
+                    keys.append(a << 32 | b)
+                    made.append(rank)
+        keys, made = np.array(keys, np.int64), np.array(made, np.int32)
         order = np.argsort(keys)
-        return keys[order], np.fromiter(pairs.values(), np.int32, len(pairs))[order]
+        return keys[order], made[order]
 
     def _ranks_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The rank of each pair of tokens, -1 for none; tokens below 0 are none."""
@@ -121,8 +127,11 @@ class Encoder:
         before = np.arange(-1, n, dtype=np.int32)
         before[starts] = n
         live = np.ones(n, bool)
-        now = np.append(self._ranks_of(token[:-1], token[after[:-1]]), np.int32(-1)).astype(np.int32)
-        first = np.flatnonzero(now >= 0)
+        now = np.full(n + 1, -1, np.int32)
+        for low in range(0, n, 1 << 18):  # in parts, as the keys take several times the space of the tokens
+            high = min(n, low + (1 << 18))
+            now[low:high] = self._ranks_of(token[low:high], token[after[low:high]])
+        first = np.flatnonzero(now >= 0).astype(np.int32)
         first = first[np.argsort(now[first], kind="stable")]
         cuts = np.flatnonzero(np.diff(now[first], prepend=-1))
         buckets: dict[int, list] = {int(now[p[0]]): [p] for p in np.split(first, cuts[1:])} if len(first) else {}
@@ -247,21 +256,26 @@ class Encoder:
         A blank between two other characters always starts a piece, so what follows it up to the next one is a run that
         can be encoded on its own; only runs that the worker does not remember are cut and merged, together.
         """
-        cuts = [[t] if DOUBLE_GAP.search(t) else t.split(" ") for t in texts]
+        cut = lambda t: [t] if DOUBLE_GAP.search(t) else t.split(" ")
+        wanted, heads = set(), []
+        for text in texts:  # texts are cut twice, so that the runs of all of them are never held at once
+            head, *runs = cut(text)
+            wanted.update(runs)
+            heads.append(self.find(head))
         runs, new = {}, []
-        for run in {run for cut in cuts for run in cut[1:]}:
+        for run in wanted:
             ids = self.runs.recall(run)
             if ids is None:
                 new.append(run)
             else:
                 runs[run] = ids
-        heads, rest = [self.find(cut[0]) for cut in cuts], [self.find(" " + run) for run in new]
+        rest = [self.find(" " + run) for run in new]
         ids_of = self.merge_all({piece for found in chain(heads, rest) for piece in found}).__getitem__
         for run, found in zip(new, rest, strict=True):
             runs[run] = ids = b"".join(map(ids_of, found))
             self.runs.keep(run, ids)
         get = runs.__getitem__
-        return [b"".join([*map(ids_of, head), *map(get, cut[1:])]) for head, cut in zip(heads, cuts, strict=True)]
+        return [b"".join([*map(ids_of, head), *map(get, cut(text)[1:])]) for head, text in zip(heads, texts, strict=True)]
 
     def encode(self, text: str) -> bytes:
         return self.encode_all([text])[0]
@@ -327,14 +341,16 @@ def _encoder(spark: SparkSession, ranks: bytes, pattern: str, text: str, names:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, tokens = encoder(shared.value, pattern), _decoder(shared.value) if back else None
         for batch in batches:
-            texts, at = [t or "" for t in batch.column(batch.schema.names.index(text)).to_pylist()], 0
-            for part in slices(texts):
-                ids = own.encode_all(part)
+            column = batch.column(batch.schema.names.index(text))
+            sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy()
+            part = np.cumsum(sizes) // SLICE  # texts are taken SLICE bytes at a time, a longer one alone
+            cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(sizes)]
+            for low, high in zip(cuts, cuts[1:], strict=False):
+                rows = batch.slice(low, high - low)
+                ids = own.encode_all([t or "" for t in column.slice(low, high - low).to_pylist()])
                 new = [ids, [tokens.decode(x) for x in ids]] if back else [ids]
-                rows = batch.slice(at, len(part))
                 columns = [rows.column(batch.schema.names.index(c)) for c in kept] + [pa.array(c, pa.binary()) for c in new]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
-                at += len(part)
 
     return run
 
