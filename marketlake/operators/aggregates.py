@@ -63,15 +63,6 @@ def avg_round(df: DataFrame, keys: list[str], col: str, name: str | None = None)
     return df.groupBy(*keys).agg(mean_money(col).alias(name or f"avg_{col}"))
 
 
-def median_of(col) -> Column:
-    """Continuous median of a money column, as an aggregate.
-
-    The state is one counter per distinct value and is merged map-side: a hot group costs its distinct prices,
-    not its rows. For columns with unbounded distinct values use :func:`percentiles`.
-    """
-    return F.median(F.col(col).cast("double") if isinstance(col, str) else col.cast("double"))
-
-
 def price_summary(df: DataFrame, keys: list[str], price: str, sums: dict[str, Column], item: str | None = None,
                   maxima: dict[str, Column] | None = None, weight: str | None = None) -> DataFrame:
     """Per group: rows, priced rows, sum in millionths, min, max and exact median of a price, sums and maxima of whole
@@ -130,8 +121,23 @@ def round_cents(col) -> Column:
     return F.floor((F.round(value * 10000) + 50) / 100).cast("double") / F.lit(100.0)
 
 
+def with_medians(groups: DataFrame, df: DataFrame, keys: list[str], medians: dict[str, str]) -> DataFrame:
+    """``groups`` (one row per group of ``df``) with the exact median of columns; ``medians`` has new name: column.
+
+    Medians are picked by rank from counted values in ranges (see :func:`percentiles`): no state grows with the distinct
+    values of a group, and a single group is spread over all tasks. A group without a value has a null median.
+    """
+    found = percentiles(df, list(dict.fromkeys(medians.values())), [0.5], keys)
+    at = [F.max(F.when(F.col("column") == c, F.col("value"))).alias(name) for name, c in medians.items()]
+    found = found.groupBy(*[F.col(f"`{k}`").alias(f"_m_{k}") for k in keys]).agg(*at)
+    match = F.lit(True)
+    for k in keys:
+        match = match & F.col(f"`{k}`").eqNullSafe(F.col(f"`_m_{k}`"))
+    return groups.join(found, match, "left").drop(*[f"_m_{k}" for k in keys])
+
+
 def median_by(df: DataFrame, keys: list[str], col: str, name: str | None = None) -> DataFrame:
-    return df.groupBy(*keys).agg(median_of(col).alias(name or f"median_{col}"))
+    return with_medians(df.select(*keys).distinct(), df, keys, {name or f"median_{col}": col})
 
 
 def distinct_rows(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -277,9 +283,10 @@ def describe(df: DataFrame, cols: list[str]) -> DataFrame:
     )
 
 
-def group_listing_level(df: DataFrame, keys: list[str], aggs: list[Column]) -> DataFrame:
-    """Wide group-by to listing level; null keys form groups of their own."""
-    return df.groupBy(*keys).agg(*aggs)
+def group_listing_level(df: DataFrame, keys: list[str], aggs: list[Column], medians: dict[str, str] | None = None) -> DataFrame:
+    """Wide group-by to listing level; null keys form groups of their own. ``medians`` has new name: column."""
+    groups = df.groupBy(*keys).agg(*aggs)
+    return with_medians(groups, df, keys, medians) if medians else groups
 
 
 def group_market(df: DataFrame, keys: list[str], aggs: list[Column]) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.functions.exact import mean_money
-from marketlake.operators.aggregates import median_of
+from marketlake.operators.aggregates import with_medians
 
 
 def argmin(df: DataFrame, metric: str, tie: str) -> DataFrame:
@@ -83,10 +83,9 @@ def market_comparison(df: DataFrame, by: str = "city", price: str = "target_pric
     """One row per market: listings, mean and median price, mean below the cap, capacity, superhost and
     availability shares."""
     priced = df.where(F.col(price).isNotNull())
-    return priced.groupBy(by).agg(
+    groups = priced.groupBy(by).agg(
         F.count(F.lit(1)).alias("listings"),
         mean_money(price).alias("mean_price"),
-        median_of(price).alias("median_price"),
         mean_money(F.when(F.col(price) < cap, F.col(price))).alias("mean_price_capped"),
         F.avg("accommodates").alias("mean_accommodates"),
         F.avg("bedrooms").alias("mean_bedrooms"),
@@ -94,3 +93,5 @@ def market_comparison(df: DataFrame, by: str = "city", price: str = "target_pric
         (F.avg(F.col("is_superhost").cast("int")) * 100).alias("superhost_pct"),
         (F.avg("availability_rate") * 100).alias("availability_pct"),
     )
+    columns = [*groups.columns[:3], "median_price", *groups.columns[3:]]
+    return with_medians(groups, priced, [by], {"median_price": price}).select(*columns)

@@ -155,7 +155,7 @@ def a19(t):
     df = t.orders.withColumn("year", F.year("o_orderdate").cast("bigint"))
     return A.group_listing_level(
         df, ["o_custkey", "o_orderstatus", "o_orderpriority", "year"],
-        [A.median_of("o_totalprice").alias("median_price"), F.count(F.lit(1)).alias("orders")],
+        [F.count(F.lit(1)).alias("orders")], {"median_price": "o_totalprice"},
     )
 
 
