@@ -10,11 +10,12 @@ them, 0 makes all levels equal). A hash of id and text decides, so a rerun takes
 
 Defined results: a null level is a level of its own; a null or empty text weighs one token (its end), as every text has
 one more token than words; targets for levels without documents are left out and the others scaled up; levels
-without a target keep their tokens' share; copies with the same id share their fate; an empty table gives no rows.
+without a target keep their tokens' share; a share of 0 takes no document; shares that cannot all be met give a warning; copies with the same id share their fate; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -69,12 +70,19 @@ def fit(cells: DataFrame, shares: Mapping[str, Mapping] | None = None, flatten:
         new = current.withColumn("before", F.col("w"))
         for dim, target in targets.items():
             sums = new.groupBy(F.col(dim).alias("at")).agg(F.sum("w").alias("now"))
-            scale = sums.join(target, F.col("at").eqNullSafe(F.col("level"))).select("at", (F.col("target") / F.col("now")).alias("by"))
+            scale = sums.join(target, F.col("at").eqNullSafe(F.col("level"))).select("at", F.when(F.col("now") > 0, F.col("target") / F.col("now")).otherwise(0.0).alias("by"))
             new = new.join(scale, F.col(dim).eqNullSafe(F.col("at"))).withColumn("w", F.col("w") * F.col("by")).drop("at", "by")
-        current = stage(new.withColumn("moved", F.abs(F.col("w") / F.col("before") - 1)), "cells")
+        current = stage(new.withColumn("moved", F.when(F.col("before") > 0, F.abs(F.col("w") / F.col("before") - 1)).otherwise(0.0)), "cells")
         if current.agg(F.max("moved")).first()[0] < TOLERANCE:
             break
         current = current.drop("before", "moved")
+    off = [
+        current.groupBy(F.col(dim).alias("at")).agg(F.sum("w").alias("now")).join(target, F.col("at").eqNullSafe(F.col("level"))).agg(F.max(F.abs(F.col("now") - F.col("target"))))
+        for dim, target in targets.items()
+    ]
+    worst = max((d.first()[0] or 0.0) for d in off) / total
+    if worst > 10 * TOLERANCE:
+        warnings.warn(f"these target shares cannot all be met: one of them is off by {worst:.3f}", stacklevel=2)
     return current.select(*_DIMS, "own", (F.col("w") / F.col("own")).alias("factor"))
 
 

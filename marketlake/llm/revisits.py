@@ -47,7 +47,8 @@ def header(headers: Column, name: str) -> Column:
 def _clean(headers: Column) -> Column:
     """Names in lower case, the last of equal names; null headers are none."""
     entries = F.transform(F.map_entries(headers), lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
-    return F.coalesce(F.map_from_entries(entries), F.create_map().cast("map<string,string>"))
+    last = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.lit(1 << 30)), lambda later: later["key"] == e["key"]))
+    return F.coalesce(F.map_from_entries(last), F.create_map().cast("map<string,string>"))
 
 
 def merge_headers(response: Column, revisit: Column) -> Column:

@@ -73,6 +73,12 @@ def test_no_records(spark):
     assert revisits.resolve(spark.createDataFrame([], RECORD)).count() == 0
 
 
+def test_names_in_several_cases(spark):
+    """Of names that differ only in case the last one counts."""
+    out = spark.range(1).select(revisits._clean(F.create_map(F.lit("ETag"), F.lit("a"), F.lit("Age"), F.lit("1"), F.lit("etag"), F.lit("b"))).alias("h")).first().h
+    assert out == {"etag": "b", "age": "1"}
+
+
 # --- mixing -----------------------------------------------------------------------------------------------------
 
 
@@ -87,6 +93,15 @@ def test_raking_reaches_the_targets(spark):
             assert abs(sum(r[3] for r in out if r[k] == level) / total - share) < 0.01
 
 
+def test_targets_of_zero_and_out_of_reach(spark):
+    cells = spark.createDataFrame([("a", "x", "p", 10.0), ("a", "y", "p", 5.0), ("b", "x", "p", 20.0)], "__source string, __lang string, __topic string, w double")
+    out = {(r["__source"], r["__lang"]): r.factor for r in mixing.fit(cells, {"source": {"a": 1.0, "b": 0.0}}, flatten=1.0).collect()}
+    assert out["b", "x"] == 0 and out["a", "x"] > 0
+    apart = spark.createDataFrame([("a", "x", "p", 30.0), ("b", "y", "p", 70.0)], "__source string, __lang string, __topic string, w double")
+    with pytest.warns(UserWarning, match="cannot all be met"):
+        mixing.fit(apart, {"source": {"a": 0.8, "b": 0.2}, "lang": {"x": 0.3, "y": 0.7}}, flatten=1.0).collect()
+
+
 def test_mix(small):
     rows, docs = small
     out = mixing.mix(docs)
