@@ -30,7 +30,7 @@ def test_sql_twins(spark, name):
 
 def test_registry():
     names = entry_points.queries()
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)) and "pipeline" in names
 
 
 # --- revisits ---------------------------------------------------------------------------------------------------
