@@ -8,6 +8,7 @@ from marketlake.plans import silver
 from marketlake.plans.dataset import DATASET_SCHEMA
 from marketlake.session import scratch_path, stage
 from marketlake.sources import catalog, landing, readers, writers
+from marketlake.sources.split_csv import read_csv_split
 from marketlake.streaming.incremental import read_silver, stream_silver
 from marketlake.verification.fixtures import days_as_text, widen, with_ctes
 from marketlake.verification.registry import query
@@ -32,6 +33,17 @@ def s02(t):
     return readers.read_csv(t.spark, path, multi_line=False)
 
 
+@query(
+    "s02_quoted_csv_split",
+    "select cast(doc_id as varchar) doc_id, text, lang, source from documents",
+)
+def s02_split(t):
+    path = scratch_path(t.spark, "s02-split")
+    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    t.documents.select("doc_id", "text", "lang", "source").write.options(header=True, escape='"', quoteAll=True, **keep).csv(path)
+    return read_csv_split(t.spark, path, readers.text_schema("doc_id", "text", "lang", "source"))
+
+
 @query("s03_json_scan", "select conv_id, turn, role, text from conversations")
 def s03(t):
     path = scratch_path(t.spark, "s03")
