@@ -222,27 +222,43 @@ def a23(t):
     return rounded(rounded(metrics, 4, "mae", "rmse", "mape"), 6, "r2")
 
 
-@query(
-    "a24_pearson",
-    """select n, round(r, 6) r, round(r * sqrt(n - 2) / sqrt(1 - r * r), 4) t from
-         (select count(*) n, corr(l_quantity, l_extendedprice) r from lineitem where l_quantity is not null and l_extendedprice is not null)""",
-)
+def _p_sql(t: str, df: str) -> str:
+    """Two-sided p-value: one less twice the area of Student's density up to t, by Simpson's rule in 20,000 steps."""
+    density = f"exp(lgamma(({df} + 1) / 2) - lgamma({df} / 2) - ln({df} * pi()) / 2 - ({df} + 1) / 2 * ln(1 + (abs({t}) * i / 20000) ** 2 / {df}))"
+    weight = "case when i in (0, 20000) then 1 when i % 2 = 1 then 4 else 2 end"
+    return f"(select round(1 - 2 * abs({t}) / 60000 * sum({weight} * {density}), 6) from range(20001) steps(i))"
+
+
+def _pearson_sql(x: str, y: str) -> str:
+    return f"""with g as (select *, r * sqrt(n - 2) / sqrt(1 - r * r) t_value, (n - 2)::double freedom from
+         (select count(*) n, corr({x}, {y}) r from lineitem where {x} is not null and {y} is not null))
+       select n, round(r, 6) r, round(t_value, 4) t, {_p_sql('t_value', 'freedom')} p_value from g"""
+
+
+@query("a24_pearson", _pearson_sql("l_quantity", "l_extendedprice"))
 def a24(t):
-    return rounded(rounded(S.pearson(t.lineitem, "l_quantity", "l_extendedprice"), 6, "r"), 4, "t")
+    return rounded(rounded(S.pearson(t.lineitem, "l_quantity", "l_extendedprice"), 6, "r", "p_value"), 4, "t")
+
+
+@query("a24_pearson_unrelated", _pearson_sql("l_discount", "l_extendedprice"))
+def a24_unrelated(t):
+    return rounded(rounded(S.pearson(t.lineitem, "l_discount", "l_extendedprice"), 6, "r", "p_value"), 4, "t")
 
 
 @query(
     "a25_two_sample",
-    """with g as (select count(l_extendedprice) filter (l_returnflag = 'A') n_a, count(l_extendedprice) filter (l_returnflag = 'R') n_b,
+    f"""with g as (select *, (mean_a - mean_b) / sqrt(var_a / n_a + var_b / n_b) t_value,
+                         (var_a / n_a + var_b / n_b) ** 2 / ((var_a / n_a) ** 2 / (n_a - 1) + (var_b / n_b) ** 2 / (n_b - 1)) freedom
+                  from (select count(l_extendedprice) filter (l_returnflag = 'A') n_a, count(l_extendedprice) filter (l_returnflag = 'R') n_b,
                          avg(l_extendedprice) filter (l_returnflag = 'A') mean_a, avg(l_extendedprice) filter (l_returnflag = 'R') mean_b,
-                         var_samp(l_extendedprice) filter (l_returnflag = 'A') var_a, var_samp(l_extendedprice) filter (l_returnflag = 'R') var_b from lineitem)
+                         var_samp(l_extendedprice) filter (l_returnflag = 'A') var_a, var_samp(l_extendedprice) filter (l_returnflag = 'R') var_b from lineitem))
        select n_a, n_b, round(mean_a, 4) mean_a, round(mean_b, 4) mean_b, round(mean_a - mean_b, 4) difference,
-              round((mean_a - mean_b) * 100 / mean_b, 4) difference_pct, round((mean_a - mean_b) / sqrt(var_a / n_a + var_b / n_b), 6) t,
+              round((mean_a - mean_b) * 100 / mean_b, 4) difference_pct, round(t_value, 6) t, round(freedom, 3) df, {_p_sql('t_value', 'freedom')} p_value,
               round((mean_a - mean_b) / sqrt(((n_a - 1) * var_a + (n_b - 1) * var_b) / (n_a + n_b - 2)), 6) cohens_d from g""",
 )
 def a25(t):
     test = S.two_sample(t.lineitem, "l_extendedprice", "l_returnflag", "A", "R")
-    return rounded(rounded(test, 4, "mean_a", "mean_b", "difference", "difference_pct"), 6, "t", "cohens_d")
+    return rounded(rounded(rounded(test, 4, "mean_a", "mean_b", "difference", "difference_pct"), 6, "t", "cohens_d", "p_value"), 3, "df")
 
 
 @query(

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import decimal
+import math
 import random
 import statistics
 
@@ -242,8 +244,43 @@ def test_two_sample_and_pearson(spark):
     xy = spark.createDataFrame([(1.0, 2.0), (2.0, 1.0), (3.0, 5.0), (None, 1.0)], "x double, y double")
     p = S.pearson(xy, "x", "y").first()
     assert p.n == 3 and p.r == pytest.approx(np.corrcoef([1, 2, 3], [2, 1, 5])[0, 1])
-    limit = spark.range(1).select(S.normal_p_value(F.lit(1.959964)).alias("p")).first().p
-    assert limit == pytest.approx(0.05, abs=1e-6)
+    assert p.p_value == pytest.approx(1 - 2 / math.pi * math.atan(abs(p.t)))  # one degree of freedom
+
+
+def _exact_p(t: str, df: int) -> float:
+    """Two-sided p-value for an even number of degrees of freedom: a finite sum, in 400 digits."""
+    with decimal.localcontext() as c:
+        c.prec = 400
+        t = decimal.Decimal(t)
+        square = df / (df + t * t)
+        term = total = decimal.Decimal(1)
+        for k in range(1, df // 2):
+            term *= square * (2 * k - 1) / (2 * k)
+            total += term
+        return float(1 - (1 - square).sqrt() * total)
+
+
+def test_student_p_values_hold_far_into_the_tail(spark):
+    cases = [(t, n) for n in (2, 4, 10, 60, 1000, 20000) for t in ("0.001", "0.5", "1.7", "1.8", "5", "21.9", "-22", "300") if n > 4 or t != "300"]
+    df = spark.createDataFrame([(float(t), n) for t, n in cases], "t double, n long")
+    for (t, n), r in zip(cases, df.select(S.student_p_value("t", "n").alias("p")).collect(), strict=True):
+        exact = _exact_p(t, n)
+        if exact > 1e-300:
+            assert r.p == pytest.approx(exact, rel=1e-9), (t, n)
+        else:
+            assert r.p < 1e-290
+    assert _exact_p("22", 20000) < 1e-100
+
+
+def test_student_p_values_between_whole_degrees_and_without_any(spark):
+    a, x = 7.3 / 2, 7.3 / (7.3 + 40.0**2)
+    z, w = np.polynomial.laguerre.laggauss(60)
+    whole = float((w / np.sqrt(1 - x * np.exp(-z / a))).sum())
+    exact = x**a / a * math.exp(math.lgamma(a + 0.5) - math.lgamma(a)) / math.sqrt(math.pi) * whole
+    data = [(40.0, 7.3), (2.0, 0.5), (None, 3.0), (float("nan"), 3.0), (float("inf"), 3.0), (0.0, 3.0), (1.0, None)]
+    got = [r.p for r in spark.createDataFrame(data, "t double, n double").select(S.student_p_value("t", "n").alias("p")).collect()]
+    assert got[0] == pytest.approx(exact, rel=1e-9)
+    assert got[1:] == [None, None, None, 0.0, 1.0, None]
 
 
 # --- quality --------------------------------------------------------------------------------------------------
