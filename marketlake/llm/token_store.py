@@ -22,12 +22,13 @@ by their text; an empty table gives no segment.
 from __future__ import annotations
 
 import os
-import re
+import sys
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -39,7 +40,12 @@ from marketlake.session import scratch_path
 BLOCK = 1024
 PERCENTILE = 95
 SEGMENT = 1 << 18
-CACHED = 500_000
+#: Bytes of the memory for runs, and of the texts whose runs are numbered together.
+CACHE = 256 << 20
+PART = 8 << 20
+#: Runs that the library gets in one text.
+JOINED = 2000
+_BLANK = "\u0120"  # how the byte-level alphabet writes a blank
 _MAGIC = b"PFB1"
 
 
@@ -101,15 +107,18 @@ class Segment:
             at += n
 
 
+_WHITE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 #: A blank beside other white space: there the runs between blanks cannot be encoded on their own.
-_DOUBLE_GAP = re.compile(r"^ |\s | \s| $")
+_DOUBLE_GAP = f"^ | $|{_WHITE} | {_WHITE}"
 
 
 class Tokens:
-    """The library's tokenizer with a memory for the runs between blanks.
+    """The library's tokenizer with a memory, bounded by bytes, for the runs between blanks.
 
     Byte-level pre-tokens never reach over a blank that stands between two other characters, so a text's ids are those
-    of its runs; the library encodes each run that the worker has not seen, and whole texts where blanks stand together.
+    of its runs. The runs of some texts are numbered together and each distinct one is looked up once. The library gets
+    those that are new joined by blanks; a token that starts with a blank starts the next run. Ids are gathered by the
+    numbers. The first run of a text, with no blank before it, and texts where blanks stand together are encoded alone.
     """
 
     def __init__(self, model: str):
@@ -117,24 +126,69 @@ class Tokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(model)
-        self.runs: dict[str, bytes] = {}
-
-    def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if _DOUBLE_GAP.search(text):
-            return self._library([text])[0]
-        if len(self.runs) > CACHED:
-            self.runs.clear()
-        first, *rest = text.split(" ")
-        runs = [first, *(" " + x for x in rest)]
-        new = [x for x in dict.fromkeys(runs) if x not in self.runs]
-        if new:
-            self.runs.update(zip(new, self._library(new), strict=True))
-        return b"".join(map(self.runs.__getitem__, runs))
+        self.starts_run = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
+        self.starts_run[[i for token, i in self.tokenizer.get_vocab().items() if token.startswith(_BLANK)]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        self.numbers: dict[str, int] = {}
+        self.ids, self.starts, self.held = np.empty(0, np.uint32), np.zeros(1, np.int64), 0
+
+    def _library(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of every text, in order; none for a null or empty one."""
+        sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        part = (np.cumsum(sizes) - sizes) // PART
+        edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(texts)]
+        for low, high in zip(edges, edges[1:], strict=False):
+            if high > low:
+                yield from self._part(pc.fill_null(texts.slice(low, high - low), ""))
+
+    def _part(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        if self.held > CACHE:
+            self.forget()
+        whole = pc.match_substring_regex(texts, _DOUBLE_GAP).to_numpy(zero_copy_only=False)
+        odd = iter(texts.filter(pa.array(whole)).to_pylist())
+        split = pc.split_pattern(texts.filter(pa.array(~whole)), " ")
+        runs, edges = split.flatten(), split.offsets.to_numpy() - split.offsets[0].as_py()
+        first = self._library(runs.take(pa.array(edges[:-1])).to_pylist())
+        is_first = np.zeros(len(runs), bool)
+        is_first[edges[:-1]] = True
+        numbered = runs.filter(pa.array(~is_first)).dictionary_encode()
+        places = self._places(numbered.dictionary.to_pylist())[numbered.indices.to_numpy()]
+        sizes = self.starts[places + 1] - self.starts[places]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        out = self.ids[np.repeat(self.starts[places] - ends[:-1], sizes) + np.arange(ends[-1])]
+        bounds = ends[edges - np.arange(len(edges))].tolist()  # a first run less for each text before
+        plain = iter(zip(first, bounds, bounds[1:], strict=False))
+        for w in whole:
+            if w:
+                yield self._library([next(odd)])[0]
+            else:
+                head, low, high = next(plain)
+                yield np.concatenate([head, out[low:high]])
+
+    def _places(self, runs: list[str]) -> np.ndarray:
+        """Where each of the distinct runs is among those remembered."""
+        get = self.numbers.get
+        places = np.array([get(x, -1) for x in runs], np.int64)
+        missing = np.flatnonzero(places < 0)
+        if len(missing):
+            new = [runs[i] for i in missing.tolist()]
+            joined = (" " + " ".join(new[i : i + JOINED]) for i in range(0, len(new), JOINED))
+            ids = np.concatenate(self._library(list(joined)))
+            starts = np.flatnonzero(self.starts_run[ids])
+            if len(starts) != len(new):
+                raise ValueError("the tokenizer does not part runs at blanks")
+            n, kept = len(self.starts) - 1, len(self.ids)
+            places[missing] = np.arange(n, n + len(new))
+            self.numbers.update(zip(new, range(n, n + len(new)), strict=True))
+            self.ids = np.concatenate([self.ids, ids])
+            self.starts = np.concatenate([self.starts[:-1], kept + starts, [len(self.ids)]])
+            self.held += sum(map(sys.getsizeof, new)) + 140 * len(new) + ids.nbytes  # an entry and its number take about 140 bytes
+        return places
 
 
 _TOKENS: dict[str, Tokens] = {}
@@ -160,10 +214,10 @@ def _writer(spark: SparkSession, model: str, end_id: int):
             row = [shard, seq, start, size, names, write_segment(parts)]
             return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, _TYPES, strict=True)], names=_NAMES)
 
-        end = np.array([end_id], "<u4").tobytes()
+        end = np.array([end_id], "<u4")
         for batch in batches:
-            for doc, text in zip(batch.column(0), batch.column(1), strict=True):
-                ids = np.frombuffer(tokens.encode(text.as_py() or "") + end, "<u4")
+            for doc, encoded in zip(batch.column(0), tokens.encode(batch.column(1)), strict=True):
+                ids = np.concatenate([encoded, end])
                 names.append(doc.as_py())
                 parts.append(ids)
                 size += len(ids)
