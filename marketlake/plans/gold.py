@@ -5,7 +5,7 @@ All cities are built together; where a table is kept per city, the city is a key
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketlake.functions.scalars import est_revenue, first_non_null, is_weekend, isodow, season
@@ -70,13 +70,12 @@ def dim_neighbourhoods(listings: DataFrame, by: str | None = None) -> DataFrame:
 
 
 def listing_lookup(listings: DataFrame, reviews: DataFrame, dims: dict[str, DataFrame], by: str | None = None,
-                   strict: bool = False, as_of: bool = False) -> DataFrame:
+                   strict: bool = False) -> DataFrame:
     """What a calendar row needs to know about its listing: keys, fallback price and review count.
 
     Everything that depends on the listing alone is joined here, at listing size, so that the calendar is
     joined once. Duplicate natural keys multiply rows as separate joins would. ``strict`` matches a
-    neighbourhood on its group too. ``as_of`` adds ``review_days``, the reviews of each day; a listing has at most one
-    entry per day, however many reviews. Reviews without a date are not in it.
+    neighbourhood on its group too.
     """
     scope = _scope(listings, by)
     base = listings.select(*scope, "listing_id", "host_id", "neighbourhood", "neighbourhood_group",
@@ -97,12 +96,7 @@ def listing_lookup(listings: DataFrame, reviews: DataFrame, dims: dict[str, Data
         area = area & F.col("neighbourhood_group").eqNullSafe(F.col("dn_group"))
     of_listing = [*_scope(reviews, by), "r_id"]
     seen = reviews.withColumn("r_id", F.col("listing_id"))
-    if as_of:
-        per_day = seen.groupBy(*of_listing, "review_date").agg(F.count(F.lit(1)).alias("n"))
-        dated = F.when(F.col("review_date").isNotNull(), F.struct(F.col("review_date").alias("day"), "n"))
-        counts = per_day.groupBy(*of_listing).agg(F.sum("n").alias("review_count"), F.collect_list(dated).alias("review_days"))
-    else:
-        counts = seen.groupBy(*of_listing).agg(F.count(F.lit(1)).alias("review_count"))
+    counts = seen.groupBy(*of_listing).agg(F.count(F.lit(1)).alias("review_count"))
     counted = F.col("listing_id") == F.col("r_id")
     for c in _scope(reviews, by):
         counts = counts.withColumnRenamed(c, f"r_{c}")
@@ -113,16 +107,36 @@ def listing_lookup(listings: DataFrame, reviews: DataFrame, dims: dict[str, Data
         .join(dn, area & in_city("dn"), "left")
         .join(counts, counted, "left")
         .select(*scope, "listing_id", "listing_key", "host_key", "neighbourhood_key", "listing_price",
-                F.coalesce("review_count", F.lit(0).cast("bigint")).alias("reviews_to_date"), *(["review_days"] if as_of else []))
+                F.coalesce("review_count", F.lit(0).cast("bigint")).alias("reviews_to_date"))
     )
 
 
-def fact_rows(calendar: DataFrame, lookup: DataFrame, dim_date: DataFrame, by: str | None = None) -> DataFrame:
+def reviews_at(calendar: DataFrame, reviews: DataFrame, by: str | None = None) -> DataFrame:
+    """(by, r_id, r_day, reviews_at): the reviews of a listing up to each of its calendar days and review days.
+
+    Review days and asked days are counted together before anything is ordered, so a listing has at most one row per day,
+    however many reviews or calendar rows it has, and a running sum over those is the as-of join. Reviews without a
+    date count on no day.
+    """
+    scope = [c for c in _scope(reviews, by) if c in calendar.columns]
+
+    def days(df: DataFrame, day: str, n: int) -> DataFrame:
+        day = F.col(day).cast("date")
+        return df.where(day.isNotNull()).select(*scope, F.col("listing_id").alias("r_id"), day.alias("r_day"), F.lit(n).cast("bigint").alias("n"))
+
+    both = days(reviews, "review_date", 1).unionByName(days(calendar, "calendar_date", 0))
+    per_day = both.groupBy(*scope, "r_id", "r_day").agg(F.sum("n").alias("n"))
+    up_to = Window.partitionBy(*scope, "r_id").orderBy("r_day").rowsBetween(Window.unboundedPreceding, 0)
+    return per_day.select(*[F.col(c).alias(f"r_{c}") for c in scope], "r_id", "r_day", F.sum("n").over(up_to).alias("reviews_at"))
+
+
+def fact_rows(calendar: DataFrame, lookup: DataFrame, dim_date: DataFrame, by: str | None = None,
+              as_of: DataFrame | None = None) -> DataFrame:
     """The fact without its id: one join of the calendar with the listing lookup, one with the dates.
 
     Calendar rows of unknown listings go. The lookup is staged: its true size decides between a broadcast and
-    a shuffle by listing, where adaptive execution splits a listing with too many rows. With ``review_days`` in the
-    lookup a fact counts the reviews up to its own date, else all of the listing.
+    a shuffle by listing, where adaptive execution splits a listing with too many rows. With the reviews in
+    ``as_of`` a fact counts those up to its own date, else all of the listing.
     """
     scope = [c for c in _scope(calendar, by) if c in lookup.columns]
     known = stage(lookup, "lookup").select(
@@ -135,10 +149,13 @@ def fact_rows(calendar: DataFrame, lookup: DataFrame, dim_date: DataFrame, by: s
     joined = lookup_date_key(calendar.join(known, match, "inner"), dim_date, "calendar_date")
     price = first_non_null("price", "listing_price")
     reviews = F.col("reviews_to_date")
-    if "review_days" in lookup.columns:
-        none = F.lit(0).cast("bigint")
-        past = F.filter("review_days", lambda d: d["day"] <= F.col("calendar_date"))
-        reviews = F.coalesce(F.aggregate(past, none, lambda total, d: total + d["n"]), none).alias("reviews_to_date")
+    if as_of is not None:
+        at = reviews_at(calendar, as_of, by)
+        asked = (F.col("listing_id") == F.col("r_id")) & (F.col("calendar_date").cast("date") == F.col("r_day"))
+        for c in at.columns[:-3]:
+            asked = asked & F.col(c.removeprefix("r_")).eqNullSafe(F.col(c))
+        joined = joined.join(at, asked, "left")
+        reviews = F.coalesce("reviews_at", F.lit(0).cast("bigint")).alias("reviews_to_date")
     return joined.select(
         *scope, "listing_key", "host_key", "neighbourhood_key", "date_key", price.alias("price"), "is_available",
         "minimum_nights", est_revenue(price, "is_available").alias("est_revenue"), reviews,
@@ -162,7 +179,7 @@ def fact_daily(calendar: DataFrame, listings: DataFrame, reviews: DataFrame, dim
 
     ``reviews_to_date`` is the listing's total, with ``as_of`` the running count up to the day of the fact.
     """
-    rows = fact_rows(calendar, listing_lookup(listings, reviews, dims, by, strict, as_of), dim_date, by)
+    rows = fact_rows(calendar, listing_lookup(listings, reviews, dims, by, strict), dim_date, by, reviews if as_of else None)
     if not with_id:
         return rows
     return distributed_key(rows, ["listing_key", "date_key"], "fact_id", _scope(rows, by))
@@ -186,7 +203,7 @@ def conform_fact(calendar: DataFrame, listings: DataFrame, reviews: DataFrame, c
     Keys depend on the listing alone, so they are remapped in the listing lookup, before the calendar is
     touched: the big table is joined once instead of once per dimension.
     """
-    lookup = listing_lookup(listings, reviews, city_dims, by, as_of=as_of)
+    lookup = listing_lookup(listings, reviews, city_dims, by)
     for key, name, natural, blank in (
         ("listing_key", "listings", ["listing_id"], []),
         ("host_key", "hosts", ["host_id"], []),
@@ -197,7 +214,7 @@ def conform_fact(calendar: DataFrame, listings: DataFrame, reviews: DataFrame, c
         same = (F.col(key) == F.col("_old")) & F.col(by).eqNullSafe(F.col("_m_by"))
         columns = lookup.columns
         lookup = lookup.join(mapping, same, "inner").withColumn(key, F.col("_new")).select(*columns)
-    rows = fact_rows(calendar, lookup, dim_date, by).select(*FACT_COLUMNS)
+    rows = fact_rows(calendar, lookup, dim_date, by, reviews if as_of else None).select(*FACT_COLUMNS)
     return distributed_key(rows, ["listing_key", "date_key"], "fact_id") if with_id else rows
 
 

@@ -252,6 +252,18 @@ def test_reviews_as_of_the_day(spark, star):
     assert sorted(running) == sorted((i, d, sum(s[0] == i and s[1] is not None and s[1] <= d for s in seen)) for i, d, _ in total)
 
 
+def test_reviews_at_a_day_keep_to_their_city_and_need_no_list(spark):
+    day = datetime.date(2025, 1, 4)
+    later = day + datetime.timedelta(3)
+    calendar = spark.createDataFrame([("x", 1, day), ("x", 1, day), ("y", 1, later), (None, 1, day), ("x", 1, None)],
+                                     "city string, listing_id bigint, calendar_date date")
+    given = [("x", 1, day)] * 500 + [("x", 1, later), ("y", 1, day), (None, 1, day), ("x", 1, None)]
+    at = gold.reviews_at(calendar, spark.createDataFrame(given, "city string, listing_id bigint, review_date date"), "city")
+    got = {(r.r_city, r.r_day): r.reviews_at for r in at.collect()}
+    assert got == {("x", day): 500, ("x", later): 501, ("y", day): 1, ("y", later): 1, (None, day): 1}
+    assert not any(f.dataType.typeName() == "array" for f in at.schema.fields)
+
+
 # --- landing --------------------------------------------------------------------------------------------------
 
 
