@@ -27,10 +27,12 @@ def euclid_deg(lat, lon, clat, clon) -> Column:
     return F.sqrt(dlat * dlat + dlon * dlon)
 
 
-def polar_offsets(lat, lon, clat, clon) -> list[Column]:
-    """Offsets to the centre, their length and their angle."""
+def polar_offsets(lat, lon, clat, clon, with_centre: bool = False) -> list[Column]:
+    """Offsets to the centre, their length and their angle; ``with_centre`` adds the centre, the same in every row."""
     dlat, dlon = _c(lat) - _c(clat), _c(lon) - _c(clon)
+    centre = [_c(clat).alias("lat_center"), _c(clon).alias("lon_center")] if with_centre else []
     return [
+        *centre,
         dlat.alias("rel_lat"),
         dlon.alias("rel_lon"),
         F.sqrt(dlat * dlat + dlon * dlon).alias("dist_radial"),

@@ -156,15 +156,13 @@ def rate(condition: Column) -> Column:
     return F.sum(F.when(condition, 1).otherwise(0)) / F.count(F.lit(1))
 
 
-def one_hot(df: DataFrame, col: str, drop_first: bool = True, max_levels: int | None = None) -> DataFrame:
+def one_hot(df: DataFrame, col: str, drop_first: bool = True, max_levels: int = 1000) -> DataFrame:
     """One 0/1 column per level (sorted), the first dropped by default; the category column itself goes away.
 
-    Levels become columns, so all of them come to the driver; with ``max_levels`` more than that is an error, never a
-    cut.
+    Levels become columns, so all of them come to the driver; more than ``max_levels`` are an error, never a cut.
     """
-    found = df.where(F.col(col).isNotNull()).select(col).distinct()
-    found = (found if max_levels is None else found.limit(max_levels + 1)).collect()
-    if max_levels is not None and len(found) > max_levels:
+    found = df.where(F.col(col).isNotNull()).select(col).distinct().limit(max_levels + 1).collect()
+    if len(found) > max_levels:
         raise ValueError(f"{col} has more than {max_levels} levels; use label_encode or freq_encode")
     levels = sorted(r[0] for r in found)[1 if drop_first else 0 :]
     flags = [F.coalesce(F.col(col) == v, F.lit(False)).cast("int").alias(f"{col}_{v}") for v in levels]

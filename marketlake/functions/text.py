@@ -31,6 +31,32 @@ NAME_SYNONYMS = {
     "kw_modern": ["modern", "contemporary"],
 }
 
+# Synonym groups of the form with a group for nearly every word.
+NAME_SYNONYMS_WIDE = {
+    "kw_luxury": ["luxury", "luxurious"],
+    "kw_cozy": ["cozy", "cosy"],
+    "kw_apartment": ["apartment", "apt"],
+    "kw_studio": ["studio"],
+    "kw_downtown": ["downtown"],
+    "kw_central": ["central", "city center", "citycentre", "city centre"],
+    "kw_beach": ["beach"],
+    "kw_sea": ["sea"],
+    "kw_ocean": ["ocean"],
+    "kw_view": ["view", "views"],
+    "kw_modern": ["modern"],
+    "kw_spacious": ["spacious", "large"],
+    "kw_loft": ["loft"],
+    "kw_penthouse": ["penthouse"],
+    "kw_villa": ["villa"],
+    "kw_pool": ["pool"],
+    "kw_garden": ["garden"],
+    "kw_old_town": ["old town"],
+    "kw_new": ["new", "brand new", "newly"],
+    "kw_renovated": ["renovated", "refurbished"],
+    "kw_balcony": ["balcony"],
+    "kw_terrace": ["terrace"],
+}
+
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col

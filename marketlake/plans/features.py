@@ -28,11 +28,15 @@ LEAK_COLUMNS = ["avg_price", "est_revenue", "revenue_per_review", "revenue_per_a
 def name_features(df: DataFrame, style: str = "keywords") -> DataFrame:
     """Keyword flags of the listing name, their number, and the length in characters and words.
 
-    ``style``: ``keywords`` (anywhere in the text), ``words`` (whole words) or ``synonyms`` (grouped spellings).
+    ``style``: ``keywords`` (anywhere in the text), ``words`` (whole words), ``synonyms`` (grouped spellings) or
+    ``synonyms_wide`` (a group for nearly every word).
     """
-    build = {"keywords": text.keyword_flags, "words": text.word_flags, "synonyms": text.synonym_flags}[style]
-    flags = build("name")
-    names = list(text.NAME_SYNONYMS) if style == "synonyms" else [text.flag_name(w) for w in text.NAME_KEYWORDS]
+    groups = {"synonyms": text.NAME_SYNONYMS, "synonyms_wide": text.NAME_SYNONYMS_WIDE}.get(style)
+    if groups:
+        flags, names = text.synonym_flags("name", groups), list(groups)
+    else:
+        flags = {"keywords": text.keyword_flags, "words": text.word_flags}[style]("name")
+        names = [text.flag_name(w) for w in text.NAME_KEYWORDS]
     flagged = df.select("*", *flags)
     return flagged.withColumns({
         "name_len_chars": text.char_len("name"),

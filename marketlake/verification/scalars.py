@@ -44,6 +44,16 @@ def f04(t):
     return t.documents.select("doc_id", *X.synonym_flags("text", GROUPS))
 
 
+@query(
+    "f04_synonym_flags_wide",
+    "select p_partkey, "
+    + ", ".join("(" + " or ".join(f"contains(lower(coalesce(p_name, '')), '{s}')" for s in g) + f")::int {n}" for n, g in X.NAME_SYNONYMS_WIDE.items())
+    + " from (select p_partkey, p_name || ' ' || p_type p_name from part)",
+)
+def f04_wide(t):
+    return t.part.withColumn("p_name", F.concat("p_name", F.lit(" "), "p_type")).select("p_partkey", *X.synonym_flags("p_name", X.NAME_SYNONYMS_WIDE))
+
+
 STANDALONE = ["the", "der", "elle", "of the"]
 _EDGE = r"[^\p{L}\p{N}_]"
 
@@ -158,6 +168,17 @@ def f19(t):
     return _centred(t).select("listing_id", G.euclid_deg("latitude", "longitude", "clat", "clon").alias("deg"))
 
 
+@query(
+    "f20_polar_with_centre",
+    with_ctes("fx_listing", f"""select listing_id, round(clat, 6) lat_center, round(clon, 6) lon_center, latitude - clat rel_lat, longitude - clon rel_lon,
+              sqrt((latitude - clat) * (latitude - clat) + (longitude - clon) * (longitude - clon)) dist_radial, round(atan2(latitude - clat, longitude - clon), 6) angle_radial
+              from fx_listing, {_CENTRE}"""),
+)
+def f20_centre(t):
+    polar = _centred(t).select("listing_id", *G.polar_offsets("latitude", "longitude", "clat", "clon", with_centre=True))
+    return rounded(polar, 6, "lat_center", "lon_center", "angle_radial")
+
+
 @query(
     "f20_polar_offsets",
     with_ctes("fx_listing", f"""select listing_id, latitude - clat rel_lat, longitude - clon rel_lon,

@@ -111,6 +111,18 @@ def test_half_up_and_exact_mean(spark):
     assert prices.select(exact.stddev_money("x")).first()[0] == pytest.approx(0.152752, abs=1e-6)
 
 
+def test_wide_synonyms(spark):
+    df = spark.createDataFrame([("Newly REFURBISHED, large",), (None,)], "n string")
+    hit, none = df.select(*text.synonym_flags("n", text.NAME_SYNONYMS_WIDE)).collect()
+    assert {k for k, v in hit.asDict().items() if v} == {"kw_spacious", "kw_new", "kw_renovated"}
+    assert len(hit) == 22 and not any(none)
+
+
+def test_one_hot_levels_are_bounded(spark):
+    with pytest.raises(ValueError, match="levels"):
+        scalars.one_hot(spark.range(1001), "id")
+
+
 def test_one_hot(spark):
     df = spark.createDataFrame([("b", 1), ("a", 2), (None, 3), ("c", 4)], "k string, v int")
     out = scalars.one_hot(df, "k")
