@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.session import stage
+from marketlake.session import release, stage
 
 BINS = 256
 REFRESH = 25
@@ -255,17 +255,18 @@ class Boosting:
         def binned(columns: pd.DataFrame) -> pd.Series:
             return pd.Series([row.tobytes() for row in _binned(columns.to_numpy(float), cut.value)], dtype=object)
 
-        rows = stage(used.select(F.monotonically_increasing_id().alias("id"), binned(F.struct(*names)).alias("bins"), "y", F.lit(base).alias("score")), "binned")
+        rows = stage(used.select(F.monotonically_increasing_id().alias("id"), binned(F.struct(*names)).alias("bins"), "y", F.lit(base).alias("score")), "binned", done=[used])
         model, new = BoostedModel(features, bounds, base, [], self.target), []
         for number in range(self.rounds):
             if len(new) == REFRESH:
                 scored = _scored(width, spark.sparkContext.broadcast(new))
-                rows, new = stage(rows.mapInArrow(scored, "id long, bins binary, y double, score double"), "scores"), []
+                rows, new = stage(rows.mapInArrow(scored, "id long, bins binary, y double, score double"), "scores", done=[rows]), []
             tree = self._grow(rows, width, new, number)
             if len(tree.feature) == 1 and self.columns >= 1 and self.share >= 1:
                 break  # no cut is left, and the next tree would find none either
             model.trees.append(tree)
             new.append(tree)
+        release(rows)
         return model
 
     def _grow(self, rows: DataFrame, width: int, new: list[Tree], number: int) -> Tree:

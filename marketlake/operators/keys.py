@@ -25,7 +25,7 @@ def distributed_key(df: DataFrame, order: list[str], name: str, by: list[str] |
     one row per range and group edge. Columns not named in ``order`` break ties, so the numbering repeats.
     The input is staged first: it is evaluated once, and the running number that spreads identical rows is counted
     over fixed files, so a task that runs again gives the same cut. The ranges are staged because the counts and the
-    rows must see the same cut.
+    rows must see the same cut; the staged input is deleted then.
     """
     by = list(by or [])
     df = stage(df, f"key-input-{name}")
@@ -39,7 +39,7 @@ def distributed_key(df: DataFrame, order: list[str], name: str, by: list[str] |
         .withColumn("_pos", F.monotonically_increasing_id())
         .drop("_copy")
     )
-    ranged = stage(ranged, f"key-{name}")
+    ranged = stage(ranged, f"key-{name}", done=[df])
     edges = ranged.groupBy("_range", *by).agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
     if not by:
         return ranged.select((F.col("_pos") + _shifts(edges)).cast("bigint").alias(name), *df.columns)

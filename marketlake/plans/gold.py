@@ -14,7 +14,7 @@ from marketlake.operators.joins import key_map, lookup_date_key
 from marketlake.operators.keys import distributed_key, surrogate_key
 from marketlake.operators.project import require_not_null
 from marketlake.operators.sets import conform_dim
-from marketlake.session import stage
+from marketlake.session import StagedTables, stage
 from marketlake.sources.readers import date_series
 
 LISTING_ATTRS = ["listing_id", "name", "room_type", "property_type", "accommodates", "bedrooms", "beds", "latitude", "longitude"]
@@ -172,6 +172,13 @@ def build_dims(listings: DataFrame, by: str | None = None) -> dict[str, DataFram
     return {name: stage(dim, f"dim-{name}") for name, dim in dims.items()} if by else dims
 
 
+def _numbered(rows: DataFrame, lookups: StagedTables, scope: list[str] | None = None) -> DataFrame:
+    """The fact with its id; the lookups it was made from go, as the key writes the rows."""
+    fact = distributed_key(rows, ["listing_key", "date_key"], "fact_id", scope)
+    lookups.delete()
+    return fact
+
+
 def fact_daily(calendar: DataFrame, listings: DataFrame, reviews: DataFrame, dims: dict[str, DataFrame],
                dim_date: DataFrame, by: str | None = None, with_id: bool = True, strict: bool = False,
                as_of: bool = False) -> DataFrame:
@@ -179,10 +186,9 @@ def fact_daily(calendar: DataFrame, listings: DataFrame, reviews: DataFrame, dim
 
     ``reviews_to_date`` is the listing's total, with ``as_of`` the running count up to the day of the fact.
     """
-    rows = fact_rows(calendar, listing_lookup(listings, reviews, dims, by, strict), dim_date, by, reviews if as_of else None)
-    if not with_id:
-        return rows
-    return distributed_key(rows, ["listing_key", "date_key"], "fact_id", _scope(rows, by))
+    with StagedTables(calendar.sparkSession) as lookups:
+        rows = fact_rows(calendar, listing_lookup(listings, reviews, dims, by, strict), dim_date, by, reviews if as_of else None)
+    return _numbered(rows, lookups, _scope(rows, by)) if with_id else rows
 
 
 def conform_dims(city_dims: dict[str, DataFrame], cities: list[str] | None = None) -> dict[str, DataFrame]:
@@ -214,14 +220,19 @@ def conform_fact(calendar: DataFrame, listings: DataFrame, reviews: DataFrame, c
         same = (F.col(key) == F.col("_old")) & F.col(by).eqNullSafe(F.col("_m_by"))
         columns = lookup.columns
         lookup = lookup.join(mapping, same, "inner").withColumn(key, F.col("_new")).select(*columns)
-    rows = fact_rows(calendar, lookup, dim_date, by, reviews if as_of else None).select(*FACT_COLUMNS)
-    return distributed_key(rows, ["listing_key", "date_key"], "fact_id") if with_id else rows
+    with StagedTables(calendar.sparkSession) as lookups:
+        rows = fact_rows(calendar, lookup, dim_date, by, reviews if as_of else None).select(*FACT_COLUMNS)
+    return _numbered(rows, lookups) if with_id else rows
 
 
 def conform(listings: DataFrame, calendar: DataFrame, reviews: DataFrame, dim_date: DataFrame,
             cities: list[str] | None = None, by: str = "city", with_id: bool = True, as_of: bool = False) -> dict[str, DataFrame]:
     """The whole conformed star over all cities."""
-    city_dims = build_dims(listings, by)
+    spark = listings.sparkSession
+    with StagedTables(spark) as city_tables:
+        city_dims = build_dims(listings, by)
     dims = conform_dims(city_dims, cities)
     fact = conform_fact(calendar, listings, reviews, city_dims, dims, dim_date, by, with_id, as_of)
+    if with_id:  # the fact is numbered and written, so nothing reads the dimensions of single cities any more
+        city_tables.delete()
     return {"dates": dim_date, **dims, "fact": fact}

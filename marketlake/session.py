@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,13 +49,68 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     return f"{work_dir(spark)}/marketlake/{tag}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, tag: str = "stage") -> DataFrame:
+def stage(df: DataFrame, tag: str = "stage", done: Iterable[DataFrame] = ()) -> DataFrame:
     """Write ``df`` as Parquet to the work folder and read it back.
 
     Cuts the lineage: the rows are fixed from here on, survive the loss of executors, and the optimizer knows
-    their size, so it can decide by itself whether a side is small enough to broadcast.
+    their size, so it can decide by itself whether a side is small enough to broadcast. ``done`` are staged tables
+    whose last reader this write is; they are deleted after it.
     """
     spark = df.sparkSession
     path = scratch_path(spark, tag)
+    for scope in _SCOPES:
+        scope.paths.append(path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    release(*done)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete staged tables. Only for what nothing reads any more: results that were computed lazily still do.
+
+    A task that runs again afterwards reads the table that was written from these, so a lost executor does no harm.
+    """
+    for table in tables:
+        _delete(table.sparkSession, table._staged_at)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+class StagedTables:
+    """The tables staged inside ``with``, to be deleted by ``delete`` once their last reader has ended.
+
+    Scopes may be nested; an outer one owns the tables of the inner ones too. They belong to one driver thread.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> StagedTables:
+        _SCOPES.append(self)
+        return self
+
+    def __exit__(self, *error) -> None:
+        _SCOPES.remove(self)
+
+    def delete(self) -> None:
+        while self.paths:
+            _delete(self.spark, self.paths.pop())
+
+
+_SCOPES: list[StagedTables] = []
+
+
+@contextlib.contextmanager
+def staged_tables(spark: SparkSession) -> Iterator[StagedTables]:
+    """Delete at the end what is staged inside. Results have to be written, or collected, inside."""
+    scope = StagedTables(spark)
+    try:
+        with scope:
+            yield scope
+    finally:
+        scope.delete()

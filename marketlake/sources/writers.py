@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.session import stage
+from marketlake.session import release, stage
 
 
 def write_silver(df: DataFrame, path: str, partition: str | None = "city", order: list[str] | None = None) -> DataFrame:
@@ -14,21 +14,24 @@ def write_silver(df: DataFrame, path: str, partition: str | None = "city", order
     With ``order`` rows are range-partitioned on (city, order) and sorted, so every file covers a narrow key
     range and its min/max statistics prune reads. A big city is cut into as many files as it needs, and so is a
     single key: a row hash, and for identical rows a running number, follow in the sort. The input is staged first, so
-    that the number is counted over fixed files and a task that runs again deals the rows as before.
+    that the number is counted over fixed files and a task that runs again deals the rows as before; it is deleted
+    after the write.
     Returns the table as read back.
     """
     keys = ([partition] if partition else []) + list(order or [])
-    out = df
+    out, staged = df, []
     if keys:
         hashable = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
         spread = {"_hash": F.xxhash64(*hashable), "_copy": F.monotonically_increasing_id()}
         sort = [F.col(c).asc_nulls_last() for c in keys]
-        ranged = stage(df, "write-input").withColumns(spread).repartitionByRange(*sort, *spread)
+        staged = [stage(df, "write-input")]
+        ranged = staged[0].withColumns(spread).repartitionByRange(*sort, *spread)
         out = ranged.sortWithinPartitions(*sort).drop(*spread)
     writer = out.write.mode("overwrite").option("compression", "snappy")
     if partition:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition)
     writer.parquet(path)
+    release(*staged)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from marketlake.operators import quality as Q
 from marketlake.plans import features, gold, marts, silver
 from marketlake.plans.dataset import DATASET_KEYS, listing_dataset
-from marketlake.session import scratch_path
+from marketlake.session import scratch_path, stage, staged_tables, work_dir
 from marketlake.sources import landing, readers, writers
 from marketlake.streaming.incremental import read_silver, stream_silver
 
@@ -238,6 +239,21 @@ def test_views_of_a_script(spark):
     assert spark.table("v_two").first().y == 2
 
 
+def test_conform_leaves_the_tables_of_its_result_only(spark, star):
+    def tables():
+        return set(os.listdir(f"{work_dir(spark)}/marketlake"))
+
+    stage(spark.range(1), "any")
+    before = tables()
+    with staged_tables(spark):
+        out = gold.conform(*star, cities=["A", "B"])
+        left = sorted(t.rsplit("-", 1)[0] for t in tables() - before)
+        assert left and all(t.startswith(("key-", "offsets")) and "input" not in t for t in left), left
+        assert len(out["fact"].collect()) > 0 and {n: out[n].count() for n in ("listings", "hosts")} == {"listings": 5, "hosts": 2}
+        assert out["neighbourhoods"].count() > 0
+    assert tables() == before
+
+
 def test_reviews_as_of_the_day(spark, star):
     listings, calendar, _, dates = star
     day = datetime.date(2025, 1, 4)
