@@ -140,11 +140,15 @@ def _sort_shard(length: int):
 
 
 def repeated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
-    """``docs`` (doc, t, text) to (doc, t, start, n): stretches of windows that also start elsewhere."""
+    """``docs`` (doc, t, text, ...) to (doc, t, start, n): stretches of windows that also start elsewhere.
+
+    Texts are shuffled by doc and t with all columns of ``docs``, so that a join of the same rows with the result by doc
+    and t is served by the same shuffle.
+    """
     schema = "doc long, t int, k long, start long, n int, digest long, several boolean"
-    all_runs = stage(docs.mapInPandas(_runs(length, gram), schema), "runs")
+    all_runs = stage(docs.select("doc", "t", "text").mapInPandas(_runs(length, gram), schema), "runs")
     twice = all_runs.groupBy("k").agg(F.count(F.lit(1)).alias("c"), F.max("several").alias("s")).where("c > 1 or s").select("k")
-    runs = stage(all_runs.join(twice, "k"), "candidates")
+    runs = stage(all_runs.join(twice, "k"), "candidates", done=[all_runs])
     place = F.struct("doc", "t", "start")
     variants = runs.groupBy("k", "digest", "n").agg(F.count(F.lit(1)).alias("c"), F.min(place).alias("first"), F.max("several").alias("s"))
     variants = stage(variants, "variants")
@@ -182,7 +186,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept (binary)."""
     # Rows are told apart by id and a hash of the text; rows that agree in both lose the same bytes.
     own = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63))).alias("doc"), F.hash(text).alias("t"), F.col(text).alias("text"))
-    found = repeated(own.drop("doc_id"), length, gram, hot)
+    found = repeated(own, length, gram, hot)
     cuts = found.groupBy("doc", "t").agg(F.collect_list("start").alias("starts"), F.collect_list("n").alias("ns"))
     rows = own.join(cuts, ["doc", "t"], "left").withColumn("x", _cut(length)(F.col("text"), F.col("starts"), F.col("ns")))
     return rows.select("doc_id", "x.n_bytes", "x.n_removed", "x.n_spans", "x.kept")
