@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketlake.session import scratch_path
+
 GEOJSON_SCHEMA = T.StructType([
     T.StructField("type", T.StringType()),
     T.StructField("features", T.ArrayType(T.StructType([
@@ -130,23 +132,35 @@ def _json_documents(spark: SparkSession, root, schema: T.StructType, multi_line:
     return reader.option("multiLine", multi_line).json(root)
 
 
-def _refuse_hidden(spark: SparkSession, root: str, glob: str) -> None:
-    """Spark skips files whose name starts with an underscore; say so instead of returning nothing."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{glob}")
-    hidden = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
-    if hidden:
-        raise ValueError(f"{hidden[0].getPath()}: Spark skips names that start with '_'; rename it to manifest.json")
+def _visible_manifests(spark: SparkSession, root: str) -> str | None:
+    """Copies of the ``_manifest.json`` files under ``root`` with a name that Spark lists, in the work folder; None if there are none.
+
+    There is one such file for each city and month; its bytes are passed on in pieces, none is held whole.
+    """
+    hadoop, conf, copies = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration(), None
+    for depth in (0, 3):
+        glob = hadoop.Path("/".join([root.rstrip("/"), *["*"] * depth, "_manifest.json"]))
+        for status in glob.getFileSystem(conf).globStatus(glob) or []:
+            copies = copies or scratch_path(spark, "manifests")
+            found = status.getPath()
+            folders = str(found.getParent().toUri().getPath()).split("/")
+            to = hadoop.Path("/".join([copies, *(folders[-depth:] if depth else []), "manifest.json"]))
+            hadoop.FileUtil.copy(found.getFileSystem(conf), found, to.getFileSystem(conf), to, False, conf)
+    return copies
 
 
 def read_manifest(spark: SparkSession, root: str, multi_line: bool = False) -> DataFrame:
     """Manifest documents flattened to one row per entry, with the partition columns of their path.
 
     By default one document per line, as ``append_manifest`` writes them; ``multi_line`` is for files that are a single
-    indented document. A file in the other layout, and a ``_manifest.json``, raise an error.
+    indented document; a file in the other layout raises an error. Files named ``_manifest.json`` always are a single
+    document; Spark does not list names that start with an underscore, so they are read as copies.
     """
-    for glob in ("_manifest.json", "*/*/*/_manifest.json"):
-        _refuse_hidden(spark, root, glob)
     df = _json_documents(spark, root, MANIFEST_SCHEMA, multi_line, "entries", basePath=root, pathGlobFilter="*.json")
+    hidden = _visible_manifests(spark, root)
+    if hidden:
+        copies = _json_documents(spark, hidden, MANIFEST_SCHEMA, True, "entries", basePath=hidden)
+        df = copies.unionByName(df, allowMissingColumns=True)
     have = [c for c in ("city", "year", "month") if c in df.columns]
     return df.select(*have, "generated_at", F.explode("entries").alias("e")).select(*have, "generated_at", "e.*")
 
@@ -166,6 +180,20 @@ def read_runs(spark: SparkSession, path: str, multi_line: bool = False) -> DataF
     return runs.select("*", F.col("_metadata.file_path").alias("file"))
 
 
+def read_run_log(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """The log of experiments, one row per run: run_id, timestamp, model_type, hyperparameters (map of texts, as their
+    names depend on the model), mae, rmse, mape, r2, reasoning, features_used and ``file``.
+
+    By default one run per line; ``multi_line`` is for a single list of runs.
+    """
+    metrics = "struct<mae: double, rmse: double, mape: double, r2: double>"
+    schema = T.StructType.fromDDL(
+        f"run_id string, timestamp string, model_type string, hyperparameters map<string, string>, metrics {metrics}, reasoning string, features_used array<string>")
+    runs = _json_documents(spark, path, schema, multi_line, "run_id", allowNonNumericNumbers="true")
+    return runs.select("run_id", "timestamp", "model_type", "hyperparameters", "metrics.*", "reasoning", "features_used",
+                       F.col("_metadata.file_path").alias("file"))
+
+
 def read_log_lines(spark: SparkSession, path, charset: str = "UTF-16") -> DataFrame:
     """Lines (file, line_no, line) of text files in a given charset; one file is one task."""
     files = spark.read.format("binaryFile").load(path)

@@ -51,6 +51,14 @@ def s03(t):
     return readers.read_json(t.spark, path, multi_line=False).select("conv_id", "turn", "role", "text")
 
 
+@query("s03_json_documents", "select s_suppkey, s_name, s_nationkey::bigint s_nationkey, s_acctbal from supplier")
+def s03_documents(t):
+    """A document per file, as the default reads them, with an inferred schema."""
+    path = scratch_path(t.spark, "s03-documents")
+    t.table("supplier").write.option("maxRecordsPerFile", 1).json(path)
+    return readers.read_json(t.spark, path).select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+
+
 @query("s04_parquet_scan", "select l_orderkey, l_linenumber, l_quantity from lineitem")
 def s04(t):
     return readers.read_parquet(t.spark, f"{t.sf_dir}/lineitem.parquet", ["l_orderkey", "l_linenumber", "l_quantity"])
@@ -116,7 +124,8 @@ def _known(t):
 @query(
     "s07_new_files",
     """select sha256(text) sha256, min(doc_id) path, min_by(lang, doc_id) city, min_by(octet_length(encode(text)), doc_id) bytes
-       from documents where coalesce(sha256(text) not in (select sha256(text) from documents where lang = 'fr' and text is not null), true) group by 1""",
+       from documents where coalesce(sha256(text) not in (select sha256(text) from documents where lang = 'fr' and text is not null), true)
+         and text is not null group by 1""",
 )
 def s07(t):
     hashed = landing.hash_files(_document_files(t))
@@ -126,8 +135,8 @@ def s07(t):
 _CLASSIFIED = """
 files as (select doc_id, lang city, sha256(text) sha256, octet_length(encode(text)) bytes from documents),
 known as (select distinct sha256(text) sha256 from documents where lang = 'fr' and text is not null),
-fresh as (select min(doc_id) doc_id from files where coalesce(sha256 not in (select sha256 from known), true) group by sha256),
-classified as (select f.*, case when n.doc_id is null then 'DUPLICATE' else 'NEW' end status
+fresh as (select min(doc_id) doc_id from files where sha256 is not null and sha256 not in (select sha256 from known) group by sha256),
+classified as (select f.*, case when f.sha256 is null then 'FAILED' when n.doc_id is null then 'DUPLICATE' else 'NEW' end status
                from files f left join fresh n on n.doc_id = f.doc_id)
 """
 
@@ -155,7 +164,7 @@ def _write_manifest(t, tag):
     "s08_manifest_append",
     f"""with {_CLASSIFIED}
         select city, case when status = 'NEW' then '2025-10-01T00:00:00' else '2025-09-30T00:00:00' end generated_at,
-               count(*) entries, sum(bytes)::bigint bytes from classified group by 1, 2""",
+               count(*) entries, sum(bytes)::bigint bytes from classified where status <> 'FAILED' group by 1, 2""",
 )
 def s08(t):
     path = _write_manifest(t, "s08")
@@ -168,7 +177,7 @@ def s08(t):
     "s09_manifest_read",
     f"""with {_CLASSIFIED}
         select city, 2025::bigint "year", 9::bigint "month", 'doc-' || doc_id source_url, '2025-09-30' captured_at, bytes, sha256,
-               0::bigint rows_est, status from classified""",
+               0::bigint rows_est, status from classified where status <> 'FAILED'""",
 )
 def s09(t):
     rows = readers.read_manifest(t.spark, _write_manifest(t, "s09")).drop("generated_at")
@@ -284,6 +293,49 @@ def s20(t):
     return readers.strip_log_lines(lines)
 
 
+@query(
+    "s20_log_files",
+    """select line, count(*) lines from (
+         select unnest([props, '', '  ', '{"level": "INFO", "logger": "' || event_type || '", "message": "done"}',
+                        '{"level": "' || event_type || '"}']) line from events)
+       where trim(line) <> '' and not contains(line, '"logger"') group by 1""",
+)
+def s20_files(t):
+    """The same lines in UTF-16 files."""
+    record = F.concat(F.lit('{"level": "INFO", "logger": "'), "event_type", F.lit('", "message": "done"}'))
+    short = F.concat(F.lit('{"level": "'), "event_type", F.lit('"}'))
+    lines = t.events.select(F.explode(F.array("props", F.lit(""), F.lit("  "), record, short)).alias("line"))
+    path = scratch_path(t.spark, "s20")
+    plain = {"quote": "", "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "sep": "\x01"}
+    lines.write.options(encoding="UTF-16", **plain).csv(path)
+    kept = readers.strip_log_lines(readers.read_log_lines(t.spark, path))
+    return kept.groupBy("line").agg(F.count(F.lit(1)).alias("lines"))
+
+
+@query(
+    "s21_run_log",
+    """select 'run_' || l_linenumber run_id, case when l_linenumber % 2 = 0 then 'forest' else 'gbt' end model_type,
+              l_linenumber * 100 rounds, round(avg(abs(l_extendedprice - l_quantity * 1500)), 4) mae, 2::bigint features, 'l_quantity' first_feature
+       from lineitem group by l_linenumber""",
+)
+def s21_log(t):
+    path = scratch_path(t.spark, "s21-log")
+    number = F.col("l_linenumber").cast("bigint")
+    runs = t.lineitem.groupBy(number.alias("n")).agg(F.avg(F.abs(F.col("l_extendedprice") - F.col("l_quantity") * 1500)).alias("mae"))
+    metrics = F.struct("mae", F.lit(1.0).alias("rmse"), F.lit(float("nan")).alias("mape"), F.lit(0.5).alias("r2"))
+    runs.select(
+        F.concat(F.lit("run_"), "n").alias("run_id"), F.lit("2026-01-01").alias("timestamp"),
+        F.when(F.col("n") % 2 == 0, "forest").otherwise("gbt").alias("model_type"),
+        F.struct((F.col("n") * 100).alias("rounds"), F.lit(0.05).alias("rate")).alias("hyperparameters"), metrics.alias("metrics"),
+        F.lit("").alias("reasoning"), F.array(F.lit("l_quantity"), F.lit("l_discount")).alias("features_used"),
+    ).write.json(path)
+    read = readers.read_run_log(t.spark, path)
+    return read.select(
+        "run_id", "model_type", F.col("hyperparameters")["rounds"].cast("bigint").alias("rounds"), F.round("mae", 4).alias("mae"),
+        F.size("features_used").cast("bigint").alias("features"), F.col("features_used")[0].alias("first_feature"),
+    )
+
+
 @query(
     "s21_run_log_scan",
     """select l_linenumber run_id, round(avg(abs(l_extendedprice - l_quantity * 1500)), 4) mae,
@@ -360,13 +412,30 @@ def d07(t):
 @query(
     "s23_landing_summary",
     f"""with {_CLASSIFIED}
-        select city, count(*) filter (status = 'NEW') downloaded, count(*) filter (status = 'DUPLICATE') skipped, 0::bigint failed,
+        select city, count(*) filter (status = 'NEW') downloaded, count(*) filter (status = 'DUPLICATE') skipped, count(*) filter (status = 'FAILED') failed,
                0::bigint retried, true dry_run from classified group by 1""",
 )
 def s23(t):
     return landing.landing_summary(_classified(t), dry_run=True)
 
 
+@query(
+    "s23_dry_run_listing",
+    f"""with {_CLASSIFIED.replace("sha256(text) sha256", "case when source not in ('src0', 'src1') then sha256(text) end sha256", 1).replace("octet_length(encode(text)) bytes", "case when source not in ('src0', 'src1') then octet_length(encode(text)) end bytes")}
+        select city, doc_id path, bytes, sha256, failed from classified
+        join (select city, count(*) filter (status = 'FAILED') failed from classified group by 1) using (city) where status = 'NEW'""",
+)
+def s23_dry_run(t):
+    """What would land when the downloads of two sources have failed, and how many failed in the city."""
+    files = t.documents.select(
+        F.col("doc_id").alias("path"), F.col("lang").alias("city"),
+        F.when(~F.col("source").isin("src0", "src1"), F.encode("text", "utf-8")).alias("content"),
+    )
+    classified = landing.classify(landing.hash_files(files), _known(t))
+    failed = landing.landing_summary(classified, dry_run=True).select("city", "failed")
+    return landing.dry_run(classified).join(failed, "city").select("city", "path", "bytes", "sha256", "failed")
+
+
 @query(
     "s24_run_summary",
     """select 'lineitem' "table", count(*) "rows", 'processed' status from lineitem

@@ -96,9 +96,31 @@ def test_json_layouts_are_not_mixed_up(spark, tmp_path):
     assert readers.read_manifest(spark, str(whole), multi_line=True).count() == 2
     with pytest.raises(Exception):
         readers.read_manifest(spark, str(whole)).collect()
-    (whole / "_manifest.json").write_text('{"entries": [], "generated_at": "t"}')
-    with pytest.raises(ValueError):
-        readers.read_manifest(spark, str(whole), multi_line=True)
+
+
+def test_hidden_manifests_are_read(spark, tmp_path):
+    entry = '{"source_url": "%s", "captured_at": "d", "bytes": 1, "sha256": "s", "rows_est": 0, "status": "NEW"}'
+    for city, month, names in (("Paris", 9, "ab"), ("Rome", 8, "c")):
+        folder = tmp_path / f"city={city}" / "year=2025" / f"month={month}"
+        folder.mkdir(parents=True)
+        (folder / "_manifest.json").write_text('{\n "entries": [\n%s\n ],\n "generated_at": "t"\n}' % ",\n".join(entry % n for n in names))
+    got = readers.read_manifest(spark, str(tmp_path)).select("city", "year", "month", "source_url", "bytes")
+    assert rows(got) == [("Paris", 2025, 9, "a", 1), ("Paris", 2025, 9, "b", 1), ("Rome", 2025, 8, "c", 1)]
+    # Next to files that Spark lists, and at the top.
+    (tmp_path / "city=Rome" / "year=2025" / "month=8" / "m.json").write_text('{"entries": [%s], "generated_at": "u"}' % (entry % "d"))
+    assert rows(readers.read_manifest(spark, str(tmp_path)).select("city", "source_url"))[2:] == [("Rome", "c"), ("Rome", "d")]
+    top = tmp_path / "top"
+    top.mkdir()
+    (top / "_manifest.json").write_text('{"entries": [%s], "generated_at": "t"}' % (entry % "e"))
+    assert rows(readers.read_manifest(spark, str(top)).select("source_url", "generated_at")) == [("e", "t")]
+
+
+def test_a_log_of_runs_as_one_list(spark, tmp_path):
+    run = '{"run_id": "r%d", "timestamp": "t", "model_type": "gbt", "hyperparameters": {"rate": 0.05, "leaves": 48, "kind": "x"},\n "metrics": {"mae": 1.5, "rmse": 2, "mape": NaN, "r2": 0.5}, "reasoning": "", "features_used": ["a", "b"]}'
+    (tmp_path / "log.json").write_text("[\n" + ",\n".join(run % i for i in range(2)) + "\n]")
+    got = sorted(readers.read_run_log(spark, str(tmp_path), multi_line=True).collect(), key=lambda r: r.run_id)
+    assert [r.run_id for r in got] == ["r0", "r1"] and got[0].hyperparameters == {"rate": "0.05", "leaves": "48", "kind": "x"}
+    assert (got[0].mae, got[0].rmse, got[0].r2, got[0].features_used) == (1.5, 2.0, 0.5, ["a", "b"]) and got[0].mape != got[0].mape
 
 
 def test_appended_runs_are_all_read(spark):
@@ -292,6 +314,10 @@ def test_landing_is_idempotent(spark):
     assert {r.path: r.status for r in classified.collect()} == {"a": "NEW", "b": "DUPLICATE", "c": "NEW", "d": "DUPLICATE"}
     summary = {r.city: (r.downloaded, r.skipped) for r in landing.landing_summary(classified).collect()}
     assert summary == {"x": (2, 1), "y": (0, 1)}
+    broken = landing.classify(landing.hash_files(files.withColumn("content", F.when(F.col("path") != "c", F.col("content")))), known)
+    assert {r.path: r.status for r in broken.collect()} == {"a": "NEW", "b": "DUPLICATE", "c": "FAILED", "d": "DUPLICATE"}
+    assert rows(landing.landing_summary(broken).select("city", "failed")) == [("x", 1), ("y", 0)]
+    assert rows(landing.dry_run(broken).select("city", "path", "bytes")) == [("x", "a", 1)]
     path = scratch_path(spark, "manifest")
     entries = landing.manifest_entries(classified.withColumns({"year": F.lit(2025), "month": F.lit(1), "source_url": F.col("path")}), "2025-01-01")
     landing.append_manifest(entries, path, "t1")
