@@ -336,9 +336,24 @@ def test_stream_adds_each_content_once(spark, tmp_path):
     assert read_silver(spark, str(tmp_path / "out")).count() == 2  # repeated rows inside one file stay
     (src / "again.csv").write_text("listing_id,date\n1,2025-01-01\n1,2025-01-01\n")
     (src / "b.csv").write_text("listing_id,date\n2,2025-01-02\n")
-    stream_silver(spark, *args)
+    query = stream_silver(spark, *args)
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 2  # contents known, not files seen
     stream_silver(spark, *args)
     assert rows(read_silver(spark, str(tmp_path / "out")).select("listing_id")) == [(1,), (1,), (2,)]
+    manifest = spark.read.parquet(str(tmp_path / "out" / "manifest"))
+    assert manifest.count() == manifest.select("sha256").distinct().count() == 2
+    with pytest.raises(ValueError):
+        stream_silver(spark, args[0], args[1], str(tmp_path / "other"), *args[3:])
+
+
+def test_stream_of_many_batches_knows_earlier_contents(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    for i in range(6):
+        (src / f"f{i}.csv").write_text(f"listing_id,date\n{i % 2},2025-01-01\n")
+    args = (str(src), str(tmp_path / "out"), str(tmp_path / "mark"), readers.text_schema("listing_id", "date"), silver.clean_reviews_summary)
+    stream_silver(spark, *args, max_files=1)  # six batches, two contents
+    assert rows(read_silver(spark, str(tmp_path / "out")).select("listing_id")) == [(0,), (1,)]
 
 
 # --- features -------------------------------------------------------------------------------------------------
