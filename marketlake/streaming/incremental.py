@@ -14,7 +14,6 @@ from marketlake.sources.readers import read_csv
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 MANIFEST = "sha256 string, path string, bytes bigint, batch bigint"
-STATE_STORE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
 
 
 def _replace_batch(df: DataFrame, batch_id: int, path: str) -> None:
@@ -29,8 +28,9 @@ def stream_silver(spark: SparkSession, src: str, dst: str, checkpoint: str, sche
                   clean: Callable[[DataFrame], DataFrame], glob: str = "*", max_files: int = 1000):
     """Clean what is new under ``src``, add it to ``dst/rows``, then stop.
 
-    The checkpoint remembers the files seen and, as keyed state on the disks of the executors, the hashes of all
-    contents. A file landed again under another name, in this run or an earlier one, meets its hash there and adds
+    The checkpoint remembers the files seen and, as keyed state, the hashes of all contents. The state is held by the
+    session's state store: Spark's default keeps it in the executors' memory, some 200 bytes a content over all of them;
+    RocksDB keeps it on their disks, at a few MB for each shuffle partition. A file landed again under another name, in this run or an earlier one, meets its hash there and adds
     nothing; a batch looks up its own hashes only, however many are known. Contents are hashed where they are read and
     never shuffled. At most ``max_files`` paths per batch reach the driver. Rows and ``dst/manifest`` of a batch replace
     themselves when the batch runs again, so a lost executor or driver never doubles rows.
@@ -57,17 +57,10 @@ def stream_silver(spark: SparkSession, src: str, dst: str, checkpoint: str, sche
         .option("pathGlobFilter", glob).option("maxFilesPerTrigger", max_files)
     )
     hashed = hash_files(files.load(src).select("path", "content")).select("sha256", "path", "bytes")
-    before = {name: spark.conf.get(name, None) for name in STATE_STORE}
-    try:
-        for name, value in STATE_STORE.items():
-            spark.conf.set(name, value)
-        query = (
-            hashed.dropDuplicates(["sha256"]).writeStream.option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).foreachBatch(add).start()
-        )
-    finally:  # the running query keeps the settings that it started with
-        for name, value in before.items():
-            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    query = (
+        hashed.dropDuplicates(["sha256"]).writeStream.option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).foreachBatch(add).start()
+    )
     query.awaitTermination()
     return query
 
