@@ -30,10 +30,11 @@ def stream_silver(spark: SparkSession, src: str, dst: str, checkpoint: str, sche
 
     The checkpoint remembers the files seen and, as keyed state, the hashes of all contents. The state is held by the
     session's state store: Spark's default keeps it in the executors' memory, some 200 bytes a content over all of them;
-    RocksDB keeps it on their disks, at a few MB for each shuffle partition. A file landed again under another name, in this run or an earlier one, meets its hash there and adds
-    nothing; a batch looks up its own hashes only, however many are known. Contents are hashed where they are read and
-    never shuffled. At most ``max_files`` paths per batch reach the driver. Rows and ``dst/manifest`` of a batch replace
-    themselves when the batch runs again, so a lost executor or driver never doubles rows.
+    RocksDB keeps it on their disks, at a few MB for each shuffle partition. A file landed again under another name, in
+    this run or an earlier one, meets its hash there and adds nothing; a batch looks up its own hashes only, however many
+    are known. Contents are hashed where they are read and never shuffled. At most ``max_files`` paths per batch reach the
+    driver. Rows and ``dst/manifest`` of a batch replace themselves when the batch runs again, so a lost executor or driver
+    never doubles rows.
 
     Checkpoint and destination belong together: a new checkpoint over a filled destination is an error, as batches
     would be numbered anew and replace others. The number of shuffle partitions of the first run stays.
