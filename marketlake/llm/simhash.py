@@ -7,10 +7,13 @@ their differing bits counted. A posting hands on one edge per fingerprint to the
 pairs. Equal fingerprints are one entry from the start. A posting longer than LONGEST is cut by a fourth shared byte,
 and one that is still longer by one of five blocks of the other 32 bits, of which four differing bits leave one equal.
 
-``drop_similar`` finds documents that are alike in their five-word shingles. A text's sketch is the least shingle hash of
-each of BINS bins, one byte each; a bin without a shingle borrows the byte of another one, so short texts have a byte
-everywhere. The index is keyed by BANDS groups of ROWS bytes: a pair of similarity j shares a key with a probability of
-1 - (1 - j^ROWS)^BANDS, 0.9999 at 0.8. Sketches find candidates only; a link is a pair whose shingle sets are SIMILAR.
+``drop_similar`` keeps one document of those that are alike in their five-word shingles. The fingerprints of these
+shingles go through the index above first; a member of a group is then checked with the group's first. Four bits are
+strict, so a second index follows over the bytes of a longer print for what they miss: a text's sketch is the least
+shingle hash of each of BINS bins, one byte each; a bin without a shingle borrows the byte of another one, so short texts
+have a byte everywhere. This index is keyed by BANDS groups of ROWS bytes: a pair of similarity j shares a key with a
+probability of 1 - (1 - j^ROWS)^BANDS, 0.9999 at 0.8, and shared bytes are tallied by position against the least number
+that goes with SIMILAR. Both find candidates only; a link is a pair whose shingle sets are SIMILAR.
 
 Defined results: a null or empty text has fingerprint zero and links like any other; a text of fewer words than a
 shingle is one shingle; repeated rows and null ids are rows like others, an id is the smallest of those that are not
@@ -41,8 +44,8 @@ BINS = 128
 SIMILAR = 0.8
 ROWS = 5
 BANDS = BINS // ROWS
-#: Keys of the second comparison: so many sets of so many bins each.
-LONG_KEYS, LONG_ROWS = 80, 10
+#: Shingles of the sets that a task holds at once when it compares those of a posting: a tile has two parts of this size.
+TILE = 1 << 20
 
 
 def _triples() -> list[tuple[int, ...]]:
@@ -77,7 +80,10 @@ def shingles(text: str | None, width: int) -> list[int]:
 
 def simhash(text: str | None, width: int) -> int:
     """The fingerprint of a text as a signed 64-bit number."""
-    hashes = shingles(text, width)
+    return _simhash_of(shingles(text, width))
+
+
+def _simhash_of(hashes: list[int]) -> int:
     if not hashes:
         return 0
     ones = np.zeros(64, np.int64)
@@ -120,13 +126,18 @@ def shingle_set(text: str | None, width: int) -> np.ndarray:
 
 
 def _shingle_print(text: str, width: int) -> Column:
-    """(hash of the shingle set, sketch of it)."""
+    """(hash of the shingle set, its size, fingerprint of the shingles, sketch of the set)."""
 
-    @F.pandas_udf(StructType().add("node", "long").add("sketch", "binary"))
+    @F.pandas_udf(StructType().add("node", "long").add("size", "long").add("fp", "long").add("sketch", "binary"))
     def run(texts: pd.Series) -> pd.DataFrame:
-        sets = [shingle_set(t, width) for t in texts]
-        nodes = np.array([xxhash.xxh64_intdigest(s.tobytes(), 7) for s in sets], np.uint64).view(np.int64)
-        return pd.DataFrame({"node": nodes, "sketch": pd.Series([_sketch_of(s) for s in sets], dtype=object)})
+        rows = []
+        for t in texts:
+            hashes = shingles(t, width)
+            own = np.unique(np.array(hashes, np.uint64))
+            rows.append((xxhash.xxh64_intdigest(own.tobytes(), 7), len(own), _simhash_of(hashes), _sketch_of(own)))
+        nodes, sizes, fps, sketches = zip(*rows, strict=True) if rows else ((), (), (), ())
+        nodes = np.array(nodes, np.uint64).view(np.int64)
+        return pd.DataFrame({"node": nodes, "size": np.array(sizes, np.int64), "fp": np.array(fps, np.int64), "sketch": pd.Series(sketches, dtype=object)})
 
     return run(F.col(text))
 
@@ -135,9 +146,6 @@ def _shingle_print(text: str, width: int) -> Column:
 LENDERS = np.array([[i, *np.random.default_rng(i).permutation(np.delete(np.arange(BINS), i))] for i in range(BINS)])
 
 
-LONG_BINS = np.array([np.random.default_rng(1000 + i).permutation(BINS)[:LONG_ROWS] for i in range(LONG_KEYS)])
-
-
 def _filled(sketches: np.ndarray) -> np.ndarray:
     """Sketches whose empty bins have borrowed a byte."""
     full = sketches.copy()
@@ -147,14 +155,6 @@ def _filled(sketches: np.ndarray) -> np.ndarray:
     return full
 
 
-def long_keys(sketches: np.ndarray) -> np.ndarray:
-    """Rows of sketches to rows of LONG_KEYS keys, each of them a hash of the key's number and its bytes."""
-    full, keys = _filled(sketches), np.empty((len(sketches), LONG_KEYS), np.uint64)
-    for n, bins in enumerate(LONG_BINS):
-        keys[:, n] = [xxhash.xxh64_intdigest(row.tobytes(), n) for row in full[:, bins]]
-    return keys.view(np.int64)
-
-
 def band_keys(sketches: np.ndarray) -> np.ndarray:
     """Rows of sketches to rows of BANDS keys, each of them the band's number and its bytes."""
     full = _filled(sketches)
@@ -174,18 +174,16 @@ def _bands(sketches: pd.Series) -> pd.Series:
     return pd.Series(list(band_keys(_rows_of(sketches))), dtype=object)
 
 
-@F.pandas_udf(ArrayType(LongType()))
-def _long_bands(sketches: pd.Series) -> pd.Series:
-    return pd.Series(list(long_keys(_rows_of(sketches))), dtype=object)
+def shares_enough(one: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """Whether so many bytes are equal by position that SIMILAR is within four standard errors."""
+    some = ((one | many) != 0).sum(axis=1)
+    same = ((one == many) & (one != 0)).sum(axis=1)
+    return same >= SIMILAR * some - 4 * np.sqrt(SIMILAR * (1 - SIMILAR) * some)
 
 
 @F.pandas_udf(BooleanType())
 def _maybe_alike(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Whether so many bytes are equal that SIMILAR is within four standard errors."""
-    a, b = _rows_of(a), _rows_of(b)
-    some = ((a | b) != 0).sum(axis=1)
-    same = ((a == b) & (a != 0)).sum(axis=1)
-    return pd.Series(same >= SIMILAR * some - 4 * np.sqrt(SIMILAR * (1 - SIMILAR) * some))
+    return pd.Series(shares_enough(_rows_of(a), _rows_of(b)))
 
 
 @F.pandas_udf(BooleanType())
@@ -354,50 +352,153 @@ def _with_both(pairs: DataFrame, of: DataFrame, column: str) -> DataFrame:
     return pairs.join(one, "a").join(two, "b")
 
 
-def _verified(pairs: DataFrame, entries: DataFrame, texts: DataFrame, width: int) -> DataFrame:
-    """The ``pairs`` whose shingle sets are SIMILAR; sketches refuse clear cases before texts are looked up."""
+def _verified(pairs: DataFrame, entries: DataFrame, sets: DataFrame) -> DataFrame:
+    """The ``pairs`` whose shingle sets are SIMILAR; the tally of sketches refuses clear cases before sets are looked up."""
     pairs = stage(_with_both(pairs, entries, "sketch").where(_maybe_alike("x", "y")).select("a", "b"), "candidates")
+    return stage(_with_both(pairs, sets, "set").where(_alike_sets("x", "y")).select("a", "b"), "links")
+
+
+def _shingle_sets(entries: DataFrame, nodes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """(node, set) of the ``nodes``, from the text of one row of each; ``texts`` are (row, text)."""
 
     @F.pandas_udf("binary")
     def as_set(column: pd.Series) -> pd.Series:
         return pd.Series([shingle_set(t, width).tobytes() for t in column], dtype=object)
 
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    found = texts.join(nodes, "node", "left_semi").dropDuplicates(["node"])
-    sets = stage(found.select("node", as_set("text").alias("set")), "sets")
-    return stage(_with_both(pairs, sets, "set").where(_alike_sets("x", "y")).select("a", "b"), "links")
+    wanted = stage(entries.join(nodes, "node", "left_semi").select("node", "row"), "wanted")
+    return stage(texts.join(wanted, "row").select("node", as_set("text").alias("set")), "sets")
 
 
 def _mixed(rows: DataFrame) -> DataFrame:
-    """Postings (k, node, group) that hold several groups, with their largest one as ``main``."""
-    counts = rows.groupBy("k", "group").agg(F.count(F.lit(1)).alias("n"))
-    main = counts.groupBy("k").agg(F.max(F.struct("n", "group"))["group"].alias("main"), F.count(F.lit(1)).alias("groups"))
-    return rows.join(main.where("groups > 1").drop("groups"), "k")
+    """Postings (k, node, group, size) that hold several groups, with their largest one as ``main``.
+
+    ``mains`` and ``others`` say in how many parts of TILE shingles the entries of that group and the rest are cut.
+    """
+    counts = rows.groupBy("k", "group").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("s"))
+    main = counts.groupBy("k").agg(F.max(F.struct("n", "group", "s")).alias("m"), F.sum("s").alias("s"), F.count(F.lit(1)).alias("groups")).where("groups > 1")
+    parts = lambda size: F.greatest(F.lit(1), F.ceil(size / TILE)).cast("long")
+    main = main.select("k", F.col("m.group").alias("main"), parts(F.col("m.s")).alias("mains"), parts(F.col("s") - F.col("m.s")).alias("others"))
+    return rows.join(main, "k")
+
+
+def _tiles() -> Column:
+    """The tiles of an entry of a mixed posting: each entry that is not of the main group meets all others in a tile.
+
+    Tile (x, y) holds part x of the others, and part y of the main group or, from ``mains`` on, another part of the others.
+    """
+    mains, others = F.col("mains"), F.col("others")
+    wide, upto = mains + others, lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
+    part = lambda n: F.pmod(F.xxhash64("node"), n)
+    of_main = F.transform(upto(others), lambda x: x * wide + part(mains))
+    with_main = F.transform(upto(mains), lambda y: part(others) * wide + y)
+    rest = F.filter(upto(others), lambda x: x != part(others))
+    with_rest = F.transform(rest, lambda x: F.least(x, part(others)) * wide + mains + F.greatest(x, part(others)))
+    return F.when(F.col("group") == F.col("main"), of_main).otherwise(F.concat(with_main, with_rest))
+
+
+def links_across(nodes: np.ndarray, groups: np.ndarray, main: int, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links between entries of different groups whose sets are SIMILAR, at least a chain of them between any two groups.
+
+    No set is empty: the empty one is one entry and its sketch, all zeros, meets no other.
+    """
+    sizes = np.array([len(s) for s in sets])
+    values, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.cumsum(sizes) - sizes
+    groups, edges, held = groups.copy(), [], np.zeros(len(values), np.int64)
+    for i in np.flatnonzero(groups != main):
+        own = flat[starts[i] : starts[i] + sizes[i]]
+        held[own] = 1
+        both = np.add.reduceat(held[flat], starts)
+        held[own] = 0
+        near = np.flatnonzero((groups != groups[i]) & (both / (sizes + sizes[i] - both) >= SIMILAR))
+        met, first = np.unique(groups[near], return_index=True)
+        edges += [(int(nodes[i]), int(nodes[j])) for j in near[first]]
+        groups[np.isin(groups, met)] = groups[i]  # they are one group now
+    return edges
+
+
+def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], list[tuple]]]:
+    """The tiles (k, tile) of sorted rows and the further columns of each; the open tile is carried over batches."""
+    key, held = None, []
+    for batch in batches:
+        for k, tile, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if (k, tile) != key:
+                if len(held) > 1:
+                    yield key, held
+                key, held = (k, tile), []
+            held.append(row)
+    if len(held) > 1:
+        yield key, held
+
+
+def worth_comparing(k: int, groups: np.ndarray, main: int, sketches: np.ndarray) -> np.ndarray:
+    """Which entries of posting ``k`` share enough bytes with one of another group; a pair counts in its first band only."""
+    band, keys, worth = k >> (8 * ROWS), band_keys(sketches), np.zeros(len(groups), bool)
+    for i in np.flatnonzero(groups != main):
+        near = np.flatnonzero(groups != groups[i])
+        near = near[~(keys[near, :band] == keys[i, :band]).any(axis=1)]
+        near = near[shares_enough(sketches[i], sketches[near])]
+        worth[near] = True
+        worth[i] |= len(near) > 0
+    return worth
+
+
+def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for (k, tile), rows in _held(batches):
+        nodes, groups, mains, sketches = zip(*rows, strict=True)
+        worth = np.flatnonzero(worth_comparing(k, np.array(groups), mains[0], _rows_of(sketches)))
+        if len(worth):
+            out = [[k] * len(worth), [tile] * len(worth), *([c[i] for i in worth] for c in (nodes, groups, mains))]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["k", "tile", "node", "group", "main"])
+
+
+def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for _, rows in _held(batches):
+        nodes, groups, mains, sets = zip(*rows, strict=True)
+        edges = links_across(np.array(nodes), np.array(groups), mains[0], [np.frombuffer(s, np.uint64) for s in sets])
+        if edges:
+            yield _edge_batch(edges)
+
+
+def _across(mixed: DataFrame, entries: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between entries of different groups that meet in a posting.
+
+    Both the tally of their sketches and the comparison of the sets that it leaves are done in tasks, tile by tile.
+    """
+    n, columns = tasks(mixed.sparkSession), ["k", "tile", "node", "group", "main"]
+    tiled = mixed.select("k", F.explode(_tiles()).alias("tile"), "node", "group", "main")
+
+    def by_tile(of: DataFrame, column: str) -> DataFrame:
+        rows = tiled.join(of.select("node", column), "node").select(*columns, column)
+        return rows.repartition(n, "k", "tile").sortWithinPartitions("k", "tile")
+
+    tiled = stage(by_tile(entries, "sketch").mapInArrow(_tally, ", ".join(f"{c} long" for c in columns)), "tallied")
+    return stage(by_tile(sets, "set").mapInArrow(_cross, "a long, b long"), "links")
 
 
 def link_similar(entries: DataFrame, texts: DataFrame, width: int) -> DataFrame:
-    """Entries (node, sketch) with ``texts`` (node, text) to (node, root), for those that are linked with another.
+    """Entries (node, row, size, fp, sketch) with ``texts`` (row, text) to (node, root), for those linked with another.
 
-    First each posting is compared with its hub, the entry that meets the most others, which links a group of copies
-    at once. Then entries of different groups that meet are compared, but never two of one group; as they meet under
-    longer keys (LONG_KEYS of LONG_ROWS bytes, which a pair at 0.8 misses 1 time in 8,000), fewer unlike ones do.
+    Candidates are the entries that fingerprints link, each with its group's first, and the entries that meet in a
+    posting of sketch bytes, first each with the posting's hub, the entry that meets the most others: that links a group
+    of copies at once. Then the entries of a posting are compared that are still in different groups, but never two of
+    one group.
     """
-    postings = stage(entries.select("node", F.explode(_bands("sketch")).alias("k")), "postings")
-    sizes = postings.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    postings = stage(postings.join(sizes, "k"), "postings")
+    prints = stage(cluster(entries.select(F.col("node").alias("id"), "fp")).select("fp", "component"), "prints")
+    near = stage(entries.join(prints, "fp").where("node != component").select(*_pair(F.col("node"), F.col("component"))), "near")
+    postings = stage(entries.select("node", "size", F.explode(_bands("sketch")).alias("k")), "postings")
+    sizes = stage(postings.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "sizes")
+    postings = stage(postings.join(sizes, "k"), "postings", [postings])
     weights = postings.groupBy("node").agg(F.sum("n").alias("weight"))
     hubs = postings.join(weights, "node").groupBy("k").agg(F.max(F.struct("weight", "node")).alias("hub"))
-    first = postings.join(hubs, "k").where("node != hub.node").select(*_pair(F.col("node"), F.col("hub.node"))).distinct()
-    links = _verified(first, entries, texts, width)
+    first = postings.join(hubs, "k").where("node != hub.node").select(*_pair(F.col("node"), F.col("hub.node")))
+    nodes = postings.select("node").unionByName(near.select(F.explode(F.array("a", "b")).alias("node"))).distinct()
+    sets = _shingle_sets(entries, nodes, texts, width)
+    links = _verified(near.unionByName(first).distinct(), entries, sets)
     group = F.coalesce("root", "node").alias("group")
-    rows = stage(postings.join(components(links), "node", "left").select("k", "node", group), "groups")
-    rows = stage(_mixed(rows).select("node", "group").distinct(), "mixed")
-    keys = rows.join(entries, "node").select("node", "group", F.explode(_long_bands("sketch")).alias("k"))
-    rows = stage(_mixed(stage(keys, "postings")), "meetings")
-    left = rows.where(F.col("group") != F.col("main")).select("k", F.col("node").alias("l"), F.col("group").alias("of"))
-    met = left.join(rows, "k").where((F.col("of") != F.col("group")) & ((F.col("group") == F.col("main")) | (F.col("l") < F.col("node"))))
-    rest = stage(met.select(*_pair(F.col("l"), F.col("node"))).distinct(), "pairs")
-    return components(links.unionByName(_verified(rest, entries, texts, width)))
+    rows = stage(postings.join(components(links), "node", "left").select("k", "node", "size", group), "groups")
+    more = _across(stage(_mixed(rows), "meetings"), entries, sets)
+    return components(links.unionByName(more))
 
 
 def drop_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5) -> DataFrame:
@@ -406,15 +507,13 @@ def drop_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     Texts with equal shingle sets are one entry; shingles are told apart by 64-bit hashes, and so are sets.
     """
     own = [F.col(f"`{c}`") for c in docs.columns]
-    marked = stage(docs.withColumn("__p", _shingle_print(text, width)), "marked")
-    marked = marked.withColumn("__node", F.col("__p.node"))
-    entry = [F.min(doc_id).alias("low"), F.first("__p.sketch").alias("sketch")]
-    entries = stage(marked.groupBy(F.col("__node").alias("node")).agg(*entry), "entries")
-    texts = marked.select(F.col("__node").alias("node"), F.col(text).alias("text"))
-    links = link_similar(entries.select("node", "sketch"), texts, width)
-    roots = entries.select("node", "low").join(links, "node", "left").withColumn("__group", F.coalesce("root", "node"))
-    roots = stage(roots.select(F.col("node").alias("__node"), "__group", F.col("low").alias("__low")), "groups")
-    lows = roots.groupBy("__group").agg(F.min("__low").alias("__low"))
-    first = roots.join(lows.withColumnRenamed("__low", "__first"), "__group").where(F.col("__low").eqNullSafe(F.col("__first")))
-    kept = marked.join(first.select("__node", "__group", "__first"), "__node").where(F.col(doc_id).eqNullSafe(F.col("__first")))
-    return kept.dropDuplicates(["__group"]).select(*own)
+    marked = docs.withColumn("__p", _shingle_print(text, width)).withColumn("__row", F.monotonically_increasing_id())
+    marked = stage(marked, "marked")
+    first = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.col("__row").alias("row"))
+    prints = [F.first("__p.size").alias("size"), F.min("__p.fp").alias("fp"), F.first("__p.sketch").alias("sketch")]
+    entries = marked.groupBy(F.col("__p.node").alias("node")).agg(F.min(first).alias("first"), *prints)
+    entries = stage(entries.withColumn("row", F.col("first.row")), "entries")
+    texts = marked.select(F.col("__row").alias("row"), F.col(text).alias("text"))
+    links = link_similar(entries.drop("first"), texts, width)
+    groups = entries.select("node", "first").join(links, "node", "left").groupBy(F.coalesce("root", "node")).agg(F.min("first")["row"].alias("__row"))
+    return marked.join(stage(groups.select("__row"), "firsts"), "__row", "left_semi").select(*own)
