@@ -45,7 +45,9 @@ SIMILAR = 0.8
 ROWS = 5
 BANDS = BINS // ROWS
 #: Shingles of the sets that a task holds at once when it compares those of a posting: a tile has two parts of this size.
-TILE = 1 << 20
+TILE = 1 << 18
+#: Bits of the filter that keeps texts out of a shuffle; it goes to all tasks, as 4 MB at most.
+MARKS = 1 << 25
 
 
 def _triples() -> list[tuple[int, ...]]:
@@ -346,10 +348,23 @@ def _pair(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+def _marked_in(rows: DataFrame, some: DataFrame, by: str, flag: str) -> DataFrame:
+    """``rows`` with a ``flag`` that is true where ``by`` is a value of ``some``, and for few others (a hash of MARKS bits).
+
+    Long rows without it need no shuffle to be told apart; those with it are joined as usual.
+    """
+    spot = F.pmod(F.xxhash64(by), F.lit(MARKS))
+    bit = F.bitmap_bit_position(spot)
+    marks = some.groupBy(F.bitmap_bucket_number(spot).alias("__bucket")).agg(F.bitmap_construct_agg(bit).alias("__marks"))
+    byte = F.conv(F.hex(F.substring("__marks", (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    out = rows.withColumn("__bucket", F.bitmap_bucket_number(spot)).join(F.broadcast(marks), "__bucket", "left")
+    return out.withColumn(flag, F.coalesce(F.getbit(byte, (bit % 8).cast("int")) == 1, F.lit(False))).drop("__bucket", "__marks")
+
+
 def _with_both(pairs: DataFrame, of: DataFrame, column: str) -> DataFrame:
     """``pairs`` (a, b) with ``column`` of both nodes as x and y."""
     one, two = (of.select(F.col("node").alias(n), F.col(column).alias(c)) for n, c in (("a", "x"), ("b", "y")))
-    return pairs.join(one, "a").join(two, "b")
+    return pairs.join(one.hint("merge"), "a").join(two.hint("merge"), "b")
 
 
 def _verified(pairs: DataFrame, entries: DataFrame, sets: DataFrame) -> DataFrame:
@@ -366,7 +381,8 @@ def _shingle_sets(entries: DataFrame, nodes: DataFrame, texts: DataFrame, width:
         return pd.Series([shingle_set(t, width).tobytes() for t in column], dtype=object)
 
     wanted = stage(entries.join(nodes, "node", "left_semi").select("node", "row"), "wanted")
-    return stage(texts.join(wanted, "row").select("node", as_set("text").alias("set")), "sets")
+    found = _marked_in(texts, wanted, "row", "found").where("found")
+    return stage(found.join(wanted.hint("merge"), "row").select("node", as_set("text").alias("set")), "sets")
 
 
 def _mixed(rows: DataFrame) -> DataFrame:
@@ -469,7 +485,7 @@ def _across(mixed: DataFrame, entries: DataFrame, sets: DataFrame) -> DataFrame:
     tiled = mixed.select("k", F.explode(_tiles()).alias("tile"), "node", "group", "main")
 
     def by_tile(of: DataFrame, column: str) -> DataFrame:
-        rows = tiled.join(of.select("node", column), "node").select(*columns, column)
+        rows = tiled.join(of.select("node", column).hint("merge"), "node").select(*columns, column)
         return rows.repartition(n, "k", "tile").sortWithinPartitions("k", "tile")
 
     tiled = stage(by_tile(entries, "sketch").mapInArrow(_tally, ", ".join(f"{c} long" for c in columns)), "tallied")
@@ -488,7 +504,7 @@ def link_similar(entries: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     near = stage(entries.join(prints, "fp").where("node != component").select(*_pair(F.col("node"), F.col("component"))), "near")
     postings = stage(entries.select("node", "size", F.explode(_bands("sketch")).alias("k")), "postings")
     sizes = stage(postings.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "sizes")
-    postings = stage(postings.join(sizes, "k"), "postings", [postings])
+    postings = stage(postings.join(sizes.hint("merge"), "k"), "postings", [postings])
     weights = postings.groupBy("node").agg(F.sum("n").alias("weight"))
     hubs = postings.join(weights, "node").groupBy("k").agg(F.max(F.struct("weight", "node")).alias("hub"))
     first = postings.join(hubs, "k").where("node != hub.node").select(*_pair(F.col("node"), F.col("hub.node")))
@@ -516,4 +532,8 @@ def drop_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     texts = marked.select(F.col("__row").alias("row"), F.col(text).alias("text"))
     links = link_similar(entries.drop("first"), texts, width)
     groups = entries.select("node", "first").join(links, "node", "left").groupBy(F.coalesce("root", "node")).agg(F.min("first")["row"].alias("__row"))
-    return marked.join(stage(groups.select("__row"), "firsts"), "__row", "left_semi").select(*own)
+    firsts = stage(groups.select("__row"), "firsts")
+    others = stage(marked.select("__row").join(firsts.hint("merge"), "__row", "left_anti"), "others")
+    marked = _marked_in(marked, others, "__row", "__maybe")
+    rest = marked.where("__maybe").join(others.hint("merge"), "__row", "left_anti")
+    return marked.where("not __maybe").select(*own).union(rest.select(*own))

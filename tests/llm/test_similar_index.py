@@ -78,3 +78,28 @@ def test_links_across_joins_groups():
         if one is not two:
             groups = [g for g in groups if g not in (one, two)] + [one | two]
     assert sorted(map(sorted, groups)) == [[0, 1, 2], [3, 4], [5]]
+
+
+def test_rows_are_told_apart_without_a_shuffle(spark):
+    rows = spark.range(100_000).withColumnRenamed("id", "row")
+    for some in ([], [0, 1, 7, 32767, 32768, 32769, 99_999]):
+        wanted = spark.createDataFrame([(n,) for n in some], "row long")
+        flags = simhash._marked_in(rows, wanted, "row", "maybe")
+        assert flags.count() == 100_000
+        found = {r.row for r in flags.where("maybe").collect()}
+        assert set(some) <= found and len(found) <= len(some) + 5 * bool(some)
+
+
+def test_single_documents_stay_out_of_the_last_join(spark, monkeypatch):
+    joined, marked_in = [], simhash._marked_in
+
+    def spy(rows, some, by, flag):
+        out = marked_in(rows, some, by, flag)
+        joined.append(out.where(flag).count())
+        return out
+
+    monkeypatch.setattr(simhash, "_marked_in", spy, raising=False)
+    texts = [" ".join(words(random.Random(n), 60)) for n in range(50)]
+    texts += texts[:3]
+    assert kept_of(spark, texts) == exact(texts)
+    assert joined == [0, 3]  # no candidates; three copies
