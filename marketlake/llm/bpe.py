@@ -17,11 +17,9 @@ further columns do not matter; decoding gives the UTF-8 bytes of the text back.
 from __future__ import annotations
 
 import base64
-import re
 from array import array
 from collections.abc import Iterable, Iterator
 from heapq import heappop, heappush
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -32,10 +30,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructType
 
-from marketlake.llm.common import Bounded
+from marketlake.llm.common import Remembered, Runs, offsets, regrouped, slices
 
-#: Bytes of text whose new runs are merged together.
-SLICE = 6 << 20
+#: Bytes of text whose new pieces are merged together, and of the memory for pieces.
+SLICE = 8 << 20
+CACHE = 24 << 20
+#: Runs that are cut by the pattern in one text.
+JOINED = 4096
 
 
 def read_ranks(path: str) -> bytes:
@@ -65,7 +66,7 @@ class Encoder:
         self.packed = {rank: rank.to_bytes(4, "little") for rank in self.ranks.values()}
         self.queue = RankQueue(max(self.ranks.values(), default=0) + 1)
         self.find = regex.compile(pattern).findall
-        self.runs = Bounded(limit=32 << 20)  # the ids of runs that follow a blank
+        self.pieces = Remembered(CACHE)
         self.keys, self.made = self._pairs()
         self.single = np.array([self.ranks.get(bytes([b]), -1) for b in range(256)], np.int32)
 
@@ -250,49 +251,68 @@ class Encoder:
             i = after[i]
         return b"".join(out)
 
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers.
+    def _cut(self, texts: Iterable[str]) -> tuple[pa.Array, np.ndarray]:
+        """The pieces of all texts, and the number of those of each."""
+        parts, held, counts = [], [], []
+        for text in texts:
+            found = self.find(text)
+            counts.append(len(found))
+            held += found
+            if len(held) > 1 << 16:
+                parts.append(pa.array(held, pa.string()))
+                held = []
+        return pa.concat_arrays([*parts, pa.array(held, pa.string())]), np.array(counts, np.int64)
+
+    def _new(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces, and where those of each start."""
+        ids = list(map(self.merge_all(pieces).__getitem__, pieces))
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        return np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes) - sizes
+
+    def encode_all(self, texts: pa.Array) -> pa.LargeBinaryArray:
+        """The ids of each text as little-endian unsigned 32-bit integers, none for a null.
 
         A blank between two other characters always starts a piece, so what follows it up to the next one is a run that
-        can be encoded on its own; only runs that the worker does not remember are cut and merged, together.
+        can be cut on its own: each distinct run is cut once, and of the distinct pieces only those are merged, together,
+        that the worker does not remember. What is then put together are ranges of ids.
         """
-        cut = lambda t: [t] if DOUBLE_GAP.search(t) else t.split(" ")
-        wanted, heads = set(), []
-        for text in texts:  # texts are cut twice, so that the runs of all of them are never held at once
-            head, *runs = cut(text)
-            wanted.update(runs)
-            heads.append(self.find(head))
-        runs, new = {}, []
-        for run in wanted:
-            ids = self.runs.recall(run)
-            if ids is None:
-                new.append(run)
-            else:
-                runs[run] = ids
-        rest = [self.find(" " + run) for run in new]
-        ids_of = self.merge_all({piece for found in chain(heads, rest) for piece in found}).__getitem__
-        for run, found in zip(new, rest, strict=True):
-            runs[run] = ids = b"".join(map(ids_of, found))
-            self.runs.keep(run, ids)
-        get = runs.__getitem__
-        return [b"".join([*map(ids_of, head), *map(get, cut(text)[1:])]) for head, text in zip(heads, texts, strict=True)]
+        runs = Runs(pc.fill_null(texts, ""))
+        pieces, counts = self._cut(runs.heads.to_pylist())
+        parts, units = [pieces], [np.cumsum(counts) - counts]
+        for n, joined in runs.joined(JOINED):
+            found, _ = self._cut([joined])
+            starts = np.flatnonzero(pc.starts_with(found, " ").to_numpy(zero_copy_only=False))
+            if len(starts) != n:
+                raise ValueError("the pattern does not part texts at blanks")
+            units.append(sum(map(len, parts)) + starts)
+            parts.append(found)
+        cut = pa.chunked_array(parts, pa.string()).combine_chunks().dictionary_encode()
+        places = self.pieces.places(cut.dictionary, self._new)
+        made = self.pieces.take(places[cut.indices.to_numpy()])
+        return runs.whole(regrouped(made, np.append(np.concatenate(units), len(made))))
 
     def encode(self, text: str) -> bytes:
-        return self.encode_all([text])[0]
+        return self.encode_all(pa.array([text], pa.string()))[0].as_py()
 
 
 class Decoder:
     """The token of each id; nothing of the encoder is held."""
 
     def __init__(self, ranks: bytes):
-        self.tokens = {int(rank): base64.b64decode(token) for token, rank in map(bytes.split, ranks.splitlines())}
+        tokens = {int(rank): base64.b64decode(token) for token, rank in map(bytes.split, ranks.splitlines())}
+        self.tokens = pa.array([tokens.get(rank) for rank in range(max(tokens, default=-1) + 1)], pa.large_binary())
+
+    def decode_all(self, ids: pa.LargeBinaryArray) -> pa.LargeBinaryArray:
+        """The bytes that each text's ids stand for."""
+        edges = offsets(ids)
+        numbers = np.frombuffer(ids.buffers()[2] or b"", "<u4", (edges[-1] - edges[0]) // 4, edges[0])
+        made = self.tokens.take(pa.array(numbers))
+        if made.null_count:
+            raise KeyError("an id without a token")
+        return regrouped(made, (edges - edges[0]) // 4)
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
-
-
-#: A blank beside other white space, or at an end, where the simple cut at blanks does not hold.
-DOUBLE_GAP = re.compile(r"^ |\s | \s| $")
+        return self.decode_all(pa.array([ids], pa.large_binary()))[0].as_py()
 
 
 _ENCODERS: dict[tuple[bytes, str], Encoder] = {}
@@ -342,14 +362,11 @@ def _encoder(spark: SparkSession, ranks: bytes, pattern: str, text: str, names:
         own, tokens = encoder(shared.value, pattern), _decoder(shared.value) if back else None
         for batch in batches:
             column = batch.column(batch.schema.names.index(text))
-            sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy()
-            part = np.cumsum(sizes) // SLICE  # texts are taken SLICE bytes at a time, a longer one alone
-            cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(sizes)]
-            for low, high in zip(cuts, cuts[1:], strict=False):
+            for low, high in slices(column, SLICE):
                 rows = batch.slice(low, high - low)
-                ids = own.encode_all([t or "" for t in column.slice(low, high - low).to_pylist()])
-                new = [ids, [tokens.decode(x) for x in ids]] if back else [ids]
-                columns = [rows.column(batch.schema.names.index(c)) for c in kept] + [pa.array(c, pa.binary()) for c in new]
+                ids = own.encode_all(column.slice(low, high - low))
+                new = [ids, tokens.decode_all(ids)] if back else [ids]
+                columns = [rows.column(batch.schema.names.index(c)) for c in kept] + [c.cast(pa.binary()) for c in new]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run

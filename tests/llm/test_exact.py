@@ -11,6 +11,7 @@ from itertools import combinations
 import brute
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from conftest import EDGES
@@ -86,6 +87,30 @@ def test_bpe_frames(small, vocabulary):
     assert got(out.withColumn("n", bpe.n_tokens()).withColumn("decoded", F.col("decoded")), "doc_id", "n", "decoded") == order((i, n, bytearray(d)) for i, n, d in want)
 
 
+def test_bpe_pieces_are_merged_once(vocabulary, monkeypatch):
+    ranks, _, library = vocabulary
+    own, asked = bpe.Encoder(ranks, public_tokenizers.PATTERN), []
+    merge_all = own.merge_all
+    monkeypatch.setattr(own, "merge_all", lambda pieces: asked.extend(pieces) or merge_all(pieces))
+    for text in ("x thesrent, thesrent. thesrent", "y thesrent*** (thesrent)", "x thesrent\nthesrent,"):
+        assert np.frombuffer(own.encode(text), "<u4").tolist() == library.encode_ordinary(text)
+    assert asked.count(" thesrent") == 1 and asked.count("thesrent") == 1
+
+
+def test_bpe_memory_is_bounded(vocabulary, monkeypatch):
+    ranks, _, library = vocabulary
+    monkeypatch.setattr(bpe, "CACHE", 20_000)
+    own, rng = bpe.Encoder(ranks, public_tokenizers.PATTERN), random.Random(5)
+    for _ in range(30):
+        texts = [None, "", *("  "[: rng.randint(1, 2)].join("".join(rng.choices("aeinstéß,.\n", k=rng.randint(1, 9))) for _ in range(50)) for _ in range(5))]
+        ids = own.encode_all(pa.array(texts, pa.string()).slice(1))
+        assert [np.frombuffer(x, "<u4").tolist() for x in ids.to_pylist()] == [library.encode_ordinary(t) for t in texts[1:]]
+        assert own.pieces.strings.nbytes + own.pieces.ids.nbytes < 60_000
+        assert bpe.Decoder(ranks).decode_all(ids.slice(2)).to_pylist() == [t.encode() for t in texts[3:]]
+    with pytest.raises(ValueError):
+        bpe.Encoder(ranks, r"[\s\S]+").encode("one two three")
+
+
 # --- suffix arrays ----------------------------------------------------------------------------------------------
 
 
