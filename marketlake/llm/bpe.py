@@ -32,8 +32,9 @@ from pyspark.sql.types import BinaryType, StructType
 
 from marketlake.llm.common import Remembered, Runs, offsets, regrouped, slices
 
-#: Bytes of text whose new pieces are merged together, and of the memory for pieces.
-SLICE = 8 << 20
+#: Bytes of text whose runs are cut together, of new pieces that are merged together, and of the memory for pieces.
+SLICE = 4 << 20
+PART = 1 << 20
 CACHE = 24 << 20
 #: Runs that are cut by the pattern in one text.
 JOINED = 4096
@@ -99,7 +100,7 @@ class Encoder:
             if whole is not None:
                 out[piece] = self.packed[whole]
                 continue
-            if part and size + len(raw) > 1 << 21:
+            if part and size + len(raw) > PART:
                 self._merge_part(part, size, out)
                 part, size = [], 0
             part.append((piece, raw))
@@ -368,6 +369,8 @@ def _encoder(spark: SparkSession, ranks: bytes, pattern: str, text: str, names:
                 new = [ids, tokens.decode_all(ids)] if back else [ids]
                 columns = [rows.column(batch.schema.names.index(c)) for c in kept] + [c.cast(pa.binary()) for c in new]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
+                del rows, ids, new, columns
+                pa.default_memory_pool().release_unused()  # or the worker keeps it, idle or in the next stage
 
     return run
 
