@@ -34,13 +34,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import tasks
+from marketlake.llm.common import Runs, binaries, offsets, regrouped, slices, tasks
 from marketlake.session import scratch_path
 
 BLOCK = 1024
 PERCENTILE = 95
 SEGMENT = 1 << 18
-#: Bytes of the memory for runs, and of the texts whose runs are numbered together.
+#: Bytes of the memory for runs, and of the texts whose runs are taken together.
 CACHE = 256 << 20
 PART = 8 << 20
 #: Runs that the library gets in one text.
@@ -49,33 +49,87 @@ _BLANK = "\u0120"  # how the byte-level alphabet writes a blank
 _MAGIC = b"PFB1"
 
 
+def _lanes(width: int) -> Iterator[tuple[int, int, int]]:
+    """For each of 64 ids of ``width`` bits: its place, and the 64-bit word and the bit where it starts."""
+    return ((j, j * width >> 6, j * width & 63) for j in range(64))
+
+
+def _pack(ids: np.ndarray, width: int) -> np.ndarray:
+    """The low ``width`` bits of each id, in bytes row by row; a row holds a multiple of 64 ids."""
+    lanes = np.ascontiguousarray((ids.astype(np.uint64) & np.uint64((1 << width) - 1)).reshape(-1, 64).T)
+    words = np.zeros((width + 1, lanes.shape[1]), np.uint64)
+    for j, word, bit in _lanes(width):
+        words[word] |= lanes[j] << np.uint64(bit)
+        if bit + width > 64:
+            words[word + 1] |= lanes[j] >> np.uint64(64 - bit)
+    return np.ascontiguousarray(words[:width].T, "<u8").view(np.uint8).reshape(len(ids), -1)
+
+
+def _unpack(packed: np.ndarray, width: int) -> np.ndarray:
+    """Rows of bytes, each of a multiple of 64 ids, to rows of ids."""
+    words = np.ascontiguousarray(packed.reshape(-1, 8 * width).view("<u8").T.astype(np.uint64))
+    lanes, low = np.empty((64, words.shape[1]), np.uint32), np.uint64((1 << width) - 1)
+    for j, word, bit in _lanes(width):
+        value = words[word] >> np.uint64(bit)
+        if bit + width > 64:
+            value |= words[word + 1] << np.uint64(64 - bit)
+        lanes[j] = value & low
+    return lanes.T.reshape(len(packed), -1)
+
+
+def pack_blocks(ids: np.ndarray) -> list[bytes]:
+    """Blocks of equal size, one for each row; those of one width are packed together."""
+    n, count = ids.shape
+    least = ids.min(axis=1)
+    rest = ids - least[:, None]
+    at = (count * PERCENTILE + 99) // 100 - 1
+    widths = np.array([int(x).bit_length() for x in np.partition(rest, at, axis=1)[:, at]])
+    packed: list = [b""] * n
+    for width in {*widths.tolist()} - {0}:
+        some = np.flatnonzero(widths == width)
+        filled = np.pad(rest[some], ((0, 0), (0, -count % 64)))
+        for i, row in zip(some.tolist(), _pack(filled, width), strict=True):
+            packed[i] = row[: (count * width + 7) // 8].tobytes()
+    above = rest.astype(np.uint64) >> widths.astype(np.uint64)[:, None]
+    rows, places = np.nonzero(above)
+    values, edges = above[rows, places].astype("<u4"), np.searchsorted(rows, np.arange(n + 1)).tolist()
+    places, out = places.astype("<u2"), []
+    for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
+        head = np.uint32(least[i]).tobytes() + bytes([widths[i]]) + np.uint16(b - a).tobytes()
+        out.append(head + packed[i] + places[a:b].tobytes() + values[a:b].tobytes())
+    return out
+
+
+def unpack_blocks(blocks: list[memoryview], n: int) -> np.ndarray:
+    """Blocks of ``n`` ids each to rows of ids; those of one width are unpacked together."""
+    out = np.zeros((len(blocks), n), np.uint32)
+    widths = np.array([b[4] for b in blocks])
+    for width in {*widths.tolist()} - {0}:
+        some = np.flatnonzero(widths == width)
+        size, whole = (n * width + 7) // 8, -(-n // 64) * 8 * width
+        packed = np.frombuffer(b"".join(bytes(blocks[i][7 : 7 + size]).ljust(whole, b"\0") for i in some.tolist()), np.uint8)
+        out[some] = _unpack(packed.reshape(len(some), -1), width)[:, :n]
+    for i, block in enumerate(blocks):
+        n_odd, odd = int.from_bytes(block[5:7], "little"), 7 + (n * block[4] + 7) // 8
+        if n_odd:
+            out[i, np.frombuffer(block, "<u2", n_odd, odd)] |= np.frombuffer(block, "<u4", n_odd, odd + 2 * n_odd) << np.uint32(block[4])
+    return out + np.array([int.from_bytes(b[:4], "little") for b in blocks], np.uint32)[:, None]
+
+
 def pack_block(ids: np.ndarray) -> bytes:
-    least = int(ids.min())
-    rest = (ids - least).astype(np.uint32)
-    width = int(np.sort(rest)[(len(rest) * PERCENTILE + 99) // 100 - 1]).bit_length()
-    odd = np.flatnonzero(rest >> np.uint32(width)) if width < 32 else np.empty(0, np.int64)
-    bits = np.unpackbits(rest.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :width]
-    head = np.uint32(least).tobytes() + bytes([width]) + np.uint16(len(odd)).tobytes()
-    return head + np.packbits(bits.ravel(), bitorder="little").tobytes() + odd.astype("<u2").tobytes() + (rest[odd] >> np.uint32(width)).astype("<u4").tobytes()
+    return pack_blocks(ids[None, :])[0]
 
 
 def unpack_block(data: bytes, n: int) -> np.ndarray:
-    least, width, n_odd = int.from_bytes(data[:4], "little"), data[4], int.from_bytes(data[5:7], "little")
-    size = (n * width + 7) // 8
-    bits = np.zeros((n, 32), np.uint8)
-    if width:
-        packed = np.frombuffer(data, np.uint8, size, 7)
-        bits[:, :width] = np.unpackbits(packed, count=n * width, bitorder="little").reshape(n, width)
-    out = np.packbits(bits.ravel(), bitorder="little").view("<u4").copy()
-    if n_odd:
-        at = np.frombuffer(data, "<u2", n_odd, 7 + size)
-        out[at] |= np.frombuffer(data, "<u4", n_odd, 7 + size + 2 * n_odd) << np.uint32(width)
-    return out + np.uint32(least)
+    return unpack_blocks([memoryview(data)], n)[0]
 
 
 def write_segment(documents: list[np.ndarray]) -> bytes:
     ids = np.concatenate(documents)
-    blocks = [pack_block(ids[i : i + BLOCK]) for i in range(0, len(ids), BLOCK)]
+    whole = len(ids) // BLOCK * BLOCK
+    blocks = pack_blocks(ids[:whole].reshape(-1, BLOCK)) if whole else []
+    if whole < len(ids):
+        blocks.append(pack_block(ids[whole:]))
     starts = np.cumsum([0, *map(len, blocks)])
     head = _MAGIC + np.array([len(ids), len(blocks), len(documents)], "<u4").tobytes()
     return head + np.array([len(d) for d in documents], "<u8").tobytes() + starts.astype("<u8").tobytes() + b"".join(blocks)
@@ -94,10 +148,11 @@ class Segment:
 
     def ids(self, a: int, b: int) -> np.ndarray:
         first, last = a // BLOCK, (b - 1) // BLOCK
-        parts = []
-        for k in range(first, last + 1):
-            low, high = self.base + self.starts[k], self.base + self.starts[k + 1]
-            parts.append(unpack_block(bytes(self.data[low:high]), min(BLOCK, self.n - k * BLOCK)))
+        blocks = [self.data[self.base + self.starts[k] : self.base + self.starts[k + 1]] for k in range(first, last + 1)]
+        short = self.n - last * BLOCK < BLOCK  # the segment's last block
+        parts = [unpack_blocks(blocks[: len(blocks) - short], BLOCK).ravel()] if len(blocks) > short else []
+        if short:
+            parts.append(unpack_block(blocks[-1], self.n - last * BLOCK))
         return np.concatenate(parts)[a - first * BLOCK : b - first * BLOCK]
 
     def documents(self) -> Iterator[np.ndarray]:
@@ -107,18 +162,24 @@ class Segment:
             at += n
 
 
-_WHITE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
-#: A blank beside other white space: there the runs between blanks cannot be encoded on their own.
-_DOUBLE_GAP = f"^ | $|{_WHITE} | {_WHITE}"
+#: A run that ends in ASCII punctuation (no apostrophe) behind a letter: these are never in one pre-token.
+_WORD = r"(?s)^(?P<word>.*[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff])(?P<tail>[!-&(-/:-@\[-`{-~]+)$"
+
+
+def _parted(runs: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """The word of each run and the punctuation after it, which can be encoded on their own; or the run and nothing."""
+    words, tails = pc.extract_regex(runs, _WORD).flatten()
+    return pc.coalesce(words, runs), pc.fill_null(tails, "")
 
 
 class Tokens:
     """The library's tokenizer with a memory, bounded by bytes, for the runs between blanks.
 
     Byte-level pre-tokens never reach over a blank that stands between two other characters, so a text's ids are those
-    of its runs. The runs of some texts are numbered together and each distinct one is looked up once. The library gets
-    those that are new joined by blanks; a token that starts with a blank starts the next run. Ids are gathered by the
-    numbers. The first run of a text, with no blank before it, and texts where blanks stand together are encoded alone.
+    of its runs. The runs of some texts are taken together and each distinct one is looked up once. The library gets
+    those that are new joined by blanks; a token that starts with a blank starts the next run. Punctuation at the end of
+    a run is encoded by itself, so that a word is looked up once. The first run of a text, with no blank before it, and
+    texts where blanks stand together are encoded alone.
     """
 
     def __init__(self, model: str):
@@ -132,46 +193,37 @@ class Tokens:
 
     def forget(self) -> None:
         self.numbers: dict[str, int] = {}
-        self.ids, self.starts, self.held = np.empty(0, np.uint32), np.zeros(1, np.int64), 0
+        self.ids, self.edges, self.held = np.empty(0, np.uint32), np.zeros(1, np.int64), 0
 
     def _library(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of every text, in order; none for a null or empty one."""
-        sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        part = (np.cumsum(sizes) - sizes) // PART
-        edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(texts)]
-        for low, high in zip(edges, edges[1:], strict=False):
-            if high > low:
-                yield from self._part(pc.fill_null(texts.slice(low, high - low), ""))
-
-    def _part(self, texts: pa.Array) -> Iterator[np.ndarray]:
-        if self.held > CACHE:
-            self.forget()
-        whole = pc.match_substring_regex(texts, _DOUBLE_GAP).to_numpy(zero_copy_only=False)
-        odd = iter(texts.filter(pa.array(whole)).to_pylist())
-        split = pc.split_pattern(texts.filter(pa.array(~whole)), " ")
-        runs, edges = split.flatten(), split.offsets.to_numpy() - split.offsets[0].as_py()
-        first = self._library(runs.take(pa.array(edges[:-1])).to_pylist())
-        is_first = np.zeros(len(runs), bool)
-        is_first[edges[:-1]] = True
-        numbered = runs.filter(pa.array(~is_first)).dictionary_encode()
-        places = self._places(numbered.dictionary.to_pylist())[numbered.indices.to_numpy()]
-        sizes = self.starts[places + 1] - self.starts[places]
-        ends = np.concatenate([[0], np.cumsum(sizes)])
-        out = self.ids[np.repeat(self.starts[places] - ends[:-1], sizes) + np.arange(ends[-1])]
-        bounds = ends[edges - np.arange(len(edges))].tolist()  # a first run less for each text before
-        plain = iter(zip(first, bounds, bounds[1:], strict=False))
-        for w in whole:
-            if w:
-                yield self._library([next(odd)])[0]
-            else:
-                head, low, high = next(plain)
-                yield np.concatenate([head, out[low:high]])
+        for low, high in slices(texts, PART):
+            ids = self._part(pc.fill_null(texts.slice(low, high - low), ""))
+            edges, data = offsets(ids) // 4, np.frombuffer(ids.buffers()[2] or b"", "<u4")
+            yield from map(data.__getitem__, map(slice, edges[:-1].tolist(), edges[1:].tolist()))
+            del ids, data
+            pa.default_memory_pool().release_unused()
+
+    def _part(self, texts: pa.Array) -> pa.LargeBinaryArray:
+        runs = Runs(texts)
+        first = self._library(runs.heads.to_pylist())
+        heads = binaries(np.concatenate(first), 4 * np.cumsum([0, *map(len, first)]))
+        words, tails = (c.dictionary_encode() for c in _parted(runs.runs))
+        places = self._places(words.dictionary.to_numpy(zero_copy_only=False).tolist())
+        after = self._library(tails.dictionary.to_pylist())
+        after = binaries(np.concatenate([np.empty(0, np.uint32), *after]), 4 * np.cumsum([0, *map(len, after)]))
+        units = pa.concat_arrays([binaries(self.ids, 4 * self.edges).take(pa.array(places)), after])
+        both = np.stack([words.indices.to_numpy(), tails.indices.to_numpy() + len(places)], axis=1).ravel()
+        later = regrouped(units.take(pa.array(both)), np.arange(0, len(both) + 1, 2))
+        return runs.whole(pa.concat_arrays([heads, later]))
 
     def _places(self, runs: list[str]) -> np.ndarray:
         """Where each of the distinct runs is among those remembered."""
+        if self.held > CACHE:
+            self.forget()
         get = self.numbers.get
         places = np.array([get(x, -1) for x in runs], np.int64)
         missing = np.flatnonzero(places < 0)
@@ -182,11 +234,11 @@ class Tokens:
             starts = np.flatnonzero(self.starts_run[ids])
             if len(starts) != len(new):
                 raise ValueError("the tokenizer does not part runs at blanks")
-            n, kept = len(self.starts) - 1, len(self.ids)
+            n, kept = len(self.numbers), len(self.ids)
             places[missing] = np.arange(n, n + len(new))
             self.numbers.update(zip(new, range(n, n + len(new)), strict=True))
             self.ids = np.concatenate([self.ids, ids])
-            self.starts = np.concatenate([self.starts[:-1], kept + starts, [len(self.ids)]])
+            self.edges = np.concatenate([self.edges[:-1], kept + starts, [len(self.ids)]])
             self.held += sum(map(sys.getsizeof, new)) + 140 * len(new) + ids.nbytes  # an entry and its number take about 140 bytes
         return places
 

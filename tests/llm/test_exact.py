@@ -170,6 +170,46 @@ def test_blocks():
     assert (segment.ids(1000, 2100) == np.concatenate(parts)[1000:2100]).all()
 
 
+def plain_block(ids):
+    """A block as the module's text describes it, bit by bit."""
+    rest = ids.astype(np.int64) - int(ids.min())
+    width = int(np.sort(rest)[(len(rest) * token_store.PERCENTILE + 99) // 100 - 1]).bit_length()
+    odd = [i for i, x in enumerate(rest.tolist()) if x >> width]
+    packed = sum((x & (1 << width) - 1) << k * width for k, x in enumerate(rest.tolist())).to_bytes((len(rest) * width + 7) // 8, "little")
+    head = int(ids.min()).to_bytes(4, "little") + bytes([width]) + len(odd).to_bytes(2, "little")
+    return head + packed + np.array(odd, "<u2").tobytes() + (rest[odd] >> width).astype("<u4").tobytes()
+
+
+def test_blocks_are_packed_together():
+    rng = np.random.default_rng(2)
+    for n in (1, 63, 64, 65, token_store.BLOCK):
+        rows = np.array([rng.integers(0, 1 << w, n) + rng.integers(0, 2) * ((1 << 32) - (1 << w)) for w in (0, 1, 7, 8, 16, 17, 31, 32) for _ in range(3)], np.uint64).astype(np.uint32)
+        rows[::5, 0] = 2**32 - 1
+        blocks = token_store.pack_blocks(rows)
+        assert blocks == [plain_block(r) for r in rows]
+        assert (token_store.unpack_blocks([memoryview(b) for b in blocks], n) == rows).all()
+
+
+def test_token_store_forgets(monkeypatch):
+    path, rng = public_tokenizers.path("byte_bpe_50k.json"), random.Random(6)
+    monkeypatch.setattr(token_store, "CACHE", 20_000)
+    monkeypatch.setattr(token_store, "PART", 2_000)
+    own, library = token_store.Tokens(token_store.read_model(path)), Tokenizer.from_file(path)
+    for _ in range(10):
+        texts = ["", None, *("  "[: rng.randint(1, 2)].join("".join(rng.choices("aeinstéß,.\n", k=rng.randint(1, 9))) for _ in range(50)) for _ in range(9))]
+        want = [library.encode(t or "", add_special_tokens=False).ids for t in texts[1:]]
+        assert [x.tolist() for x in own.encode(pa.array(texts, pa.string()).slice(1))] == want
+        assert own.held < 300_000
+
+
+def test_token_store_words_are_encoded_once():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    own, library = token_store.Tokens(token_store.read_model(path)), Tokenizer.from_file(path)
+    texts = ["x thesrent thesrent. thesrent,", "y thesrent*** thesrent's thesrent' 's. ß! é? a². a1. ... \U0001f600! thesrent._", "z thesrent.\nThe, \n thesrent. a\u0301."]
+    assert [x.tolist() for x in own.encode(pa.array(texts))] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert "thesrent" in own.numbers and not {"thesrent.", "thesrent,", "thesrent***"} & {*own.numbers}
+
+
 def stored(rows):
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     at, out = 0, []
