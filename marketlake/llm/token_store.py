@@ -166,9 +166,15 @@ class Segment:
 _WORD = r"(?s)^(?P<word>.*[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff])(?P<tail>[!-&(-/:-@\[-`{-~]+)$"
 
 
-def _parted(runs: pa.Array) -> tuple[pa.Array, pa.Array]:
-    """The word of each run and the punctuation after it, which can be encoded on their own; or the run and nothing."""
+def _parted(runs: pa.Array, special: list[str]) -> tuple[pa.Array, pa.Array]:
+    """The word of each run and the punctuation after it, which can be encoded on their own; or the run and nothing.
+
+    A run that holds a ``special`` token is not parted, as such a token may have letters and punctuation.
+    """
     words, tails = pc.extract_regex(runs, _WORD).flatten()
+    for token in special:
+        held = pc.match_substring(runs, token)
+        words, tails = (pc.if_else(held, pa.scalar(None, pa.string()), c) for c in (words, tails))
     return pc.coalesce(words, runs), pc.fill_null(tails, "")
 
 
@@ -189,6 +195,7 @@ class Tokens:
         self.tokenizer = Tokenizer.from_str(model)
         self.starts_run = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
         self.starts_run[[i for token, i in self.tokenizer.get_vocab().items() if token.startswith(_BLANK)]] = True
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.forget()
 
     def forget(self) -> None:
@@ -211,7 +218,7 @@ class Tokens:
         runs = Runs(texts)
         first = self._library(runs.heads.to_pylist())
         heads = binaries(np.concatenate(first), 4 * np.cumsum([0, *map(len, first)]))
-        words, tails = (c.dictionary_encode() for c in _parted(runs.runs))
+        words, tails = (c.dictionary_encode() for c in _parted(runs.runs, self.special))
         places = self._places(words.dictionary.to_numpy(zero_copy_only=False).tolist())
         after = self._library(tails.dictionary.to_pylist())
         after = binaries(np.concatenate([np.empty(0, np.uint32), *after]), 4 * np.cumsum([0, *map(len, after)]))
