@@ -25,6 +25,7 @@ import os
 import sys
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import Runs, binaries, offsets, regrouped, slices, tasks
+from marketlake.llm.common import binaries, offsets, regrouped, slices, tasks
 from marketlake.session import scratch_path
 
 BLOCK = 1024
@@ -47,6 +48,7 @@ PART = 8 << 20
 JOINED = 2000
 _BLANK = "\u0120"  # how the byte-level alphabet writes a blank
 _MAGIC = b"PFB1"
+_HEAD = np.dtype([("least", "<u4"), ("width", "u1"), ("odd", "<u2")])
 
 
 def _lanes(width: int) -> Iterator[tuple[int, int, int]]:
@@ -83,37 +85,44 @@ def pack_blocks(ids: np.ndarray) -> list[bytes]:
     least = ids.min(axis=1)
     rest = ids - least[:, None]
     at = (count * PERCENTILE + 99) // 100 - 1
-    widths = np.array([int(x).bit_length() for x in np.partition(rest, at, axis=1)[:, at]])
+    widths = np.array([x.bit_length() for x in np.partition(rest, at, axis=1)[:, at].tolist()])
     packed: list = [b""] * n
     for width in {*widths.tolist()} - {0}:
         some = np.flatnonzero(widths == width)
         filled = np.pad(rest[some], ((0, 0), (0, -count % 64)))
         for i, row in zip(some.tolist(), _pack(filled, width), strict=True):
             packed[i] = row[: (count * width + 7) // 8].tobytes()
-    above = rest.astype(np.uint64) >> widths.astype(np.uint64)[:, None]
-    rows, places = np.nonzero(above)
-    values, edges = above[rows, places].astype("<u4"), np.searchsorted(rows, np.arange(n + 1)).tolist()
-    places, out = places.astype("<u2"), []
-    for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
-        head = np.uint32(least[i]).tobytes() + bytes([widths[i]]) + np.uint16(b - a).tobytes()
-        out.append(head + packed[i] + places[a:b].tobytes() + values[a:b].tobytes())
-    return out
+    most = ((1 << widths) - 1).astype(np.uint32)  # what the width of each block holds
+    odd = np.flatnonzero(rest > most[:, None])
+    rows, edges = odd // count, np.searchsorted(odd, np.arange(n + 1) * count)
+    values, places = (rest.ravel()[odd] >> widths[rows]).astype("<u4").tobytes(), (odd % count).astype("<u2").tobytes()
+    heads = np.zeros(n, _HEAD)
+    heads["least"], heads["width"], heads["odd"] = least, widths, np.diff(edges)
+    heads, edges = heads.tobytes(), edges.tolist()
+    return [
+        heads[_HEAD.itemsize * i : _HEAD.itemsize * (i + 1)] + packed[i] + places[2 * a : 2 * b] + values[4 * a : 4 * b]
+        for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False))
+    ]
 
 
 def unpack_blocks(blocks: list[memoryview], n: int) -> np.ndarray:
     """Blocks of ``n`` ids each to rows of ids; those of one width are unpacked together."""
     out = np.zeros((len(blocks), n), np.uint32)
-    widths = np.array([b[4] for b in blocks])
+    heads = np.frombuffer(b"".join(b[: _HEAD.itemsize] for b in blocks), _HEAD)
+    widths = heads["width"].astype(np.int64)
+    sizes = (n * widths + 7) // 8 + _HEAD.itemsize  # up to the exceptions
     for width in {*widths.tolist()} - {0}:
         some = np.flatnonzero(widths == width)
-        size, whole = (n * width + 7) // 8, -(-n // 64) * 8 * width
-        packed = np.frombuffer(b"".join(bytes(blocks[i][7 : 7 + size]).ljust(whole, b"\0") for i in some.tolist()), np.uint8)
+        size, filled = int(sizes[some[0]]), bytes(-(-n // 64) * 8 * width - (n * width + 7) // 8)
+        packed = np.frombuffer(b"".join(x for i in some.tolist() for x in (blocks[i][_HEAD.itemsize : size], filled)), np.uint8)
         out[some] = _unpack(packed.reshape(len(some), -1), width)[:, :n]
-    for i, block in enumerate(blocks):
-        n_odd, odd = int.from_bytes(block[5:7], "little"), 7 + (n * block[4] + 7) // 8
-        if n_odd:
-            out[i, np.frombuffer(block, "<u2", n_odd, odd)] |= np.frombuffer(block, "<u4", n_odd, odd + 2 * n_odd) << np.uint32(block[4])
-    return out + np.array([int.from_bytes(b[:4], "little") for b in blocks], np.uint32)[:, None]
+    counts = heads["odd"].astype(np.int64)
+    ends = list(zip(blocks, sizes.tolist(), (sizes + 2 * counts).tolist(), strict=True))
+    places = np.frombuffer(b"".join(b[low:high] for b, low, high in ends), "<u2")
+    values = np.frombuffer(b"".join(b[high:] for b, _, high in ends), "<u4")
+    rows = np.repeat(np.arange(len(blocks)), counts)
+    out[rows, places] |= values << widths[rows].astype(np.uint32)
+    return out + heads["least"][:, None]
 
 
 def pack_block(ids: np.ndarray) -> bytes:
@@ -138,7 +147,7 @@ def write_segment(documents: list[np.ndarray]) -> bytes:
 class Segment:
     """Reads a segment; ``ids(a, b)`` unpacks the blocks it needs only."""
 
-    def __init__(self, data: bytes):
+    def __init__(self, data: bytes | memoryview):
         if data[:4] != _MAGIC:
             raise ValueError("not a segment")
         self.n, self.n_blocks, n_docs = (int(x) for x in np.frombuffer(data, "<u4", 3, 4))
@@ -162,30 +171,72 @@ class Segment:
             at += n
 
 
-#: A run that ends in ASCII punctuation (no apostrophe) behind a letter: these are never in one pre-token.
-_WORD = r"(?s)^(?P<word>.*[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff])(?P<tail>[!-&(-/:-@\[-`{-~]+)$"
+def _table(**kinds: list[tuple[int, int]]) -> tuple[bytes, list[int]]:
+    """A table of all bytes with a bit for each kind, set for bytes in its ranges (ends included), and the bits."""
+    bits = [1 << k for k in range(len(kinds))]
+    return bytes(sum(bit for bit, r in zip(bits, kinds.values(), strict=True) if any(a <= x <= b for a, b in r)) for x in range(256)), bits
 
 
-def _parted(runs: pa.Array, special: list[str]) -> tuple[pa.Array, pa.Array]:
-    """The word of each run and the punctuation after it, which can be encoded on their own; or the run and nothing.
+_KINDS, (_WHITE, _FIRST, _SECOND, _LAST, _BEFORE, _LETTER, _POINT) = _table(
+    white=[(0x09, 0x0D), (0x1C, 0x20)],
+    # The first two bytes of white space outside ASCII, and its last two; each by itself, so more is taken for it.
+    first=[(0xC2, 0xC2), (0xE1, 0xE3)],
+    second=[(0x80, 0x81), (0x85, 0x85), (0x9A, 0x9A), (0xA0, 0xA0)],
+    last=[(0x80, 0xBF)],
+    before=[(0x80, 0x81), (0x9A, 0x9A), (0xA0, 0xA0), (0xC2, 0xC2)],
+    letter=[(0x41, 0x5A), (0x61, 0x7A)],
+    # ASCII punctuation without the apostrophe, which may be in one pre-token with letters.
+    point=[(0x21, 0x26), (0x28, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7E)],
+)
+#: A blank and no other white space: such units are in one text what they are alone.
+_SPACED = r"^ [^\s\x0b\x1c-\x1f\x{85}\p{Z}]+$"
 
-    A run that holds a ``special`` token is not parted, as such a token may have letters and punctuation.
+
+def _units(texts: pa.Array, special: list[str]) -> tuple[pa.LargeStringArray, np.ndarray]:
+    """Texts without nulls, cut where byte-level pre-tokens always end, and the number of the first unit of each text.
+
+    A unit starts with a blank, or with a line feed that is a unit of its own, if neither has white space beside it; and
+    with ASCII punctuation (no apostrophe) behind a letter of ASCII or Latin-1. Where the bytes beside a cut might be
+    white space there is none. A text that holds a ``special`` token, which may have any of these inside, is one unit.
     """
-    words, tails = pc.extract_regex(runs, _WORD).flatten()
+    whole = np.zeros(len(texts), bool)
     for token in special:
-        held = pc.match_substring(runs, token)
-        words, tails = (pc.if_else(held, pa.scalar(None, pa.string()), c) for c in (words, tails))
-    return pc.coalesce(words, runs), pc.fill_null(tails, "")
+        whole |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+    texts = texts.cast(pa.large_string())
+    edges = offsets(texts)
+    edges, low = edges - edges[0], int(edges[0])
+    n = int(edges[-1])
+    data = np.zeros(n + 4, np.uint8)  # two more on either side; at the ends of texts there is a cut whatever stands beside
+    data[2:-2] = np.frombuffer(texts.buffers()[2] or b"", np.uint8, n, low)
+    kinds = np.frombuffer(data.tobytes().translate(_KINDS), np.uint8)
+    # Of each byte: the kinds of the two bytes before it, its own, and of the two after it.
+    k2, k1, own, k3, k4 = (kinds[i : n + i] for i in range(5))
+    b2, b1, byte = (data[i : n + i] for i in range(3))
+
+    feed = byte == 0x0A
+    gap = (byte == 0x20) | feed
+    gap &= (k1 | k3) & _WHITE == 0
+    gap &= (k1 & _LAST == 0) | (k2 & _BEFORE == 0)
+    gap &= (k3 & _FIRST == 0) | (k4 & _SECOND == 0)
+    letter = (b2 == 0xC3) & (k1 & _LAST != 0) & (b1 != 0x97) & (b1 != 0xB7)
+    letter |= k1 & _LETTER != 0
+    cut = np.zeros(n + 1, bool)
+    cut[:-1] = gap | (letter & (own & _POINT != 0))
+    cut[1:] |= gap & feed
+    for i in np.flatnonzero(whole):
+        cut[edges[i] : edges[i + 1]] = False
+    cut[edges] = True
+    cuts = np.flatnonzero(cut)
+    units = pa.LargeStringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts + low), texts.buffers()[2])
+    return units, np.searchsorted(cuts, edges)
 
 
 class Tokens:
-    """The library's tokenizer with a memory, bounded by bytes, for the runs between blanks.
+    """The library's tokenizer with a memory, bounded by bytes, for the units that ``_units`` cuts texts into.
 
-    Byte-level pre-tokens never reach over a blank that stands between two other characters, so a text's ids are those
-    of its runs. The runs of some texts are taken together and each distinct one is looked up once. The library gets
-    those that are new joined by blanks; a token that starts with a blank starts the next run. Punctuation at the end of
-    a run is encoded by itself, so that a word is looked up once. The first run of a text, with no blank before it, and
-    texts where blanks stand together are encoded alone.
+    A text's ids are those of its units. The units of some texts are taken together and each distinct one is looked up
+    once. The library gets those that are new and start with their only white space, a blank, joined; a token that starts
+    with a blank starts the next unit. All others are encoded alone.
     """
 
     def __init__(self, model: str):
@@ -199,7 +250,9 @@ class Tokens:
         self.forget()
 
     def forget(self) -> None:
+        #: Where the ids are of what follows a blank, with it, and of other units.
         self.numbers: dict[str, int] = {}
+        self.bare: dict[str, int] = {}
         self.ids, self.edges, self.held = np.empty(0, np.uint32), np.zeros(1, np.int64), 0
 
     def _library(self, texts: list[str]) -> list[np.ndarray]:
@@ -215,38 +268,53 @@ class Tokens:
             pa.default_memory_pool().release_unused()
 
     def _part(self, texts: pa.Array) -> pa.LargeBinaryArray:
-        runs = Runs(texts)
-        first = self._library(runs.heads.to_pylist())
-        heads = binaries(np.concatenate(first), 4 * np.cumsum([0, *map(len, first)]))
-        words, tails = (c.dictionary_encode() for c in _parted(runs.runs, self.special))
-        places = self._places(words.dictionary.to_numpy(zero_copy_only=False).tolist())
-        after = self._library(tails.dictionary.to_pylist())
-        after = binaries(np.concatenate([np.empty(0, np.uint32), *after]), 4 * np.cumsum([0, *map(len, after)]))
-        units = pa.concat_arrays([binaries(self.ids, 4 * self.edges).take(pa.array(places)), after])
-        both = np.stack([words.indices.to_numpy(), tails.indices.to_numpy() + len(places)], axis=1).ravel()
-        later = regrouped(units.take(pa.array(both)), np.arange(0, len(both) + 1, 2))
-        return runs.whole(pa.concat_arrays([heads, later]))
-
-    def _places(self, runs: list[str]) -> np.ndarray:
-        """Where each of the distinct runs is among those remembered."""
+        units, first = _units(texts, self.special)
+        units = units.dictionary_encode()
+        places = self._places(units.dictionary)
+        made = binaries(self.ids, 4 * self.edges).take(pa.array(places))
+        return regrouped(made.take(units.indices), first)
+
+    def _places(self, units: pa.LargeStringArray) -> np.ndarray:
+        """Where each of the distinct units is among those remembered."""
         if self.held > CACHE:
             self.forget()
-        get = self.numbers.get
-        places = np.array([get(x, -1) for x in runs], np.int64)
-        missing = np.flatnonzero(places < 0)
-        if len(missing):
-            new = [runs[i] for i in missing.tolist()]
-            joined = (" " + " ".join(new[i : i + JOINED]) for i in range(0, len(new), JOINED))
-            ids = np.concatenate(self._library(list(joined)))
-            starts = np.flatnonzero(self.starts_run[ids])
-            if len(starts) != len(new):
-                raise ValueError("the tokenizer does not part runs at blanks")
-            n, kept = len(self.numbers), len(self.ids)
-            places[missing] = np.arange(n, n + len(new))
-            self.numbers.update(zip(new, range(n, n + len(new)), strict=True))
-            self.ids = np.concatenate([self.ids, ids])
-            self.edges = np.concatenate([self.edges[:-1], kept + starts, [len(self.ids)]])
-            self.held += sum(map(sys.getsizeof, new)) + 140 * len(new) + ids.nbytes  # an entry and its number take about 140 bytes
+        places = np.empty(len(units), np.int64)
+        blank = pc.starts_with(units, " ")
+        for known, mask in ((self.numbers, blank), (self.bare, pc.invert(blank))):
+            some = units.filter(mask)
+            keys = pc.utf8_slice_codeunits(some, 1) if known is self.numbers else some
+            keys = keys.to_numpy(zero_copy_only=False).tolist()
+            found = np.fromiter(map(known.get, keys, repeat(-1)), np.int64, len(keys))
+            missing = found < 0
+            if missing.any():
+                order = self._learn(some.filter(pa.array(missing)))
+                found[missing] = order
+                new = [keys[i] for i in np.flatnonzero(missing).tolist()]
+                known.update(zip(new, order.tolist(), strict=True))
+                self.held += sum(map(sys.getsizeof, new)) + 140 * len(new)  # an entry and its number take about 140 bytes
+            places[mask.to_numpy(zero_copy_only=False)] = found
+        return places
+
+    def _learn(self, units: pa.LargeStringArray) -> np.ndarray:
+        """Remember the ids of distinct new units; the place of each."""
+        alone = pc.invert(pc.match_substring_regex(units, _SPACED))
+        for token in self.special:
+            alone = pc.or_(alone, pc.match_substring(units, token))
+        spaced = units.filter(pc.invert(alone)).to_numpy(zero_copy_only=False).tolist()
+        joined = self._library(["".join(spaced[i : i + JOINED]) for i in range(0, len(spaced), JOINED)])
+        others = self._library(units.filter(alone).to_numpy(zero_copy_only=False).tolist())
+        ids = np.concatenate([np.empty(0, np.uint32), *joined])
+        starts = np.flatnonzero(self.starts_run[ids])
+        if len(starts) != len(spaced):
+            raise ValueError("the tokenizer does not part runs at blanks")
+        ends = len(ids) + np.cumsum([0, *map(len, others)])
+        n, kept = len(self.edges) - 1, len(self.ids)
+        self.ids = np.concatenate([self.ids, ids, *others])
+        self.edges = np.concatenate([self.edges[:-1], kept + starts, kept + ends])
+        self.held += 4 * (len(self.ids) - kept)
+        places, mask = np.empty(len(units), np.int64), alone.to_numpy(zero_copy_only=False)
+        places[~mask] = np.arange(n, n + len(spaced))
+        places[mask] = np.arange(n + len(spaced), n + len(units))
         return places
 
 
@@ -305,13 +373,11 @@ def write(docs: DataFrame, model: str, path: str, doc_id: str = "doc_id", text:
 def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for shard, start, names, data in zip(*(batch.column(i) for i in range(4)), strict=True):
-            docs, starts, counts, sums, at = names.as_py(), [], [], [], start.as_py()
-            for ids in Segment(data.as_py()).documents():
-                starts.append(at)
-                counts.append(len(ids))
-                sums.append(zlib.crc32(ids.astype("<u4").tobytes()))
-                at += len(ids)
-            cols = [pa.array([shard.as_py()] * len(docs), pa.int32()), pa.array(docs, pa.int64()), *(pa.array(x, pa.int64()) for x in (starts, counts, sums))]
+            segment, docs = Segment(memoryview(data.as_buffer())), names.values
+            ids = memoryview(segment.ids(0, segment.n).astype("<u4", copy=False)).cast("B")
+            edges = np.cumsum([0, *segment.lengths])
+            sums = [zlib.crc32(ids[4 * a : 4 * b]) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
+            cols = [pa.array([shard.as_py()] * len(docs), pa.int32()), docs, *(pa.array(x, pa.int64()) for x in (edges[:-1] + start.as_py(), segment.lengths, sums))]
             yield pa.RecordBatch.from_arrays(cols, names=["shard", "doc_id", "own_start", "n_tokens", "ids_crc32"])
 
 

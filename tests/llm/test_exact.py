@@ -210,6 +210,27 @@ def test_token_store_words_are_encoded_once():
     assert "thesrent" in own.numbers and not {"thesrent.", "thesrent,", "thesrent***"} & {*own.numbers}
 
 
+def test_token_store_lines_are_parted():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    own, library = token_store.Tokens(token_store.read_model(path)), Tokenizer.from_file(path)
+    texts = ["x thesrent.\nThe thesrent\nThe's end\n", "\nThe thesrent.\n\nThe  thesrent\n", "thesrent\n The \nthesrent \u3000\nx"]
+    assert [x.tolist() for x in own.encode(pa.array(texts[:1]))] == [library.encode(texts[0], add_special_tokens=False).ids]
+    assert not [x for x in own.numbers if "\n" in x] and "The" not in own.numbers
+    assert [x.tolist() for x in own.encode(pa.array(texts))] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_token_store_units_equal_the_library():
+    path, rng = public_tokenizers.path("byte_bpe_50k.json"), random.Random(8)
+    own, library = token_store.Tokens(token_store.read_model(path)), Tokenizer.from_file(path)
+    letters = [*"  \n\n\t\r\x0b\x1c\x1f\x85\xa0\u1680\u2003\u200b\u2028\u205f\u3000 abé'stlve0²Ⅷ一あ!?.,<|>«ßàè×÷жё😀\u0301\x00", "'s", "'re", "a b", "é. ", "<|endoftext|>"]
+    few = [*" \na.é'"]
+    texts = ["".join(rng.choices(rng.choice([letters, few]), k=rng.randint(0, 12))) for _ in range(20_000)] + [" " * 3000, "a" * 9000, "a " * 4000, "x" + " " * 99 + "y\n"]
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    for some in (slice(None), slice(7, None, 3)):
+        assert [x.tolist() for x in own.encode(pa.array(texts, pa.string())[some])] == want[some]
+    assert [x.tolist() for x in own.encode(pa.array([None, *texts[:50]], pa.large_string()).slice(9, 30))] == want[8:38]
+
+
 def stored(rows):
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     at, out = 0, []
