@@ -22,10 +22,8 @@ by their text; an empty table gives no segment.
 from __future__ import annotations
 
 import os
-import sys
 import zlib
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -35,17 +33,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import binaries, offsets, regrouped, slices, tasks
+from marketlake.llm.common import Remembered, binaries, offsets, regrouped, slices, tasks
 from marketlake.session import scratch_path
 
 BLOCK = 1024
 PERCENTILE = 95
 SEGMENT = 1 << 18
-#: Bytes of the memory for runs, and of the texts whose runs are taken together.
-CACHE = 256 << 20
-PART = 8 << 20
-#: Runs that the library gets in one text.
-JOINED = 2000
+#: Bytes of the memory for units, and of the texts whose units are taken together.
+CACHE = 64 << 20
+PART = 16 << 20
+#: Bytes that are searched for the starts of units at a time.
+SCAN = 1 << 20
+#: Bytes of the units that the library gets in one text, and of the texts in one call, as a token takes some 100 bytes there.
+JOINED = 16 << 10
+CALL = 1 << 20
 _BLANK = "\u0120"  # how the byte-level alphabet writes a blank
 _MAGIC = b"PFB1"
 _HEAD = np.dtype([("least", "<u4"), ("width", "u1"), ("odd", "<u2")])
@@ -192,22 +193,11 @@ _KINDS, (_WHITE, _FIRST, _SECOND, _LAST, _BEFORE, _LETTER, _POINT) = _table(
 _SPACED = r"^ [^\s\x0b\x1c-\x1f\x{85}\p{Z}]+$"
 
 
-def _units(texts: pa.Array, special: list[str]) -> tuple[pa.LargeStringArray, np.ndarray]:
-    """Texts without nulls, cut where byte-level pre-tokens always end, and the number of the first unit of each text.
-
-    A unit starts with a blank, or with a line feed that is a unit of its own, if neither has white space beside it; and
-    with ASCII punctuation (no apostrophe) behind a letter of ASCII or Latin-1. Where the bytes beside a cut might be
-    white space there is none. A text that holds a ``special`` token, which may have any of these inside, is one unit.
-    """
-    whole = np.zeros(len(texts), bool)
-    for token in special:
-        whole |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
-    texts = texts.cast(pa.large_string())
-    edges = offsets(texts)
-    edges, low = edges - edges[0], int(edges[0])
-    n = int(edges[-1])
-    data = np.zeros(n + 4, np.uint8)  # two more on either side; at the ends of texts there is a cut whatever stands beside
-    data[2:-2] = np.frombuffer(texts.buffers()[2] or b"", np.uint8, n, low)
+def _starts(text: np.ndarray) -> np.ndarray:
+    """For each byte of some texts, whether a unit starts there wherever it stands; the first of a text always does."""
+    n = len(text)
+    data = np.zeros(n + 4, np.uint8)  # two more on either side; beside the ends of texts a cut is right whatever stands there
+    data[2:-2] = text
     kinds = np.frombuffer(data.tobytes().translate(_KINDS), np.uint8)
     # Of each byte: the kinds of the two bytes before it, its own, and of the two after it.
     k2, k1, own, k3, k4 = (kinds[i : n + i] for i in range(5))
@@ -220,15 +210,34 @@ def _units(texts: pa.Array, special: list[str]) -> tuple[pa.LargeStringArray, np
     gap &= (k3 & _FIRST == 0) | (k4 & _SECOND == 0)
     letter = (b2 == 0xC3) & (k1 & _LAST != 0) & (b1 != 0x97) & (b1 != 0xB7)
     letter |= k1 & _LETTER != 0
-    cut = np.zeros(n + 1, bool)
-    cut[:-1] = gap | (letter & (own & _POINT != 0))
-    cut[1:] |= gap & feed
-    for i in np.flatnonzero(whole):
-        cut[edges[i] : edges[i + 1]] = False
-    cut[edges] = True
-    cuts = np.flatnonzero(cut)
-    units = pa.LargeStringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts + low), texts.buffers()[2])
-    return units, np.searchsorted(cuts, edges)
+    starts = gap | (letter & (own & _POINT != 0))
+    starts[1:] |= gap[:-1] & feed[:-1]
+    return starts
+
+
+def _units(texts: pa.Array, special: list[str]) -> tuple[pa.LargeStringArray, np.ndarray]:
+    """Texts without nulls, cut where byte-level pre-tokens always end, and the number of the first unit of each text.
+
+    A unit starts with a blank, or with a line feed that is a unit of its own, if neither has white space beside it; and
+    with ASCII punctuation (no apostrophe) behind a letter of ASCII or Latin-1. Where the bytes beside a cut might be
+    white space there is none. A text that holds a ``special`` token, which may have any of these inside, is one unit.
+    """
+    whole = np.zeros(len(texts), bool)
+    for token in special:
+        whole |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+    texts = texts.cast(pa.large_string())
+    edges, data = offsets(texts), texts.buffers()[2] or pa.py_buffer(b"")
+    cuts = []
+    for low, high in slices(texts, SCAN):
+        a, b = edges[low], edges[high]
+        starts = _starts(np.frombuffer(data, np.uint8, b - a, a))
+        for i in low + np.flatnonzero(whole[low:high]):
+            starts[edges[i] - a : edges[i + 1] - a] = False
+        firsts = edges[low:high]
+        starts[firsts[firsts < b] - a] = True
+        cuts.append(np.flatnonzero(starts) + a)
+    cuts = np.concatenate([*cuts, edges[-1:]])
+    return pa.LargeStringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts), data), np.searchsorted(cuts, edges)
 
 
 class Tokens:
@@ -247,20 +256,28 @@ class Tokens:
         self.starts_run = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
         self.starts_run[[i for token, i in self.tokenizer.get_vocab().items() if token.startswith(_BLANK)]] = True
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.forget()
+        self.units = Remembered(CACHE)
 
-    def forget(self) -> None:
-        #: Where the ids are of what follows a blank, with it, and of other units.
-        self.numbers: dict[str, int] = {}
-        self.bare: dict[str, int] = {}
-        self.ids, self.edges, self.held = np.empty(0, np.uint32), np.zeros(1, np.int64), 0
+    @property
+    def numbers(self) -> dict[str, int]:
+        """The place of each unit remembered that starts with a blank, by what follows the blank."""
+        return {unit[1:]: i for i, unit in enumerate(self.units.strings.to_pylist()) if unit.startswith(" ")}
 
-    def _library(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    @property
+    def held(self) -> int:
+        return self.units.strings.nbytes + self.units.ids.nbytes + self.units.edges.nbytes
+
+    def _library(self, texts: pa.Array) -> list[np.ndarray]:
+        out: list[np.ndarray] = []
+        for low, high in slices(texts, CALL):
+            found = self.tokenizer.encode_batch_fast(texts.slice(low, high - low).to_pylist(), add_special_tokens=False)
+            out += [np.array(e.ids, np.uint32) for e in found]
+        return out
 
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of every text, in order; none for a null or empty one."""
-        for low, high in slices(texts, PART):
+        total = pc.sum(pc.binary_length(texts)).as_py() or 0
+        for low, high in slices(texts, max(1, -(-total // max(1, -(-total // PART))))):  # of equal sizes
             ids = self._part(pc.fill_null(texts.slice(low, high - low), ""))
             edges, data = offsets(ids) // 4, np.frombuffer(ids.buffers()[2] or b"", "<u4")
             yield from map(data.__getitem__, map(slice, edges[:-1].tolist(), edges[1:].tolist()))
@@ -270,57 +287,42 @@ class Tokens:
     def _part(self, texts: pa.Array) -> pa.LargeBinaryArray:
         units, first = _units(texts, self.special)
         units = units.dictionary_encode()
-        places = self._places(units.dictionary)
-        made = binaries(self.ids, 4 * self.edges).take(pa.array(places))
+        made = self.units.take(self.units.places(units.dictionary, self._new))
         return regrouped(made.take(units.indices), first)
 
-    def _places(self, units: pa.LargeStringArray) -> np.ndarray:
-        """Where each of the distinct units is among those remembered."""
-        if self.held > CACHE:
-            self.forget()
-        places = np.empty(len(units), np.int64)
-        blank = pc.starts_with(units, " ")
-        for known, mask in ((self.numbers, blank), (self.bare, pc.invert(blank))):
-            some = units.filter(mask)
-            keys = pc.utf8_slice_codeunits(some, 1) if known is self.numbers else some
-            keys = keys.to_numpy(zero_copy_only=False).tolist()
-            found = np.fromiter(map(known.get, keys, repeat(-1)), np.int64, len(keys))
-            missing = found < 0
-            if missing.any():
-                order = self._learn(some.filter(pa.array(missing)))
-                found[missing] = order
-                new = [keys[i] for i in np.flatnonzero(missing).tolist()]
-                known.update(zip(new, order.tolist(), strict=True))
-                self.held += sum(map(sys.getsizeof, new)) + 140 * len(new)  # an entry and its number take about 140 bytes
-            places[mask.to_numpy(zero_copy_only=False)] = found
-        return places
-
-    def _learn(self, units: pa.LargeStringArray) -> np.ndarray:
-        """Remember the ids of distinct new units; the place of each."""
-        alone = pc.invert(pc.match_substring_regex(units, _SPACED))
+    def _new(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all units, and where those of each start."""
+        strings = pa.array(units, pa.large_string())
+        alone = pc.invert(pc.match_substring_regex(strings, _SPACED))
         for token in self.special:
-            alone = pc.or_(alone, pc.match_substring(units, token))
-        spaced = units.filter(pc.invert(alone)).to_numpy(zero_copy_only=False).tolist()
-        joined = self._library(["".join(spaced[i : i + JOINED]) for i in range(0, len(spaced), JOINED)])
-        others = self._library(units.filter(alone).to_numpy(zero_copy_only=False).tolist())
-        ids = np.concatenate([np.empty(0, np.uint32), *joined])
+            alone = pc.or_(alone, pc.match_substring(strings, token))
+        spaced, others = strings.filter(pc.invert(alone)), strings.filter(alone)
+        alone = alone.to_numpy(zero_copy_only=False)
+        joined = regrouped(spaced, np.array([0, *(high for _, high in slices(spaced, JOINED))])).cast(pa.large_string())
+        ids = np.concatenate([np.empty(0, np.uint32), *self._library(joined)])
         starts = np.flatnonzero(self.starts_run[ids])
         if len(starts) != len(spaced):
             raise ValueError("the tokenizer does not part runs at blanks")
-        ends = len(ids) + np.cumsum([0, *map(len, others)])
-        n, kept = len(self.edges) - 1, len(self.ids)
-        self.ids = np.concatenate([self.ids, ids, *others])
-        self.edges = np.concatenate([self.edges[:-1], kept + starts, kept + ends])
-        self.held += 4 * (len(self.ids) - kept)
-        places, mask = np.empty(len(units), np.int64), alone.to_numpy(zero_copy_only=False)
-        places[~mask] = np.arange(n, n + len(spaced))
-        places[mask] = np.arange(n + len(spaced), n + len(units))
-        return places
+        odd = self._library(others)
+        ends = len(ids) + np.cumsum([0, *map(len, odd)])
+        both = binaries(np.concatenate([ids, *odd]), 4 * np.concatenate([starts, ends]))
+        order = np.empty(len(units), np.int64)
+        order[~alone], order[alone] = np.arange(len(spaced)), np.arange(len(spaced), len(units))
+        both = both.take(pa.array(order))
+        edges = offsets(both) // 4
+        return np.frombuffer(both.buffers()[2] or b"", "<u4", edges[-1]), edges[:-1]
 
 
 _TOKENS: dict[str, Tokens] = {}
 
 
+def tokenizer(model: str) -> Tokens:
+    """The worker's tokenizer, made once for each model: a name of this module, as what a task brings along goes with it."""
+    if model not in _TOKENS:
+        _TOKENS[model] = Tokens(model)
+    return _TOKENS[model]
+
+
 def read_model(path: str) -> str:
     with open(path, encoding="utf-8") as f:
         return f.read()
@@ -330,9 +332,7 @@ def _writer(spark: SparkSession, model: str, end_id: int):
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = _TOKENS.get(shared.value)
-        if tokens is None:
-            _TOKENS[shared.value] = tokens = Tokens(shared.value)
+        tokens = tokenizer(shared.value)
         shard, seq, start, size = TaskContext.get().partitionId(), 0, 0, 0
         names: list = []
         parts: list[np.ndarray] = []

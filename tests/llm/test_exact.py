@@ -231,6 +231,33 @@ def test_token_store_units_equal_the_library():
     assert [x.tolist() for x in own.encode(pa.array([None, *texts[:50]], pa.large_string()).slice(9, 30))] == want[8:38]
 
 
+def test_token_store_calls_are_bounded(monkeypatch):
+    path, asked = public_tokenizers.path("byte_bpe_50k.json"), []
+    monkeypatch.setattr(token_store, "CALL", 4_000)
+    own, library = token_store.Tokens(token_store.read_model(path)), Tokenizer.from_file(path)
+
+    class Library:
+        def encode_batch_fast(self, texts, **how):
+            asked.append(sum(len(t.encode()) for t in texts))
+            return library.encode_batch_fast(texts, **how)
+
+    own.tokenizer = Library()
+    texts = [x * 300 + str(i) for i in range(40) for x in ("一", "a一 ", "一 b")] + [" " + "x" * i for i in range(300, 400)]
+    assert [x.tolist() for x in own.encode(pa.array(texts))] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert len(asked) > 8 and max(asked) <= token_store.JOINED + 4_000
+
+
+def test_token_store_tasks_share_a_memory(spark):
+    def held(batches):
+        from marketlake.llm import token_store as own
+
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([sum(t.held for t in own._TOKENS.values())], pa.int64())], names=["held"])
+
+    queries.op5_token_store(spark, SF).count()
+    assert max(r[0] for r in spark.range(0, 16, 1, 16).mapInArrow(held, "held long").collect()) > 1000
+
+
 def stored(rows):
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     at, out = 0, []
