@@ -115,7 +115,7 @@ class BoostedModel:
     def save(self, spark: SparkSession, path: str) -> None:
         lines = [json.dumps({"features": self.features, "bounds": [b.tolist() for b in self.bounds], "base": self.base, "target": self.target})]
         lines += [json.dumps(asdict(t)) for t in self.trees]
-        spark.createDataFrame(list(enumerate(lines)), "i int, line string").coalesce(1).write.mode("overwrite").parquet(path)
+        spark.createDataFrame(list(enumerate(lines)), "i int, line string").write.mode("overwrite").parquet(path)
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> BoostedModel:
