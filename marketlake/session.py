@@ -9,6 +9,8 @@ from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def get_session(app: str = "marketlake", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
     """A session with adaptive execution and UTC dates.
@@ -54,19 +56,32 @@ def stage(df: DataFrame, tag: str = "stage", done: Iterable[DataFrame] = ()) ->
 
     Cuts the lineage: the rows are fixed from here on, survive the loss of executors, and the optimizer knows
     their size, so it can decide by itself whether a side is small enough to broadcast. ``done`` are staged tables
-    whose last reader this write is; they are deleted after it.
+    whose last reader this write is; they are deleted after it. So are the write's shuffle files, which else stay until
+    the driver collects its garbage.
     """
     spark = df.sparkSession
     path = scratch_path(spark, tag)
     for scope in _SCOPES:
         scope.paths.append(path)
-    df.write.parquet(path)
+    with _shuffles_dropped(spark):
+        df.write.parquet(path)
     release(*done)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_at = path
     return out
 
 
+@contextlib.contextmanager
+def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Queries that run inside remove their own shuffle files as they end."""
+    before = spark.conf.get(_DROP_SHUFFLES, "false")
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_DROP_SHUFFLES, before)
+
+
 def release(*tables: DataFrame) -> None:
     """Delete staged tables. Only for what nothing reads any more: results that were computed lazily still do.
 

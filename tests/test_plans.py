@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime
 import os
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
@@ -245,6 +246,35 @@ def test_marts(star):
     assert set(DATASET_KEYS) <= set(data.columns) and data.where("listing_id in (2, 3)").isEmpty()
 
 
+def test_listing_dataset_reads_the_facts_once(spark, tmp_path):
+    """Keys with equal attributes are one listing, a key that is twice in its dimension counts in both; the fact's rows are staged."""
+    listing = {1: ["a"], 2: ["a"], 3: ["b", "a"], 4: ["c", "c"], 5: [None], 6: ["d"]}  # key: names
+    host, area = {1: [3], 2: [3], 3: [4, 3]}, {1: ["x"], 2: [None]}
+    names = [(k, 1, n, None, "p", 2, 1.0, 1.0, 0.0 if k % 2 else -0.0, 1.0) for k, all_names in listing.items() for n in all_names]
+    dims = {
+        "listings": spark.createDataFrame(names, "listing_key long, listing_id long, name string, room_type string, property_type string, "
+                                          "accommodates int, bedrooms double, beds double, latitude double, longitude double"),
+        "hosts": spark.createDataFrame([(k, True, n, None) for k, ns in host.items() for n in ns], "host_key long, is_superhost boolean, host_listings_count int, host_since date"),
+        "neighbourhoods": spark.createDataFrame([(k, n, None) for k, ns in area.items() for n in ns], "neighbourhood_key long, neighbourhood string, neighbourhood_group string"),
+    }
+    days = [(k % 7 + 1 if k % 13 else None, k % 4 + 1, k % 2 + 1, float(k % 5) if k % 3 else None, k % 2 == 0, float(k % 5), k) for k in range(300)]
+    spark.createDataFrame(days, "listing_key long, host_key long, neighbourhood_key long, price double, is_available boolean, est_revenue double, "
+                          "reviews_to_date long").write.parquet(str(tmp_path / "fact"))
+    data = listing_dataset(spark.read.parquet(str(tmp_path / "fact")), dims)
+    want = {}
+    for lk, hk, nk, *rest in days:
+        for group in ((n, h, a) for n in listing.get(lk, []) for h in host.get(hk, []) for a in area.get(nk, [])):
+            want.setdefault(group, []).append(rest)
+    got = {(r.name, r.host_listings_count, r.neighbourhood): r for r in data.collect()}
+    assert got.keys() == want.keys() and data.count() == len(want)
+    for group, found in want.items():
+        r, prices = got[group], [p for p, *_ in found if p is not None]
+        assert r.target_price == statistics.median(prices) and r.avg_price == pytest.approx(sum(prices) / len(prices), abs=1e-6)
+        assert r.availability_rate == sum(x[1] for x in found) / len(found) and r.est_revenue == sum(x[2] for x in found)
+        assert r.total_reviews == max(x[3] for x in found)
+    assert not [f for f in data.inputFiles() if f"{tmp_path}/fact" in f]
+
+
 def test_views_match_functions(spark, star):
     listings, calendar, reviews, dates = star
     dims = {**gold.build_dims(listings), "dates": dates}

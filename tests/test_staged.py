@@ -55,3 +55,16 @@ def test_keys_and_sorted_writes_leave_no_copy_of_their_input(spark, tmp_path):
     assert new(spark, before) == ["key-key", "offsets"] and keyed.count() == 1000
     written = write_silver(spark.range(50), str(tmp_path / "out"), partition=None, order=["id"])
     assert new(spark, before) == ["key-key", "offsets"] and written.count() == 50
+
+
+def test_a_staged_write_leaves_no_shuffle_files(spark):
+    own = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    tracked = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses()
+
+    def shuffles():
+        return set(tracked.keys().toSeq().mkString(",").split(",")) - {""}
+
+    before, setting = shuffles(), spark.conf.get(own)
+    out = stage(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    assert shuffles() <= before
+    assert out.count() == 7 and spark.conf.get(own) == setting
