@@ -27,6 +27,9 @@ GEOJSON_SCHEMA = T.StructType([
 
 POLYGON = "array<array<array<double>>>"
 
+#: Up to so many documents Spark infers the schema itself, from streams.
+FEW_FILES = 64
+
 MANIFEST_ENTRY = T.StructType([
     T.StructField("source_url", T.StringType()),
     T.StructField("captured_at", T.StringType()),
@@ -58,9 +61,47 @@ def read_csv(spark: SparkSession, path, schema: T.StructType | None = None, mult
 
 
 def read_json(spark: SparkSession, path, schema: T.StructType | None = None, multi_line: bool = True) -> DataFrame:
-    """JSON documents, one per file (or one per line with ``multi_line=False``); the schema is inferred if absent."""
+    """JSON documents, one per file (or one per line with ``multi_line=False``); the schema is inferred if absent.
+
+    Many small files are read by few tasks (see :func:`_packed`), and their schema is inferred from whole texts, as
+    Spark's own inference passes the names of all files along with each of them.
+    """
     reader = spark.read.option("multiLine", multi_line)
-    return (reader.schema(schema) if schema is not None else reader).json(path)
+    if not multi_line or not isinstance(path, (str, list)):
+        return (reader.schema(schema) if schema is not None else reader).json(path)
+    if schema is not None:
+        return _packed(reader.schema(schema).json(path))
+    # The text source lists the same files and finds the same partition columns; a text keeps the bytes of its file.
+    texts = spark.read.schema("_document string").text(path, wholetext=True)
+    if _n_files(texts) <= FEW_FILES:
+        return reader.json(path)
+    documents = getattr(_packed(texts).select("_document")._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+    inferred = DataFrame(spark._jsparkSession.read().json(documents), spark).schema
+    parts = {_name(spark, f.name): f for f in texts.schema.fields[1:]}
+    found = T.StructType([parts.get(_name(spark, f.name), f) for f in inferred.fields])
+    df = _packed(reader.schema(found).json(path))
+    # A field that is a partition column too has the column's type and the field's place, as when Spark infers.
+    places = [*[f.name for f in found.fields], *[f.name for n, f in parts.items() if n not in {_name(spark, c) for c in found.names}]]
+    return df if df.columns == places else df.select(*[F.col(f"`{c}`") for c in places])
+
+
+def _name(spark: SparkSession, column: str) -> str:
+    """The name as the session compares it."""
+    return column if spark.conf.get("spark.sql.caseSensitive") == "true" else column.lower()
+
+
+def _n_files(df: DataFrame) -> int:
+    return len(df._jdf.inputFiles())
+
+
+def _packed(df: DataFrame) -> DataFrame:
+    """A scan of many small files in no more tasks than its bytes and files ask for: a thousand files a task, or fewer
+    if that gives less than four tasks a core. By itself a scan counts some megabytes for every file."""
+    files, spark = _n_files(df), df.sparkSession
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    most = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    tasks = max(-(-size // most), -(-files // 1000), 4 * spark.sparkContext.defaultParallelism)
+    return df.coalesce(tasks) if tasks < files else df
 
 
 def read_parquet(spark: SparkSession, path, columns: list[str] | None = None) -> DataFrame:

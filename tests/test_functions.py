@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import gzip
 import math
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from marketlake.functions import exact, geo, scalars, text
@@ -158,6 +160,75 @@ def test_log_lines(spark, tmp_path):
     assert kept == ['{"profiles": [', '  {"level": "x"}]}']
 
 
+def _many_documents(folder, odd=()):
+    """100 documents in two folders of a partition, then the odd ones."""
+    for i in range(100):
+        at = folder / f"year={2000 + i % 2}"
+        at.mkdir(parents=True, exist_ok=True)
+        value = [f'"{i}"', str(i), "null", str(i / 4), str(2**40 + i)][i % 5 if i > 50 else 1]
+        (at / f"d{i:03}.json").write_text('{\n "id": %d, "v": %s, "Year": "y%d",\n "n": {"a": [%d, null]}\n}' % (i, value, i, i))
+    for name, content in odd:
+        (folder / "year=2001" / name).write_bytes(content)
+    return str(folder)
+
+
+_ODD_DOCUMENTS = [
+    ("wide.json", '{"id": 900, "w": "ü"}'.encode("utf-16")), ("marked.json", '{"id": 901, "b": true}'.encode("utf-8-sig")),
+    ("list.json", b'[{"id": 902},\n {"id": 903, "n": {"c": "x"}}]'), ("empty.json", b""), ("none.json", b"{}"),
+    ("packed.json.gz", gzip.compress(b'{"id": 904, "z": 1.5}')), ("_hidden.json", b'{"hidden": 1}'),
+]
+
+
+@pytest.mark.parametrize("odd", [[], _ODD_DOCUMENTS, [*_ODD_DOCUMENTS, ("broken.json", b'{"id": 905, "v": ')]], ids=["plain", "odd", "broken"])
+@pytest.mark.parametrize("nested", [True, False])
+def test_many_json_documents_are_read_as_spark_reads_them(spark, tmp_path, odd, nested):
+    path = _many_documents(tmp_path / "docs", odd) + ("" if nested else "/year=2001")
+    for paths in (path, [path, _many_documents(tmp_path / "more") + "/year=2000"] if not nested else [path]):
+        want, got = spark.read.option("multiLine", True).json(paths), readers.read_json(spark, paths)
+        assert got.schema == want.schema
+        for df in (got, got.select("*", "_metadata.file_name")):
+            same = want if df is got else want.select("*", "_metadata.file_name")
+            assert sorted(map(str, df.collect())) == sorted(map(str, same.collect()))
+
+
+def test_many_json_documents_do_not_reach_sparks_inference(spark, tmp_path, monkeypatch):
+    """It writes the names of all files once for each file."""
+    path, reader = _many_documents(tmp_path / "docs"), type(spark.read)
+    given, own = reader.schema, reader.json
+
+    def schema(self, found):
+        self.has_schema = True
+        return given(self, found)
+
+    def json(self, at):
+        assert hasattr(self, "has_schema")
+        return own(self, at)
+
+    monkeypatch.setattr(reader, "schema", schema)
+    monkeypatch.setattr(reader, "json", json)
+    assert readers.read_json(spark, path).count() == 100
+
+
+def test_small_files_share_tasks(spark, tmp_path):
+    path = tmp_path / "docs"
+    path.mkdir()
+    for i in range(100):
+        (path / f"d{i}.json").write_text("{}")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        df = readers.read_json(spark, str(path), "id long")
+        assert len(df.select(F.spark_partition_id().alias("p")).distinct().collect()) == 4 * spark.sparkContext.defaultParallelism < 100
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_a_folder_without_documents_is_an_error(spark, tmp_path):
+    with pytest.raises(AnalysisException):
+        readers.read_json(spark, str(tmp_path))
+
+
 def test_geojson(spark, tmp_path):
     doc = """{"type": "FeatureCollection", "features": [
       {"type": "Feature", "geometry": {"type": "Polygon", "coordinates": [[[1.0, 2.0], [3, 4], [1.0, 2.0]]]},
