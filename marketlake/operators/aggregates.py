@@ -67,7 +67,7 @@ def price_summary(df: DataFrame, keys: list[str], price: str, sums: dict[str, Co
                   maxima: dict[str, Column] | None = None, weight: str | None = None) -> DataFrame:
     """Per group: rows, priced rows, sum in millionths, min, max and exact median of a price, sums and maxima of whole
     numbers, and with ``item`` the number of its distinct values (as ``items``). With ``weight`` a row stands
-    for that many rows.
+    for that many rows; without items such rows are not counted again, the caller has done so.
 
     Median and distinct count next to each other would pass per-group maps through every step of Spark's
     distinct plan. Here equal prices and equal items are counted first, by hash aggregation on
@@ -80,16 +80,19 @@ def price_summary(df: DataFrame, keys: list[str], price: str, sums: dict[str, Co
     no_price, no_item = F.lit(None).cast(v_type).alias("_v"), F.lit(None).cast("bigint").alias("_item")
     priced = F.struct(F.col(price).alias("_v"), no_item, (F.col(weight) if weight else F.lit(1)).cast("bigint").alias("_n"),
                       *[c.cast("bigint").alias(name) for name, c in {**sums, **maxima}.items()])
-    kinds = [priced]
-    if item is not None:
-        zeros = [F.lit(0).cast("bigint").alias(name) for name in ["_n", *sums]]
-        nothing = [F.lit(None).cast("bigint").alias(name) for name in maxima]
-        kinds.append(F.struct(no_price, F.col(item).cast("bigint").alias("_item"), *zeros, *nothing))
-    rows = df.select(*keys, F.inline(F.array(*kinds)))
     totals = [*[F.sum(s).alias(s) for s in sums], *[F.max(m).alias(m) for m in maxima]]
-    counted = rows.groupBy(*keys, "_v", "_item").agg(F.sum("_n").alias("_n"), *totals)
-    if item is not None:
-        counted = counted.groupBy(*keys, "_v").agg(F.sum("_n").alias("_n"), *totals, F.count("_item").alias("_items"))
+    if weight and item is None:
+        counted = df.select(*keys, priced.alias("_p")).select(*keys, "_p.*").drop("_item")
+    else:
+        kinds = [priced]
+        if item is not None:
+            zeros = [F.lit(0).cast("bigint").alias(name) for name in ["_n", *sums]]
+            nothing = [F.lit(None).cast("bigint").alias(name) for name in maxima]
+            kinds.append(F.struct(no_price, F.col(item).cast("bigint").alias("_item"), *zeros, *nothing))
+        rows = df.select(*keys, F.inline(F.array(*kinds)))
+        counted = rows.groupBy(*keys, "_v", "_item").agg(F.sum("_n").alias("_n"), *totals)
+        if item is not None:
+            counted = counted.groupBy(*keys, "_v").agg(F.sum("_n").alias("_n"), *totals, F.count("_item").alias("_items"))
     n_priced = F.when(F.col("_v").isNotNull(), F.col("_n")).otherwise(F.lit(0).cast("bigint"))
     group = Window.partitionBy(*keys).orderBy("_v")
     placed = counted.withColumns({

@@ -37,22 +37,14 @@ DATASET_SCHEMA = T.StructType([
 def listing_dataset(fact: DataFrame, dims: dict[str, DataFrame], ref_date: str = REFERENCE_DATE) -> DataFrame:
     """One row per listing (and host and area version) with price, availability, revenue, reviews and tenure.
 
-    Facts are first added up per key and price, and days never meet the wide attributes: those are joined to the
-    distinct keys. Keys with equal attributes are one group, known by its smallest keys; prices are summed up by these,
-    and the attributes are joined to the sums. Both sums are staged, so the facts are read once.
+    Days never meet the wide attributes: those are joined to the distinct keys. Keys with equal attributes are one group,
+    known by its smallest keys; the facts are added up per group and price, then per group, and the attributes are joined
+    to these sums. Each step is staged, so the facts are read once and the shuffle files of a step go before the next.
     """
     keys = ["listing_key", "host_key", "neighbourhood_key"]
-    priced = stage(
-        fact.groupBy(*keys, "price").agg(
-            F.count(F.lit(1)).alias("days"),
-            F.sum(F.coalesce(F.col("is_available"), F.lit(False)).cast("int")).alias("available"),
-            F.sum(micros("est_revenue")).alias("revenue_micros"),
-            F.max("reviews_to_date").alias("total_reviews"),
-        ),
-        "priced",
-    )
+    facts = stage(fact.select(*keys, "price", "is_available", "est_revenue", "reviews_to_date"), "facts")
     known = star_join(
-        priced.select(*keys).distinct(),
+        facts.select(*keys).distinct(),
         [
             (dims["listings"].select("listing_key", *LISTING_COLUMNS), "listing_key"),
             (dims["hosts"].select("host_key", *HOST_COLUMNS), "host_key"),
@@ -60,10 +52,19 @@ def listing_dataset(fact: DataFrame, dims: dict[str, DataFrame], ref_date: str =
         ],
     )
     versions = stage(_versions(known, keys), "listing-versions")
-    placed, group = _by_group(priced, versions, keys)
+    placed, group = _by_group(facts, versions, keys)
+    priced = stage(
+        placed.groupBy(*group, "price").agg(
+            F.count(F.lit(1)).alias("days"),
+            F.sum(F.coalesce(F.col("is_available"), F.lit(False)).cast("int")).alias("available"),
+            F.sum(micros("est_revenue")).alias("revenue_micros"),
+            F.max("reviews_to_date").alias("total_reviews"),
+        ),
+        "priced", done=[facts],
+    )
     sums = {"available": F.col("available"), "revenue_micros": F.col("revenue_micros")}
     totals = stage(
-        price_summary(placed, group, "price", sums, maxima={"total_reviews": F.col("total_reviews")}, weight="days"),
+        price_summary(priced, group, "price", sums, maxima={"total_reviews": F.col("total_reviews")}, weight="days"),
         "listing-totals", done=[priced],
     )
     rows = totals.join(versions.select(*group, *DATASET_KEYS).distinct(), group)
@@ -89,7 +90,7 @@ def _versions(known: DataFrame, keys: list[str]) -> DataFrame:
     return found.withColumn("_nth", F.dense_rank().over(Window.partitionBy(*first).orderBy(*DATASET_KEYS)))
 
 
-def _by_group(priced: DataFrame, versions: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
+def _by_group(facts: DataFrame, versions: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
     """The facts by the group of their keys, and the columns of the group.
 
     Most keys are a group of their own, so only the others are looked up. Keys that a dimension lacks stay as they are;
@@ -101,9 +102,9 @@ def _by_group(priced: DataFrame, versions: DataFrame, keys: list[str]) -> tuple[
     same = functools.reduce(lambda a, b: a & b, [F.col(f"_of_{k}") == F.col(f"_{k}") for k in keys])
     moved = stage(counted.where((F.col("_n") > 1) | ~same).drop("_n"), "listing-groups")
     match = functools.reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_of_{k}") for k in keys])
-    placed = priced.join(moved, match, "left").select(
+    placed = facts.join(moved, match, "left").select(
         *[F.coalesce(f"_{k}", k).alias(f"_{k}") for k in keys], F.coalesce("_nth", F.lit(1)).alias("_nth"),
-        *[c for c in priced.columns if c not in keys],
+        *[c for c in facts.columns if c not in keys],
     )
     return placed, group
 
